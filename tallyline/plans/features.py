@@ -83,14 +83,24 @@ def _order_rhythm(rollup: DataFrame, gap_scope: str) -> tuple[DataFrame, DataFra
     return gaps, weekend
 
 
+def least_squares_slope(x: Column, y_units: Column) -> Column:
+    """Slope of whole-number points, added up as integers so that it does not depend on the order of merging."""
+    def wide(agg: Column) -> Column:
+        return agg.cast("decimal(19,0)")
+
+    n, sx, sy = F.count(F.lit(1)), F.sum(x), F.sum(y_units)
+    rise = wide(n) * wide(F.sum(x * y_units)) - wide(sx) * wide(sy)
+    run = wide(n) * wide(F.sum(x * x)) - wide(sx) * wide(sx)
+    return X.safe_divide(rise.cast("double"), run.cast("double") * float(X.MONEY_SCALE))
+
+
 def _monthly_trend(rollup: DataFrame) -> DataFrame:
     """Least-squares slope of monthly spend; 0 for fewer than two months."""
-    monthly = rollup.filter("has_valid").groupBy("customer_id", X.month_index("invoice_date").alias("m")).agg(
+    month = (X.month_index("invoice_date") - 2000 * 12).cast("bigint")
+    monthly = rollup.filter("has_valid").groupBy("customer_id", month.alias("m")).agg(
         F.sum("valid_amount").alias("amount"))
-    slope = F.regr_slope(X.from_units("amount"), F.col("m").cast("double"))
-    flat = F.max("amount") == F.min("amount")
     return monthly.groupBy("customer_id").agg(
-        F.when((F.count(F.lit(1)) < 2) | flat, F.lit(0.0)).otherwise(slope).alias("monetary_trend"))
+        least_squares_slope(F.col("m"), F.col("amount")).alias("monetary_trend"))
 
 
 def _product_breadth(lines: DataFrame, obs: datetime) -> DataFrame:

@@ -186,10 +186,12 @@ def features_sql(lines: str, obs: str, gap_filter: str = "is_valid_purchase") ->
                 STDDEV_SAMP(CAST(gap_us AS DOUBLE) / CAST(86400000000 AS DOUBLE)) AS std_gap,
                 CAST(COUNT(CASE WHEN isodow(placed) >= 6 THEN 1 END) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) AS weekend
             FROM fx_gap GROUP BY customer_id""",
-        "fx_month": f"""SELECT customer_id, year(invoice_date) * 12 + month(invoice_date) AS m,
-                {s_units("line_amount")} AS amount FROM fx_lines WHERE {valid} GROUP BY 1, 2""",
-        "fx_trend": """SELECT customer_id, CASE WHEN COUNT(*) < 2 OR MIN(amount) = MAX(amount) THEN CAST(0 AS DOUBLE)
-                ELSE regr_slope(amount, m) END AS slope FROM fx_month GROUP BY customer_id""",
+        "fx_month": f"""SELECT customer_id, CAST((year(invoice_date) - 2000) * 12 + month(invoice_date) AS HUGEINT) AS m,
+                CAST(SUM(CAST(ROUND(line_amount * 10000) AS BIGINT)) AS HUGEINT) AS amount
+            FROM fx_lines WHERE {valid} GROUP BY 1, 2""",
+        "fx_trend": f"""SELECT customer_id, {s_div("COUNT(*) * SUM(m * amount) - SUM(m) * SUM(amount)",
+                "CAST(COUNT(*) * SUM(m * m) - SUM(m) * SUM(m) AS DOUBLE) * CAST(10000 AS DOUBLE)")} AS slope
+            FROM fx_month GROUP BY customer_id""",
         "fx_order": f"""SELECT customer_id, MAX(amount) AS largest, MIN(amount) AS smallest FROM (
                 SELECT customer_id, invoice, {s_units("line_amount")} AS amount FROM fx_lines WHERE {valid}
                 GROUP BY customer_id, invoice) t GROUP BY customer_id""",

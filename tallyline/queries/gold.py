@@ -47,7 +47,7 @@ def _rows():
 
 
 # Values that come out of floating-point aggregation, compared at six decimals.
-NOISY = {"std_days_between_orders", "purchase_regularity", "monetary_trend"}
+NOISY = {"std_days_between_orders", "purchase_regularity"}
 
 
 def tidy(df):
