@@ -29,9 +29,13 @@ SQL_NAMES = {"bronze": "bronze", "silver": "silver", "lines": "lines", "fact": "
              "kpi": "kpi_mart", "features": "fx"}
 
 
+INVARIANT_SQL: dict[str, str] = {}
+
+
 def invariant(number: int, name: str, sql: str, table: str, fault, fault_sql: str) -> None:
     """Register the check and its faulty twin. ``sql`` names tables in braces; ``fault_sql`` selects from the table."""
     check = R.INVARIANTS[name].check
+    INVARIANT_SQL[name] = sql.format(**SQL_NAMES)
     query(f"t{number}_{name}", with_layers(sql.format(**SQL_NAMES)))(lambda r: check(Built(r)))
     seeded = f"WITH faulty AS ({fault_sql})\n{sql.format(**{**SQL_NAMES, table: 'faulty'})}".replace(
         "\nWITH ", ",\n")
