@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.functions import exprs as X
 from tallyline.operators.ordering import global_running_sum
 from tallyline.operators.skew import broadcast_if_small
 from tallyline.sources.lake import Scratch
@@ -51,7 +50,7 @@ def describe(df: DataFrame, columns: list[str], scratch: Scratch, keys: tuple[st
     long = long_values(df, columns, keys).filter("value IS NOT NULL")
     groups = [*keys, "feature"]
     moments = long.groupBy(*groups).agg(
-        F.count(F.lit(1)).alias("count"), X.ratio(X.exact_sum("value"), F.count(F.lit(1))).alias("mean"),
+        F.count(F.lit(1)).alias("count"), F.avg("value").alias("mean"),
         F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"))
     quarters = exact_quantiles(long, groups, "value", {"p25": 0.25, "p50": 0.5, "p75": 0.75}, scratch).drop("n")
     return moments.join(quarters, groups)
