@@ -15,7 +15,7 @@ from tallyline.plans import features as P
 from tallyline.plans import monitoring as D
 from tallyline.plans import scoring as S
 from tallyline.queries.analytics import THRESHOLD, customers
-from tallyline.queries.base import HOME, LAYERS, query, s_count, s_ratio, s_round, s_units
+from tallyline.queries.base import LAYERS, query, s_count, s_ratio, s_round, s_units
 from tallyline.schemas import FEATURE_COLUMNS
 
 # Small search settings for the registered queries; the defaults of the functions are the full ones.
@@ -253,10 +253,10 @@ LAYERS["cluster_names"] = f"""SELECT cluster_id, CASE WHEN twins > 1 THEN base_n
         FROM (SELECT cluster_id, {_naming_sql()} AS base_name FROM cluster_profile) b) t"""
 query("p23_cluster_names", "SELECT * FROM cluster_names")(lambda r: K.name_clusters(K.profiles(assigned(r))))
 query("c6_cluster_labels", "SELECT * FROM cluster_names")(lambda r: K.name_clusters(K.profiles(assigned(r))))
-query("s26_named_profiles", """SELECT p.cluster_id, cluster_name, cluster_size, monetary FROM cluster_profile p
+query("s26_named_profiles", f"""SELECT p.cluster_id, cluster_name, cluster_size, {s_round("monetary", 4)} AS monetary FROM cluster_profile p
     LEFT JOIN cluster_names n ON p.cluster_id = n.cluster_id""")(
     lambda r: K.profiles(assigned(r)).join(F.broadcast(K.name_clusters(K.profiles(assigned(r)))), "cluster_id", "left").select(
-        "cluster_id", "cluster_name", "cluster_size", "monetary"))
+        "cluster_id", "cluster_name", "cluster_size", X.round_to("monetary", 4).alias("monetary")))
 query("c7_fixed_assignments", "SELECT customer_id, a.cluster_id, cluster_name FROM assigned a JOIN cluster_names n ON a.cluster_id = n.cluster_id")(
     lambda r: K.assignments(assigned(r), K.name_clusters(K.profiles(assigned(r)))))
 query("b26_customers_of_cluster", f"""SELECT s.customer_id, n.cluster_name, s.churn_probability, s.monetary FROM scores s
