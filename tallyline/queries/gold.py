@@ -90,5 +90,4 @@ def score_matrix(r):
 
 for _position, _name in enumerate(FEATURE_COLUMNS, start=1):
     query(f"f{_position}_{_name}", f"SELECT customer_id, {feature_list_sql([_name])} FROM fx")(
-        lambda r, name=_name: tidy(features.mart_features(
-            r.lines, home_country=HOME, rollup=r.rollup).select("customer_id", name)))
+        lambda r, name=_name: tidy(r.mart_features.select("customer_id", name)))
