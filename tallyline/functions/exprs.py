@@ -32,9 +32,14 @@ def missing_to_null(value: Column | str) -> Column:
     return F.when(~col(value).isin(MISSING_TOKENS), col(value))
 
 
+# Every character that counts as white space at the ends of a text.
+WHITE_SPACE = (" \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+               "\u2028\u2029\u202f\u205f\u3000")
+
+
 def strip(value: Column | str) -> Column:
-    """Trim every Unicode space at both ends (``trim`` alone leaves e.g. no-break spaces)."""
-    return F.regexp_replace(col(value), r"(?U)^\s+|\s+$", "")
+    """Trim every Unicode space at both ends (plain ``trim`` leaves e.g. no-break spaces)."""
+    return F.btrim(col(value), F.lit(WHITE_SPACE))
 
 
 def clean_text(value: Column | str) -> Column:

@@ -33,8 +33,8 @@ def ordered(df: DataFrame, keys: Sequence[Column | str], scratch: Scratch) -> Da
                    .drop("_place"))
 
 
-def _offsets(placed: DataFrame, **totals: Column) -> DataFrame:
-    """Per partition: sums over all earlier partitions. One row per partition, so it is small by construction."""
+def _offsets(placed: DataFrame, **totals: Column) -> tuple[DataFrame, dict[str, int]]:
+    """(per partition: sums over all earlier partitions, sums over all). One row per partition: small by construction."""
     per_partition = placed.groupBy("_pid").agg(*[agg.alias(name) for name, agg in totals.items()])
     rows = sorted(per_partition.collect(), key=lambda r: r["_pid"])
     running = dict.fromkeys(totals, 0)
@@ -44,19 +44,20 @@ def _offsets(placed: DataFrame, **totals: Column) -> DataFrame:
         for name in totals:
             running[name] += row[name]
     schema = "_pid int, " + ", ".join(f"_before_{name} bigint" for name in totals)
-    return F.broadcast(placed.sparkSession.createDataFrame(out, schema))
+    return F.broadcast(placed.sparkSession.createDataFrame(out, schema)), running
 
 
-def number_rows(placed: DataFrame, name: str = "row_number") -> DataFrame:
-    offsets = _offsets(placed, rows=F.count(F.lit(1)))
-    return (placed.join(offsets, "_pid").withColumn(name, F.col("_idx") + F.col("_before_rows") + 1)
-                  .drop("_pid", "_idx", "_before_rows"))
+def number_rows(placed: DataFrame, name: str = "row_number") -> tuple[DataFrame, int]:
+    """(the ordered rows with their number from 1, number of rows)."""
+    offsets, totals = _offsets(placed, rows=F.count(F.lit(1)))
+    numbered = placed.join(offsets, "_pid").withColumn(name, F.col("_idx") + F.col("_before_rows") + 1)
+    return numbered.drop("_pid", "_idx", "_before_rows"), totals["rows"]
 
 
 def global_row_number(df: DataFrame, keys: Sequence[Column | str], scratch: Scratch,
                       name: str = "row_number") -> DataFrame:
     """1..n in the order of ``keys``; the keys should end in a unique one for a repeatable numbering."""
-    return number_rows(ordered(df, keys, scratch), name)
+    return number_rows(ordered(df, keys, scratch), name)[0]
 
 
 def bucket_of(row_number: Column, n_rows: int, buckets: int) -> Column:
@@ -71,9 +72,8 @@ def bucket_of(row_number: Column, n_rows: int, buckets: int) -> Column:
 
 
 def global_ntile(df: DataFrame, keys: Sequence[Column | str], buckets: int, scratch: Scratch, name: str) -> DataFrame:
-    placed = ordered(df, keys, scratch)
-    numbered = number_rows(placed, "_rn")
-    return numbered.withColumn(name, bucket_of(F.col("_rn"), placed.count(), buckets)).drop("_rn")
+    numbered, n_rows = number_rows(ordered(df, keys, scratch), "_rn")
+    return numbered.withColumn(name, bucket_of(F.col("_rn"), n_rows, buckets)).drop("_rn")
 
 
 def global_running_sum(df: DataFrame, keys: Sequence[Column | str], values: dict[str, str], scratch: Scratch,
@@ -81,7 +81,7 @@ def global_running_sum(df: DataFrame, keys: Sequence[Column | str], values: dict
     """Running sums of whole-number columns in key order: ``values`` maps new column to summed column."""
     placed = ordered(df, keys, scratch)
     totals = {new: F.coalesce(F.sum(source), F.lit(0)).cast("bigint") for new, source in values.items()}
-    offsets = _offsets(placed, rows=F.count(F.lit(1)), **totals)
+    offsets, _ = _offsets(placed, rows=F.count(F.lit(1)), **totals)
     so_far = Window.partitionBy("_pid").orderBy("_idx").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = placed.join(offsets, "_pid")
     for new, source in values.items():

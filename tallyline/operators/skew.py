@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 200_000
 HOT_KEYS = 64
+TRACKED = 4096  # sketch size per task: finds every key above about 1/1000 of the rows
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -20,7 +21,7 @@ def hot_values(df: DataFrame, *columns: str, share: float = 1 / 64) -> dict[str,
 
     At most ``HOT_KEYS`` values per column come back. The answer only steers how rows are spread, never the result.
     """
-    top = [F.expr(f"approx_top_k(`{c}`, {HOT_KEYS}, 100000)").alias(c) for c in columns]
+    top = [F.expr(f"approx_top_k(`{c}`, {HOT_KEYS}, {TRACKED})").alias(c) for c in columns]
     row = df.agg(F.count(F.lit(1)).alias("_n"), *top).first()
     floor = max(row["_n"] * share, 1000)
     return {c: [e["item"] for e in (row[c] or []) if e["item"] is not None and e["count"] >= floor] for c in columns}
@@ -29,6 +30,8 @@ def hot_values(df: DataFrame, *columns: str, share: float = 1 / 64) -> dict[str,
 def spread_join(left: DataFrame, right: DataFrame, on: str, how: str = "left", hot: list | None = None) -> DataFrame:
     """Join to a side with one row per key, ``left`` or ``inner``, with the hot keys of the left side spread out.
 
+    One row per key is what bounds the broadcast: at most ``HOT_KEYS`` right rows are sent out.
+
     Rows of a hot key take their match from a broadcast of those few right rows; in the shuffled join they get a
     scattered key that matches nothing. All other rows join as usual.
     """

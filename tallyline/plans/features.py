@@ -16,9 +16,14 @@ EVALUATION_DAYS = 90
 HOME_COUNTRY = "United Kingdom"
 
 
+def _ntz(value: datetime) -> Column:
+    """A zone-less literal; it goes through text so that no session or machine zone can shift it."""
+    return F.lit(value.replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def as_of_bounds(lines: DataFrame, as_of: datetime | None = None) -> tuple[datetime, datetime]:
     """(observation end, first valid purchase up to it). One row leaves the cluster; both bounds become literals."""
-    seen = lines if as_of is None else lines.filter(F.col("invoice_date") <= F.lit(as_of).cast("timestamp_ntz"))
+    seen = lines if as_of is None else lines.filter(F.col("invoice_date") <= _ntz(as_of))
     row = seen.agg(F.max("invoice_date").alias("last"),
                    F.min(F.when(F.col("is_valid_purchase"), F.col("invoice_date"))).alias("first_valid")).first()
     if row["first_valid"] is None:
@@ -26,10 +31,6 @@ def as_of_bounds(lines: DataFrame, as_of: datetime | None = None) -> tuple[datet
     return (as_of or row["last"]), row["first_valid"]
 
 
-def _ntz(value: datetime) -> Column:
-    return F.lit(value).cast("timestamp_ntz") if value.tzinfo is None else F.lit(value.replace(tzinfo=None))
-
-
 def _midpoint(first: datetime, last: datetime) -> datetime:
     return first + timedelta(microseconds=((last - first) // timedelta(microseconds=1)) // 2)
 

@@ -88,32 +88,65 @@ def guest_lines(t: Tables) -> DataFrame:
                             fact_count=_count(t.fact.filter("customer_sk = 0"), "n"))
 
 
+# Row-level rules: (table, condition of a bad row, columns shown). One pass per table counts them all.
+
 _FACT_MEASURES = ["transaction_sk", "quantity", "price", "line_amount", "is_cancellation"]
 _LINE_MEASURES = ["invoice", "stock_code", "quantity", "price", "line_amount", "is_cancellation"]
+_FACT_KEYS_AND_MEASURES = [c for c in schemas.FACT_COLUMNS if c != "is_cancellation"]
+_CALENDAR = {"invoice_month": (1, 12), "invoice_day": (1, 31), "invoice_quarter": (1, 4), "invoice_day_of_week": (0, 6),
+             "invoice_week": (1, 53)}
 
 
-def fact_amounts(t: Tables) -> DataFrame:
-    return t.fact.filter(_wrong_amount()).select(_FACT_MEASURES)
+def _any(conditions: list[Column]) -> Column:
+    bad = F.lit(False)
+    for condition in conditions:
+        bad = bad | F.coalesce(condition, F.lit(False))
+    return bad
 
 
-def fact_negative_amounts(t: Tables) -> DataFrame:
-    return t.fact.filter(_negative_without_cancel()).select(_FACT_MEASURES)
+def _missing_key_or_measure() -> Column:
+    return _any([F.col(c).isNull() for c in _FACT_KEYS_AND_MEASURES])
 
 
-def fact_negative_prices(t: Tables) -> DataFrame:
-    return t.fact.filter("price < 0").select(_FACT_MEASURES)
+def _feature_out_of_range() -> Column:
+    return _any([F.col("monetary") <= 0, *quality.feature_rules().values()])
 
 
-def fact_nulls(t: Tables) -> DataFrame:
-    columns = [c for c in schemas.FACT_COLUMNS if c != "is_cancellation"]
-    missing = F.lit(False)
-    for c in columns:
-        missing = missing | F.col(c).isNull()
-    return t.fact.filter(missing).select(columns)
+def _kpi_out_of_bounds() -> Column:
+    share = F.col("cancellation_order_rate")
+    negative = [F.col(c) < 0 for c in ("revenue", "units_sold", "orders", "active_customers", "cancelled_orders", "aov")]
+    return _any([F.col("line_count") <= 0, *negative, share < 0, share > 1])
 
 
-def fact_signs(t: Tables) -> DataFrame:
-    return t.fact.filter(_sign_conflict()).select("transaction_sk", "quantity", "line_amount", "is_cancellation")
+def _calendar_out_of_range() -> Column:
+    return _any([~F.col(c).between(low, high) for c, (low, high) in _CALENDAR.items()])
+
+
+@dataclass(frozen=True)
+class RowRule:
+    table: str
+    bad: Callable[[], Column]
+    shown: list[str]
+
+    def __call__(self, t: Tables) -> DataFrame:
+        return getattr(t, self.table).filter(self.bad()).select(self.shown)
+
+
+fact_amounts = RowRule("fact", _wrong_amount, _FACT_MEASURES)
+fact_negative_amounts = RowRule("fact", _negative_without_cancel, _FACT_MEASURES)
+fact_negative_prices = RowRule("fact", lambda: F.col("price") < 0, _FACT_MEASURES)
+fact_nulls = RowRule("fact", _missing_key_or_measure, _FACT_KEYS_AND_MEASURES)
+fact_signs = RowRule("fact", _sign_conflict, ["transaction_sk", "quantity", "line_amount", "is_cancellation"])
+feature_ranges = RowRule("features", _feature_out_of_range, ["customer_id"])
+kpi_bounds = RowRule("kpi", _kpi_out_of_bounds, ["year_month"])
+silver_calendar = RowRule("silver", _calendar_out_of_range, ["invoice", "stock_code", "invoice_date", "invoice_year", *_CALENDAR])
+silver_amounts = RowRule("silver", _wrong_amount, _LINE_MEASURES)
+silver_signs = RowRule("silver", lambda: (F.col("price") < 0) | _sign_conflict(),
+                       ["invoice", "stock_code", "quantity", "price", "is_cancellation"])
+silver_prices = RowRule("silver", lambda: ~_is_true("is_cancellation") & (F.col("price") <= 0),
+                        ["invoice", "stock_code", "quantity", "price", "is_cancellation"])
+silver_month_keys = RowRule("silver", lambda: F.col("year_month") != X.year_month("invoice_date"),
+                            ["invoice", "stock_code", "invoice_date", "year_month"])
 
 
 def feature_customer_count(t: Tables) -> DataFrame:
@@ -125,13 +158,6 @@ def feature_orphans(t: Tables) -> DataFrame:
     return t.features.select("customer_id").join(t.dim_customer.select("customer_id"), "customer_id", "left_anti")
 
 
-def feature_ranges(t: Tables) -> DataFrame:
-    bad = F.col("monetary") <= 0
-    for rule in quality.feature_rules().values():
-        bad = bad | rule
-    return t.features.filter(bad).select("customer_id")
-
-
 def kpi_customers(t: Tables) -> DataFrame:
     pairs = t.lines.filter("is_valid_purchase").select("year_month", "customer_id").distinct()
     source = pairs.groupBy("year_month").agg(F.count(F.lit(1)).alias("n"))
@@ -139,14 +165,6 @@ def kpi_customers(t: Tables) -> DataFrame:
                              "source_customers", "mart_customers")
 
 
-def kpi_bounds(t: Tables) -> DataFrame:
-    bad = F.col("line_count") <= 0
-    for c in ("revenue", "units_sold", "orders", "active_customers", "cancelled_orders", "aov"):
-        bad = bad | F.coalesce(F.col(c) < 0, F.lit(False))
-    share = F.col("cancellation_order_rate")
-    return t.kpi.filter(bad | F.coalesce((share < 0) | (share > 1), F.lit(False))).select("year_month")
-
-
 def kpi_revenue(t: Tables) -> DataFrame:
     """Exact comparison: revenue is added in whole units, so equal inputs give equal sums."""
     source = t.lines.filter("is_valid_purchase").groupBy("year_month").agg(X.exact_sum("line_amount").alias("v"))
@@ -192,24 +210,6 @@ def rfm_covers_customers(t: Tables) -> DataFrame:
     return one.filter("mart_rows <> segment_total OR mart_rows <> eligible_count OR null_segments > 0")
 
 
-def silver_calendar(t: Tables) -> DataFrame:
-    bounds = {"invoice_month": (1, 12), "invoice_day": (1, 31), "invoice_quarter": (1, 4),
-              "invoice_day_of_week": (0, 6), "invoice_week": (1, 53)}
-    bad = F.lit(False)
-    for c, (low, high) in bounds.items():
-        bad = bad | ~F.col(c).between(low, high)
-    return t.silver.filter(bad).select("invoice", "stock_code", "invoice_date", "invoice_year", *bounds)
-
-
-def silver_amounts(t: Tables) -> DataFrame:
-    return t.silver.filter(_wrong_amount()).select(_LINE_MEASURES)
-
-
-def silver_signs(t: Tables) -> DataFrame:
-    return t.silver.filter((F.col("price") < 0) | _sign_conflict()).select(
-        "invoice", "stock_code", "quantity", "price", "is_cancellation")
-
-
 _GRAIN = ["invoice", "stock_code", "description", "quantity", "price", "customer_id", "country", "is_cancellation",
           "invoice_date"]
 
@@ -218,16 +218,6 @@ def silver_repeats(t: Tables) -> DataFrame:
     return t.silver.groupBy(*_GRAIN).agg(F.count(F.lit(1)).alias("duplicate_count")).filter("duplicate_count > 1")
 
 
-def silver_prices(t: Tables) -> DataFrame:
-    return t.silver.filter(~_is_true("is_cancellation") & (F.col("price") <= 0)).select(
-        "invoice", "stock_code", "quantity", "price", "is_cancellation")
-
-
-def silver_month_keys(t: Tables) -> DataFrame:
-    return t.silver.filter(F.col("year_month") != X.year_month("invoice_date")).select(
-        "invoice", "stock_code", "invoice_date", "year_month")
-
-
 @dataclass(frozen=True)
 class Invariant:
     check: Callable[[Tables], DataFrame]
@@ -331,14 +321,28 @@ def column_check_counts(t: Tables) -> DataFrame:
 
 
 def validation_report(t: Tables, skip: tuple[str, ...] = ()) -> DataFrame:
-    """(rule, severity, violations) over all invariants. The layers pass when no error rule has violations."""
-    out = None
+    """(rule, severity, violations) over all invariants. The layers pass when no error rule has violations.
+
+    All row rules of one table are counted in a single pass over it.
+    """
+    parts = []
+    per_table: dict[str, list[str]] = {}
     for name, invariant in INVARIANTS.items():
         if name in skip:
             continue
-        part = invariant.check(t).agg(F.count(F.lit(1)).alias("violations")).select(
-            F.lit(name).alias("rule"), F.lit(invariant.severity).alias("severity"), "violations")
-        out = part if out is None else out.unionByName(part)
+        if isinstance(invariant.check, RowRule):
+            per_table.setdefault(invariant.check.table, []).append(name)
+        else:
+            parts.append(invariant.check(t).agg(F.count(F.lit(1)).alias("violations")).select(
+                F.lit(name).alias("rule"), F.lit(invariant.severity).alias("severity"), "violations"))
+    for table, names in per_table.items():
+        one = getattr(t, table).agg(*[X.count_if(INVARIANTS[n].check.bad()).alias(n) for n in names])
+        rows = [F.struct(F.lit(n).alias("rule"), F.lit(INVARIANTS[n].severity).alias("severity"), F.col(n).alias("violations"))
+                for n in names]
+        parts.append(one.select(F.inline(F.array(*rows))))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
     return out
 
 

@@ -53,24 +53,26 @@ def fact_transactions(lines: DataFrame, customers: DataFrame, products: DataFram
                       dates: DataFrame, scratch: Scratch, sk_mode: str = "dense") -> DataFrame:
     """Every line with its surrogate keys.
 
-    ``sk_mode='dense'`` numbers the lines 1..n in business order. ``'hash'`` hashes the business record instead: no
-    global order is needed and a key never changes when other rows arrive. Guest lines take key 0 and are kept out
-    of the customer join, where they would all meet in one task.
+    ``sk_mode='dense'`` numbers the lines 1..n in business order, before the joins, so that the joins run once.
+    ``'hash'`` hashes the business record instead: no global order is needed and a key never changes when other rows
+    arrive. Guest lines take key 0 and are kept out of the customer join, where they would all meet in one task.
     """
-    key = lines.withColumn("customer_key", F.when(F.col("customer_id") != "", F.col("customer_id")).otherwise(
-        F.concat(F.lit("guest:"), F.xxhash64("invoice", "stock_code", "quantity").cast("string"))))
+    rows = lines.select(*FACT_ORDER, "line_amount", "is_cancellation")
+    if sk_mode == "hash":
+        keyed = rows.withColumn("transaction_sk", F.xxhash64(*FACT_ORDER))
+    elif sk_mode == "dense":
+        keyed = global_row_number(rows, FACT_ORDER, scratch, "transaction_sk")
+    else:
+        raise ValueError("sk_mode must be 'dense' or 'hash'")
+    keyed = keyed.select("transaction_sk", "tx_date", "customer_id", "stock_code", "country", "quantity", "price",
+                         "line_amount", "is_cancellation")
+    keyed = keyed.withColumn("customer_key", F.when(F.col("customer_id") != "", F.col("customer_id")).otherwise(
+        F.concat(F.lit("guest:"), F.xxhash64("transaction_sk").cast("string")))).drop("customer_id")
+    hot = hot_values(keyed, "customer_key", "stock_code")
     known = customers.filter("customer_id <> ''").select(F.col("customer_id").alias("customer_key"), "customer_sk")
-    hot = hot_values(key, "customer_key", "stock_code")
-    out = spread_join(key, known, "customer_key", hot=hot["customer_key"])
+    out = spread_join(keyed, known, "customer_key", hot=hot["customer_key"])
     out = spread_join(out, products.select("product_sk", "stock_code"), "stock_code", hot=hot["stock_code"])
     out = out.join(broadcast_if_small(countries.withColumnRenamed("country_name", "country")), "country", "left")
     out = out.join(broadcast_if_small(dates.select("date_sk", F.col("date").alias("tx_date"))), "tx_date", "left")
     out = out.withColumn("customer_sk", F.coalesce("customer_sk", F.lit(0).cast("bigint")))
-    if sk_mode == "hash":
-        out = out.withColumn("transaction_sk", F.xxhash64(*FACT_ORDER))
-    elif sk_mode == "dense":
-        out = global_row_number(out.select(*FACT_ORDER, *schemas.FACT_COLUMNS[1:5], "line_amount", "is_cancellation"),
-                                FACT_ORDER, scratch, "transaction_sk")
-    else:
-        raise ValueError("sk_mode must be 'dense' or 'hash'")
     return out.select(schemas.FACT_COLUMNS)

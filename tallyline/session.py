@@ -21,6 +21,7 @@ def build_session(app: str = "tallyline", master: str | None = None, shuffle_par
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.sql.parquet.inferTimestampNTZ.enabled": "true",
     }

@@ -65,13 +65,24 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
-        self.root = root or f"{shared_root(spark)}/tallyline-scratch/{spark.sparkContext.applicationId}"
+        self.root = root or f"{shared_root(spark)}/tallyline-scratch/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
 
     def write(self, df: DataFrame) -> DataFrame:
         path = f"{self.root}/{uuid.uuid4().hex}"
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def clear(self) -> None:
+        """Delete this scratch folder, once nothing lazy reads from it any more."""
+        fs, hadoop_path = _filesystem(self.spark, self.root)
+        fs.delete(hadoop_path, True)
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *exc) -> None:
+        self.clear()
+
 
 class Lake:
     """Named tables, each built once from its declared builder and read back from its files afterwards."""

@@ -39,6 +39,7 @@ def stream_ingest(spark: SparkSession, raw_folder: str, bronze_path: str, silver
 
 
 def event_time(lines: DataFrame, delay: str) -> DataFrame:
+    """Watermarks need a zoned timestamp; the session is expected to run in UTC (see ``build_session``)."""
     return lines.withColumn("event_time", F.col("invoice_date").cast("timestamp")).withWatermark("event_time", delay)
 
 

@@ -52,7 +52,7 @@ def test_cume_dist_equals_the_window(hot, scratch):
 
 def test_global_order_plan_has_no_single_task_exchange(hot, scratch):
     placed = ordering.ordered(hot, ["v", "id"], scratch)
-    plan = ordering.number_rows(placed)._jdf.queryExecution().toString()
+    plan = ordering.number_rows(placed)[0]._jdf.queryExecution().toString()
     assert "SinglePartition" not in plan
     sizes = [r["count"] for r in placed.groupBy("_pid").count().collect()]
     assert len(sizes) > 1 and max(sizes) < 0.6 * sum(sizes)
@@ -89,6 +89,15 @@ def test_hot_rows_spread_over_the_shuffle(spark):
     assert max(sizes) < 0.5 * sum(sizes)
 
 
+def test_scratch_clears_only_itself(spark):
+    from tallyline.sources.lake import Scratch, path_exists
+    other = Scratch(spark)
+    other.write(spark.range(3))
+    with Scratch(spark) as mine:
+        assert mine.write(spark.range(5)).count() == 5
+    assert not path_exists(spark, mine.root) and path_exists(spark, other.root)
+
+
 def test_broadcast_only_when_small(spark):
     assert "broadcast" in skew.broadcast_if_small(spark.range(10), 10)._jdf.queryExecution().toString().lower()
     assert "broadcast" not in skew.broadcast_if_small(spark.range(11), 10)._jdf.queryExecution().toString().lower()
