@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tallyline.queries import base
-from tallyline.queries import gold, reconcile, quality, analytics, scoring, operators  # noqa: F401
+from tallyline.queries import gold, reconcile, quality, analytics, scoring, operators, reports  # noqa: F401
 
 
 def queries():
