@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.functions import exprs as X
-from tallyline.plans import features, marts, silver, star
+from tallyline.plans import build, silver
 from tallyline.session import shared_root
 from tallyline.sources import lake as L
 from tallyline.sources import order_tables
@@ -33,20 +33,7 @@ class Retail:
         self.scratch = lake.scratch
         lake.declare("bronze", lambda k: order_tables.bronze_lines(spark, folder), by_month=True)
         lake.declare("silver", lambda k: silver.to_silver(k.table("bronze")), by_month=True)
-        lake.declare("invoice_rollup", lambda k: marts.invoice_rollup(self.lines))
-        lake.declare("mart_rfm", lambda k: marts.mart_rfm(self.rollup, k.scratch))
-        lake.declare("mart_kpi_monthly", lambda k: marts.kpi_monthly(self.rollup))
-        lake.declare("dim_date", lambda k: star.dim_date(self.lines, k.scratch))
-        lake.declare("dim_product", lambda k: star.dim_product(self.lines, k.scratch))
-        lake.declare("dim_country", lambda k: star.dim_country(self.lines, k.scratch))
-        lake.declare("dim_customer", lambda k: star.dim_customer(self.lines, k.table("mart_rfm"), k.scratch))
-        lake.declare("fact_transactions", lambda k: star.fact_transactions(
-            self.lines, k.table("dim_customer"), k.table("dim_product"), k.table("dim_country"),
-            k.table("dim_date"), k.scratch))
-        lake.declare("mart_features", lambda k: features.mart_features(
-            self.lines, home_country=HOME, rollup=self.rollup))
-        lake.declare("train_features", lambda k: features.feature_matrix(
-            self.lines, "train", home_country=HOME, rollup=self.rollup))
+        build.declare_gold(lake, HOME)
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):

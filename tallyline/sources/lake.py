@@ -98,6 +98,10 @@ class Lake:
     def declare(self, name: str, builder: Callable[[Lake], DataFrame], by_month: bool = False) -> None:
         self._builders[name] = (builder, by_month)
 
+    def attach(self, name: str, df: DataFrame) -> None:
+        """Use a table that is written elsewhere."""
+        self._open[name] = df
+
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 

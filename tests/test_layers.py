@@ -146,3 +146,22 @@ def test_partition_replacement_touches_only_its_month(spark, tmp_path):
     L.write_months(spark.createDataFrame([(3, "2024-02")], "v int, year_month string"), path)
     assert sorted(r["v"] for r in spark.read.parquet(path).collect()) == [1, 3]
     assert L.list_months(spark, path) == ["2024-02", "2024-01"]
+
+
+def test_whole_build_is_checked_and_repeatable(spark, raw_file, tmp_path):
+    from tallyline.plans import build
+
+    path, root = raw_file([*SEVEN_LINES, "490000;1;Bad;x;03.12.2009 11:00;2,95;13085;France"]), str(tmp_path / "lake")
+    first = build.run(spark, path, root)
+    bad = {r["rule"] for r in first["report"].filter("violations > 0 AND severity = 'error'").collect()}
+    assert bad == {"fact_null_measures"} and not first["passed"]
+    reasons = [set(r["reject_reason"]) for r in spark.read.parquet(f"{root}/quarantine").collect()]
+    assert reasons == [{"unreadable_quantity"}]
+    good_root = str(tmp_path / "good")
+    good = build.run(spark, raw_file(SEVEN_LINES, "good.csv"), good_root)
+    assert good["passed"] and good["months"] == ["2024-12", "2024-06"]
+    log = {r["measure"]: r["value"] for r in spark.read.parquet(f"{good_root}/gold/_build_log").collect()}
+    assert log["silver_rows"] == log["fact_transactions_rows"] == 6 and log["fact_null_customer_sk"] == 0
+    files = sorted(good["lake"].table("fact_transactions").inputFiles())
+    again = build.run(spark, raw_file(SEVEN_LINES, "good.csv"), good_root)
+    assert again["passed"] and sorted(again["lake"].table("fact_transactions").inputFiles()) == files

@@ -45,9 +45,8 @@ def test_registry_is_consistent():
     assert len(queries) - len(oracles) < 45
 
 
-@pytest.mark.parametrize("name", CHECKED)
-def test_equals_oracle(spark, duck, name):
-    df = entry.queries()[name](spark, SMALL_DATA)
+def compare(spark, duck, name, folder):
+    df = entry.queries()[name](spark, folder)
     columns = sorted(df.columns)
     result = duck.execute(entry.oracle_sql()[name])
     names = [d[0] for d in result.description]
@@ -57,6 +56,11 @@ def test_equals_oracle(spark, duck, name):
     assert sorted(tuple(normal(r[c]) for c in columns) for r in df.collect()) == expected
 
 
+@pytest.mark.parametrize("name", CHECKED)
+def test_equals_oracle(spark, duck, name):
+    compare(spark, duck, name, SMALL_DATA)
+
+
 def test_entry_runs(spark):
     assert entry.entry(spark).count() > 0
 
@@ -79,3 +83,30 @@ def test_no_wide_rows_through_one_task(spark, name):
 def test_month_filter_reaches_the_partitions(spark):
     plan = entry.queries()["s11_pruned_glob_scan"](spark, SMALL_DATA)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(year_month" in plan
+
+
+@pytest.fixture(scope="module")
+def hot_data(tmp_path_factory):
+    """The small tables with a third of all lines on one product, a third on two orders and a third of orders on one customer."""
+    folder = str(tmp_path_factory.mktemp("hot"))
+    con = duckdb.connect()
+    changes = {
+        "lineitem": "REPLACE (CASE WHEN l_linenumber % 3 = 0 THEN 7 ELSE l_partkey END AS l_partkey, "
+                    "CASE WHEN l_suppkey % 6 = 0 THEN 11 WHEN l_suppkey % 6 = 1 THEN 13 ELSE l_orderkey END AS l_orderkey)",
+        "orders": "REPLACE (CASE WHEN o_orderkey % 3 = 0 THEN 3 ELSE o_custkey END AS o_custkey)"}
+    for name in ("lineitem", "orders", "customer", "nation", "part"):
+        con.execute(f"COPY (SELECT * {changes.get(name, '')} FROM '{SMALL_DATA}/{name}.parquet') TO '{folder}/{name}.parquet' (FORMAT parquet)")
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet'")
+    return folder, con
+
+
+@pytest.mark.parametrize("name", ["g5_fact_transactions", "g6_mart_rfm", "g8_mart_features", "w4_order_gaps", "b9_cohort_activity",
+                                  "b12_pareto_products"])
+def test_hot_keys_equal_oracle(spark, hot_data, name):
+    folder, con = hot_data
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        compare(spark, con, name, folder)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
