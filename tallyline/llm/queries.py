@@ -7,9 +7,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyline.llm import jaccard_join
+from tallyline.llm import jaccard_join, langid, mixing, packing
 from tallyline.sources.lake import Scratch
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +38,36 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def held_out(modulus: int, remainder: int) -> Column:
+    """The contracts' split: remainder of crc32 of doc_id as text; rows without doc_id are not held out."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus == remainder, F.lit(False))
+
+
+def public_vocabulary() -> packing.Vocabulary:
+    """The byte-level BPE with 50k ids among the installed public tokenizers."""
+    import public_tokenizers
+
+    return packing.Vocabulary.read(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                                   public_tokenizers.PATTERN)
+
+
+@query()
+def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").withColumn("held_out", held_out(3, 1))
+    model = langid.fit(docs.filter("NOT held_out"))
+    return langid.classify(docs.select("doc_id", "held_out", "text"), model).drop("text")
+
+
 @query()
 def op4_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.clusters(table(spark, folder, "documents"), Scratch(spark))
+
+
+@query()
+def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(table(spark, folder, "documents"), public_vocabulary(), Scratch(spark))
+
+
+@query()
+def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(table(spark, folder, "documents"), Scratch(spark))
