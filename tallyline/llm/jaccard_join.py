@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.llm import blocks, regions
@@ -25,6 +25,7 @@ from tallyline.sources.lake import Scratch
 WORDS = 5
 PERCENT = 75
 SAMPLE_OF = 16      # one document in so many is read for frequent shingles
+SLOTS = 1 << 19     # hash slots of doc_ids whose texts are read again; their list goes to all tasks
 FREQUENT = 200_000  # shingles at most in that list, which tasks receive; the order stays fixed whatever it holds
 
 
@@ -36,9 +37,8 @@ def clusters(docs: DataFrame, scratch: Scratch, words: int = WORDS, percent: int
     Repeated rows each come back. ``component_id`` is the smallest non-null doc_id among all rows reachable by links, null if
     there is none. An empty table gives an empty result.
     """
-    spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
-    frequent = spark.sparkContext.broadcast(_frequent(docs, words))
+    frequent = docs.sparkSession.sparkContext.broadcast(_frequent(docs, words))
     rows = scratch.write(_prefixes(docs, words, percent, frequent))
     nodes = (rows.filter("n > 0").groupBy("d1", "d2")
                  .agg(F.min("row").alias("node"), F.min("doc_id").alias("least"), F.any_value("n").alias("n")))
@@ -47,8 +47,12 @@ def clusters(docs: DataFrame, scratch: Scratch, words: int = WORDS, percent: int
     members = first.select(F.posexplode("prefix").alias("place", "region"), F.col("row").alias("id"), "n")
     named = first.select(F.col("row").alias("node"), "doc_id", "d1", "d2")
 
+    heads = first.select(F.col("row").alias("node"), "n", "prefix")
+
     def compare(pairs: DataFrame) -> DataFrame:
-        return _distances(spark, scratch, docs, named, pairs, words)
+        possible = scratch.write(_possible(pairs, heads, percent))
+        measured = _distances(scratch, docs, named, possible.filter("possible").select("a", "b"), words)
+        return measured.unionByName(possible.filter("NOT possible").select("a", "b", F.lit(None).cast("double").alias("distance")))
 
     found, _ = regions.connect(members, compare, _may_link(percent), 1 - percent / 100, scratch)
     known = nodes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -121,15 +125,31 @@ def _prefixes(docs: DataFrame, words: int, percent: int, frequent) -> DataFrame:
     return docs.mapInArrow(run, schema).select(F.monotonically_increasing_id().alias("row"), "*")
 
 
-def _distances(spark: SparkSession, scratch: Scratch, docs: DataFrame, named: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
-    """``pairs(a, b)`` with the exact Jaccard distance of the two sets, which are read again from the texts of those nodes."""
+def _possible(pairs: DataFrame, heads: DataFrame, percent: int) -> DataFrame:
+    """``pairs(a, b)`` with whether what their first shingles share can still reach the overlap that a link needs.
+
+    A shared shingle outside the shared first ones lies behind the first ones of one side, so there are at most as many.
+    """
+    behind = lambda n: F.ceil(F.lit(percent) * n / 100) - 1
+    both = (pairs.join(heads.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("prefix").alias("p_a")), "a")
+                 .join(heads.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("prefix").alias("p_b")), "b"))
+    shared = F.size(F.array_intersect("p_a", "p_b")) + F.greatest(behind(F.col("n_a")), behind(F.col("n_b")))
+    return both.select("a", "b", ((100 + percent) * shared >= percent * (F.col("n_a") + F.col("n_b"))).alias("possible"))
+
+
+def _distances(scratch: Scratch, docs: DataFrame, named: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
+    """``pairs(a, b)`` with the exact Jaccard distance of the two sets, which are read again from the texts of those nodes.
+
+    The texts are not shuffled to find them: the doc_ids' slots, ``SLOTS`` at most, go to all tasks; the few other texts
+    that pass are dropped by doc_id and digest.
+    """
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = list(blocks.shingle_sets(batch.column("text"), words))
             keys = [blocks.digest(s) for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()),
-                 pa.array([s.tobytes() for s in sets], pa.binary())], ["d1", "d2", "shingles"])
+                [batch.column("doc_id"), pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()),
+                 pa.array([s.tobytes() for s in sets], pa.binary())], ["doc_id", "d1", "d2", "shingles"])
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -143,9 +163,12 @@ def _distances(spark: SparkSession, scratch: Scratch, docs: DataFrame, named: Da
 
     pairs = scratch.write(pairs)
     wanted = scratch.write(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(named, "node"))
-    texts = docs.alias("t").join(wanted.select("doc_id").distinct().alias("w"), F.expr("t.doc_id <=> w.doc_id"), "left_semi")
-    sets = texts.select("text").mapInArrow(read, "d1 long, d2 long, shingles binary")
-    sets = scratch.write(sets.join(wanted.select("node", "d1", "d2"), ["d1", "d2"]).groupBy("node").agg(F.any_value("shingles").alias("s")))
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS)).alias("slot")
+    slots = F.broadcast(wanted.select(slot).distinct())
+    texts = docs.select("*", slot).join(slots, "slot", "left_semi").select("doc_id", "text")
+    sets = texts.mapInArrow(read, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, d1 long, d2 long, shingles binary")
+    sets = scratch.write(sets.alias("s").join(wanted.alias("w"), F.expr("s.d1 = w.d1 AND s.d2 = w.d2 AND s.doc_id <=> w.doc_id"))
+                             .select("w.node", F.col("s.shingles").alias("s")))
     both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("s").alias("x")), "a")
                  .join(sets.select(F.col("node").alias("b"), F.col("s").alias("y")), "b"))
-    return both.select("a", "b", "x", "y").mapInArrow(measure, "a long, b long, distance double")
+    return both.select("a", "b", "x", "y").mapInArrow(measure, "a long, b long, distance double").distinct()

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyline.llm import graph
+from tallyline.operators.skew import broadcast_if_small
 from tallyline.sources.lake import Scratch
 
 LEAF = 256  # nodes of a region that are compared directly, within their windows
@@ -40,7 +41,8 @@ def connect(members: DataFrame, compare: Callable[[DataFrame], DataFrame], may_l
             scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """(node, component) of linked nodes, and the compared pairs (a, b, distance).
 
-    ``compare`` takes pairs ``(a, b)`` and adds their exact distance; a pair links if that is at most ``reach``.
+    ``compare`` takes pairs ``(a, b)`` and adds their exact distance, or null for pairs that cannot link; a pair links if it is
+    at most ``reach``.
     ``may_link(n_a, place_a, n_b, place_b)`` is a necessary condition, true in at least one shared region of each linked pair.
     """
     rows = stars(members, scratch)
@@ -94,12 +96,13 @@ def _unfinished(rows: DataFrame, found: DataFrame, done: DataFrame, scratch: Scr
     ``met`` tells that a node is in the pivot's component, so that the next pivot comes from outside it.
     ``rows`` are without the pivots themselves: a pivot has met every node of its region.
     """
-    ball = found.select(F.col("node").alias("pivot"), F.col("component").alias("_pc"))
-    known = (rows.join(found.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-                 .join(ball, "pivot", "left"))
-    mixed = known.groupBy("region").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi")).filter("_lo <> _hi")
-    known = known.join(mixed.select("region"), "region", "left_semi")
+    component = broadcast_if_small(found)
+    known = (rows.join(component.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+                 .join(component.select(F.col("node").alias("pivot"), F.col("component").alias("_pc")), "pivot", "left")
+                 .withColumn("met", F.coalesce(F.col("component") == F.col("_pc"), F.lit(False))))
+    held = known.groupBy("region").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi"))
+    mixed = scratch.write(held.filter("_lo <> _hi").select("region"))
+    known = known.join(broadcast_if_small(mixed), "region", "left_semi")
     pairs = done.select(F.least("a", "b").alias("_a"), F.greatest("a", "b").alias("_b"), F.col("distance").alias("d"))
     met = [F.least("id", "pivot") == F.col("_a"), F.greatest("id", "pivot") == F.col("_b")]
-    return scratch.write(known.join(pairs, met, "left").select("region", "id", "n", "place", "component", "d",
-                                                            F.coalesce(F.col("component") == F.col("_pc"), F.lit(False)).alias("met")))
+    return scratch.write(known.join(pairs, met, "left").select("region", "id", "n", "place", "component", "d", "met"))
