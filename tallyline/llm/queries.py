@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import jaccard_join, langid, mixing, packing
+from tallyline.llm import jaccard_join, langid, line_dedup, mixing, packing
 from tallyline.sources.lake import Scratch
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,6 +68,11 @@ def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), public_vocabulary(), Scratch(spark))
 
 
+@query()
+def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.duplicates(table(spark, folder, "documents"), Scratch(spark))
+
+
 @query()
 def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"), Scratch(spark))
