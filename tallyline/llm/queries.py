@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import jaccard_join, langid, line_dedup, mixing, packing
+from tallyline.llm import jaccard_join, katz, langid, line_dedup, mixing, packing
 from tallyline.sources.lake import Scratch
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,6 +51,11 @@ def public_vocabulary() -> packing.Vocabulary:
                                    public_tokenizers.PATTERN)
 
 
+@query()
+def op1_katz_backoff(spark: SparkSession, folder: str) -> DataFrame:
+    return katz.score(table(spark, folder, "documents").withColumn("held_out", held_out(10, 0)), Scratch(spark))
+
+
 @query()
 def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").withColumn("held_out", held_out(3, 1))
