@@ -21,6 +21,7 @@ _FOLDED_VALUES = _BYTE_VALUES.copy()
 _FOLDED_VALUES[65:91] = _BYTE_VALUES[97:123]
 _SEPARATOR = np.zeros(256, bool)
 _SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
+_SYMBOL = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _powers = np.ones(1, np.uint64)
 
@@ -76,18 +77,21 @@ def _pieces(data: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
         at = stop
 
 
-def words(data: np.ndarray, offsets: np.ndarray, fold: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(start, end, row, hash) of every word of a slice, in order."""
-    parts = [_words(data[a:b], a, offsets, fold) for a, b in _pieces(data, 4 * SLICE_BYTES)]
+def words(data: np.ndarray, offsets: np.ndarray, fold: bool = True, symbols: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, row, hash) of every word of a slice, in order; with ``symbols`` runs of ASCII symbols are words of their own."""
+    parts = [_words(data[a:b], a, offsets, fold, symbols) for a, b in _pieces(data, 4 * SLICE_BYTES)]
     if not parts:
         return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),)
     return parts[0] if len(parts) == 1 else tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
 
-def _words(data: np.ndarray, base: int, offsets: np.ndarray, fold: bool):
+def _words(data: np.ndarray, base: int, offsets: np.ndarray, fold: bool, symbols: bool):
     inside = ~_SEPARATOR[data]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
+    if symbols:
+        kind = _SYMBOL[data]
+        begins[1:] |= inside[1:] & (kind[1:] != kind[:-1])
     rows = offsets[(offsets >= base) & (offsets < base + len(data))] - base  # a text's first byte begins a word
     begins[rows] = inside[rows]
     start = np.flatnonzero(begins)

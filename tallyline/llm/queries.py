@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import jaccard_join, katz, langid, line_dedup, mixing, packing
+from tallyline.llm import jaccard_join, katz, langid, line_dedup, mixing, packing, quality_ftrl, quality_rules
 from tallyline.sources.lake import Scratch
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,11 +63,26 @@ def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return langid.classify(docs.select("doc_id", "held_out", "text"), model).drop("text")
 
 
+@query()
+def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = quality_rules.fit(quality_ftrl.labelled_sample(docs, table(spark, folder, "labels"), "quality", quality_rules.SAMPLE))
+    return quality_rules.judge(docs, model).drop("text")
+
+
 @query()
 def op4_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.clusters(table(spark, folder, "documents"), Scratch(spark))
 
 
+@query()
+def op5_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", held_out(3, 1).alias("held_out"), "text")
+    labels = table(spark, folder, "labels").filter(~held_out(3, 1))
+    model = quality_ftrl.fit(quality_ftrl.labelled_sample(docs.filter("NOT held_out"), labels, "quality"))
+    return quality_ftrl.classify(docs, model).drop("text")
+
+
 @query()
 def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), public_vocabulary(), Scratch(spark))
