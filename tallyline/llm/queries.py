@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import jaccard_join, katz, langid, line_dedup, mixing, packing, quality_ftrl, quality_rules
+from tallyline.llm import jaccard_join, katz, langid, line_dedup, mixing, multi_index, packing, quality_ftrl, quality_rules
 from tallyline.sources.lake import Scratch
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,6 +88,11 @@ def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), public_vocabulary(), Scratch(spark))
 
 
+@query()
+def op8_inverted_multi_index(spark: SparkSession, folder: str) -> DataFrame:
+    return multi_index.search(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, Scratch(spark))
+
+
 @query()
 def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.duplicates(table(spark, folder, "documents"), Scratch(spark))
