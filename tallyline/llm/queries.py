@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import jaccard_join, katz, langid, line_dedup, mixing, multi_index, packing, quality_ftrl, quality_rules
+from tallyline.llm import jaccard_join, katz, langid, line_dedup, mixing, multi_index, packing, quality_ftrl, quality_rules, revisits
 from tallyline.sources.lake import Scratch
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,6 +88,13 @@ def op6_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), public_vocabulary(), Scratch(spark))
 
 
+@query(revisits.ORACLE)
+def op7_revisit_resolution(spark: SparkSession, folder: str) -> DataFrame:
+    found = revisits.resolve(revisits.captures_of_pages(table(spark, folder, "pages")), Scratch(spark))
+    lines = F.transform(F.map_entries("headers"), lambda e: F.concat(e["key"], F.lit(": "), e["value"]))
+    return found.withColumn("headers", F.array_join(lines, "\n"))
+
+
 @query()
 def op8_inverted_multi_index(spark: SparkSession, folder: str) -> DataFrame:
     return multi_index.search(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, Scratch(spark))
