@@ -12,6 +12,7 @@ The model is written as tables below ``path``: ``order=1`` and ``order=2`` hold
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -137,6 +138,8 @@ def _ranges(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, slice]]:
         yield int(bucket[a]), slice(int(a), int(b))
 
 
+_COUNTED = "kind int, bucket long, block long, answer binary, n long, total long, key array<long>, count array<long>"
+_SUMMED = "kind int, bucket long, block long, answer binary, key array<long>, mass array<double>, lower array<double>"
 _ASKED = "kind int, bucket long, block long, keys binary, numbers binary"
 
 
@@ -189,8 +192,7 @@ def _count(asked: DataFrame) -> DataFrame:
             "n": pa.array([o[3] for o in out], pa.int64()), "total": pa.array([o[4] for o in out], pa.int64()),
             "key": pa.array(lists, pa.list_(pa.int64())), "count": pa.array(counts, pa.list_(pa.int64()))})
 
-    return asked.groupBy("kind", "bucket").applyInArrow(
-        run, "what string, kind int, bucket long, block long, answer binary, n long, total long, key array<long>, count array<long>")
+    return asked.groupBy("kind", "bucket").applyInArrow(run, f"what string, {_COUNTED}")
 
 
 def _meet(docs: DataFrame, answers: DataFrame, handle, schema: str) -> DataFrame:
@@ -256,9 +258,9 @@ def score(docs: DataFrame, scratch: Scratch, path: str | None = None) -> DataFra
     docs = docs.select("doc_id", "text", F.coalesce("held_out", F.lit(False)).alias("held_out"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-size // BUCKET_BYTES))
-    path = path or f"{scratch.root}/katz"
+    path = path or f"{scratch.root}/katz-{uuid.uuid4().hex}"
     _count(_ask(docs, buckets)).write.partitionBy("what").parquet(f"{path}/raw")
-    raw = spark.read.parquet(f"{path}/raw")
+    raw = spark.read.schema(f"{_COUNTED}, what string").parquet(f"{path}/raw")
     tables = raw.filter("what = 'table'").select("kind", "bucket", F.explode(F.arrays_zip("key", "count")).alias("e"))
     tables.select(F.col("kind").alias("order"), "bucket", "e.key", "e.count").write.partitionBy("order").parquet(f"{path}/ngrams")
     times: dict[int, dict[int, tuple[int, int]]] = {1: {}, 2: {}}
@@ -297,10 +299,9 @@ def score(docs: DataFrame, scratch: Scratch, path: str | None = None) -> DataFra
             "key": pa.array([None] * n + [distinct[some].view(np.int64)], pa.list_(pa.int64())),
             "mass": pa.array([None] * n + [mass[some]], pa.list_(pa.float64())), "lower": pa.array([None] * n + [lower[some]], pa.list_(pa.float64()))})
 
-    partial = _meet(docs, counted, sums, _ASKED).groupBy("bucket").applyInArrow(
-        total, "what string, kind int, bucket long, block long, answer binary, key array<long>, mass array<double>, lower array<double>")
+    partial = _meet(docs, counted, sums, _ASKED).groupBy("bucket").applyInArrow(total, f"what string, {_SUMMED}")
     partial.write.partitionBy("what").parquet(f"{path}/contexts")
-    weights = spark.read.parquet(f"{path}/contexts").filter("what = 'answer'").select("block", "kind", "bucket", "answer")
+    weights = spark.read.schema(f"{_SUMMED}, what string").parquet(f"{path}/contexts").filter("what = 'answer'").select("block", "kind", "bucket", "answer")
 
     def evaluate(block: int, rows: pa.Table, got: dict[int, list]) -> Iterator[pa.RecordBatch]:
         own = Block.read(_flat(rows.column("text")))
