@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 200_000
-HOT_KEYS = 64
-TRACKED = 4096  # sketch size per task: finds every key above about 1/1000 of the rows
+HOT_KEYS = 1000
+TRACKED = 8192  # sketch size per task: finds every key above about 1/1000 of the rows
+SALTS = 64      # pieces a hot key is cut into
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -16,7 +17,7 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     return F.broadcast(df) if small else df
 
 
-def hot_values(df: DataFrame, *columns: str, share: float = 1 / 64) -> dict[str, list]:
+def hot_values(df: DataFrame, *columns: str, share: float = 1 / 1000) -> dict[str, list]:
     """Values that hold at least ``share`` of the rows, per column, from one frequent-items sketch pass.
 
     At most ``HOT_KEYS`` values per column come back. The answer only steers how rows are spread, never the result.
@@ -30,10 +31,9 @@ def hot_values(df: DataFrame, *columns: str, share: float = 1 / 64) -> dict[str,
 def spread_join(left: DataFrame, right: DataFrame, on: str, how: str = "left", hot: list | None = None) -> DataFrame:
     """Join to a side with one row per key, ``left`` or ``inner``, with the hot keys of the left side spread out.
 
-    One row per key is what bounds the broadcast: at most ``HOT_KEYS`` right rows are sent out.
-
-    Rows of a hot key take their match from a broadcast of those few right rows; in the shuffled join they get a
-    scattered key that matches nothing. All other rows join as usual.
+    The join is on the typed key and a salt. Left rows of a hot key, or without a key, take one of ``SALTS`` salts by a hash
+    of the row; right rows of hot keys, ``HOT_KEYS`` at most, are repeated for each salt. All other rows have salt 0. So the
+    result is that of the plain join for every key type, and only the layout differs.
     """
     if how not in ("left", "inner"):
         raise ValueError("how must be 'left' or 'inner'")
@@ -41,19 +41,8 @@ def spread_join(left: DataFrame, right: DataFrame, on: str, how: str = "left", h
         hot = hot_values(left, on)[on]
     if not hot:
         return left.join(right, on, how)
-    payload = [c for c in right.columns if c != on]
     is_hot = F.coalesce(F.col(on).isin(hot), F.lit(False))
-    hot_side = right.filter(F.col(on).isin(hot)).select(
-        on, F.lit(True).alias("_hot_match"), *[F.col(c).alias(f"_hot_{c}") for c in payload])
-    cold_side = right.filter(~F.col(on).isin(hot)).select(
-        F.concat(F.lit("k"), F.col(on).cast("string")).alias("_join_key"), F.lit(True).alias("_cold_match"), *payload)
-    scattered = F.concat(F.lit("h"), F.xxhash64(*left.columns).cast("string"))
-    keyed = (left.join(F.broadcast(hot_side), on, "left")
-                 .withColumn("_join_key", F.when(is_hot, scattered).otherwise(
-                     F.concat(F.lit("k"), F.col(on).cast("string")))))
-    joined = keyed.join(cold_side, "_join_key", "left")
-    if how == "inner":
-        joined = joined.filter(F.col("_hot_match") | F.col("_cold_match"))
-    merged = [F.when(is_hot, F.col(f"_hot_{c}")).otherwise(F.col(c)).alias(c) for c in payload]
-    others = [c for c in left.columns if c != on]
-    return joined.select(on, *others, *merged)
+    scattered = F.pmod(F.xxhash64(*left.columns), F.lit(SALTS)).cast("int")
+    salted = left.withColumn("_salt", F.when(is_hot | F.col(on).isNull(), scattered).otherwise(0))
+    repeated = right.withColumn("_salt", F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))))
+    return salted.join(repeated, [on, "_salt"], how).drop("_salt")

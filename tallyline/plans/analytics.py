@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tallyline.functions import exprs as X
 from tallyline.operators.ordering import global_running_sum
 from tallyline.operators.quantiles import exact_quantiles, long_values
-from tallyline.operators.skew import broadcast_if_small, spread_join
+from tallyline.operators.skew import broadcast_if_small
 from tallyline.sources.lake import Scratch
 
 CHURN_DAYS = 90
@@ -163,9 +163,11 @@ def cohort_activity(fact: DataFrame, customers: DataFrame, dates: DataFrame) ->
         _percent("n_customers", "cohort_size", 4).alias("retention_pct"))
 
 
-def cohort_matrix(activity: DataFrame, value: str = "retention_pct", ages: int = 12) -> DataFrame:
-    pivoted = activity.groupBy("cohort_month").pivot("cohort_age", list(range(ages))).agg(F.max(value))
-    return pivoted.select("cohort_month", *[F.col(str(a)).alias(f"m{a}") for a in range(ages)])
+def cohort_matrix(activity: DataFrame, value: str = "retention_pct") -> DataFrame:
+    """One column m<age> for every age that occurs; ages are months, so there are at most as many as months of data."""
+    ages = sorted(r["cohort_age"] for r in activity.select("cohort_age").distinct().collect())
+    pivoted = activity.groupBy("cohort_month").pivot("cohort_age", ages).agg(F.max(value))
+    return pivoted.select("cohort_month", *[F.col(str(a)).alias(f"m{a}") for a in ages])
 
 
 def retention_curve(activity: DataFrame) -> DataFrame:
@@ -431,10 +433,9 @@ def customer_percentiles(features: DataFrame, drivers: list[str], scratch: Scrat
     run = global_running_sum(counts, ["feature", "value"], {"upto": "rows"}, scratch)
     totals = run.groupBy("feature").agg(F.sum("rows").alias("n"), F.min(F.col("upto") - F.col("rows")).alias("before"))
     share = run.join(F.broadcast(totals), "feature").select(
-        F.concat_ws("|", "feature", F.col("value").cast("string")).alias("place"),
-        X.ratio(F.col("upto") - F.col("before"), "n").alias("percentile"))
-    keyed = long.withColumn("place", F.concat_ws("|", "feature", F.col("value").cast("string")))
-    return spread_join(keyed, share, "place").select("customer_id", "feature", "value", "percentile")
+        "feature", "value", X.ratio(F.col("upto") - F.col("before"), "n").alias("percentile"))
+    # a value that many customers share is a skewed key of a left join, which adaptive execution splits
+    return long.join(share, ["feature", "value"], "left").select("customer_id", "feature", "value", "percentile")
 
 
 def label_balance(labelled: DataFrame) -> DataFrame:

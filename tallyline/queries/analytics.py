@@ -97,11 +97,15 @@ def activity(r):
 
 
 query("b9_cohort_activity", "SELECT * FROM cohorts")(activity)
-query("b9_cohort_retention_matrix", "SELECT cohort_month, " + ", ".join(
-    f"MAX(CASE WHEN cohort_age = {a} THEN retention_pct END) AS m{a}" for a in range(12)) + " FROM cohorts GROUP BY cohort_month")(
+
+
+def _matrix_sql(value: str) -> str:
+    return f"SELECT * FROM (PIVOT (SELECT cohort_month, 'm' || cohort_age AS age, {value} FROM cohorts) ON age USING MAX({value}) GROUP BY cohort_month) q"
+
+
+query("b9_cohort_retention_matrix", _matrix_sql("retention_pct"))(
     lambda r: A.cohort_matrix(activity(r)))
-query("b9_cohort_revenue_matrix", "SELECT cohort_month, " + ", ".join(
-    f"MAX(CASE WHEN cohort_age = {a} THEN revenue END) AS m{a}" for a in range(12)) + " FROM cohorts GROUP BY cohort_month")(
+query("b9_cohort_revenue_matrix", _matrix_sql("revenue"))(
     lambda r: A.cohort_matrix(activity(r), "revenue"))
 _CURVE = f"SELECT cohort_age, {s_count()} AS cohorts, {s_round(s_ratio(s_units('retention_pct'), 'COUNT(*)'), 4)} AS avg_retention_pct FROM cohorts"
 query("b9_retention_curve", f"{_CURVE} GROUP BY cohort_age")(lambda r: A.retention_curve(activity(r)))
@@ -111,8 +115,7 @@ query("j15_cohort_lines", f"SELECT cohort_month, cohort_age, n_customers FROM co
     lambda r: activity(r).select("cohort_month", "cohort_age", "n_customers"))
 query("w11_cohort_retention", "SELECT cohort_month, cohort_age, cohort_size, retention_pct FROM cohorts")(
     lambda r: activity(r).select("cohort_month", "cohort_age", "cohort_size", "retention_pct"))
-query("a18_pivot_cohort_customers", "SELECT cohort_month, " + ", ".join(
-    f"MAX(CASE WHEN cohort_age = {a} THEN n_customers END) AS m{a}" for a in range(12)) + " FROM cohorts GROUP BY cohort_month")(
+query("a18_pivot_cohort_customers", _matrix_sql("n_customers"))(
     lambda r: A.cohort_matrix(activity(r), "n_customers"))
 _CHURN_COHORT = f"""SELECT strftime(c.first_seen_date, '%Y-%m') AS cohort_month, {s_count()} AS total,
     {s_count("recency_days > 90")} AS churned, {s_pct(s_count("recency_days > 90"), "COUNT(*)", 1)} AS churn_rate_pct
@@ -152,8 +155,8 @@ query("l5_top_percent_share", f"""SELECT CAST(p.percent AS INTEGER) AS percent,
         SELECT {UNIT.format("line_amount")} AS unit FROM lines WHERE NOT is_cancellation) a) b
     CROSS JOIN (VALUES (1), (5), (10)) AS p(percent) GROUP BY p.percent""")(
     lambda r: A.top_percent_share(r.lines, r.scratch))
-query("w6_cumulative_share_products", f"SELECT stock_code, rank, {s_round(s_ratio('running', 'total'), 6)} AS cum_share FROM ({_ranked_sql('stock_code')}) q WHERE rank <= 20")(
-    lambda r: A.pareto(r.bronze, "stock_code", r.scratch).filter("rank <= 20").select("stock_code", "rank", "cum_share"))
+query("w6_cumulative_share_products", f"SELECT stock_code, rank, {s_round(s_ratio('running', 'total'), 6)} AS cum_share FROM ({_ranked_sql('stock_code')}) q")(
+    lambda r: A.pareto(r.bronze, "stock_code", r.scratch).select("stock_code", "rank", "cum_share"))
 
 # ---- lines -------------------------------------------------------------------------------------------------
 

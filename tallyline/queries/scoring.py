@@ -148,10 +148,13 @@ def trained(r):
     return _MODELS[id(r)][1:]
 
 
-query("m1_median_imputation")(lambda r: M.imputed_vector(["avg_order_value", "tenure_days"])[0].fit(
-    M._numeric(r.mart_features, ["avg_order_value", "tenure_days"])).transform(
-    M._numeric(r.mart_features, ["avg_order_value", "tenure_days"])).select(
-    "customer_id", "avg_order_value_filled", "tenure_days_filled"))
+@query("m1_median_imputation")
+def median_imputation(r):
+    """All features, each made unknown for some customers so that there is something to fill."""
+    holes = {c: F.when(F.pmod(F.xxhash64("customer_id", F.lit(c)), F.lit(11)) != 0, F.col(c).cast("double")) for c in FEATURE_COLUMNS}
+    known = r.mart_features.select("customer_id", *[v.alias(c) for c, v in holes.items()])
+    return M.imputed_vector()[0].fit(known).transform(known).select("customer_id", *[f"{c}_filled" for c in FEATURE_COLUMNS])
+
 
 
 @query("m2_stratified_split")
@@ -269,7 +272,7 @@ query("b21_churn_by_cluster", f"""SELECT n.cluster_name, {s_count()} AS customer
     FROM scores s JOIN assigned a ON s.customer_id = a.customer_id JOIN cluster_names n ON a.cluster_id = n.cluster_id GROUP BY n.cluster_name""")(
     lambda r: A.churn_by_group(r.scores.join(K.assignments(assigned(r), K.name_clusters(K.profiles(assigned(r)))), "customer_id"),
                                THRESHOLD, "cluster_name"))
-_CL = ["recency_days", "frequency", "tenure_days"]
+_CL = FEATURE_COLUMNS
 LAYERS["centres"] = "SELECT cluster_id, COUNT(*) AS n, " + ", ".join(f"AVG({c}) AS c_{c}" for c in _CL) + " FROM assigned GROUP BY cluster_id"
 LAYERS["middle"] = "SELECT " + ", ".join(f"AVG({c}) AS o_{c}" for c in _CL) + " FROM assigned"
 LAYERS["spread"] = "SELECT a.cluster_id, SUM({0}) AS ss, AVG(SQRT({0})) AS scatter FROM assigned a JOIN centres c ON a.cluster_id = c.cluster_id GROUP BY a.cluster_id".format(
@@ -284,7 +287,7 @@ _CLUSTERED: dict[int, tuple] = {}
 
 def clustered(r):
     if id(r) not in _CLUSTERED:
-        _CLUSTERED[id(r)] = (r, K.run_clustering(r.mart_features, range(3, 5), runs=1, max_iter=20))
+        _CLUSTERED[id(r)] = (r, K.run_clustering(r.mart_features, runs=2))
     return _CLUSTERED[id(r)][1]
 
 
