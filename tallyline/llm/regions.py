@@ -19,7 +19,7 @@ from tallyline.llm import graph
 from tallyline.operators.skew import broadcast_if_small
 from tallyline.sources.lake import Scratch
 
-LEAF = 256  # nodes of a region that are compared directly, within their windows
+LEAF = 200  # pairs across components for each node, up to which regions are compared directly within their windows
 LEVELS = 4
 
 
@@ -53,10 +53,10 @@ def connect(members: DataFrame, compare: Callable[[DataFrame], DataFrame], may_l
     found = scratch.write(graph.components(within(done), scratch))
     rest = _unfinished(rows.filter("id <> pivot"), found, done, scratch)
     for level in range(1, LEVELS + 1):
-        largest = rest.groupBy("region").count().agg(F.max("count")).first()[0]
-        if largest is None:
+        nodes, pairs = _across(rest)
+        if not nodes:
             return found, done
-        if largest <= LEAF or level == LEVELS:
+        if pairs <= LEAF * nodes or level == LEVELS:
             break
         order = Window.partitionBy("region").orderBy("met", "place", "n", "id")
         first = F.first(F.struct("id", "n", "place", "component", "d")).over(
@@ -81,6 +81,14 @@ def connect(members: DataFrame, compare: Callable[[DataFrame], DataFrame], may_l
     return scratch.write(graph.components(within(done), scratch)), done
 
 
+def _across(rows: DataFrame) -> tuple[int, float]:
+    """Nodes in unfinished regions, and their pairs across components."""
+    own = rows.groupBy("region", "component").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    each = own.groupBy("region").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("s"))
+    one = each.agg(F.sum("n"), F.sum((F.col("n") * F.col("n") - F.col("s")) / 2)).first()
+    return int(one[0] or 0), float(one[1] or 0)
+
+
 def _window(d: Column, e: Column, reach: float) -> Column:
     """Triangle inequality: nodes within reach of each other differ by no more than it in their distance to a pivot."""
     return F.coalesce(F.abs(d - e) <= F.lit(reach + 1e-9), F.lit(True))
