@@ -22,7 +22,7 @@ from tallyline.sources.lake import Scratch
 
 CHARS = 8           # characters of a shingle
 BANDS, ROWS = 16, 4
-SIMILARITY = 0.75
+PERCENT = 75
 SLOTS = 1 << 19     # hash slots of lines whose texts are read again; their list goes to all tasks
 
 
@@ -119,12 +119,12 @@ def _read_lines(docs: DataFrame, kind: str, chars: int, bands: int, rows: int) -
     return docs.mapInArrow(run, schema)
 
 
-def duplicates(docs: DataFrame, scratch: Scratch, similarity: float = SIMILARITY, chars: int = CHARS, bands: int = BANDS,
+def duplicates(docs: DataFrame, scratch: Scratch, percent: int = PERCENT, chars: int = CHARS, bands: int = BANDS,
                rows: int = ROWS) -> DataFrame:
     """Every line of ``docs(doc_id, text)`` that is not blank: (doc_id, row, line, n_copies, keeper_doc_id, keeper_line, kept).
 
     ``line`` counts from 0 at each ``\\n``; ``row`` is a hash of the text. Lines whose character-shingle sets have
-    a Jaccard similarity of ``similarity`` or more, directly or through others, form a component of ``n_copies`` lines. Of each
+    a Jaccard similarity of ``percent`` hundredths or more, directly or through others, form a component of ``n_copies`` lines. Of each
     the line with the smallest (doc_id, line, row) is kept, lines without doc_id last. Lines shorter than ``chars`` match equal ones only. Null
     and empty texts have no lines. Rows that repeat doc_id and text count as one row: they share their keeper. Other columns are ignored.
     """
@@ -144,7 +144,7 @@ def duplicates(docs: DataFrame, scratch: Scratch, similarity: float = SIMILARITY
     def may_link(n_a: Column, place_a: Column, n_b: Column, place_b: Column) -> Column:
         return F.lit(True)
 
-    found, _ = regions.connect(members, compare, may_link, 1 - similarity, scratch)
+    found, _ = regions.connect(members, compare, may_link, percent, scratch)
     known = nodes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     keeper = known.groupBy("component").agg(F.min("least").alias("keeper"), F.sum("copies").alias("n_copies"))
     labelled = known.join(keeper, "component").select("h1", "h2", "keeper", "n_copies")

@@ -23,11 +23,15 @@ LEAF = 200  # pairs across components for each node, up to which regions are com
 LEVELS = 4
 
 
-def stars(members: DataFrame, scratch: Scratch) -> DataFrame:
+def stars(members: DataFrame, may_link: Callable[..., Column], percent: int, scratch: Scratch) -> DataFrame:
     """``members(region, id, n, place)`` of regions with two nodes or more, with the region's pivot: its smallest (place, n, id).
 
-    A small place means few rare parts ahead of the shared one, so the pivot is the least altered of a group of copies. One shuffle; the window streams over sorted rows, so a region of any size passes through a task row by row.
+    A small place means few rare parts ahead of the shared one, so the pivot is the least altered of a group of copies.
+    Rows that lie too far back to link even with the smallest node of their region that is not too small go first. One
+    shuffle; the windows stream over sorted rows and spill, so a region of any size passes through a task.
     """
+    least = F.greatest(F.min("n").over(Window.partitionBy("region")), F.ceil(F.col("n") * percent / 100))
+    members = members.withColumn("_least", least).filter(may_link(F.col("n"), F.col("place"), F.col("_least"), F.lit(0)))
     order = Window.partitionBy("region").orderBy("place", "n", "id")
     pivot = F.first(F.struct("id", "n", "place")).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return scratch.write(
@@ -37,19 +41,21 @@ def stars(members: DataFrame, scratch: Scratch) -> DataFrame:
                        F.col("_p.place").alias("pivot_place")))
 
 
-def connect(members: DataFrame, compare: Callable[[DataFrame], DataFrame], may_link: Callable[..., Column], reach: float,
+def connect(members: DataFrame, compare: Callable[[DataFrame], DataFrame], may_link: Callable[..., Column], percent: int,
             scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """(node, component) of linked nodes, and the compared pairs (a, b, distance).
 
-    ``compare`` takes pairs ``(a, b)`` and adds their exact distance, or null for pairs that cannot link; a pair links if it is
-    at most ``reach``.
+    ``compare`` takes pairs ``(a, b)`` and adds their exact distance, or null for pairs that cannot link; a pair links if its
+    similarity is at least ``percent`` hundredths.
     ``may_link(n_a, place_a, n_b, place_b)`` is a necessary condition, true in at least one shared region of each linked pair.
+    It is false for sizes further apart than ``percent`` allows, or does not look at them.
     """
-    rows = stars(members, scratch)
+    reach = 1 - percent / 100
+    rows = stars(members, may_link, percent, scratch)
     done = scratch.write(compare(
         rows.filter("id <> pivot").filter(may_link(*map(F.col, ("pivot_n", "pivot_place", "n", "place"))))
             .select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()))
-    within = lambda pairs: pairs.filter(F.col("distance") <= F.lit(reach)).select("a", "b")
+    within = lambda pairs: pairs.filter(F.col("distance") <= F.lit(reach + 1e-12)).select("a", "b")
     found = scratch.write(graph.components(within(done), scratch))
     rest = _unfinished(rows.filter("id <> pivot"), found, done, scratch)
     for level in range(1, LEVELS + 1):
