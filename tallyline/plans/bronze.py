@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import warnings
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,9 +37,9 @@ def already_ingested(spark: SparkSession, bronze_path: str, year_month: str) ->
     return year_month in L.list_months(spark, bronze_path)
 
 
-def _write(spark: SparkSession, bronze: DataFrame, bronze_path: str, source_file: str) -> None:
+def _write(spark: SparkSession, bronze: DataFrame, bronze_path: str, source_file: str, replaced: Iterable[str] = ()) -> None:
     """Write the months and append their audit rows, counted from the written partitions."""
-    before = set(L.list_months(spark, bronze_path))
+    before = set(L.list_months(spark, bronze_path)) - set(replaced)
     L.write_months(bronze, bronze_path)
     fresh = [m for m in L.list_months(spark, bronze_path) if m not in before]
     if fresh:
@@ -46,20 +47,28 @@ def _write(spark: SparkSession, bronze: DataFrame, bronze_path: str, source_file
         ingestion_audit(written, source_file).write.mode("append").parquet(f"{bronze_path}/{AUDIT_FOLDER}")
 
 
-def ingest_all(spark: SparkSession, raw_path: str, bronze_path: str, shift_days: int = raw_csv.SHIFT_DAYS) -> list[str]:
+def ingest_all(spark: SparkSession, raw_path: str, bronze_path: str, shift_days: int = raw_csv.SHIFT_DAYS,
+               overwrite: Iterable[str] | bool = False) -> list[str]:
     """Ingest every month that is missing, in one write. Returns all source months, newest first.
 
-    Rows whose date cannot be read have no month; see ``quarantine``.
+    Months named in ``overwrite``, or all with True, are replaced by what the source has now: the way to take in late
+    rows. Rows whose date cannot be read have no month; see ``quarantine``.
     """
     raw = raw_csv.read_raw(spark, raw_path)
     months = raw_csv.months_newest_first(raw_csv.discover_months(raw, shift_days))
-    done = L.list_months(spark, bronze_path)
-    if set(months) - set(done):
-        bronze = raw_csv.normalize(raw, shift_days).filter("year_month IS NOT NULL")
-        _write(spark, not_ingested(bronze, done), bronze_path, raw_path.rsplit("/", 1)[-1])
+    ingest_typed(spark, raw_csv.normalize(raw, shift_days), months, bronze_path, raw_path.rsplit("/", 1)[-1], overwrite)
     return months
 
 
+def ingest_typed(spark: SparkSession, typed: DataFrame, months: list[str], bronze_path: str, source_file: str,
+                 overwrite: Iterable[str] | bool = False) -> None:
+    """Write the rows of those of ``months`` that have no partition yet or are to be replaced."""
+    replaced = set(months) if overwrite is True else set(overwrite or ())
+    done = [m for m in L.list_months(spark, bronze_path) if m not in replaced]
+    if set(months) - set(done):
+        _write(spark, not_ingested(typed.filter("year_month IS NOT NULL"), done), bronze_path, source_file, replaced)
+
+
 def ingest(spark: SparkSession, raw_path: str, bronze_path: str, year_month: str,
            shift_days: int = raw_csv.SHIFT_DAYS) -> bool:
     """Ingest one month. False, and nothing written, if it exists already or the source has no such rows."""

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.plans import bronze, export, features, marts, quality, reconcile, silver, star
+from tallyline.sources import lake as L
 from tallyline.sources import raw_csv
-from tallyline.sources.lake import Lake
+from tallyline.sources.lake import Lake, Scratch
 
 GOLD_TABLES = ["invoice_rollup", "mart_rfm", "mart_kpi_monthly", "dim_date", "dim_product", "dim_country", "dim_customer",
                "fact_transactions", "mart_features"]
@@ -34,8 +37,15 @@ def declare_gold(lake: Lake, home_country: str = features.HOME_COUNTRY) -> None:
 
 
 def build_gold(spark: SparkSession, silver_path: str, gold_path: str, home_country: str = features.HOME_COUNTRY) -> Lake:
-    """Write every gold table that is missing and the build log. A complete gold folder is left as it is."""
-    lake = Lake(spark, gold_path)
+    """Write the gold tables and the build log where they are missing or silver has changed since they were written.
+
+    The months of silver and the times they were written are kept next to the tables. Gold that was made from the same
+    months is left as it is; otherwise every table is written again.
+    """
+    source = sorted(L.month_times(spark, silver_path).items())
+    stored = f"{gold_path.rstrip('/')}/_source_months"
+    known = spark.read.parquet(stored).collect() if L.is_complete(spark, stored) else []
+    lake = Lake(spark, gold_path, rebuild=sorted((r["year_month"], r["written"]) for r in known) != source)
     lake.attach("silver", silver.read_silver(spark, silver_path))
     declare_gold(lake, home_country)
     lake.declare("_build_log", lambda k: export.build_log(
@@ -45,6 +55,8 @@ def build_gold(spark: SparkSession, silver_path: str, gold_path: str, home_count
     with lake.scratch:
         for name in [*GOLD_TABLES, "_build_log"]:
             lake.table(name)
+    spark.createDataFrame(source, "year_month string, written long").coalesce(1).write.mode("overwrite").parquet(stored)
+    lake.rebuild = False
     return lake
 
 
@@ -59,15 +71,21 @@ def validate(lake: Lake, bronze_df: DataFrame) -> DataFrame:
 
 
 def run(spark: SparkSession, raw_path: str, root: str, shift_days: int = raw_csv.SHIFT_DAYS,
-        home_country: str = features.HOME_COUNTRY) -> dict:
-    """Raw file to checked gold tables. Months and tables that exist are kept, so a re-run only adds what is new.
+        home_country: str = features.HOME_COUNTRY, overwrite: Iterable[str] | bool = False) -> dict:
+    """Raw file to checked gold tables. Months that exist are kept unless named in ``overwrite``; gold follows silver.
 
-    Rows that cannot be typed or dated go to ``<root>/quarantine`` with their reasons. Gold tables are snapshots: give
-    a new ``root/gold`` (or remove the old one) to rebuild them after new months arrive.
+    The raw file is typed once. Rows that cannot be typed or dated go to ``<root>/quarantine`` with their reasons and
+    nowhere else; the other rows go on.
     """
-    months = bronze.ingest_all(spark, raw_path, f"{root}/bronze", shift_days)
-    rejected = quality.quarantine(raw_csv.normalize(raw_csv.read_raw(spark, raw_path), shift_days))[1]
-    rejected.write.mode("overwrite").parquet(f"{root}/quarantine")
+    with Scratch(spark) as scratch:
+        typed = scratch.write(raw_csv.normalize(raw_csv.read_raw(spark, raw_path), shift_days))
+        unreadable = F.array_contains("reject_reason", "unreadable_date")
+        for reason in ("unreadable_quantity", "unreadable_price"):
+            unreadable = unreadable | F.array_contains("reject_reason", reason)
+        quality.quarantine(typed)[1].filter(unreadable).write.mode("overwrite").parquet(f"{root}/quarantine")
+        readable = typed.filter("invoice_date IS NOT NULL AND quantity IS NOT NULL AND price IS NOT NULL")
+        months = raw_csv.months_newest_first(readable.select("year_month").distinct())
+        bronze.ingest_typed(spark, readable, months, f"{root}/bronze", raw_path.rsplit("/", 1)[-1], overwrite)
     silver.transform_all(spark, f"{root}/bronze", f"{root}/silver")
     lake = build_gold(spark, f"{root}/silver", f"{root}/gold", home_country)
     report = validate(lake, spark.read.parquet(f"{root}/bronze"))

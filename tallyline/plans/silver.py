@@ -36,9 +36,12 @@ def to_silver(bronze: DataFrame) -> DataFrame:
 
 
 def transform_all(spark: SparkSession, bronze_path: str, silver_path: str) -> list[str]:
-    """Build every silver month that is missing, in one write. Returns all bronze months, newest first."""
-    months = L.list_months(spark, bronze_path)
-    todo = [m for m in months if m not in set(L.list_months(spark, silver_path))]
+    """Build every silver month that is missing or older than its bronze month, in one write.
+
+    Returns all bronze months, newest first.
+    """
+    months, written, made = L.list_months(spark, bronze_path), L.month_times(spark, bronze_path), L.month_times(spark, silver_path)
+    todo = [m for m in months if m not in made or made[m] < written[m]]
     if todo:
         bronze = spark.read.parquet(bronze_path).filter(F.col("year_month").isin(todo))
         L.write_months(to_silver(bronze), silver_path)

@@ -54,12 +54,13 @@ def fact_transactions(lines: DataFrame, customers: DataFrame, products: DataFram
     """Every line with its surrogate keys.
 
     ``sk_mode='dense'`` numbers the lines 1..n in business order, before the joins, so that the joins run once.
-    ``'hash'`` hashes the business record instead: no global order is needed and a key never changes when other rows
+    ``'hash'`` takes 128 hash bits of the business record, as hexadecimal text, instead: no global order is needed and a key never changes when other rows
     arrive. Guest lines take key 0 and are kept out of the customer join, where they would all meet in one task.
     """
     rows = lines.select(*FACT_ORDER, "line_amount", "is_cancellation")
     if sk_mode == "hash":
-        keyed = rows.withColumn("transaction_sk", F.xxhash64(*FACT_ORDER))
+        halves = [F.lpad(F.hex(F.xxhash64(F.lit(seed), *FACT_ORDER)), 16, "0") for seed in (1, 2)]
+        keyed = rows.withColumn("transaction_sk", F.concat(*halves))
     elif sk_mode == "dense":
         keyed = global_row_number(rows, FACT_ORDER, scratch, "transaction_sk")
     else:

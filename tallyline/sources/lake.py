@@ -48,6 +48,15 @@ def list_months(spark: SparkSession, path: str) -> list[str]:
     return sorted((n.split("=", 1)[1] for n in names if n.startswith("year_month=")), reverse=True)
 
 
+def month_times(spark: SparkSession, path: str) -> dict[str, int]:
+    """When each ``year_month=`` partition was last replaced, in milliseconds. Reads folder entries only."""
+    fs, hadoop_path = _filesystem(spark, path)
+    if not fs.exists(hadoop_path):
+        return {}
+    entries = [(s.getPath().getName(), s.getModificationTime()) for s in fs.listStatus(hadoop_path)]
+    return {name.split("=", 1)[1]: time for name, time in entries if name.startswith("year_month=")}
+
+
 def write_months(df: DataFrame, path: str) -> None:
     """Write by month, replacing exactly the months present in ``df``.
 
@@ -85,10 +94,14 @@ class Scratch:
 
 
 class Lake:
-    """Named tables, each built once from its declared builder and read back from its files afterwards."""
+    """Named tables, each built once from its declared builder and read back from its files afterwards.
+
+    With ``rebuild`` tables that are complete on disk are written again when they are first asked for.
+    """
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, rebuild: bool = False):
         self.spark = spark
+        self.rebuild = rebuild
         self.root = root.rstrip("/")
         self.scratch = Scratch(spark, f"{self.root}/_scratch")
         self._builders: dict[str, tuple[Callable[[Lake], DataFrame], bool]] = {}
@@ -109,7 +122,7 @@ class Lake:
         with self._lock:
             if name not in self._open:
                 path = self.path(name)
-                if not is_complete(self.spark, path):
+                if self.rebuild or not is_complete(self.spark, path):
                     self._build(name, path)
                 self._open[name] = self.spark.read.parquet(path)
             return self._open[name]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
@@ -13,17 +15,24 @@ from tallyline.sources import lake as L
 from tallyline.sources import raw_csv
 
 
+FILES_PER_BATCH = 100
+
+
 def stream_ingest(spark: SparkSession, raw_folder: str, bronze_path: str, silver_path: str, checkpoint: str,
                   shift_days: int = raw_csv.SHIFT_DAYS) -> StreamingQuery:
     """Load the raw files that are new since the last run, then stop.
 
-    Late rows follow the batch rule: every silver month a batch touches is rebuilt from bronze and overwritten. A
+    The stream only names new files. Each is then read as the batch form reads it, by its own header, so columns may come
+    in any order. Late rows follow the batch rule: every silver month a batch touches is rebuilt from bronze and overwritten. A
     repeated batch overwrites its own bronze folders, so a restart changes nothing.
     """
     def load(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        typed = raw_csv.normalize(batch.select([X.missing_to_null(F.col(f"`{f.name}`")).alias(f.name) for f in schemas.RAW]),
-                                  shift_days).filter("year_month IS NOT NULL").withColumn("batch", F.lit(batch_id))
+        files = [r["file_path"] for r in batch.distinct().collect()]
+        if not files:
+            return
+        raw = reduce(DataFrame.unionByName, [raw_csv.read_raw(session, f) for f in sorted(files)])
+        typed = raw_csv.normalize(raw, shift_days).filter("year_month IS NOT NULL").withColumn("batch", F.lit(batch_id))
         (typed.hint("rebalance", "year_month").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
               .partitionBy("year_month", "batch").parquet(bronze_path))
         if L.list_months(session, bronze_path):
@@ -33,9 +42,9 @@ def stream_ingest(spark: SparkSession, raw_folder: str, bronze_path: str, silver
             if touched:
                 L.write_months(silver.to_silver(stored.filter(F.col("year_month").isin(touched)).drop("batch")), silver_path)
 
-    raw = (spark.readStream.schema(schemas.RAW).option("sep", ";").option("encoding", "ISO-8859-1").option("header", True)
-           .option("quote", '"').option("escape", '"').csv(raw_folder))
-    return (raw.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    arrived = (spark.readStream.schema("line string").option("maxFilesPerTrigger", FILES_PER_BATCH).text(raw_folder)
+               .select("_metadata.file_path"))
+    return (arrived.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
 def event_time(lines: DataFrame, delay: str) -> DataFrame:
