@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import gc
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyline.sources.lake import Scratch
@@ -10,6 +12,12 @@ from tallyline.sources.lake import Scratch
 MAX_ROUNDS = 60
 
 
+def release(spark: SparkSession) -> None:
+    """Between phases: Spark's cleaner deletes shuffle files of finished jobs once both garbage collectors have run."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, component) for every node of ``links(a, b)``: the smallest node reachable, by alternating star contraction.
 

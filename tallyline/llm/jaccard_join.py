@@ -54,7 +54,7 @@ def clusters(docs: DataFrame, scratch: Scratch, words: int = WORDS, percent: int
         measured = _distances(scratch, docs, named, possible.filter("possible").select("a", "b"), words)
         return measured.unionByName(possible.filter("NOT possible").select("a", "b", F.lit(None).cast("double").alias("distance")))
 
-    found, _ = regions.connect(members, compare, _may_link(percent), percent, scratch)
+    found, _ = regions.connect([members], compare, _may_link(percent), percent, scratch)
     known = nodes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     label = known.groupBy("component").agg(F.min("least").alias("component_id"))
     labelled = known.join(label, "component").select("d1", "d2", "component_id")

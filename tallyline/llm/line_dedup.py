@@ -17,12 +17,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import ArrowUDFType
 
-from tallyline.llm import blocks, regions
+from tallyline.llm import blocks, graph, regions
 from tallyline.sources.lake import Scratch
 
 CHARS = 8           # characters of a shingle
 BANDS, ROWS = 16, 4
 PERCENT = 75
+TURNS = 4           # the bands are shuffled in so many turns, so that fewer of their rows are on disk at a time
 SLOTS = 1 << 19     # hash slots of lines whose texts are read again; their list goes to all tasks
 
 
@@ -51,27 +52,44 @@ def _lines(data: np.ndarray, offsets: np.ndarray):
     return folded, start[full], end[full], text[full], number[full]
 
 
-def _shingles(folded: np.ndarray, start: np.ndarray, end: np.ndarray, chars: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(line, hash) of every shingle of lines, lines in order, and each line's 64-bit digest; a shorter line is one shingle."""
-    value = blocks.mix(folded.astype(np.uint64) + np.uint64(1))
+_VALUES = blocks.mix(np.arange(1, (1 << 16) + 1, dtype=np.uint64))
+
+
+def _values(folded: np.ndarray) -> np.ndarray:
+    if not len(folded) or folded.max() < len(_VALUES):
+        return _VALUES[folded]
+    return blocks.mix(folded.astype(np.uint64) + np.uint64(1))
+
+
+def _shingles(value: np.ndarray, start: np.ndarray, end: np.ndarray, chars: int) -> tuple[np.ndarray, np.ndarray]:
+    """(line, hash) of every shingle of lines, lines in order; a line shorter than a shingle is one itself.
+
+    The hash of 2 m characters comes from those of m: h(i) + p**m h(i + m).
+    """
     spans = end - start
     count = np.maximum(spans - chars + 1, 1)
     line = np.repeat(np.arange(len(start)), count)
     at = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count) + start[line]
-    total = np.zeros(len(at), np.uint64)
-    short = spans[line] < chars
-    for k in range(chars):
-        here = value[np.minimum(at + k, len(value) - 1)] * blocks.powers(chars + 1)[k + 1]
-        total += np.where(short & (k >= spans[line]), np.uint64(0), here) if short.any() else here
-    return line, blocks.mix(total)
-
-
-def _digests(line: np.ndarray, hashes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """128 bits for each line, from its shingles in order."""
-    first = np.searchsorted(line, np.arange(n))
-    place = (np.arange(len(line)) - first[line]).astype(np.uint64)
-    one = np.add.reduceat(blocks.mix(hashes + place * np.uint64(0x9E3779B97F4A7C15)), first)
-    two = np.add.reduceat(blocks.mix(hashes ^ blocks.mix(place + np.uint64(77))), first)
+    rolled, done = value.copy(), 1
+    while done < chars:
+        step = min(done, chars - done)  # the last step may overlap, which is still a function of the window alone
+        rolled[:-step] = rolled[:-step] + rolled[step:] * blocks.powers(done + 1)[done] if step < len(rolled) else rolled[:-step]
+        done += step
+    hashes = rolled[at]
+    for k in np.flatnonzero(spans < chars):
+        own = value[start[k]:end[k]]
+        hashes[np.searchsorted(line, k)] = (own * blocks.powers(chars + 1)[1:len(own) + 1]).sum() + np.uint64(len(own))
+    return line, blocks.mix(hashes)
+
+
+def _digests(value: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits for each line, from its characters in order."""
+    spans = end - start
+    first = np.cumsum(spans) - spans
+    place = np.arange(int(spans.sum())) - np.repeat(first, spans)
+    own, power = value[place + np.repeat(start, spans)], blocks.powers(int(spans.max()) + 1)[place]
+    one = blocks.mix(np.add.reduceat(own * power, first) + spans.astype(np.uint64))
+    two = blocks.mix(np.add.reduceat((own ^ (own >> np.uint64(29))) * (power * power + np.uint64(2)), first))
     return one.view(np.int64), two.view(np.int64)
 
 
@@ -79,7 +97,7 @@ def _signatures(line: np.ndarray, hashes: np.ndarray, n: int, bands: int, rows:
     """A region key for each line and band."""
     bins = bands * rows
     least = np.full(n * bins, np.uint64(2**64 - 1))
-    np.minimum.at(least, line * bins + ((hashes >> np.uint64(32)) * np.uint64(bins) >> np.uint64(32)).astype(np.int64), blocks.mix(hashes))
+    np.minimum.at(least, line * bins + ((hashes >> np.uint64(32)) * np.uint64(bins) >> np.uint64(32)).astype(np.int64), hashes)
     least = least.reshape(n, bins)
     place = np.where(least < np.uint64(2**64 - 1), np.arange(bins), 3 * bins)
     twice = np.concatenate([place, place + bins], axis=1)
@@ -93,30 +111,27 @@ def _signatures(line: np.ndarray, hashes: np.ndarray, n: int, bands: int, rows:
 
 
 def _read_lines(docs: DataFrame, kind: str, chars: int, bands: int, rows: int) -> DataFrame:
-    """(doc_id, row, line, h1, h2, n) of every line that is not blank, with its region keys or, for ``bands`` 0, its text."""
+    """(doc_id, row, line, h1, h2, n, keys) of every line that is not blank; ``keys`` are its regions."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, keys = batch.column("doc_id"), batch.column("row")
+            ids, names = batch.column("doc_id"), batch.column("row")
             for first, data, offsets in blocks.text_slices(batch.column("text")):
                 folded, start, end, text, number = _lines(data, offsets)
                 if not len(start):
                     continue
-                line, hashes = _shingles(folded, start, end, chars)
-                h1, h2 = _digests(line, hashes, len(start))
+                value = _values(folded)
+                line, hashes = _shingles(value, start, end, chars)
+                h1, h2 = _digests(value, start, end)
                 at = pa.array(text + first)
                 count = np.bincount(line, minlength=len(start)).astype(np.int64)
-                if bands:
-                    regions_of = _signatures(line, hashes, len(start), bands, rows)
-                    ends = np.arange(0, regions_of.size + 1, bands, dtype=np.int32)
-                    last = pa.ListArray.from_arrays(pa.array(ends), pa.array(regions_of.ravel()))
-                else:
-                    last = pa.array([folded[a:b].tobytes() for a, b in zip(start, end, strict=True)], pa.binary())
+                keys = _signatures(line, hashes, len(start), bands, rows)
+                ends = np.arange(0, keys.size + 1, bands, dtype=np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.take(at), keys.take(at), pa.array(number.astype(np.int64)), pa.array(h1), pa.array(h2), pa.array(count), last],
-                    ["doc_id", "row", "line", "h1", "h2", "n", "keys" if bands else "folded"])
+                    [ids.take(at), names.take(at), pa.array(number.astype(np.int64)), pa.array(h1), pa.array(h2), pa.array(count),
+                     pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.ravel()))],
+                    ["doc_id", "row", "line", "h1", "h2", "n", "keys"])
 
-    schema = f"doc_id {kind}, row long, line long, h1 long, h2 long, n long, " + ("keys array<long>" if bands else "folded binary")
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(run, f"doc_id {kind}, row long, line long, h1 long, h2 long, n long, keys array<long>")
 
 
 def duplicates(docs: DataFrame, scratch: Scratch, percent: int = PERCENT, chars: int = CHARS, bands: int = BANDS,
@@ -134,12 +149,15 @@ def duplicates(docs: DataFrame, scratch: Scratch, percent: int = PERCENT, chars:
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "line", "row")
     nodes = scratch.write(lines.groupBy("h1", "h2").agg(
         F.min("id").alias("node"), F.min(place).alias("least"), F.count(F.lit(1)).alias("copies")))
-    reps = lines.join(nodes.select(F.col("node").alias("id")), "id", "left_semi")
-    members = reps.select(F.explode("keys").alias("region"), "id", "n", F.lit(0).alias("place"))
-    named = reps.select(F.col("id").alias("node"), "doc_id", "row", "line", "h1", "h2")
+    reps = scratch.write(lines.join(nodes.select(F.col("node").alias("id")), "id", "left_semi"))
+    graph.release(docs.sparkSession)
+    turn = -(-bands // TURNS)
+    members = [reps.select(F.explode(F.slice("keys", at + 1, turn)).alias("region"), "id", "n", F.lit(0).alias("place"))
+               for at in range(0, bands, turn)]
+    named = reps.select(F.col("id").alias("node"), "doc_id", "row", "line")
 
     def compare(pairs: DataFrame) -> DataFrame:
-        return _distances(scratch, docs, kind, named, pairs, chars)
+        return _distances(scratch, docs, named, pairs, chars)
 
     def may_link(n_a: Column, place_a: Column, n_b: Column, place_b: Column) -> Column:
         return F.lit(True)
@@ -153,14 +171,19 @@ def duplicates(docs: DataFrame, scratch: Scratch, percent: int = PERCENT, chars:
         (place == F.col("keeper")).alias("kept"))
 
 
-def _distances(scratch: Scratch, docs: DataFrame, kind: str, named: DataFrame, pairs: DataFrame, chars: int) -> DataFrame:
-    """``pairs(a, b)`` with the exact Jaccard distance of the two lines' shingle sets, read again from the texts."""
+def _distances(scratch: Scratch, docs: DataFrame, named: DataFrame, pairs: DataFrame, chars: int) -> DataFrame:
+    """``pairs(a, b)`` with the exact Jaccard distance of the two lines' shingle sets, read again from the texts.
+
+    Lines are found by place. The hash slots of the texts and lines wanted, ``SLOTS`` at most, go to all tasks, so only those
+    lines and a few others are shuffled.
+    """
     def sets(column: pa.Array) -> list[np.ndarray]:
-        folded = [np.frombuffer(x.as_buffer(), np.uint32) for x in column]
-        ends = np.cumsum([len(x) for x in folded])
-        line, hashes = _shingles(np.concatenate(folded), ends - [len(x) for x in folded], ends, chars)
-        at = blocks.row_bounds(line, len(folded))
-        return [np.unique(hashes[at[i]:at[i + 1]]) for i in range(len(folded))]
+        raw = column.cast(pa.large_string())
+        offsets = np.frombuffer(raw.buffers()[1], np.int64)[raw.offset:raw.offset + len(raw) + 1]
+        folded, start, end, text, _ = _lines(np.frombuffer(raw.buffers()[2], np.uint8)[offsets[0]:offsets[-1]], offsets - offsets[0])
+        line, hashes = _shingles(_values(folded), start, end, chars)
+        at = blocks.row_bounds(text[line], len(raw))
+        return [np.unique(hashes[at[i]:at[i + 1]]) for i in range(len(raw))]
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -174,14 +197,14 @@ def _distances(scratch: Scratch, docs: DataFrame, kind: str, named: DataFrame, p
 
     pairs = scratch.write(pairs)
     wanted = scratch.write(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(named, "node"))
-    slot = lambda c: F.pmod(c, F.lit(SLOTS)).alias("slot")
-    texts = docs.select("*", slot(F.col("row"))).join(F.broadcast(wanted.select(slot(F.col("row"))).distinct()), "slot", "left_semi")
-    lines = _read_lines(texts.select("doc_id", "text", "row"), kind, chars, 0, 0)
-    lines = lines.select("*", slot(F.col("h1"))).join(F.broadcast(wanted.select(slot(F.col("h1"))).distinct()), "slot", "left_semi")
-    same = "l.h1 = w.h1 AND l.h2 = w.h2 AND l.row = w.row AND l.line = w.line AND l.doc_id <=> w.doc_id"
-    held = scratch.write(lines.alias("l").join(wanted.alias("w"), F.expr(same)).select("w.node", "l.folded"))
-    both = (pairs.join(held.select(F.col("node").alias("a"), F.col("folded").alias("x")), "a")
-                 .join(held.select(F.col("node").alias("b"), F.col("folded").alias("y")), "b"))
+    slot = lambda *c: F.pmod(F.xxhash64(*c), F.lit(SLOTS)).alias("slot")
+    texts = docs.select("*", slot("row")).join(F.broadcast(wanted.select(slot("row")).distinct()), "slot", "left_semi")
+    lines = texts.select("doc_id", "row", F.posexplode(F.split("text", "\n")).alias("at", "words")).withColumn("line", F.col("at").cast("long"))
+    lines = lines.select("*", slot("row", "line")).join(F.broadcast(wanted.select(slot("row", "line")).distinct()), "slot", "left_semi")
+    same = "l.row = w.row AND l.line = w.line AND l.doc_id <=> w.doc_id"
+    held = scratch.write(lines.alias("l").join(wanted.alias("w"), F.expr(same)).select("w.node", "l.words"))
+    both = (pairs.join(held.select(F.col("node").alias("a"), F.col("words").alias("x")), "a")
+                 .join(held.select(F.col("node").alias("b"), F.col("words").alias("y")), "b"))
     return both.select("a", "b", "x", "y").mapInArrow(measure, "a long, b long, distance double").distinct()
 
 

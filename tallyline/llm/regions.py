@@ -11,6 +11,7 @@ that hold one component only are finished. Small regions that remain are compare
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -41,23 +42,30 @@ def stars(members: DataFrame, may_link: Callable[..., Column], percent: int, scr
                        F.col("_p.place").alias("pivot_place")))
 
 
-def connect(members: DataFrame, compare: Callable[[DataFrame], DataFrame], may_link: Callable[..., Column], percent: int,
+def connect(members: list[DataFrame], compare: Callable[[DataFrame], DataFrame], may_link: Callable[..., Column], percent: int,
             scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """(node, component) of linked nodes, and the compared pairs (a, b, distance).
 
+    ``members`` come in one or more tables without common regions, which are shuffled one after another.
+
     ``compare`` takes pairs ``(a, b)`` and adds their exact distance, or null for pairs that cannot link; a pair links if its
     similarity is at least ``percent`` hundredths.
     ``may_link(n_a, place_a, n_b, place_b)`` is a necessary condition, true in at least one shared region of each linked pair.
     It is false for sizes further apart than ``percent`` allows, or does not look at them.
     """
     reach = 1 - percent / 100
-    rows = stars(members, may_link, percent, scratch)
+    spark, parts = members[0].sparkSession, []
+    for part in members:
+        parts.append(stars(part, may_link, percent, scratch))
+        graph.release(spark)
+    rows = reduce(DataFrame.unionByName, parts)
     done = scratch.write(compare(
         rows.filter("id <> pivot").filter(may_link(*map(F.col, ("pivot_n", "pivot_place", "n", "place"))))
             .select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()))
     within = lambda pairs: pairs.filter(F.col("distance") <= F.lit(reach + 1e-12)).select("a", "b")
     found = scratch.write(graph.components(within(done), scratch))
     rest = _unfinished(rows.filter("id <> pivot"), found, done, scratch)
+    graph.release(spark)
     for level in range(1, LEVELS + 1):
         nodes, pairs = _across(rest)
         if not nodes:
@@ -80,7 +88,9 @@ def connect(members: DataFrame, compare: Callable[[DataFrame], DataFrame], may_l
                 .filter(may_link(*map(F.col, ("l.n", "l.place", "r.n", "r.place"))))
                 .filter(_window(F.col("l.d"), F.col("r.d"), reach)))
     fresh = _ordered(pairs, F.col("l.id"), F.col("r.id")).join(done.select("a", "b"), ["a", "b"], "left_anti")
-    fresh = scratch.write(compare(scratch.write(fresh)))
+    fresh = scratch.write(fresh)
+    graph.release(spark)
+    fresh = scratch.write(compare(fresh))
     if within(fresh).isEmpty():
         return found, done.unionByName(fresh)
     done = scratch.write(done.unionByName(fresh))
