@@ -122,6 +122,36 @@ query("q26_scoring_issues", " UNION ALL ".join(
     lambda r: S.scoring_issues(S.score(r.scores, THRESHOLD), THRESHOLD))
 
 
+_SEEDED = f"""WITH listed AS (SELECT customer_id, {_P}, ROW_NUMBER() OVER (ORDER BY customer_id) AS position FROM scores),
+    foreign_rows AS (SELECT customer_id || 'x' AS customer_id, {_P}, CAST(0 AS BIGINT) AS position FROM scores WHERE is_uk = 1),
+    repeated AS (SELECT customer_id, {_P}, CAST(-1 AS BIGINT) AS position FROM scores WHERE frequency = 7),
+    every_row AS (SELECT * FROM listed UNION ALL SELECT * FROM foreign_rows UNION ALL SELECT * FROM repeated)
+    SELECT 'customer_id is NULL' AS rule, CAST(0 AS BIGINT) AS rows
+    UNION ALL SELECT 'churn_probability outside 0..1', {s_count(f"{_P} < 0 OR {_P} > 1")} FROM every_row
+    UNION ALL SELECT 'risk_tier unknown', {s_count()} FROM every_row WHERE {_P} < 0.2
+    UNION ALL SELECT 'customer_id repeated', CAST(COUNT(*) - COUNT(DISTINCT customer_id) AS BIGINT) FROM every_row
+    UNION ALL SELECT 'customer not in source', {s_count()} FROM foreign_rows
+    UNION ALL SELECT 'not sorted by probability', {s_count()} FROM listed a JOIN listed b ON b.position = a.position + 1 AND b.{_P} > a.{_P}"""
+
+
+@query("q27_retention_issues_seeded", _SEEDED)
+def retention_issues_seeded(r):
+    """A list in customer order with foreign and repeated customers and an unknown tier."""
+    from tallyline.operators.ordering import global_row_number
+    placed = global_row_number(r.scores.select("customer_id", _P), [F.asc("customer_id")], r.scratch, "position")
+    rows = placed.unionByName(r.scores.filter("is_uk = 1").select(
+        F.concat("customer_id", F.lit("x")).alias("customer_id"), _P, F.lit(0).cast("bigint").alias("position")))
+    rows = rows.unionByName(r.scores.filter("frequency = 7").select("customer_id", _P, F.lit(-1).cast("bigint").alias("position")))
+    tiers = rows.withColumn("risk_tier", F.when(F.col(_P) < 0.2, "None").otherwise(X.risk_tier(_P)))
+    from tallyline.schemas import RETENTION_COLUMNS
+    for c in RETENTION_COLUMNS:
+        if c not in tiers.columns:
+            tiers = tiers.withColumn(c, F.lit(None).cast("string"))
+    out = S.retention_issues(tiers, r.scores)
+    order = S.retention_issues(tiers.filter("position > 0"), None, "position").filter("rule = 'not sorted by probability'")
+    return out.unionByName(order)
+
+
 @query("q27_retention_issues", " UNION ALL ".join(
     f"SELECT '{n}' AS rule, CAST(0 AS BIGINT) AS rows" for n in
     ("customer_id is NULL", "churn_probability outside 0..1", "risk_tier unknown", "customer_id repeated",
@@ -157,16 +187,28 @@ def median_imputation(r):
 
 
 
-@query("m2_stratified_split")
+def s_bucket(salt: int, size: int, more: str = "") -> str:
+    text = f"customer_id || '|' {more} || '{salt}'"
+    return f"(CAST('0x' || SUBSTR(md5({text}), 1, 7) AS BIGINT) % {size})"
+
+
+_TRAIN = "(SELECT customer_id, CAST(churn AS INTEGER) AS churn FROM labels_train JOIN fx USING (customer_id))"
+_PART = s_bucket(M.SEED, 10_000, "|| CAST(churn AS VARCHAR) || '|'")
+
+
+@query("m2_stratified_split", f"""SELECT CASE WHEN {_PART} < 2000 THEN 'test' ELSE 'train' END AS part, churn,
+    {s_count()} AS customers FROM {_TRAIN} t GROUP BY 1, 2""")
 def stratified_split(r):
     train, test = M.split(r.train_features)
     return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test"))).groupBy(
         "part", "churn").agg(F.count(F.lit(1)).alias("customers"))
 
 
-query("m3_class_weights")(lambda r: M.weighted(r.train_features).groupBy("churn").agg(
+query("m3_class_weights", f"""SELECT churn, CASE WHEN churn = 1 THEN {s_ratio(f"(SELECT COUNT(*) FROM {_TRAIN} n WHERE churn = 0)", f"(SELECT COUNT(*) FROM {_TRAIN} p WHERE churn = 1)")}
+    ELSE 1.0 END AS weight, {s_count()} AS customers FROM {_TRAIN} t GROUP BY churn""")(lambda r: M.weighted(r.train_features).groupBy("churn").agg(
     F.max(M.WEIGHT).alias("weight"), F.count(F.lit(1)).alias("customers")))
-query("m5_hold_out_flags")(lambda r: M.weighted(r.train_features).groupBy(M.HOLD_OUT, M.FOLD).agg(
+query("m5_hold_out_flags", f"""SELECT {s_bucket(M.SEED + 2, 5)} = 0 AS {M.HOLD_OUT}, CAST({s_bucket(M.SEED + 1, 5)} AS INTEGER) AS {M.FOLD},
+    {s_count()} AS customers FROM {_TRAIN} t GROUP BY 1, 2""")(lambda r: M.weighted(r.train_features).groupBy(M.HOLD_OUT, M.FOLD).agg(
     F.count(F.lit(1)).alias("customers")))
 
 
