@@ -29,6 +29,22 @@ SLOTS = 1 << 19     # hash slots of doc_ids whose texts are read again; their li
 FREQUENT = 200_000  # shingles at most in that list, which tasks receive; the order stays fixed whatever it holds
 
 
+ORACLE = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+  ELSE list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) END AS sh FROM w),
+n AS (SELECT doc_id, CAST(len(sh) AS BIGINT) AS n FROM s),
+e AS (SELECT doc_id, unnest(sh) AS x FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM e a JOIN e b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM p JOIN n k ON k.doc_id = a JOIN n m ON m.doc_id = b WHERE 100 * c >= 75 * (k.n + m.n - c)),
+ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id AS f, doc_id AS t FROM n UNION SELECT reach.f, ways.b FROM reach JOIN ways ON reach.t = ways.a)
+SELECT n.doc_id, n.n AS n_shingles, r.component_id FROM n JOIN (SELECT f, min(t) AS component_id FROM reach GROUP BY f) r ON r.f = n.doc_id
+"""
+
+
 def clusters(docs: DataFrame, scratch: Scratch, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs(doc_id, text)``; other columns are ignored.
 

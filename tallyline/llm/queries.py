@@ -70,7 +70,7 @@ def op3_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.judge(docs, model).drop("text")
 
 
-@query()
+@query(jaccard_join.ORACLE)
 def op4_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.clusters(table(spark, folder, "documents"), Scratch(spark))
 
