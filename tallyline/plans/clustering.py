@@ -163,6 +163,7 @@ def run_clustering(features: DataFrame, ks: range = K_RANGE, runs: int = 10, max
     assigned = model.transform(scaled)
     profile = profiles(assigned)
     names = name_clusters(profile)
+    scaled.unpersist()
     return {"model": PipelineModel(stages=[*preparation.stages, model]), "k_search": results, "profiles": profile,
             "names": names, "assigned": assigned, "assignments": assignments(assigned, names)}
 

@@ -257,7 +257,7 @@ INVARIANTS: dict[str, Invariant] = {
 }
 
 
-# Declared column checks: table, column, kind. ``relationships`` names the parent table and column.
+# Declared column checks: table, column, kind. ``relationships`` names the parent table and column.
 COLUMN_CHECKS: list[tuple] = [
     *[("dim_customer", c, k) for c, k in (("customer_sk", "not_null"), ("customer_sk", "unique"), ("customer_id", "unique"))],
     *[("dim_product", c, k) for c in ("product_sk", "stock_code") for k in ("not_null", "unique")],

@@ -10,6 +10,7 @@ from tallyline.functions import exprs as X
 from tallyline.operators.quantiles import exact_quantiles, long_values
 from tallyline.plans import analytics as A
 from tallyline.plans import churn as M
+from tallyline.plans import export as E
 from tallyline.plans import clustering as K
 from tallyline.plans import features as P
 from tallyline.plans import monitoring as D
@@ -300,7 +301,7 @@ query("p23_cluster_names", "SELECT * FROM cluster_names")(lambda r: K.name_clust
 query("c6_cluster_labels", "SELECT * FROM cluster_names")(lambda r: K.name_clusters(K.profiles(assigned(r))))
 query("s26_named_profiles", f"""SELECT p.cluster_id, cluster_name, cluster_size, {s_round("monetary", 4)} AS monetary FROM cluster_profile p
     LEFT JOIN cluster_names n ON p.cluster_id = n.cluster_id""")(
-    lambda r: K.profiles(assigned(r)).join(F.broadcast(K.name_clusters(K.profiles(assigned(r)))), "cluster_id", "left").select(
+    lambda r: E.named_profiles(K.profiles(assigned(r)), K.name_clusters(K.profiles(assigned(r)))).select(
         "cluster_id", "cluster_name", "cluster_size", X.round_to("monetary", 4).alias("monetary")))
 query("c7_fixed_assignments", "SELECT customer_id, a.cluster_id, cluster_name FROM assigned a JOIN cluster_names n ON a.cluster_id = n.cluster_id")(
     lambda r: K.assignments(assigned(r), K.name_clusters(K.profiles(assigned(r)))))
@@ -341,8 +342,8 @@ query("c7_cluster_assignments")(lambda r: clustered(r)["assignments"])
 query("g12_mart_customer_clusters")(lambda r: clustered(r)["assignments"])
 query("c8_assign_stored_model")(lambda r: K.assign_stored(
     clustered(r)["model"], r.train_features.drop("churn"), clustered(r)["names"].filter("cluster_id > 0")))
-query("s23_serving_base")(lambda r: M.probabilities(trained(r)[0], r.mart_features).join(
-    r.mart_rfm.select("customer_id", "segment"), "customer_id", "left").join(clustered(r)["assignments"], "customer_id", "left"))
+query("s23_serving_base")(lambda r: E.serving_base(
+    r.mart_features, r.mart_rfm, trained(r)[0], clustered(r)["model"], clustered(r)["names"]))
 
 
 # ---- monitoring --------------------------------------------------------------------------------------------

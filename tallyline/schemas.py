@@ -38,14 +38,13 @@ SILVER = _struct(
     invoice_quarter=_I, invoice_day_of_week=_I, invoice_week=_I, year_month=_S,
 )
 
+# Names and types of the metric history.
 MONITORING = _struct(run_date=_DT, run_id=_S, metric_name=_S, metric_value=_D, category=_S)
 
 # Columns that make up one business record: everything in bronze but the load time and the partition key.
 BUSINESS_COLUMNS = [f.name for f in BRONZE if f.name not in ("ingested_at", "year_month")]
 KEY_COLUMNS = ["invoice", "stock_code", "customer_id", "country"]
-REQUIRED_BRONZE_COLUMNS = [
-    "invoice", "stock_code", "quantity", "invoice_date", "price", "customer_id", "country", "is_cancellation",
-]
+# Columns of the fact in contract order.
 FACT_COLUMNS = [
     "transaction_sk", "customer_sk", "product_sk", "country_sk", "date_sk", "quantity", "price", "line_amount",
     "is_cancellation",
@@ -84,6 +83,7 @@ NON_NEGATIVE_FEATURES = [
     "min_single_order_value", "recency_one_time",
 ]
 
+# Columns of the score table and of the retention list in contract order.
 SCORING_COLUMNS = ["customer_id", "churn_probability", "churn_flag", "risk_tier"]
 RETENTION_COLUMNS = [
     "customer_id", "segment", "churn_probability", "risk_tier", "recency_days", "frequency", "monetary",
