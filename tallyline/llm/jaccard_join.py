@@ -66,11 +66,11 @@ def clusters(docs: DataFrame, scratch: Scratch, words: int = WORDS, percent: int
     heads = first.select(F.col("row").alias("node"), "n", "prefix")
 
     def compare(pairs: DataFrame) -> DataFrame:
-        possible = scratch.write(_possible(pairs, heads, percent))
+        possible = scratch.write(possible_pairs(pairs, heads, percent))
         measured = _distances(scratch, docs, named, possible.filter("possible").select("a", "b"), words)
         return measured.unionByName(possible.filter("NOT possible").select("a", "b", F.lit(None).cast("double").alias("distance")))
 
-    found, _ = regions.connect([members], compare, _may_link(percent), percent, scratch)
+    found, _ = regions.connect([members], compare, may_link(percent), percent, scratch)
     known = nodes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     label = known.groupBy("component").agg(F.min("least").alias("component_id"))
     labelled = known.join(label, "component").select("d1", "d2", "component_id")
@@ -93,7 +93,7 @@ def keep_one(docs: DataFrame, scratch: Scratch) -> DataFrame:
     return once.unionByName(repeated)
 
 
-def _may_link(percent: int):
+def may_link(percent: int):
     """Sizes close enough, and enough left after the first shared shingle to reach the overlap both sizes need."""
     def rule(n_a: Column, place_a: Column, n_b: Column, place_b: Column) -> Column:
         needed = F.lit(percent) * (n_a + n_b)  # (100 + percent) * overlap >= percent * (n_a + n_b)
@@ -111,7 +111,22 @@ def _frequent(docs: DataFrame, words: int) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(times)], ["s", "c"])
 
     part = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLE_OF)) == 0).select("text")
-    seen = part.mapInArrow(count, "s long, c long").groupBy("s").agg(F.sum("c").alias("c")).filter("c >= 3")
+    return most_frequent(part.mapInArrow(count, "s long, c long"))
+
+
+def first_part(found: np.ndarray, last: np.ndarray, percent: int) -> np.ndarray:
+    """Of a sorted set the hashes of which a linked partner holds at least one; those in ``last`` (sorted) come last."""
+    if not len(found):
+        return found.view(np.int64)
+    if len(last):
+        late = last[np.minimum(np.searchsorted(last, found), len(last) - 1)] == found
+        found = np.concatenate([found[~late], found[late]])
+    return found[:len(found) - (-(-percent * len(found) // 100)) + 1].view(np.int64)
+
+
+def most_frequent(counted: DataFrame) -> np.ndarray:
+    """The ``FREQUENT`` hashes seen most often, three times or more, of ``counted(s, c)``."""
+    seen = counted.groupBy("s").agg(F.sum("c").alias("c")).filter("c >= 3")
     top = seen.orderBy(F.desc("c"), "s").limit(FREQUENT).select("s").toPandas()["s"].to_numpy(np.int64)
     return np.sort(top.view(np.uint64))
 
@@ -126,11 +141,7 @@ def _prefixes(docs: DataFrame, words: int, percent: int, frequent) -> DataFrame:
                 a, b = blocks.digest(found)
                 d1.append(a)
                 d2.append(b)
-                if len(last) and len(found):
-                    late = last[np.minimum(np.searchsorted(last, found), len(last) - 1)] == found
-                    found = np.concatenate([found[~late], found[late]])
-                keep = len(found) - (-(-percent * len(found) // 100)) + 1 if len(found) else 0
-                heads.append(found[:keep].view(np.int64))
+                heads.append(first_part(found, last, percent))
             ends = np.concatenate([[0], np.cumsum([len(h) for h in heads])]).astype(np.int32)
             flat = np.concatenate(heads) if heads else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -141,7 +152,7 @@ def _prefixes(docs: DataFrame, words: int, percent: int, frequent) -> DataFrame:
     return docs.mapInArrow(run, schema).select(F.monotonically_increasing_id().alias("row"), "*")
 
 
-def _possible(pairs: DataFrame, heads: DataFrame, percent: int) -> DataFrame:
+def possible_pairs(pairs: DataFrame, heads: DataFrame, percent: int) -> DataFrame:
     """``pairs(a, b)`` with whether what their first shingles share can still reach the overlap that a link needs.
 
     A shared shingle outside the shared first ones lies behind the first ones of one side, so there are at most as many.

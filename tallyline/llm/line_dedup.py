@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import ArrowUDFType
 
-from tallyline.llm import blocks, graph, regions
+from tallyline.llm import blocks, graph, jaccard_join, regions
 from tallyline.sources.lake import Scratch
 
 CHARS = 8           # characters of a shingle
@@ -162,7 +162,10 @@ def duplicates(docs: DataFrame, scratch: Scratch, percent: int = PERCENT, chars:
     def may_link(n_a: Column, place_a: Column, n_b: Column, place_b: Column) -> Column:
         return F.lit(True)
 
-    found, _ = regions.connect(members, compare, may_link, percent, scratch)
+    def finer(unfinished: DataFrame) -> tuple[DataFrame, DataFrame]:
+        return _finer(scratch, docs, named, unfinished, chars, percent, compare)
+
+    found, _ = regions.connect(members, compare, may_link, percent, scratch, finer)
     known = nodes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     keeper = known.groupBy("component").agg(F.min("least").alias("keeper"), F.sum("copies").alias("n_copies"))
     labelled = known.join(keeper, "component").select("h1", "h2", "keeper", "n_copies")
@@ -171,25 +174,74 @@ def duplicates(docs: DataFrame, scratch: Scratch, percent: int = PERCENT, chars:
         (place == F.col("keeper")).alias("kept"))
 
 
+def _sets(column: pa.Array, chars: int) -> list[np.ndarray]:
+    """The shingle set of each line of a column."""
+    raw = column.cast(pa.large_string())
+    offsets = np.frombuffer(raw.buffers()[1], np.int64)[raw.offset:raw.offset + len(raw) + 1]
+    folded, start, end, text, _ = _lines(np.frombuffer(raw.buffers()[2], np.uint8)[offsets[0]:offsets[-1]], offsets - offsets[0])
+    line, hashes = _shingles(_values(folded), start, end, chars)
+    at = blocks.row_bounds(text[line], len(raw))
+    return [np.unique(hashes[at[i]:at[i + 1]]) for i in range(len(raw))]
+
+
+def _texts(scratch: Scratch, docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, words): the lines ``wanted(node, doc_id, row, line)``, found by place.
+
+    The hash slots of the texts and lines wanted, ``SLOTS`` at most, go to all tasks, so only those lines and a few others are
+    shuffled.
+    """
+    slot = lambda *c: F.pmod(F.xxhash64(*c), F.lit(SLOTS)).alias("slot")
+    texts = docs.select("*", slot("row")).join(F.broadcast(wanted.select(slot("row")).distinct()), "slot", "left_semi")
+    lines = texts.select("doc_id", "row", F.posexplode(F.split("text", "\n")).alias("at", "words")).withColumn("line", F.col("at").cast("long"))
+    lines = lines.select("*", slot("row", "line")).join(F.broadcast(wanted.select(slot("row", "line")).distinct()), "slot", "left_semi")
+    same = "l.row = w.row AND l.line = w.line AND l.doc_id <=> w.doc_id"
+    return scratch.write(lines.alias("l").join(wanted.alias("w"), F.expr(same)).select("w.node", "l.words"))
+
+
+def _finer(scratch: Scratch, docs: DataFrame, named: DataFrame, unfinished: DataFrame, chars: int, percent: int, compare):
+    """Connects the lines whose bands hold several components, exactly, by the first shingles of their sets.
+
+    Large groups of near copies meet in nearly all bands, so bands tell them apart no further; first shingles with their places
+    do, and the least altered line of a group becomes its pivot (see ``jaccard_join``).
+    """
+    held = _texts(scratch, docs, scratch.write(unfinished.select(F.col("id").alias("node")).join(named, "node")))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = _sets(batch.column("words"), chars)
+            values, times = np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, np.uint64), np.zeros(0, int))
+            yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(times)], ["s", "c"])
+
+    first_part = jaccard_join.first_part  # tasks get the function, not its module
+    frequent = docs.sparkSession.sparkContext.broadcast(jaccard_join.most_frequent(held.mapInArrow(count, "s long, c long")))
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = _sets(batch.column("words"), chars)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), pa.array([len(x) for x in found], pa.int64()),
+                 pa.array([first_part(x, frequent.value, percent) for x in found], pa.list_(pa.int64()))], ["node", "n", "prefix"])
+
+    heads = scratch.write(held.mapInArrow(first, "node long, n long, prefix array<long>").dropDuplicates(["node"]))
+    members = heads.select(F.posexplode("prefix").alias("place", "region"), F.col("node").alias("id"), "n")
+
+    def possible(pairs: DataFrame) -> DataFrame:
+        judged = scratch.write(jaccard_join.possible_pairs(pairs, heads, percent))
+        measured = compare(judged.filter("possible").select("a", "b"))
+        return measured.unionByName(judged.filter("NOT possible").select("a", "b", F.lit(None).cast("double").alias("distance")))
+
+    return regions.connect([members], possible, jaccard_join.may_link(percent), percent, scratch)
+
+
 def _distances(scratch: Scratch, docs: DataFrame, named: DataFrame, pairs: DataFrame, chars: int) -> DataFrame:
     """``pairs(a, b)`` with the exact Jaccard distance of the two lines' shingle sets, read again from the texts.
 
-    Lines are found by place. The hash slots of the texts and lines wanted, ``SLOTS`` at most, go to all tasks, so only those
-    lines and a few others are shuffled.
     """
-    def sets(column: pa.Array) -> list[np.ndarray]:
-        raw = column.cast(pa.large_string())
-        offsets = np.frombuffer(raw.buffers()[1], np.int64)[raw.offset:raw.offset + len(raw) + 1]
-        folded, start, end, text, _ = _lines(np.frombuffer(raw.buffers()[2], np.uint8)[offsets[0]:offsets[-1]], offsets - offsets[0])
-        line, hashes = _shingles(_values(folded), start, end, chars)
-        at = blocks.row_bounds(text[line], len(raw))
-        return [np.unique(hashes[at[i]:at[i + 1]]) for i in range(len(raw))]
-
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for begin in range(0, whole.num_rows, 1000):
                 batch, out = whole.slice(begin, 1000), []
-                for x, y in zip(sets(batch.column("x")), sets(batch.column("y")), strict=True):
+                for x, y in zip(_sets(batch.column("x"), chars), _sets(batch.column("y"), chars), strict=True):
                     both = np.sort(np.concatenate([x, y]))
                     shared = int((both[1:] == both[:-1]).sum())
                     out.append((len(both) - 2 * shared) / (len(both) - shared))
@@ -197,12 +249,7 @@ def _distances(scratch: Scratch, docs: DataFrame, named: DataFrame, pairs: DataF
 
     pairs = scratch.write(pairs)
     wanted = scratch.write(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(named, "node"))
-    slot = lambda *c: F.pmod(F.xxhash64(*c), F.lit(SLOTS)).alias("slot")
-    texts = docs.select("*", slot("row")).join(F.broadcast(wanted.select(slot("row")).distinct()), "slot", "left_semi")
-    lines = texts.select("doc_id", "row", F.posexplode(F.split("text", "\n")).alias("at", "words")).withColumn("line", F.col("at").cast("long"))
-    lines = lines.select("*", slot("row", "line")).join(F.broadcast(wanted.select(slot("row", "line")).distinct()), "slot", "left_semi")
-    same = "l.row = w.row AND l.line = w.line AND l.doc_id <=> w.doc_id"
-    held = scratch.write(lines.alias("l").join(wanted.alias("w"), F.expr(same)).select("w.node", "l.words"))
+    held = _texts(scratch, docs, wanted)
     both = (pairs.join(held.select(F.col("node").alias("a"), F.col("words").alias("x")), "a")
                  .join(held.select(F.col("node").alias("b"), F.col("words").alias("y")), "b"))
     return both.select("a", "b", "x", "y").mapInArrow(measure, "a long, b long, distance double").distinct()

@@ -43,9 +43,11 @@ def stars(members: DataFrame, may_link: Callable[..., Column], percent: int, scr
 
 
 def connect(members: list[DataFrame], compare: Callable[[DataFrame], DataFrame], may_link: Callable[..., Column], percent: int,
-            scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+            scratch: Scratch, finer: Callable[[DataFrame], tuple[DataFrame, DataFrame]] | None = None) -> tuple[DataFrame, DataFrame]:
     """(node, component) of linked nodes, and the compared pairs (a, b, distance).
 
+    ``finer``, where given, takes the nodes of unfinished regions and connects them by regions of its own.
+
     ``members`` come in one or more tables without common regions, which are shuffled one after another.
 
     ``compare`` takes pairs ``(a, b)`` and adds their exact distance, or null for pairs that cannot link; a pair links if its
@@ -66,6 +68,11 @@ def connect(members: list[DataFrame], compare: Callable[[DataFrame], DataFrame],
     found = scratch.write(graph.components(within(done), scratch))
     rest = _unfinished(rows.filter("id <> pivot"), found, done, scratch)
     graph.release(spark)
+    if finer is not None:
+        if not rest.isEmpty():
+            done = scratch.write(done.unionByName(finer(scratch.write(rest.select("id").distinct()))[1]))
+            found = scratch.write(graph.components(within(done), scratch))
+        return found, done
     for level in range(1, LEVELS + 1):
         nodes, pairs = _across(rest)
         if not nodes:
