@@ -6,8 +6,9 @@ its question. The number of buckets follows the input, so a bucket stays small.
 all words seen after a context, goes the same way. Texts meet their block's answers by one shuffle and are scored there:
 P(w | h) is the discounted pair where it is kept, else the back-off weight of h times P(w), else times P(unknown).
 
-The model is written as tables below ``path``: ``order=1`` and ``order=2`` hold (bucket, key, count) of kept words and pairs,
-``contexts`` the discounted mass and lower-order mass of each context, from which its back-off weight follows.
+The model is written once below ``path``, as lists by bucket: ``raw/what=table`` holds the keys and counts of kept words and
+pairs (``ngrams`` reads them as rows), ``contexts`` the discounted mass and lower-order mass of each context, from which its
+back-off weight follows.
 """
 
 from __future__ import annotations
@@ -19,14 +20,15 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import blocks
+from tallyline.llm import blocks, graph
 from tallyline.sources.lake import Scratch
 
 DISCOUNTED = 5            # counts up to this are discounted
-LEAST = (1, 2)            # smallest count that a kept word, a kept pair has; a pair seen less is as unseen
+LEAST = (1, 2)            # smallest count that a kept word, a kept pair has by default; a pair seen less is as unseen
+ALL = (1, 1)              # every word and pair seen in training is kept
 BASE = 0.1                # added to every count of the base score
 BLOCK_BYTES = 24 << 20    # text of a block
 BUCKET_BYTES = 8 << 20    # text for each bucket
@@ -92,14 +94,16 @@ class Block(NamedTuple):
         inner = np.ones(first[-1], bool)
         inner[first[1:] - 1] = False
         token[inner] = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+        del parts
         words, word = np.unique(np.concatenate([token, [BEGIN]]), return_inverse=True)
-        begin, word = word[-1], word[:-1]
+        del token
+        begin, word = word[-1], word[:-1].astype(np.int32)
         context = np.empty_like(word)
         context[1:] = word[:-1]
         context[first[:-1]] = begin
         both = blocks.mix(blocks.mix(words + np.uint64(5))[context] * np.uint64(3) + words[word])
         pairs, at, pair = np.unique(both, return_index=True, return_inverse=True)
-        return cls(words, word, pairs, pair, context[at], word[at], first)
+        return cls(words, word, pairs, pair.astype(np.int32), context[at], word[at], first)
 
     def counts(self, held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Of words and pairs in texts that are not held out; the begin mark counts those texts."""
@@ -165,7 +169,7 @@ def _merged(table: pa.Table, kind: type) -> tuple[np.ndarray, np.ndarray, list[s
     return distinct, place, [slice(b - len(k), b) for k, b in zip(keys, ends, strict=True)], numbers
 
 
-def _count(asked: DataFrame) -> DataFrame:
+def _count(asked: DataFrame, least: tuple[int, int]) -> DataFrame:
     """Sums each bucket: its answers to the blocks, its part of the table, and how often each count occurs.
 
     An answer is the training count of each key asked for, doubled, plus 1 for the one block that stands for a pair.
@@ -182,7 +186,7 @@ def _count(asked: DataFrame) -> DataFrame:
         counted = total[(total > 0) & (distinct != BEGIN)]
         for r, n in zip(*np.unique(np.minimum(counted, DISCOUNTED + 2), return_counts=True), strict=True):
             out.append(("times", int(r), None, int(n), int(counted[counted >= r].sum()) if r == DISCOUNTED + 2 else int(r * n)))
-        kept = total >= LEAST[kind - 1]
+        kept = total >= least[kind - 1]
         lists = [None] * len(out) + [distinct[kept].view(np.int64)]
         out.append(("table", None, None, None, None))
         counts = [None] * (len(out) - 1) + [total[kept]]
@@ -246,28 +250,33 @@ def _numbers(parts: list, n: int) -> np.ndarray:
     return np.concatenate(found).astype(np.int64) if found else np.zeros(0, np.int64)
 
 
-def score(docs: DataFrame, scratch: Scratch, path: str | None = None) -> DataFrame:
+def ngrams(spark: SparkSession, path: str) -> DataFrame:
+    """(order, bucket, key, count) of every kept word and pair of the model below ``path``."""
+    raw = spark.read.schema(f"{_COUNTED}, what string").parquet(f"{path}/raw").filter("what = 'table'")
+    return raw.select(F.col("kind").alias("order"), "bucket", F.explode(F.arrays_zip("key", "count")).alias("e")).select("order", "bucket", "e.key", "e.count")
+
+
+def score(docs: DataFrame, scratch: Scratch, path: str | None = None, least: tuple[int, int] = LEAST) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row of ``docs(doc_id, text, held_out)``.
 
     Rows that are not held out teach the model. ``docs`` must be a written table, read in the same order each time. A null or
     empty text is one end token. Repeated rows count and are scored each. ``score`` is the log10 probability of the whole
     text; if nothing teaches, every token is unknown and has probability 1. Null ``held_out`` counts as false; other columns
-    are ignored.
+    are ignored. Words and pairs seen less than ``least`` count as unseen; ``ALL`` keeps each with its discounted count.
     """
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text", F.coalesce("held_out", F.lit(False)).alias("held_out"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-size // BUCKET_BYTES))
     path = path or f"{scratch.root}/katz-{uuid.uuid4().hex}"
-    _count(_ask(docs, buckets)).write.partitionBy("what").parquet(f"{path}/raw")
+    _count(_ask(docs, buckets), least).write.partitionBy("what").parquet(f"{path}/raw")
     raw = spark.read.schema(f"{_COUNTED}, what string").parquet(f"{path}/raw")
-    tables = raw.filter("what = 'table'").select("kind", "bucket", F.explode(F.arrays_zip("key", "count")).alias("e"))
-    tables.select(F.col("kind").alias("order"), "bucket", "e.key", "e.count").write.partitionBy("order").parquet(f"{path}/ngrams")
     times: dict[int, dict[int, tuple[int, int]]] = {1: {}, 2: {}}
     for r in raw.filter("what = 'times'").groupBy("kind", "block").agg(F.sum("n").alias("n"), F.sum("total").alias("total")).collect():
         times[r["kind"]][r["block"]] = (r["n"], r["total"])
+    graph.release(spark)
     stats = Stats(sum(t for _, t in times[1].values()), sum(n for n, _ in times[1].values()),
-                  *(discounts({r: n for r, (n, _) in times[k].items() if r <= DISCOUNTED + 1}, LEAST[k - 1]) for k in (1, 2)))
+                  *(discounts({r: n for r, (n, _) in times[k].items() if r <= DISCOUNTED + 1}, least[k - 1]) for k in (1, 2)))
     kept = sum(n * r * stats.words[r] if r <= DISCOUNTED else t for r, (n, t) in times[1].items())
     unknown = (stats.tokens - kept) / stats.tokens if stats.tokens else 1.0
     unknown = unknown if unknown > 1e-12 else 0.0
@@ -276,7 +285,7 @@ def score(docs: DataFrame, scratch: Scratch, path: str | None = None) -> DataFra
     def sums(block: int, rows: pa.Table, got: dict[int, list]) -> Iterator[pa.RecordBatch]:
         own = Block.read(_flat(rows.column("text")))
         words, pairs = _numbers(got[1], len(own.words)) >> 1, _numbers(got[2], len(own.pairs))
-        mine = (pairs >> 1 >= LEAST[1]) & (pairs & 1 == 1)
+        mine = (pairs >> 1 >= least[1]) & (pairs & 1 == 1)
         context = own.pair_context[mine]
         mass = np.bincount(context, weights=_discounted(pairs[mine] >> 1, stats.pairs), minlength=len(own.words))
         lower = np.bincount(context, weights=unigram(words, stats, unknown)[own.pair_word[mine]], minlength=len(own.words))
@@ -301,13 +310,16 @@ def score(docs: DataFrame, scratch: Scratch, path: str | None = None) -> DataFra
 
     partial = _meet(docs, counted, sums, _ASKED).groupBy("bucket").applyInArrow(total, f"what string, {_SUMMED}")
     partial.write.partitionBy("what").parquet(f"{path}/contexts")
+    del partial
     weights = spark.read.schema(f"{_SUMMED}, what string").parquet(f"{path}/contexts").filter("what = 'answer'").select("block", "kind", "bucket", "answer")
+    weights.count()  # the write's plan is let go only by a later job
+    graph.release(spark)
 
     def evaluate(block: int, rows: pa.Table, got: dict[int, list]) -> Iterator[pa.RecordBatch]:
         own = Block.read(_flat(rows.column("text")))
         words, pairs = _numbers(got[1], len(own.words)) >> 1, _numbers(got[2], len(own.pairs)) >> 1
         sums_of = np.concatenate([np.frombuffer(p, np.float64) for p in got[3]]).reshape(-1, 2)
-        least = unigram(words, stats, unknown)
+        lower = unigram(words, stats, unknown)
         seen = np.maximum(words, 1)
         left = 1 - sums_of[:, 0] / seen
         scarce = (sums_of[:, 0] > 0) & (left < 1e-12)  # no discount in this context: one more event is reserved
@@ -315,7 +327,7 @@ def score(docs: DataFrame, scratch: Scratch, path: str | None = None) -> DataFra
         back = np.log10(left) - np.log10(np.where(sums_of[:, 0] > 0, 1 - sums_of[:, 1], 1.0))
         c = own.pair_context
         own_log = np.log10(np.maximum(_discounted(pairs, stats.pairs), 1e-300) / (seen + scarce)[c])
-        log = np.where(pairs >= LEAST[1], own_log, back[c] + np.log10(least)[own.pair_word])
+        log = np.where(pairs >= least[1], own_log, back[c] + np.log10(lower)[own.pair_word])
         base = np.log10((words + BASE) / (stats.tokens + BASE * (stats.types + 1)))
         begin = own.first[:-1]
         n = rows.num_rows
