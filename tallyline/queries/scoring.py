@@ -19,9 +19,6 @@ from tallyline.queries.analytics import THRESHOLD, customers
 from tallyline.queries.base import LAYERS, query, s_count, s_ratio, s_round, s_units
 from tallyline.schemas import FEATURE_COLUMNS
 
-# Small search settings for the registered queries; the defaults of the functions are the full ones.
-SPACE = {"maxDepth": [3, 5], "maxIter": [10, 20], "stepSize": [0.05, 0.1]}
-
 LAYERS["labelled"] = f"""SELECT s.customer_id, s.churn_probability, l.churn,
     CASE WHEN s.churn_probability >= {THRESHOLD} THEN 1 ELSE 0 END AS churn_flag
     FROM scores s JOIN labels_train l ON s.customer_id = l.customer_id"""
@@ -171,10 +168,10 @@ _MODELS: dict[int, tuple] = {}
 
 
 def trained(r):
-    """One small boosted model per lake, on the training matrix."""
+    """One boosted model per lake from the full search, on the training matrix."""
     if id(r) not in _MODELS:
         train, test = M.split(r.train_features)
-        model, params, auc = M.train_boosted(train, M.search_candidates(2, space=SPACE), folds=2)
+        model, params, auc = M.train_boosted(train, M.search_candidates(50))
         _MODELS[id(r)] = (r, model, params, auc, train, test)
     return _MODELS[id(r)][1:]
 
@@ -252,7 +249,7 @@ def what_if(r):
 
 @query("m17_training_run")
 def training_run(r):
-    out = M.run_training(r.train_features, r.scratch, n_candidates=2, folds=2, enforce=False, space=SPACE)
+    out = M.run_training(r.train_features, r.scratch)
     return out["baseline"].withColumn("threshold", F.lit(float(out["threshold"])))
 
 
@@ -330,7 +327,7 @@ _CLUSTERED: dict[int, tuple] = {}
 
 def clustered(r):
     if id(r) not in _CLUSTERED:
-        _CLUSTERED[id(r)] = (r, K.run_clustering(r.mart_features, runs=2))
+        _CLUSTERED[id(r)] = (r, K.run_clustering(r.mart_features))
     return _CLUSTERED[id(r)][1]
 
 
