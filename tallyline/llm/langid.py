@@ -57,8 +57,12 @@ def classify(docs: DataFrame, dictionaries: dict[str, bytes], margin: float = MA
     ``lang_pred`` is the language with the smallest result, ties to the first name; ``und`` with score 0 for a null text, one
     without a letter, and where nothing was learned. ``score`` (0 to 1) is the share of the best language if every byte saved
     halved the odds of the others. ``accepted`` is false for ``und`` and where the gap between the best two sizes is below
-    ``margin`` of the second, that is, where margins are narrow; one known language leaves no gap to judge.
+    ``margin`` of the second, that is, where margins are narrow; one known language leaves no gap to judge. What a dictionary
+    saves is bounded, so a size beyond that of the largest compressed dictionary asks for no wider gap.
     """
+    import zstandard
+
+    evidence = max((len(zstandard.ZstdCompressor(level=level).compress(c)) for c in dictionaries.values()), default=0)
     held = docs.sparkSession.sparkContext.broadcast(dictionaries)
 
     def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -84,7 +88,7 @@ def classify(docs: DataFrame, dictionaries: dict[str, bytes], margin: float = MA
                 best = sizes[order[0]]
                 found.append(names[order[0]])
                 odds.append(float(1 / np.exp2(np.maximum(best - sizes, -1000).astype(float)).sum()))
-                clear.append(bool(len(sizes) == 1 or sizes[order[1]] - best >= max(1.0, margin * sizes[order[1]])))
+                clear.append(bool(len(sizes) == 1 or sizes[order[1]] - best >= max(1.0, margin * min(sizes[order[1]], evidence))))
             yield pa.StructArray.from_arrays(
                 [pa.array(found, pa.string()), pa.array(odds, pa.float64()), pa.array(clear, pa.bool_())], ["lang_pred", "score", "accepted"])
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import collections
 import math
+import random
 import re
 import zlib
 
@@ -11,7 +12,7 @@ import pytest
 from corpus_rows import prose
 from pyspark.sql import functions as F
 
-from tallyline.llm import katz
+from tallyline.llm import katz, langid
 from tallyline.llm.queries import op1_katz_backoff
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -57,3 +58,14 @@ def test_katz_tables_hold_every_pair(spark, docs, texts, scratch, tmp_path):
             (2, len({pair for x in tokens for pair in zip(["<s>", *x], x)}), sum(map(len, tokens)))]
     got = katz.ngrams(spark, str(tmp_path)).groupBy("order").agg(F.count("key"), F.sum("count")).collect()
     assert sorted(map(tuple, got)) == want
+
+
+def test_language_margin_holds_for_long_texts(spark):
+    """A clean text many times as long as the dictionaries keeps its language."""
+    rng = random.Random(5)
+    words = {lang: ["".join(rng.choices(letters, k=rng.randint(3, 9))) for _ in range(200)] for lang, letters in (("aa", "abcdefghijklm"), ("bb", "nopqrstuvwxyz"))}
+    say = lambda lang, n: " ".join(rng.choices(words[lang], k=n))
+    model = langid.fit(spark.createDataFrame([(say(lang, 60), lang) for lang in words for _ in range(40)], "text string, lang string"))
+    long = spark.createDataFrame([(say(lang, 400_000), lang) for lang in words], "text string, lang string")
+    got = langid.classify(long, model).select("lang", "lang_pred", "accepted").collect()
+    assert all(r["lang"] == r["lang_pred"] and r["accepted"] for r in got) and len(got) == 2
