@@ -7,7 +7,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SEVEN_LINES
+from retail_rows import SEVEN_LINES
 from tallyline import schemas
 from tallyline.functions import exprs as X
 from tallyline.plans import bronze as B

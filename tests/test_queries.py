@@ -9,7 +9,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SMALL_DATA
+from retail_rows import SMALL_DATA
 from tallyline.queries import base
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SMALL_DATA), reason="test tables are not there")
