@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import jaccard_join, katz, langid, line_dedup, mixing, multi_index, packing, quality_ftrl, quality_rules, revisits, turn_repair
+from tallyline.llm import jaccard_join, katz, langid, line_dedup, mixing, multi_index, packing, prefix_trie, quality_ftrl, quality_rules, revisits, turn_repair
 from tallyline.sources.lake import Scratch
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +113,9 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     return turn_repair.repair(turn_repair.damage(table(spark, folder, "conversations")), Scratch(spark))
+
+
+@query(prefix_trie.ORACLE)
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    scratch = Scratch(spark)
+    return prefix_trie.trie(prefix_trie.rebuilt(table(spark, folder, "conversations"), scratch), scratch)

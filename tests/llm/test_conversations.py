@@ -9,7 +9,7 @@ from functools import cache
 
 from pyspark.sql import functions as F
 
-from tallyline.llm import queries, turn_repair
+from tallyline.llm import prefix_trie, queries, turn_repair
 
 SCHEMA = "conv_id long, turn long, role string, text string, block string, place string"
 SPACE = " \t\n\x0b\x0c\r"
@@ -118,3 +118,70 @@ def test_repair_of_no_rows_and_dropped_rows(spark, scratch, tmp_path):
     gone = spark.createDataFrame([(5, 1, "user", "Hi.", False)], "conv_id long, turn long, role string, text string, present boolean")
     for most in (0, 10):
         assert repaired(turn_repair.repair(gone, scratch, giant_rows=most)) == {5: (0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())}
+
+
+def plain_trie(rows):
+    own: dict = {}
+    for conv, turn, role, text, *_ in rows:
+        if conv is not None:
+            own.setdefault(conv, []).append((turn, role or "", text or ""))
+    mark = lambda r, t: hashlib.md5(f"{len(r)}:{r}{t}".encode()).hexdigest()
+    own = {c: [t[1:] for t in sorted(r, key=lambda x: (x[0] is not None, x[0] or 0, mark(*x[1:])))] for c, r in own.items()}
+    paths = {}
+    for c, turns in own.items():
+        h = zlib.crc32(str(c).encode()) % 9
+        paths[c] = tuple(own.get(c - c % 5, [])[:h] + turns[h:])
+    members: dict = {}
+    for c, path in paths.items():
+        for d in range(len(path) + 1):
+            members.setdefault(path[:d], []).append(c)
+    out = set()
+    for node, convs in members.items():
+        below = [n for n in members if n[:len(node)] == node]
+        inner = {n[:-1] for n in members if n}
+        ends = ",".join(str(c) for c in sorted(c for c in convs if paths[c] == node))
+        out.add((min(convs), len(node), min(members[node[:-1]]) if node else None, len(convs), sum(n[:-1] == node for n in members if n),
+                 sum(n not in inner for n in below), sum((len(members[n]) - 1) * len(n[-1][1].encode()) for n in below if n), hashlib.sha256(ends.encode()).hexdigest()))
+    return out
+
+
+def as_nodes(df):
+    names = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
+    rows = [tuple(r[n] for n in names) for r in df.collect()]
+    assert len(rows) == len(set(rows))
+    return set(rows)
+
+
+def trie_rows():
+    rng = random.Random(8)
+    rows = [(c, k, ("user", "assistant")[k % 2], rng.choice(["Hi.", "Yes é.", ""]) if k < 3 else f"t{rng.randint(0, 9)}", "", "") for c in range(1, 150) for k in range(rng.randint(1, 7))]
+    rows += [(c, k, "user", "same", "", "") for c in range(200, 300) for k in range(3)]  # copies of one conversation
+    rows += [(400, k, "user", f"{k % 7}", "", "") for k in range(300)] + [(405, k, "user", f"{k % 7}", "", "") for k in range(310)]
+    return rows + [(500, None, None, None, "", ""), (500, 1, "user", "x" * 100_000, "", ""), (None, 1, "user", "a", "", ""), (501, 1, "a", "a", "", ""), (501, 1, "a", "a", "", "")]
+
+
+def test_trie_equals_plain_python(spark, scratch, tmp_path):
+    rows = trie_rows()
+    expected = plain_trie(rows)
+    as_written(spark, rows, tmp_path)
+    assert as_nodes(queries.op12_prefix_trie(spark, str(tmp_path))) == expected
+    paths = prefix_trie.rebuilt(spark.read.parquet(str(tmp_path / "conversations.parquet")), scratch)
+    for shards in (2, 9, 60):
+        assert as_nodes(prefix_trie.trie(paths, scratch, shards=shards)) == expected
+
+
+def test_skeleton_is_met_in_many_shards(spark, scratch, tmp_path, monkeypatch):
+    monkeypatch.setattr(prefix_trie, "CHUNK_IDS", 7)
+    monkeypatch.setattr(prefix_trie, "SKELETON_TURNS", 3)
+    rows = trie_rows()
+    paths = prefix_trie.rebuilt(as_written(spark, rows, tmp_path), scratch)
+    splitters = prefix_trie._splitters(scratch.write(paths), 20)
+    assert len({p for p, _ in splitters}) < len(splitters) <= 19 and max(len(p) for p, _ in splitters) <= 48
+    assert as_nodes(prefix_trie.trie(paths, scratch, shards=20)) == plain_trie(rows)
+
+
+def test_trie_of_few_rows(spark, scratch, tmp_path):
+    empty = as_written(spark, [], tmp_path)
+    assert prefix_trie.trie(prefix_trie.rebuilt(empty, scratch), scratch).count() == 0
+    one = spark.createDataFrame([(7, 1, "user", "Hi")], "conv_id long, turn long, role string, text string")
+    assert as_nodes(prefix_trie.trie(prefix_trie.rebuilt(one, scratch), scratch)) == plain_trie([(7, 1, "user", "Hi")])
