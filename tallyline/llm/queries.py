@@ -10,7 +10,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import jaccard_join, katz, langid, line_dedup, mixing, multi_index, packing, prefix_trie, quality_ftrl, quality_rules, revisits, turn_repair
+from tallyline.llm import (
+    jaccard_join, katz, langid, line_dedup, mixing, multi_index, packing, page_diff, prefix_trie, quality_ftrl, quality_rules, revisits,
+    turn_repair)
 from tallyline.sources.lake import Scratch
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -119,3 +121,8 @@ def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
 def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     scratch = Scratch(spark)
     return prefix_trie.trie(prefix_trie.rebuilt(table(spark, folder, "conversations"), scratch), scratch)
+
+
+@query()
+def op13_page_differencing(spark: SparkSession, folder: str) -> DataFrame:
+    return page_diff.extract(table(spark, folder, "pages"), Scratch(spark))
