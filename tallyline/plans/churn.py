@@ -4,34 +4,36 @@ from __future__ import annotations
 
 import random
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import Imputer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.functions import exprs as X
 from tallyline.operators.ordering import global_row_number
+from tallyline.operators.quantiles import exact_quantiles, long_values
+from tallyline.plans import boosting
 from tallyline.plans import scoring as S
+from tallyline.plans.boosting import BoostedModel
 from tallyline.schemas import FEATURE_COLUMNS, SKEWED_FEATURES
 from tallyline.sources.lake import Scratch
 
 SEED = 42
 LABEL, WEIGHT, FOLD, HOLD_OUT = "churn", "class_weight", "fold", "hold_out"
 
-# The searched hyper-parameters of the boosted trees, in MLlib's terms.
+# The searched hyper-parameters of the boosted trees.
 SEARCH_SPACE = {
-    "maxDepth": [3, 5, 7],
-    "maxIter": [100, 200, 300],
-    "stepSize": [0.01, 0.05, 0.1],
-    "minInfoGain": [0.0, 0.1, 0.5],
-    "minInstancesPerNode": [1, 3, 5],
-    "subsamplingRate": [0.7, 0.8, 1.0],
-    "featureSubsetStrategy": ["0.7", "0.8", "all"],
+    "max_depth": [3, 5, 7],
+    "n_trees": [100, 200, 300],
+    "learning_rate": [0.01, 0.05, 0.1],
+    "min_gain": [0.0, 0.1, 0.5],
+    "min_child_weight": [1, 3, 5],
+    "row_share": [0.7, 0.8, 1.0],
+    "column_share": [0.7, 0.8, 1.0],
 }
 
 
@@ -92,34 +94,26 @@ def search_candidates(n: int, seed: int = SEED, space: dict[str, list] | None =
     return out
 
 
-def train_boosted(train: DataFrame, candidates: list[dict], folds: int = 5, parallelism: int = 4,
-                  seed: int = SEED) -> tuple[PipelineModel, dict, float]:
-    """Random search by cross-validated AUC, then a final fit that stops early on the held-out fifth.
+def median_filled(df: DataFrame, columns: Sequence[str], scratch: Scratch) -> DataFrame:
+    """``df`` with the missing values of numeric columns set to the column's exact median; 0 if it has no value."""
+    medians = exact_quantiles(long_values(df, list(columns)), ["feature"], "value", {"median": 0.5}, scratch)
+    one = medians.groupBy().pivot("feature", list(columns)).agg(F.first("median")).toDF(*[f"_median_{c}" for c in columns])
+    filled = {c: F.coalesce(F.col(c).cast("double"), F.col(f"_median_{c}"), F.lit(0.0)) for c in columns}
+    return df.crossJoin(F.broadcast(one)).select(*[filled[c].alias(c) if c in filled else F.col(c) for c in df.columns])
 
-    Returns (model, best parameters, cross-validated AUC).
+
+def train_boosted(train: DataFrame, candidates: list[dict], folds: int = 5, seed: int = SEED) -> BoostedModel:
+    """Random search by cross-validated AUC, then a final fit; every fit stops early on the held-out fifth.
+
+    ``figures`` of the model have the cross-validated AUC, ``params`` the chosen candidate.
     """
     rows = _numeric(weighted(train, folds, seed), FEATURE_COLUMNS)
-    stages = imputed_vector()
-    prepared = Pipeline(stages=stages).fit(rows)
-    vectors = prepared.transform(rows).select("customer_id", "label", WEIGHT, FOLD, HOLD_OUT, "features").persist()
-    try:
-        tree = GBTClassifier(labelCol="label", weightCol=WEIGHT, seed=seed)
-        grid = [{tree.getParam(k): v for k, v in c.items()} for c in candidates]
-        search = CrossValidator(
-            estimator=tree, estimatorParamMaps=grid, numFolds=folds, foldCol=FOLD, parallelism=parallelism,
-            evaluator=BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction"))
-        found = search.fit(vectors)
-        best = max(range(len(candidates)), key=lambda i: found.avgMetrics[i])
-        final = tree.copy({tree.getParam(k): v for k, v in candidates[best].items()})
-        final.setValidationIndicatorCol(HOLD_OUT)
-        model = PipelineModel(stages=[*prepared.stages, final.fit(vectors)])
-        return model, candidates[best], float(found.avgMetrics[best])
-    finally:
-        vectors.unpersist()
-
-
-def baseline_models(train: DataFrame, boosted: dict | None = None, seed: int = SEED) -> dict[str, PipelineModel]:
-    """Logistic regression, random forest and boosted trees on the same rows, simplest first."""
+    data = boosting.training_matrix(rows.select("customer_id", *FEATURE_COLUMNS, "label", WEIGHT, FOLD, HOLD_OUT), "customer_id")
+    return boosting.search(train.sparkSession, data, FEATURE_COLUMNS, candidates, folds, seed, "label", WEIGHT, FOLD, HOLD_OUT)
+
+
+def baseline_models(train: DataFrame, boosted: BoostedModel, seed: int = SEED, forest_trees: int = 200, forest_depth: int = 10) -> dict:
+    """Logistic regression and random forest on the training rows beside the boosted trees, simplest first."""
     from pyspark.ml.feature import SQLTransformer
 
     rows = _numeric(weighted(train, seed=seed), FEATURE_COLUMNS)
@@ -130,21 +124,22 @@ def baseline_models(train: DataFrame, boosted: dict | None = None, seed: int = S
     shaped = [f"{c}_log" if c in SKEWED_FEATURES else f"{c}_filled" for c in FEATURE_COLUMNS]
     linear = [imputer, logs, VectorAssembler(inputCols=shaped, outputCol="raw_features"),
               StandardScaler(inputCol="raw_features", outputCol="features", withMean=True),
-              LogisticRegression(labelCol="label", weightCol=WEIGHT, maxIter=100, regParam=0.01)]
-    forest = RandomForestClassifier(labelCol="label", weightCol=WEIGHT, numTrees=50, maxDepth=7, seed=seed)
-    trees = GBTClassifier(labelCol="label", weightCol=WEIGHT, seed=seed, **(boosted or {"maxIter": 20, "maxDepth": 3}))
+              LogisticRegression(labelCol="label", weightCol=WEIGHT, maxIter=1000, regParam=0.01)]
+    forest = RandomForestClassifier(labelCol="label", weightCol=WEIGHT, numTrees=forest_trees, maxDepth=forest_depth, seed=seed)
     return {"Logistic Regression": Pipeline(stages=linear).fit(rows),
             "Random Forest": Pipeline(stages=[*imputed_vector(), forest]).fit(rows),
-            "Boosted Trees": Pipeline(stages=[*imputed_vector(), trees]).fit(rows)}
+            "Boosted Trees": boosted}
 
 
-def probabilities(model: PipelineModel, features: DataFrame) -> DataFrame:
+def probabilities(model: PipelineModel | BoostedModel, features: DataFrame) -> DataFrame:
     """The input rows with ``churn_probability``."""
+    if isinstance(model, BoostedModel):
+        return model.probabilities(features)
     scored = model.transform(_numeric(features, FEATURE_COLUMNS))
     return scored.select(*features.columns, vector_to_array("probability")[1].alias("churn_probability"))
 
 
-def compare_models(models: dict[str, PipelineModel], test: DataFrame, scratch: Scratch, cutoff: float = 0.5) -> DataFrame:
+def compare_models(models: dict[str, PipelineModel | BoostedModel], test: DataFrame, scratch: Scratch, cutoff: float = 0.5) -> DataFrame:
     """(model, simplicity, metrics) per model on the test rows."""
     out = None
     for rank, (name, model) in enumerate(models.items()):
@@ -164,16 +159,31 @@ def select_model(comparison: DataFrame, gate: float = 0.80, slack: float = 0.01)
     return close.orderBy(F.desc("f1_churn"), "simplicity", F.desc("auc_roc")).limit(1).select(comparison.columns)
 
 
-def batch_score(model: PipelineModel, features: DataFrame, threshold: float) -> DataFrame:
+def batch_score(model: BoostedModel, features: DataFrame, threshold: float) -> DataFrame:
     return S.score(probabilities(model, features), threshold)
 
 
 # ---- attribution -------------------------------------------------------------------------------------------
 
-def gain_importance(model: PipelineModel, df: DataFrame) -> DataFrame:
+def gain_importance(model: BoostedModel, df: DataFrame) -> DataFrame:
     """(feature, importance) from the trees' split gains; 32 rows of model metadata."""
-    weights = model.stages[-1].featureImportances.toArray().tolist()
-    return df.sparkSession.createDataFrame(list(zip(FEATURE_COLUMNS, weights)), "feature string, importance double")
+    return df.sparkSession.createDataFrame(list(zip(FEATURE_COLUMNS, model.importances().tolist())), "feature string, importance double")
+
+
+def shapley(model: BoostedModel, features: DataFrame) -> DataFrame:
+    """(customer_id, feature, contribution, expected_value, margin): exact Shapley values of the margin, with covers as the background."""
+    return model.contributions(features, "customer_id")
+
+
+def shapley_importance(contributions: DataFrame) -> DataFrame:
+    """(feature, mean_abs_shap) over all explained customers."""
+    return contributions.groupBy("feature").agg(F.avg(F.abs("contribution")).alias("mean_abs_shap"))
+
+
+def shapley_drivers(contributions: DataFrame, n: int = 8) -> DataFrame:
+    """The n features that move each customer's margin most, with their sign."""
+    rows = contributions.select("customer_id", "feature", "contribution")
+    return S.first_rows(rows, "customer_id", [F.desc(F.abs("contribution")), F.asc("feature")], n)
 
 
 def _one_changed(df: DataFrame, replacements: dict[str, Column], keep: Sequence[str]) -> DataFrame:
@@ -184,7 +194,7 @@ def _one_changed(df: DataFrame, replacements: dict[str, Column], keep: Sequence[
     return copies.select(*keep, "changed_feature", *values)
 
 
-def median_ablation(model: PipelineModel, features: DataFrame, scratch: Scratch) -> DataFrame:
+def median_ablation(model: BoostedModel, features: DataFrame, scratch: Scratch) -> DataFrame:
     """(customer_id, feature, score_change): how the score moves when one feature is set to its median.
 
     This is not a Shapley value; it answers a similar question with one distributed scoring pass.
@@ -208,7 +218,7 @@ def top_drivers(ablation: DataFrame, n: int = 8) -> DataFrame:
     return S.first_rows(ablation, "customer_id", [F.desc(F.abs("score_change")), F.asc("feature")], n)
 
 
-def permutation_importance(model: PipelineModel, labelled: DataFrame, scratch: Scratch, seed: int = SEED) -> DataFrame:
+def permutation_importance(model: BoostedModel, labelled: DataFrame, scratch: Scratch, seed: int = SEED) -> DataFrame:
     """(feature, auc_drop) when a feature's values are taken from another, randomly placed customer."""
     shuffled = global_row_number(labelled.withColumn("_h", F.xxhash64("customer_id", F.lit(seed))), ["_h", "customer_id"],
                                  scratch, "_rn")
@@ -227,7 +237,7 @@ def permutation_importance(model: PipelineModel, labelled: DataFrame, scratch: S
 LEVERS = ["recency_days", "frequency", "monetary", "frequency_last_90d", "avg_order_value", "tenure_days"]
 
 
-def what_if(model: PipelineModel, features: DataFrame, scenarios: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:
+def what_if(model: BoostedModel, features: DataFrame, scenarios: DataFrame, threshold: float, scratch: Scratch) -> DataFrame:
     """Score scenarios: the median customer with some levers set, each held between its 1st and 99th percentile.
 
     ``scenarios`` has ``scenario`` and any of the lever columns; a NULL lever stays at the median.
@@ -257,16 +267,27 @@ def run_training(labelled: DataFrame, scratch: Scratch, n_candidates: int = 50,
     """Split, search, evaluate, choose the threshold, check the gate and take the drift baselines.
 
     The threshold is chosen on the early-stopping fifth of the training rows, or on the test rows with
-    ``threshold_on='test'``.
+    ``threshold_on='test'``. A model below the gate is reported but not released, unless ``enforce`` is off: it comes without
+    drift baselines and ``publish_model`` refuses it. All figures are in ``model.figures``.
     """
     train, test = split(labelled)
-    model, params, cv_auc = train_boosted(train, search_candidates(n_candidates, space=space), folds)
+    model = train_boosted(train, search_candidates(n_candidates, space=space), folds)
     scored_test = probabilities(model, test).withColumn("churn_flag", X.churn_flag("churn_probability", 0.5))
     metrics = S.evaluate(scored_test, scratch).first().asDict()
-    passed = S.enforce_gate(metrics["auc_roc"], gate, enforce)
+    passed = S.enforce_gate(metrics["auc_roc"], gate, enforce=False)
+    released = passed or not enforce
     chosen_on = test if threshold_on == "test" else weighted(train).filter(HOLD_OUT).select(train.columns)
     threshold = S.best_threshold(probabilities(model, chosen_on), scratch).first()["threshold"]
-    scored_train = probabilities(model, train)
-    baseline = S.feature_baseline(train).unionByName(S.score_baseline(scored_train))
-    return {"model": model, "params": params, "cv_auc": cv_auc, "metrics": metrics, "gate_passed": passed,
-            "threshold": threshold, "baseline": baseline}
+    model = replace(model, figures={**model.figures, **metrics, "threshold": float(threshold), "gate": gate, "gate_passed": passed, "released": released})
+    baseline = None
+    if released:
+        baseline = S.feature_baseline(train).unionByName(S.score_baseline(probabilities(model, train)))
+    return {"model": model, "metrics": metrics, "gate_passed": passed, "released": released, "threshold": threshold, "baseline": baseline}
+
+
+def publish_model(run: dict, spark, path: str) -> None:
+    """Store a released model with its baselines where scoring and monitoring read them."""
+    if not run["released"]:
+        raise S.GateFailed(f"AUC {run['metrics']['auc_roc']:.4f} is below the gate")
+    run["model"].save(spark, path)
+    run["baseline"].coalesce(1).write.mode("overwrite").parquet(f"{path}/baseline")

@@ -94,7 +94,7 @@ def retention_acceptance(customers: DataFrame, path: str, threshold: float, **fi
     return {"issues": issues, "metrics": metrics, "passed": not issues}
 
 
-def serving_base(features: DataFrame, rfm: DataFrame, model: PipelineModel, cluster_model: PipelineModel | None = None,
+def serving_base(features: DataFrame, rfm: DataFrame, model: PipelineModel | churn.BoostedModel, cluster_model: PipelineModel | None = None,
                  cluster_names: DataFrame | None = None) -> DataFrame:
     """Features, segment, churn probability and, if a cluster model is stored, the cluster of every customer."""
     base = churn.probabilities(model, features.join(rfm.select("customer_id", "segment"), "customer_id", "left"))

@@ -15,9 +15,11 @@ from tallyline.plans import clustering as K
 from tallyline.plans import features as P
 from tallyline.plans import monitoring as D
 from tallyline.plans import scoring as S
+from tallyline.plans.boosting import BoostedModel
 from tallyline.queries.analytics import THRESHOLD, customers
 from tallyline.queries.base import LAYERS, query, s_count, s_ratio, s_round, s_units
 from tallyline.schemas import FEATURE_COLUMNS
+from tallyline.sources.lake import is_complete
 
 LAYERS["labelled"] = f"""SELECT s.customer_id, s.churn_probability, l.churn,
     CASE WHEN s.churn_probability >= {THRESHOLD} THEN 1 ELSE 0 END AS churn_flag
@@ -168,21 +170,30 @@ _MODELS: dict[int, tuple] = {}
 
 
 def trained(r):
-    """One boosted model per lake from the full search, on the training matrix."""
+    """(model, training rows, test rows): one full search per lake, stored with its figures and read back."""
     if id(r) not in _MODELS:
-        train, test = M.split(r.train_features)
-        model, params, auc = M.train_boosted(train, M.search_candidates(50))
-        _MODELS[id(r)] = (r, model, params, auc, train, test)
+        path = f"{r.lake.root}/churn_model"
+        if not is_complete(r.spark, f"{path}/about"):
+            M.run_training(r.train_features, r.scratch)["model"].save(r.spark, path)
+        _MODELS[id(r)] = (r, BoostedModel.load(r.spark, path), *M.split(r.train_features))
     return _MODELS[id(r)][1:]
 
 
-@query("m1_median_imputation")
+def s_hole(column: str) -> str:
+    return f"CAST('0x' || SUBSTR(md5(customer_id || '{column}'), 1, 7) AS BIGINT) % 11 = 0"
+
+
+LAYERS["holed"] = "SELECT customer_id, " + ", ".join(f"CASE WHEN {s_hole(c)} THEN NULL ELSE CAST({c} AS DOUBLE) END AS {c}" for c in FEATURE_COLUMNS) + " FROM fx"
+
+
+@query("m1_median_imputation", "SELECT customer_id, " + ", ".join(
+    f"{s_round(f'COALESCE({c}, (SELECT quantile_cont({c}, 0.5) FROM holed))', 6)} AS {c}" for c in FEATURE_COLUMNS) + " FROM holed")
 def median_imputation(r):
     """All features, each made unknown for some customers so that there is something to fill."""
-    holes = {c: F.when(F.pmod(F.xxhash64("customer_id", F.lit(c)), F.lit(11)) != 0, F.col(c).cast("double")) for c in FEATURE_COLUMNS}
-    known = r.mart_features.select("customer_id", *[v.alias(c) for c, v in holes.items()])
-    return M.imputed_vector()[0].fit(known).transform(known).select("customer_id", *[f"{c}_filled" for c in FEATURE_COLUMNS])
-
+    holes = [F.when(F.conv(F.substring(F.md5(F.concat("customer_id", F.lit(c)).cast("binary")), 1, 7), 16, 10).cast("bigint") % 11 != 0,
+                    F.col(c).cast("double")).alias(c) for c in FEATURE_COLUMNS]
+    filled = M.median_filled(r.mart_features.select("customer_id", *holes), FEATURE_COLUMNS, r.scratch)
+    return filled.select("customer_id", *[X.round_to(c, 6).alias(c) for c in FEATURE_COLUMNS])
 
 
 def s_bucket(salt: int, size: int, more: str = "") -> str:
@@ -212,15 +223,15 @@ query("m5_hold_out_flags", f"""SELECT {s_bucket(M.SEED + 2, 5)} = 0 AS {M.HOLD_O
 
 @query("m4_boosted_training")
 def boosted_training(r):
-    model, params, auc, _, test = trained(r)
+    model, _, test = trained(r)
     scored = M.probabilities(model, test).withColumn("churn_flag", X.churn_flag(_P, 0.5))
-    return S.evaluate(scored, r.scratch).withColumn("cv_auc", F.lit(auc))
+    return S.evaluate(scored, r.scratch).withColumns({k: F.lit(model.figures[k]) for k in ("cv_auc", "hold_out_auc", "fits", "trees")})
 
 
 @query("m6_model_comparison")
 def model_comparison(r):
-    train, test = M.split(r.train_features)
-    compared = M.compare_models(M.baseline_models(train, {"maxIter": 10, "maxDepth": 3}), test, r.scratch)
+    model, train, test = trained(r)
+    compared = r.scratch.write(M.compare_models(M.baseline_models(train, model), test, r.scratch))
     winner = M.select_model(compared).select("model", F.lit(True).alias("selected"))
     return compared.join(F.broadcast(winner), "model", "left").withColumn("selected", F.coalesce("selected", F.lit(False)))
 
@@ -232,7 +243,10 @@ query("l3_top_importances")(lambda r: S.top_by(M.gain_importance(trained(r)[0],
 query("m11_median_ablation")(lambda r: M.median_ablation(trained(r)[0], r.mart_features, r.scratch))
 query("m11_global_ablation")(lambda r: M.global_ablation_importance(M.median_ablation(trained(r)[0], r.mart_features, r.scratch)))
 query("m11_top_drivers")(lambda r: M.top_drivers(M.median_ablation(trained(r)[0], r.mart_features, r.scratch)))
-query("m11_permutation_importance")(lambda r: M.permutation_importance(trained(r)[0], trained(r)[4], r.scratch))
+query("m11_shapley_values")(lambda r: M.shapley(trained(r)[0], r.mart_features))
+query("m11_shapley_importance")(lambda r: M.shapley_importance(M.shapley(trained(r)[0], trained(r)[2])))
+query("m11_shapley_drivers")(lambda r: M.shapley_drivers(M.shapley(trained(r)[0], r.mart_features)))
+query("m11_permutation_importance")(lambda r: M.permutation_importance(trained(r)[0], trained(r)[2], r.scratch))
 
 
 @query("m15_what_if")
@@ -249,8 +263,14 @@ def what_if(r):
 
 @query("m17_training_run")
 def training_run(r):
-    out = M.run_training(r.train_features, r.scratch)
-    return out["baseline"].withColumn("threshold", F.lit(float(out["threshold"])))
+    """The figures of the whole run, gate outcome included, and the drift baselines if the gate lets the model go out."""
+    model, train, _ = trained(r)
+    rows = [("training", k, float(v)) for k, v in {**model.figures, **model.params}.items()]
+    out = r.spark.createDataFrame(rows, "part string, name string, value double").withColumn("std", F.lit(None).cast("double"))
+    if model.figures["released"]:
+        baseline = S.feature_baseline(train).unionByName(S.score_baseline(M.probabilities(model, train)))
+        out = out.unionByName(baseline.select(F.lit("baseline").alias("part"), F.col("feature").alias("name"), F.col("mean").alias("value"), "std"))
+    return out
 
 
 # ---- clusters ----------------------------------------------------------------------------------------------

@@ -25,8 +25,9 @@ def caught(monkeypatch, module, name, run):
 
 
 def test_models_come_from_the_full_search(monkeypatch):
-    r = SimpleNamespace(train_features=None, mart_features=None, scratch=None)
+    r = SimpleNamespace(train_features=None, mart_features=None, scratch=None, spark=None, lake=SimpleNamespace(root=""))
     monkeypatch.setattr(M, "split", lambda df: (df, df))
+    monkeypatch.setattr(scoring, "is_complete", lambda *_: False)
     for run in (lambda: scoring.trained(r), lambda: scoring.training_run(r)):
         args, options = caught(monkeypatch, M, "train_boosted", run)
         assert len(args[1]) == 50 and all(set(c) == set(M.SEARCH_SPACE) for c in args[1])
@@ -35,5 +36,7 @@ def test_models_come_from_the_full_search(monkeypatch):
 
 
 def test_training_run_keeps_the_gate(monkeypatch):
-    args, options = caught(monkeypatch, M, "run_training", lambda: scoring.training_run(SimpleNamespace(train_features=None, scratch=None)))
+    r = SimpleNamespace(train_features=None, scratch=None, spark=None, lake=SimpleNamespace(root=""))
+    monkeypatch.setattr(scoring, "is_complete", lambda *_: False)
+    args, options = caught(monkeypatch, M, "run_training", lambda: scoring.training_run(r))
     assert options.get("enforce", True)
