@@ -13,6 +13,7 @@ from tallyline.plans.marts import invoice_rollup
 from tallyline.schemas import FEATURE_COLUMNS
 
 EVALUATION_DAYS = 90
+KEYS = ["as_of", "customer_id"]
 HOME_COUNTRY = "United Kingdom"
 
 
@@ -35,23 +36,36 @@ def _midpoint(first: datetime, last: datetime) -> datetime:
     return first + timedelta(microseconds=((last - first) // timedelta(microseconds=1)) // 2)
 
 
-def _per_invoice(rollup: DataFrame, obs: datetime, middle: datetime) -> DataFrame:
-    """(customer, invoice) grain with the time windows applied."""
+def at_dates(df: DataFrame, dates: list[tuple[datetime, datetime]], at: str = "invoice_date") -> DataFrame:
+    """Each row once for every (as_of, middle) whose ``as_of`` it lies before; copies are made inside the tasks."""
+    if len(dates) == 1:
+        (as_of, middle), = dates
+        return df.filter(F.col(at) <= _ntz(as_of)).withColumns({"as_of": _ntz(as_of), "middle": _ntz(middle)})
+    pairs = F.array(*[F.struct(_ntz(d).alias("as_of"), _ntz(m).alias("middle")) for d, m in dates])
+    return df.select("*", F.inline(F.filter(pairs, lambda d: d["as_of"] >= F.col(at))))
+
+
+def _before(days: int) -> Column:
+    return F.col("as_of") - F.make_dt_interval(F.lit(days))
+
+
+def _per_invoice(rollup: DataFrame) -> DataFrame:
+    """(date, customer, invoice) grain with the time windows applied."""
     def valid_since(days: int) -> Column:
-        return F.col("has_valid") & (F.col("invoice_date") >= _ntz(obs - timedelta(days=days)))
+        return F.col("has_valid") & (F.col("invoice_date") >= _before(days))
 
     def amount(when: Column) -> Column:
         return F.sum(F.when(when, F.col("valid_amount")).otherwise(F.lit(0).cast("bigint")))
 
     valid_at = F.when(F.col("has_valid"), F.col("invoice_date"))
-    return rollup.groupBy("customer_id", "invoice").agg(
+    return rollup.groupBy(*KEYS, "invoice").agg(
         F.max("has_valid").alias("valid"), F.max("has_cancelled").alias("cancelled"),
         F.min(valid_at).alias("first_at"), F.max(valid_at).alias("last_at"),
         F.sum("valid_amount").alias("amount"), F.sum("valid_quantity").alias("quantity"),
         F.max(valid_since(30)).alias("in_30d"), F.max(valid_since(90)).alias("in_90d"),
         F.max(valid_since(180)).alias("in_180d"), amount(valid_since(90)).alias("amount_90d"),
-        amount(F.col("invoice_date") < _ntz(middle)).alias("amount_first_half"),
-        amount(F.col("invoice_date") >= _ntz(middle)).alias("amount_second_half"),
+        amount(F.col("invoice_date") < F.col("middle")).alias("amount_first_half"),
+        amount(F.col("invoice_date") >= F.col("middle")).alias("amount_second_half"),
         F.sum("quantity_out").alias("quantity_out"), F.sum("quantity_back").alias("quantity_back"),
         F.min("country").alias("country"),
     )
@@ -59,7 +73,7 @@ def _per_invoice(rollup: DataFrame, obs: datetime, middle: datetime) -> DataFram
 
 def _customer_base(invoices: DataFrame) -> DataFrame:
     valid = F.col("valid")
-    return invoices.groupBy("customer_id").agg(
+    return invoices.groupBy(*KEYS).agg(
         F.min("first_at").alias("first_purchase"), F.max("last_at").alias("last_purchase"),
         X.count_if(valid).alias("frequency"), F.sum("amount").alias("amount"), F.sum("quantity").alias("quantity"),
         X.count_if(F.col("in_30d")).alias("frequency_last_30d"), X.count_if(F.col("in_90d")).alias("frequency_last_90d"),
@@ -72,14 +86,17 @@ def _customer_base(invoices: DataFrame) -> DataFrame:
     ).filter(F.col("frequency") >= 1)
 
 
-def _order_rhythm(rollup: DataFrame, gap_scope: str) -> tuple[DataFrame, DataFrame]:
-    """Gap statistics and weekend share over a customer's invoices (``valid`` ones, or ``all`` of them)."""
+def _order_rhythm(rollup: DataFrame, gap_scope: str, dates: list[tuple[datetime, datetime]]) -> tuple[DataFrame, DataFrame]:
+    """Gap statistics and weekend share over a customer's invoices (``valid`` ones, or ``all`` of them).
+
+    The gap before an invoice does not depend on what comes later, so gaps are found once for all dates.
+    """
     scoped = rollup.filter("has_valid") if gap_scope == "valid" else rollup
     dated = scoped.groupBy("customer_id", "invoice").agg(F.min("invoice_date").alias("at"))
-    gaps = event_gaps(dated, "customer_id", "at", "invoice").groupBy("customer_id").agg(
+    gaps = at_dates(event_gaps(dated, "customer_id", "at", "invoice"), dates, "at").groupBy(*KEYS).agg(
         X.ratio(X.ratio(F.sum("gap_us"), F.count("gap_us")), F.lit(X.MICROS_PER_DAY)).alias("avg_gap"),
         F.stddev_samp(F.col("gap_us") / float(X.MICROS_PER_DAY)).alias("std_gap"))
-    weekend = dated.groupBy("customer_id").agg(
+    weekend = at_dates(dated, dates, "at").groupBy(*KEYS).agg(
         X.ratio(X.count_if(F.weekday("at") >= 5), F.count(F.lit(1))).alias("weekend_purchase_ratio"))
     return gaps, weekend
 
@@ -98,17 +115,16 @@ def least_squares_slope(x: Column, y_units: Column) -> Column:
 def _monthly_trend(rollup: DataFrame) -> DataFrame:
     """Least-squares slope of monthly spend; 0 for fewer than two months."""
     month = (X.month_index("invoice_date") - 2000 * 12).cast("bigint")
-    monthly = rollup.filter("has_valid").groupBy("customer_id", month.alias("m")).agg(
+    monthly = rollup.filter("has_valid").groupBy(*KEYS, month.alias("m")).agg(
         F.sum("valid_amount").alias("amount"))
-    return monthly.groupBy("customer_id").agg(
+    return monthly.groupBy(*KEYS).agg(
         least_squares_slope(F.col("m"), F.col("amount")).alias("monetary_trend"))
 
 
-def _product_breadth(lines: DataFrame, obs: datetime) -> DataFrame:
-    recent = F.col("invoice_date") >= _ntz(obs - timedelta(days=90))
-    per_product = lines.filter("is_valid_purchase").groupBy("customer_id", "stock_code").agg(
-        F.max(recent).alias("recent"))
-    return per_product.groupBy("customer_id").agg(
+def _product_breadth(lines: DataFrame) -> DataFrame:
+    recent = F.col("invoice_date") >= _before(90)
+    per_product = lines.filter("is_valid_purchase").groupBy(*KEYS, "stock_code").agg(F.max(recent).alias("recent"))
+    return per_product.groupBy(*KEYS).agg(
         F.count(F.lit(1)).alias("unique_products"), X.count_if(F.col("recent")).alias("unique_products_90d"))
 
 
@@ -118,20 +134,37 @@ def mart_features(lines: DataFrame, as_of: datetime | None = None, gap_scope: st
 
     Guests are dropped before any customer shuffle. ``rollup`` is the written ``invoice_rollup`` if there is one.
     """
+    obs, first_valid = as_of_bounds(lines, as_of)
+    return _features(lines, [(obs, first_valid)], gap_scope, home_country, rollup).drop("as_of")
+
+
+def features_at(lines: DataFrame, dates: list[datetime], gap_scope: str = "valid", home_country: str = HOME_COUNTRY,
+                rollup: DataFrame | None = None) -> DataFrame:
+    """(as_of, customer_id, features): the feature table as it was on each of ``dates``, in one job.
+
+    A date before the first valid purchase has no rows. Line copies are bounded by the number of dates.
+    """
+    _, first_valid = as_of_bounds(lines)
+    return _features(lines, [(d, first_valid) for d in sorted(set(dates)) if d >= first_valid], gap_scope, home_country, rollup)
+
+
+def _features(lines: DataFrame, bounds: list[tuple[datetime, datetime]], gap_scope: str, home_country: str, rollup: DataFrame | None) -> DataFrame:
     if gap_scope not in ("valid", "all"):
         raise ValueError("gap_scope must be 'valid' or 'all'")
-    obs, first_valid = as_of_bounds(lines, as_of)
-    seen = (F.col("customer_id") != "") & (F.col("invoice_date") <= _ntz(obs))
+    if not bounds:
+        raise ValueError("no customer purchase up to any of the dates")
+    dates = [(d, _midpoint(first, d)) for d, first in bounds]
+    seen = (F.col("customer_id") != "") & (F.col("invoice_date") <= _ntz(max(d for d, _ in dates)))
     known = lines.filter(seen)
     rolled = invoice_rollup(known) if rollup is None else rollup.filter(seen)
+    placed = at_dates(rolled, dates)
 
-    base = _customer_base(_per_invoice(rolled, obs, _midpoint(first_valid, obs)))
-    gaps, weekend = _order_rhythm(rolled, gap_scope)
-    wide = base
-    for side in (gaps, weekend, _monthly_trend(rolled), _product_breadth(known, obs)):
-        wide = wide.join(side, "customer_id", "left")
+    wide = _customer_base(_per_invoice(placed))
+    gaps, weekend = _order_rhythm(rolled, gap_scope, dates)
+    for side in (gaps, weekend, _monthly_trend(placed), _product_breadth(at_dates(known, dates))):
+        wide = wide.join(side, KEYS, "left")
 
-    recency = X.days_between("last_purchase", _ntz(obs))
+    recency = X.days_between("last_purchase", F.col("as_of"))
     money = wide.select(
         "*", recency.alias("recency_days"), X.from_units("amount").alias("monetary"),
         X.from_units("amount_90d").alias("monetary_last_90d"), X.from_units("quantity").alias("total_quantity"),
@@ -143,7 +176,7 @@ def mart_features(lines: DataFrame, as_of: datetime | None = None, gap_scope: st
         "avg_basket_size": X.safe_divide("total_quantity", "frequency"),
         "avg_unit_price": X.safe_divide("monetary", "total_quantity"),
         "tenure_days": X.days_between("first_purchase", "last_purchase"),
-        "days_since_first_purchase": X.days_between("first_purchase", _ntz(obs)),
+        "days_since_first_purchase": X.days_between("first_purchase", F.col("as_of")),
         "cancellation_rate": X.safe_divide("cancelled_invoices", "invoices"),
         "return_quantity_rate": X.at_most(X.safe_divide("quantity_back", "quantity_out"), 1.0),
         "weekend_purchase_ratio": F.coalesce("weekend_purchase_ratio", F.lit(0.0)),
@@ -162,7 +195,7 @@ def mart_features(lines: DataFrame, as_of: datetime | None = None, gap_scope: st
             X.from_units("amount_second_half"), X.from_units("amount_first_half") + 1), 20.0),
         "is_uk": X.as_int(F.col("country") == home_country),
     })
-    return features.select("customer_id", *FEATURE_COLUMNS)
+    return features.select(*KEYS, *FEATURE_COLUMNS)
 
 
 def churn_labels(lines: DataFrame, observation_end: datetime) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -120,14 +122,14 @@ def score_summary(df: DataFrame, threshold: float, scratch: Scratch, column: str
     return one.crossJoin(F.broadcast(middle)).select("min", "p25", "median", "p75", "max", "mean", "pct_high_risk", "pct_churn_flag")
 
 
-def feature_baseline(features: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """(feature, mean, std) in one pass; sample standard deviation."""
+def feature_baseline(features: DataFrame, columns: list[str] | None = None, groups: Sequence[str] = ()) -> DataFrame:
+    """(groups, feature, mean, std) in one pass; sample standard deviation."""
     columns = columns or schemas.FEATURE_COLUMNS
-    wide = features.agg(*[agg for c in columns for agg in (
+    wide = features.groupBy(*groups).agg(*[agg for c in columns for agg in (
         F.avg(c).alias(f"{c}|mean"), F.stddev_samp(c).alias(f"{c}|std"))])
     rows = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"`{c}|mean`").alias("mean"), F.col(f"`{c}|std`").alias("std"))
                      for c in columns])
-    return wide.select(F.inline(rows))
+    return wide.select(*groups, F.inline(rows))
 
 
 def score_baseline(df: DataFrame, column: str = "churn_probability") -> DataFrame:

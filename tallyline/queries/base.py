@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.functions import exprs as X
-from tallyline.plans import build, silver
+from tallyline.plans import build, features, monitoring, silver
 from tallyline.session import shared_root
 from tallyline.sources import lake as L
 from tallyline.sources import order_tables
@@ -34,6 +34,8 @@ class Retail:
         lake.declare("bronze", lambda k: order_tables.bronze_lines(spark, folder), by_month=True)
         lake.declare("silver", lambda k: silver.to_silver(k.table("bronze")), by_month=True)
         build.declare_gold(lake, HOME)
+        lake.declare("monitored", lambda k: monitored_scores(features.features_at(
+            self.lines, [features.training_cutoff(self.lines), *monitoring.run_dates(self.lines)], home_country=HOME, rollup=self.rollup)))
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
@@ -60,6 +62,12 @@ def fixed_scores(features_df: DataFrame) -> DataFrame:
     return features_df.withColumn("churn_probability", (digest % 10_001).cast("double") / 10_000.0)
 
 
+def monitored_scores(features_df: DataFrame) -> DataFrame:
+    """A probability that moves with the customer's behaviour, which every engine can compute: silence as a share of silence and rhythm."""
+    silence = F.col("recency_days").cast("double")
+    return features_df.withColumn("churn_probability", X.round_to(silence / (silence + F.col("avg_days_between_orders") + 1.0), 4))
+
+
 def retail(spark: SparkSession, folder: str) -> Retail:
     folder = folder.rstrip("/")
     versions = "|".join(L.fingerprint(spark, f"{folder}/{t}.parquet") for t in order_tables.TABLES)

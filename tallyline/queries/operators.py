@@ -262,7 +262,7 @@ query("w3_quintiles", "SELECT customer_id, CAST(NTILE(5) OVER (ORDER BY frequenc
                              [F.desc("monetary"), F.asc("customer_id")], 7, r.scratch, "septile").select("customer_id", "quintile", "septile"))
 query("w4_order_gaps", """SELECT customer_id, gap_us FROM (SELECT customer_id, epoch_us(placed) - LAG(epoch_us(placed)) OVER (PARTITION BY customer_id ORDER BY placed, invoice) AS gap_us
     FROM (SELECT customer_id, invoice, MIN(invoice_date) AS placed FROM valid GROUP BY 1, 2) a) b WHERE gap_us IS NOT NULL""")(
-    lambda r: event_gaps(r.rollup.filter("has_valid").groupBy("customer_id", "invoice").agg(F.min("invoice_date").alias("at")), "customer_id", "at", "invoice"))
+    lambda r: event_gaps(r.rollup.filter("has_valid").groupBy("customer_id", "invoice").agg(F.min("invoice_date").alias("at")), "customer_id", "at", "invoice").drop("at"))
 _LINES_TOTAL = f"(SELECT {s_units('line_amount')} FROM lines)"
 query("w5_percent_of_total", f"SELECT country, {s_round(s_ratio(s_units('line_amount') + ' * 100', _LINES_TOTAL), 4)} AS pct FROM lines GROUP BY country")(
     lambda r: A.with_total(r.lines.groupBy("country").agg(F.sum(X.units("line_amount")).alias("amount")), "amount").select(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+import re
 
 from pyspark.sql import functions as F
 
@@ -17,7 +17,7 @@ from tallyline.plans import monitoring as D
 from tallyline.plans import scoring as S
 from tallyline.plans.boosting import BoostedModel
 from tallyline.queries.analytics import THRESHOLD, customers
-from tallyline.queries.base import LAYERS, query, s_count, s_ratio, s_round, s_units
+from tallyline.queries.base import LAYERS, features_sql, query, s_count, s_ratio, s_round, s_units
 from tallyline.schemas import FEATURE_COLUMNS
 from tallyline.sources.lake import is_complete
 
@@ -364,75 +364,89 @@ query("s23_serving_base")(lambda r: E.serving_base(
 
 
 # ---- monitoring --------------------------------------------------------------------------------------------
-
-def train_baseline(r):
-    return S.feature_baseline(r.train_features)
-
-
-LAYERS["drift_now"] = " UNION ALL ".join(
-    f"SELECT '{c}' AS feature, {_cluster_mean(c)} AS m, STDDEV_SAMP(CAST({c} AS DOUBLE)) AS s FROM fx" for c in FEATURE_COLUMNS)
-_SHIFTED = "recency_days > 150"
-LAYERS["drift_part"] = " UNION ALL ".join(
-    f"SELECT '{c}' AS feature, {_cluster_mean(c)} AS m FROM fx WHERE {_SHIFTED}" for c in FEATURE_COLUMNS)
-_DRIFT = f"""SELECT p.feature, {s_round("p.m", 4)} AS current_mean,
-    {s_round("CASE WHEN b.s > 0 THEN ABS(p.m - b.m) / b.s ELSE 0 END", 4)} AS z,
-    CASE WHEN b.s > 0 THEN ABS(p.m - b.m) / b.s ELSE 0 END > 3 AS drifted FROM drift_part p JOIN drift_now b ON p.feature = b.feature"""
-query("k1_data_drift", _DRIFT)(
-    lambda r: D.feature_drift(r.mart_features.filter(_SHIFTED), S.feature_baseline(r.mart_features)))
-query("k1_data_drift_metrics", f"""SELECT 'drift_z_' || feature AS metric_name, z AS metric_value FROM ({_DRIFT}) a
-    UNION ALL SELECT 'current_mean_' || feature, current_mean FROM ({_DRIFT}) b
-    UNION ALL SELECT 'n_features_checked', CAST(COUNT(*) AS DOUBLE) FROM ({_DRIFT}) c
-    UNION ALL SELECT 'n_features_drifted', CAST(COUNT(CASE WHEN drifted THEN 1 END) AS DOUBLE) FROM ({_DRIFT}) d
-    UNION ALL SELECT 'drift_rate', {s_round(s_ratio("COUNT(CASE WHEN drifted THEN 1 END)", "COUNT(*)"), 4)} FROM ({_DRIFT}) e""")(
-    lambda r: D.data_drift_metrics(D.feature_drift(r.mart_features.filter(_SHIFTED), S.feature_baseline(r.mart_features))))
-LAYERS["score_now"] = f"SELECT {_P}, {_TIER} AS risk_tier FROM scores WHERE is_one_time_buyer = 0 AND frequency >= 8"
-_SCORE_METRICS = {
-    "score_mean": s_round(_MEAN, 4), "score_std": s_round(f"STDDEV_SAMP({_P})", 4),
-    **{f"score_p{q}": s_round(f"quantile_cont({_P}, {q / 100})", 4) for q in (25, 50, 75, 90)},
-    **{f"n_{t.lower()}_risk": f"CAST({s_count(f'''risk_tier = '{t}' ''')} AS DOUBLE)" for t in X.RISK_TIERS},
-    "pct_high_risk": s_round(s_ratio(s_count("risk_tier = 'High'"), "COUNT(*)"), 4),
-    "total_customers_scored": "CAST(COUNT(*) AS DOUBLE)",
-    "score_distribution_z": s_round(f"ABS({s_round(_MEAN, 4)} - (SELECT {_MEAN} FROM scores)) / (SELECT STDDEV_POP({_P}) FROM scores)", 4),
-}
-
-
-def model_drift(r):
-    now = S.score(r.scores.filter("is_one_time_buyer = 0 AND frequency >= 8"), THRESHOLD)
-    return D.model_drift_metrics(now, S.score_baseline(r.scores), r.scratch)
-
-
-query("k2_model_drift", " UNION ALL ".join(
-    f"SELECT '{n}' AS metric_name, {e} AS metric_value FROM score_now" for n, e in _SCORE_METRICS.items()))(model_drift)
+# Baseline and runs are the same customers' features at different times: 90 days before the newest line (the training cutoff),
+# and 60, 30 and 0 days before it.
+
+_BASE, _RUNS = 90, (60, 30, 0)
+_TIER_COUNTS = {f"n_{t.lower()}_risk": f"CAST({s_count(f'''risk_tier = '{t}' ''')} AS DOUBLE)" for t in X.RISK_TIERS}
+for _back in (_BASE, *_RUNS):
+    LAYERS[f"obs_m{_back}"] = f"SELECT MAX(invoice_date) - INTERVAL {_back} DAY AS obs_end FROM lines"
+    LAYERS |= {re.sub(r"^fx", f"m{_back}", k): re.sub(r"\bfx(?=_|\b)", f"m{_back}", v) for k, v in features_sql("lines", f"obs_m{_back}").items()}
+    LAYERS[f"scored_m{_back}"] = f"""SELECT *, {_TIER} AS risk_tier FROM (SELECT f.*, CAST(obs_end AS DATE) AS run_date,
+        {s_round("CAST(recency_days AS DOUBLE) / (recency_days + avg_days_between_orders + 1)", 4)} AS {_P} FROM m{_back} f, obs_m{_back}) x"""
+
+
+def baseline_rows(r):
+    return r.monitored.filter(F.col("as_of") == F.lit(P.training_cutoff(r.lines)))
+
+
+def run_rows(r):
+    """Scores of all runs, the newest included."""
+    return r.monitored.filter(F.col("as_of") != F.lit(P.training_cutoff(r.lines))).withColumn("risk_tier", X.risk_tier(_P))
+
+
+def newest_rows(r):
+    return run_rows(r).filter(F.col("as_of") == F.lit(D.run_dates(r.lines)[-1]))
+
+
+LAYERS["drift_base"] = " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, {_cluster_mean(c)} AS m, STDDEV_SAMP(CAST({c} AS DOUBLE)) AS s FROM scored_m{_BASE}" for c in FEATURE_COLUMNS)
+for _back in _RUNS:
+    LAYERS[f"drift_m{_back}"] = f"""SELECT p.run_date, p.feature, {s_round("p.m", 4)} AS current_mean,
+        {s_round("CASE WHEN b.s > 0 THEN ABS(p.m - b.m) / b.s ELSE 0 END", 4)} AS z,
+        CASE WHEN b.s > 0 THEN ABS(p.m - b.m) / b.s ELSE 0 END > 3 AS drifted FROM (""" + " UNION ALL ".join(
+        f"SELECT MAX(run_date) AS run_date, '{c}' AS feature, {_cluster_mean(c)} AS m FROM scored_m{_back}" for c in FEATURE_COLUMNS) + \
+        ") p JOIN drift_base b ON p.feature = b.feature"
+    LAYERS[f"data_metrics_m{_back}"] = f"""SELECT run_date, 'drift_z_' || feature AS metric_name, z AS metric_value FROM drift_m{_back}
+        UNION ALL SELECT run_date, 'current_mean_' || feature, current_mean FROM drift_m{_back}
+        UNION ALL SELECT MAX(run_date), 'n_features_checked', CAST(COUNT(*) AS DOUBLE) FROM drift_m{_back}
+        UNION ALL SELECT MAX(run_date), 'n_features_drifted', CAST(COUNT(CASE WHEN drifted THEN 1 END) AS DOUBLE) FROM drift_m{_back}
+        UNION ALL SELECT MAX(run_date), 'drift_rate', {s_round(s_ratio("COUNT(CASE WHEN drifted THEN 1 END)", "COUNT(*)"), 4)} FROM drift_m{_back}"""
+    _scores = {
+        "score_mean": s_round(_MEAN, 4), "score_std": s_round(f"STDDEV_SAMP({_P})", 4),
+        **{f"score_p{q}": s_round(f"quantile_cont({_P}, {q / 100})", 4) for q in (25, 50, 75, 90)}, **_TIER_COUNTS,
+        "pct_high_risk": s_round(s_ratio(s_count("risk_tier = 'High'"), "COUNT(*)"), 4),
+        "total_customers_scored": "CAST(COUNT(*) AS DOUBLE)",
+        "score_distribution_z": s_round(f"ABS({s_round(_MEAN, 4)} - (SELECT {_MEAN} FROM scored_m{_BASE})) / (SELECT STDDEV_POP({_P}) FROM scored_m{_BASE})", 4),
+    }
+    LAYERS[f"model_metrics_m{_back}"] = " UNION ALL ".join(
+        f"SELECT MAX(run_date) AS run_date, '{n}' AS metric_name, {e} AS metric_value FROM scored_m{_back}" for n, e in _scores.items())
+    LAYERS[f"run_m{_back}"] = f"""SELECT run_date, 'run-' || CAST(run_date AS VARCHAR) AS run_id, metric_name, metric_value, category FROM (
+        SELECT *, 'data_drift' AS category FROM data_metrics_m{_back} UNION ALL SELECT *, 'model_drift' FROM model_metrics_m{_back}) x"""
+
+query("k1_data_drift", "SELECT feature, current_mean, z, drifted FROM drift_m0")(
+    lambda r: D.feature_drift(newest_rows(r), S.feature_baseline(baseline_rows(r))))
+query("k1_data_drift_metrics", "SELECT metric_name, metric_value FROM data_metrics_m0")(
+    lambda r: D.data_drift_metrics(D.feature_drift(newest_rows(r), S.feature_baseline(baseline_rows(r)))))
+query("k2_model_drift", "SELECT metric_name, metric_value FROM model_metrics_m0")(
+    lambda r: D.model_drift_metrics(newest_rows(r), S.score_baseline(baseline_rows(r)), r.scratch))
 _BUCKET = " + ".join(f"CASE WHEN {_P} > d{i} THEN 1 ELSE 0 END" for i in range(1, 10))
-query("k3_population_stability", f"""WITH deciles AS (SELECT {", ".join(f"quantile_cont({_P}, {i / 10}) AS d{i}" for i in range(1, 10))} FROM scores),
-    before AS (SELECT {_BUCKET} AS bucket, CAST(COUNT(*) AS DOUBLE) / (SELECT COUNT(*) FROM scores) AS a FROM scores, deciles GROUP BY 1),
-    after AS (SELECT {_BUCKET} AS bucket, CAST(COUNT(*) AS DOUBLE) / (SELECT COUNT(*) FROM score_now) AS b FROM score_now, deciles GROUP BY 1),
+query("k3_population_stability", f"""WITH deciles AS (SELECT {", ".join(f"quantile_cont({_P}, {i / 10}) AS d{i}" for i in range(1, 10))} FROM scored_m{_BASE}),
+    before AS (SELECT {_BUCKET} AS bucket, CAST(COUNT(*) AS DOUBLE) / (SELECT COUNT(*) FROM scored_m{_BASE}) AS a FROM scored_m{_BASE}, deciles GROUP BY 1),
+    after AS (SELECT {_BUCKET} AS bucket, CAST(COUNT(*) AS DOUBLE) / (SELECT COUNT(*) FROM scored_m0) AS b FROM scored_m0, deciles GROUP BY 1),
     both_sides AS (SELECT GREATEST(COALESCE(a, 0), 0.0001e0) AS a, GREATEST(COALESCE(b, 0), 0.0001e0) AS b
         FROM before FULL OUTER JOIN after ON before.bucket = after.bucket)
     SELECT {s_round("SUM((b - a) * LN(b / a))", 6)} AS psi, SUM((b - a) * LN(b / a)) > 0.2 AS alert FROM both_sides""")(
-    lambda r: D.population_stability(r.scores, r.scores.filter("is_one_time_buyer = 0 AND frequency >= 8"), r.scratch))
+    lambda r: D.population_stability(baseline_rows(r), newest_rows(r), r.scratch))
+
+
+def runs(r):
+    return D.runs_over_time(run_rows(r), S.feature_baseline(baseline_rows(r)), S.score_baseline(baseline_rows(r)), r.scratch)
 
 
 def history(r):
-    """Three monitoring runs over growing parts of the customers, written to the metric history."""
-    from tallyline.sources.lake import is_complete
-    path = f"{r.lake.root}/monitoring_{r.spark.sparkContext.applicationId}"
+    """The stored metric history: each run is appended on its own, oldest first, as a scheduler would do it."""
+    path = f"{r.lake.root}/monitoring"
     if not is_complete(r.spark, path):
-        for day, least in ((date(2026, 6, 10), 12), (date(2026, 6, 11), 8), (date(2026, 6, 12), 1)):
-            part = r.scores.filter(F.col("frequency") >= least)
-            drift = D.data_drift_metrics(D.feature_drift(part, S.feature_baseline(r.mart_features)))
-            moved = D.model_drift_metrics(S.score(part, THRESHOLD), None, r.scratch)
-            D.append_metrics(D.run_metrics(day, f"run-{day}", drift, moved), path)
+        made = r.scratch.write(runs(r))
+        for day in sorted(row[0] for row in made.select("run_date").distinct().collect()):
+            D.append_metrics(made.filter(F.col("run_date") == F.lit(day)), path)
     return r.spark.read.parquet(path)
 
 
-query("k5_metric_history")(history)
-query("g13_mart_monitoring")(history)
-query("k6_latest_run", f"""SELECT 'model_drift' AS category, 'total_customers_scored' AS metric_name, CAST(COUNT(*) AS DOUBLE) AS metric_value FROM scores
-    UNION ALL SELECT 'model_drift', 'score_mean', {s_round(_MEAN, 4)} FROM scores
-    UNION ALL SELECT 'data_drift', 'n_features_checked', CAST({len(FEATURE_COLUMNS)} AS DOUBLE) FROM (SELECT 1) o""")(
-    lambda r: D.latest_run(history(r)).filter(F.col("metric_name").isin(
-        "total_customers_scored", "score_mean", "n_features_checked")).select("category", "metric_name", "metric_value"))
-query("k6_latest_value", f"""SELECT 'model_drift' AS category, 'total_customers_scored' AS metric_name, CAST(COUNT(*) AS DOUBLE) AS metric_value FROM scores""")(
-    lambda r: D.latest_value(history(r)).filter("metric_name = 'total_customers_scored'"))
-query("k6_sorted_log")(lambda r: D.sorted_log(history(r)))
+_HISTORY = " UNION ALL ".join(f"SELECT * FROM run_m{b}" for b in _RUNS)
+query("k5_metric_history", _HISTORY)(history)
+query("g13_mart_monitoring", _HISTORY)(runs)
+query("k6_latest_run", "SELECT * FROM run_m0")(lambda r: D.latest_run(history(r)))
+query("k6_latest_value", "SELECT category, metric_name, metric_value FROM run_m0")(lambda r: D.latest_value(history(r)))
+query("k6_sorted_log", _HISTORY)(lambda r: D.sorted_log(history(r)))

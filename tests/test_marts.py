@@ -195,3 +195,29 @@ def test_bi_export_skips_missing(spark, tmp_path):
     assert got["dim_date"] == ("exported", 3) and got["mart_features"][0] == "excluded" and got["mart_rfm"][0] == "missing"
     parquet = {r["table_name"]: r["rows"] for r in export.export_for_bi(spark, gold, str(tmp_path / "pq")).collect()}
     assert parquet["mart_features"] == 2
+
+
+def test_features_of_many_dates_equal_one_by_one(lines):
+    dates = [datetime(2024, 1, 15), datetime(2024, 2, 20), datetime(2030, 1, 1), datetime(1990, 1, 1)]
+    many = features.features_at(lines, dates)
+    for day in dates[:3]:
+        one = {r["customer_id"]: r for r in features.mart_features(lines, day).collect()}
+        got = {r["customer_id"]: r for r in many.filter(F.col("as_of") == F.lit(day)).drop("as_of").collect()}
+        assert one and got == one
+    assert many.select("as_of").distinct().count() == 3
+
+
+def test_runs_over_time_equal_single_runs(lines, spark, scratch):
+    dates = [datetime(2024, 1, 15), datetime(2024, 2, 20), datetime(2030, 1, 1)]
+    rows = features.features_at(lines, dates).withColumn("churn_probability", F.col("recency_days") / (F.col("recency_days") + 30.0))
+    rows = scratch.write(rows.withColumn("risk_tier", F.when(F.col("churn_probability") > 0.7, "High").otherwise("Low")))
+    base = rows.filter(F.col("as_of") == F.lit(dates[0]))
+    means, spread = scoring.feature_baseline(base), scoring.score_baseline(base)
+    runs = monitoring.runs_over_time(rows, means, spread, scratch)
+    for day in dates:
+        one = rows.filter(F.col("as_of") == F.lit(day)).drop("as_of")
+        expected = monitoring.run_metrics(day.date(), f"run-{day.date()}", monitoring.data_drift_metrics(monitoring.feature_drift(one, means)),
+                                          monitoring.model_drift_metrics(one, spread, scratch))
+        key = lambda r: (r["category"], r["metric_name"])
+        assert sorted(runs.filter(F.col("run_date") == F.lit(day.date())).collect(), key=key) == sorted(expected.collect(), key=key)
+    assert monitoring.run_dates(lines, 3, 10)[-1] == lines.agg(F.max("invoice_date")).first()[0]
