@@ -170,6 +170,12 @@ def cohort_matrix(activity: DataFrame, value: str = "retention_pct") -> DataFram
     return pivoted.select("cohort_month", *[F.col(str(a)).alias(f"m{a}") for a in ages])
 
 
+def cohort_cells(activity: DataFrame, value: str = "retention_pct") -> DataFrame:
+    """(cohort_month, cells): the same matrix with one array of (age, value) a cohort, so the schema does not grow with the months."""
+    cell = F.struct(F.col("cohort_age").alias("age"), F.col(value).alias("value"))
+    return activity.groupBy("cohort_month").agg(F.sort_array(F.collect_list(cell)).alias("cells"))
+
+
 def retention_curve(activity: DataFrame) -> DataFrame:
     """Mean retention over the cohorts that reach each age."""
     return activity.groupBy("cohort_age").agg(

@@ -100,13 +100,18 @@ query("b9_cohort_activity", "SELECT * FROM cohorts")(activity)
 
 
 def _matrix_sql(value: str) -> str:
-    return f"SELECT * FROM (PIVOT (SELECT cohort_month, 'm' || cohort_age AS age, {value} FROM cohorts) ON age USING MAX({value}) GROUP BY cohort_month) q"
+    return f"""SELECT cohort_month, string_agg(CAST(cohort_age AS VARCHAR) || ':' || CAST(CAST(ROUND({value} * 10000) AS BIGINT) AS VARCHAR), ' ' ORDER BY cohort_age)
+        AS cells FROM cohorts GROUP BY cohort_month"""
 
 
-query("b9_cohort_retention_matrix", _matrix_sql("retention_pct"))(
-    lambda r: A.cohort_matrix(activity(r)))
-query("b9_cohort_revenue_matrix", _matrix_sql("revenue"))(
-    lambda r: A.cohort_matrix(activity(r), "revenue"))
+def matrix(r, value: str):
+    """A row of the matrix as text: age:value, the value in ten-thousandths."""
+    cell = lambda c: F.concat_ws(":", c["age"].cast("string"), F.round(c["value"] * 10000).cast("bigint").cast("string"))
+    return A.cohort_cells(activity(r), value).select("cohort_month", F.array_join(F.transform("cells", cell), " ").alias("cells"))
+
+
+query("b9_cohort_retention_matrix", _matrix_sql("retention_pct"))(lambda r: matrix(r, "retention_pct"))
+query("b9_cohort_revenue_matrix", _matrix_sql("revenue"))(lambda r: matrix(r, "revenue"))
 _CURVE = f"SELECT cohort_age, {s_count()} AS cohorts, {s_round(s_ratio(s_units('retention_pct'), 'COUNT(*)'), 4)} AS avg_retention_pct FROM cohorts"
 query("b9_retention_curve", f"{_CURVE} GROUP BY cohort_age")(lambda r: A.retention_curve(activity(r)))
 query("b9_retention_milestones", f"{_CURVE} WHERE cohort_age IN (1, 3, 6, 12) GROUP BY cohort_age")(
@@ -115,8 +120,7 @@ query("j15_cohort_lines", f"SELECT cohort_month, cohort_age, n_customers FROM co
     lambda r: activity(r).select("cohort_month", "cohort_age", "n_customers"))
 query("w11_cohort_retention", "SELECT cohort_month, cohort_age, cohort_size, retention_pct FROM cohorts")(
     lambda r: activity(r).select("cohort_month", "cohort_age", "cohort_size", "retention_pct"))
-query("a18_pivot_cohort_customers", _matrix_sql("n_customers"))(
-    lambda r: A.cohort_matrix(activity(r), "n_customers"))
+query("a18_pivot_cohort_customers", _matrix_sql("n_customers"))(lambda r: matrix(r, "n_customers"))
 _CHURN_COHORT = f"""SELECT strftime(c.first_seen_date, '%Y-%m') AS cohort_month, {s_count()} AS total,
     {s_count("recency_days > 90")} AS churned, {s_pct(s_count("recency_days > 90"), "COUNT(*)", 1)} AS churn_rate_pct
     FROM rfm m LEFT JOIN dim_customer c ON m.customer_id = c.customer_id GROUP BY 1"""

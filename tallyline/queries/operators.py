@@ -19,6 +19,7 @@ from tallyline.plans import bronze as B
 from tallyline.plans import export as E
 from tallyline.plans import features as P
 from tallyline.plans import quality, silver, star
+from tallyline.plans import scoring as S
 from tallyline.queries.base import HOME, LAYERS, query, s_count, s_ratio, s_round, s_units
 from tallyline.sources import lake as L
 from tallyline.sources import raw_csv
@@ -413,12 +414,21 @@ def publish_scores(r):
 
 
 query("s24_sample_rows")(lambda r: E.sample_rows(r.lines, 0.1).select("invoice", "stock_code", "line_amount"))
+_GOLD = {
+    "dim_date": "dim_date", "dim_product": "dim_product", "dim_country": "dim_country", "dim_customer": "dim_customer",
+    "fact_transactions": "fact", "mart_rfm": "rfm", "mart_kpi_monthly": "kpi", "mart_features": "fx", "mart_churn_scores": "scores"}
+_GOLD_COLUMNS = {
+    "dim_date": "date_sk, date, year, month, week, day_of_week, quarter", "dim_product": "product_sk, stock_code, description",
+    "dim_country": "country_sk, country_name", "dim_customer": "customer_sk, customer_id, first_seen_date, segment",
+    "fact_transactions": ", ".join(schemas.FACT_COLUMNS),
+    "mart_rfm": "customer_id, recency_days, frequency, monetary, r_score, f_score, m_score, segment",
+    "mart_kpi_monthly": "year_month, revenue, units_sold, orders, active_customers, aov, cancelled_orders, cancellation_value, net_revenue, "
+                        "cancellation_order_rate, line_count",
+    "mart_features": ", ".join(["customer_id", *schemas.FEATURE_COLUMNS]), "mart_churn_scores": ", ".join(schemas.SCORING_COLUMNS)}
 query("s25_table_catalogue", " UNION ALL ".join(
-    f"SELECT '{t}' AS table_name, {s_count()} AS rows, CAST({len(cols)} AS INTEGER) AS columns, '{', '.join(cols)}' AS column_list FROM {src}"
-    for t, src, cols in (("dim_date", "dim_date", ["date_sk", "date", "year", "month", "week", "day_of_week", "quarter"]),
-                         ("dim_country", "dim_country", ["country_sk", "country_name"]),
-                         ("fact_transactions", "fact", schemas.FACT_COLUMNS))))(
-    lambda r: E.table_catalogue(dim_date=r.dim_date, dim_country=r.dim_country, fact_transactions=r.fact_transactions))
+    f"SELECT '{t}' AS table_name, {s_count()} AS rows, CAST({_GOLD_COLUMNS[t].count(',') + 1} AS INTEGER) AS columns, '{_GOLD_COLUMNS[t]}' AS column_list FROM {src}"
+    for t, src in _GOLD.items()))(
+    lambda r: E.table_catalogue(**{t: getattr(r, t) for t in _GOLD if t != "mart_churn_scores"}, mart_churn_scores=S.score(r.scores, 0.5)))
 
 # ---- incremental loading -----------------------------------------------------------------------------------
 
