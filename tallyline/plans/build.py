@@ -63,7 +63,7 @@ def build_gold(spark: SparkSession, silver_path: str, gold_path: str, home_count
 def validate(lake: Lake, bronze_df: DataFrame) -> DataFrame:
     """The invariants over a built lake."""
     clean = lake.table("silver")
-    return reconcile.validation_report(reconcile.Tables(
+    return reconcile.validation_report(scratch=lake.scratch, t=reconcile.Tables(
         bronze=bronze_df, silver=clean, lines=silver.prepared(clean), fact=lake.table("fact_transactions"),
         dim_customer=lake.table("dim_customer"), dim_product=lake.table("dim_product"), dim_country=lake.table("dim_country"),
         dim_date=lake.table("dim_date"), rfm=lake.table("mart_rfm"), kpi=lake.table("mart_kpi_monthly"),

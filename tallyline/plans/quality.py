@@ -5,13 +5,15 @@ Row-level measures of a table are taken in one pass and turned into long (catego
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyline import schemas
 from tallyline.functions import exprs as X
 from tallyline.operators import checks as C
+from tallyline.operators import fusion
 from tallyline.plans import silver
+from tallyline.sources.lake import Scratch
 
 REVENUE_TOLERANCE = 0.001
 MEASURES = ["quantity", "price", "line_amount"]
@@ -23,19 +25,25 @@ def _text_columns(df: DataFrame) -> set[str]:
 
 # ---- metric families ---------------------------------------------------------------------------------------
 
-def completeness(df: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
-    """Per column: NULL count and rate; for texts also empty and whitespace-only rates."""
-    rows, texts = F.count(F.lit(1)), _text_columns(df)
-    measured = [c for c in df.columns if c not in keys]
-    aggs = [rows.alias("total_rows")]
+def _completeness_aggs(df: DataFrame, measured: list[str]) -> list[Column]:
+    texts = _text_columns(df)
+    aggs = [F.count(F.lit(1)).alias("total_rows")]
     for c in measured:
         aggs.append(X.count_if(F.col(c).isNull()).alias(f"{c}|null"))
         if c in texts:
             blank = X.is_guest(c)
             aggs.append(X.count_if(blank).alias(f"{c}|empty"))
             aggs.append(X.count_if(blank & (F.coalesce(c, F.lit("")) != "")).alias(f"{c}|space"))
-    wide = df.groupBy(*keys).agg(*aggs)
+    return aggs
+
+
+def completeness(df: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """Per column: NULL count and rate; for texts also empty and whitespace-only rates."""
+    measured = [c for c in df.columns if c not in keys]
+    return _completeness_rows(df.groupBy(*keys).agg(*_completeness_aggs(df, measured)), measured, _text_columns(df), keys)
 
+
+def _completeness_rows(wide: DataFrame, measured: list[str], texts: set[str], keys: tuple[str, ...] = ()) -> DataFrame:
     def entry(c: str):
         def share(kind: str):
             if c not in texts:
@@ -58,7 +66,10 @@ def _value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def uniqueness(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    counts = _value_counts(df, columns or schemas.KEY_COLUMNS)
+    return _uniqueness(_value_counts(df, columns or schemas.KEY_COLUMNS))
+
+
+def _uniqueness(counts: DataFrame) -> DataFrame:
     return counts.groupBy("column_name").agg(F.count(F.lit(1)).alias("n_unique"), F.sum("rows").alias("total")).select(
         "column_name", "n_unique", C.rate(F.col("n_unique"), F.col("total")).alias("unique_rate"),
         X.round_to(1 - X.ratio("n_unique", "total"), 4).alias("duplicate_rate"))
@@ -66,31 +77,42 @@ def uniqueness(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 def top_values(df: DataFrame, columns: list[str] | None = None, n: int = 5) -> DataFrame:
     """The n most frequent values per column. The rank limit is applied before the shuffle as well as after it."""
-    counts = _value_counts(df, columns or schemas.KEY_COLUMNS)
+    return _top_values(_value_counts(df, columns or schemas.KEY_COLUMNS), n)
+
+
+def _top_values(counts: DataFrame, n: int = 5) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy("column_name").orderBy(F.desc("rows"), "value"))
     return counts.withColumn("rank", rank).filter(F.col("rank") <= n)
 
 
 def consistency(df: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    return df.groupBy(*keys).agg(*_consistency_aggs())
+
+
+def _consistency_aggs() -> list[Column]:
     negative, cancelled = F.col("quantity") < 0, F.col("is_cancellation")
-    return df.groupBy(*keys).agg(
+    return [
         X.count_if(negative & ~cancelled).alias("quantity_negative_not_cancellation"),
         X.count_if(cancelled & ~negative).alias("cancellation_positive_quantity"),
         X.count_if(F.col("price") < 0).alias("price_negative_count"),
         X.count_if(F.abs(F.col("line_amount") - F.col("quantity") * F.col("price")) > 0.01).alias(
             "line_amount_mismatch_count"),
         X.count_if(F.startswith("invoice", F.lit("C")) != cancelled).alias("cancellation_flag_mismatch"),
-    )
+    ]
 
 
 def value_ranges(df: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    return df.groupBy(*keys).agg(*_range_aggs())
+
+
+def _range_aggs() -> list[Column]:
     aggs = []
     for m in MEASURES:
         aggs += [F.min(m).alias(f"{m}_min"), F.max(m).alias(f"{m}_max"),
                  X.round_to(X.ratio(X.exact_sum(m), F.count(m)), 4).alias(f"{m}_mean"),
                  X.count_if(F.col(m) == 0).alias(f"{m}_zero_count")]
     aggs.append(X.count_if(F.col("quantity") < 0).alias("quantity_negative_count"))
-    return df.groupBy(*keys).agg(*aggs)
+    return aggs
 
 
 def months_present(df: DataFrame) -> DataFrame:
@@ -99,42 +121,60 @@ def months_present(df: DataFrame) -> DataFrame:
 
 def month_gaps(df: DataFrame) -> DataFrame:
     """Per month after a hole: how many months are missing before it. Only distinct months are ordered."""
+    return _month_gaps(months_present(df))
+
+
+def _month_gaps(months: DataFrame) -> DataFrame:
     before = F.lag("m").over(Window.orderBy("m"))
-    return months_present(df).select("m", (F.col("m") - before - 1).alias("missing_before")).filter("missing_before > 0")
+    return months.select("m", (F.col("m") - before - 1).alias("missing_before")).filter("missing_before > 0")
 
 
 def temporal(df: DataFrame) -> DataFrame:
-    span = df.agg(F.min("invoice_date").alias("date_min"), F.max("invoice_date").alias("date_max"))
-    months = months_present(df).agg(F.count(F.lit(1)).alias("unique_months"))
-    gaps = month_gaps(df).agg(F.coalesce(F.sum("missing_before"), F.lit(0)).cast("bigint").alias("month_gaps"))
+    return _temporal(df.agg(F.min("invoice_date").alias("date_min"), F.max("invoice_date").alias("date_max")), months_present(df))
+
+
+def _temporal(span: DataFrame, present: DataFrame) -> DataFrame:
+    months = present.agg(F.count(F.lit(1)).alias("unique_months"))
+    gaps = _month_gaps(present).agg(F.coalesce(F.sum("missing_before"), F.lit(0)).cast("bigint").alias("month_gaps"))
     whole_days = F.floor((X.micros("date_max") - X.micros("date_min")) / F.lit(X.MICROS_PER_DAY)).cast("bigint")
     return span.crossJoin(F.broadcast(months)).crossJoin(F.broadcast(gaps)).select(
         "date_min", "date_max", whole_days.alias("date_range_days"), "unique_months", "month_gaps")
 
 
-def quality_summary(df: DataFrame) -> DataFrame:
-    """All metric families as (category, metric, value) rows; times are seconds since 1970."""
-    full = completeness(df)
-    per_column = full.unpivot(
+def quality_summary(df: DataFrame, scratch: Scratch) -> DataFrame:
+    """All metric families as (category, metric, value) rows; times are seconds since 1970.
+
+    The rows are read twice: once for everything that is a sum, a count or an extreme, once for the values of the key columns
+    and the months, which are counted and written before they are ranked.
+    """
+    measured, texts = list(df.columns), _text_columns(df)
+    ranges, rules = _range_aggs(), _consistency_aggs()
+    span = [F.min("invoice_date").alias("date_min"), F.max("invoice_date").alias("date_max")]
+    wide = scratch.write(df.agg(*_completeness_aggs(df, measured), *rules, *ranges, *span))
+    counts = scratch.write(_value_counts(df.withColumn("_month", X.month_index("invoice_date")), [*schemas.KEY_COLUMNS, "_month"]))
+    keys_counted, months = counts.filter("column_name <> '_month'"), counts.filter("column_name = '_month'").select(F.col("value").cast("int").alias("m"))
+    names = lambda before, after: wide.columns[before:after]
+    at = wide.columns.index("quantity_negative_not_cancellation")
+
+    per_column = _completeness_rows(wide, measured, texts).unpivot(
         ["column_name"], [F.col("null_count").cast("double").alias("null_count"), "null_rate", "empty_string_rate",
                           "whitespace_only_rate"], "measure", "value").filter("value IS NOT NULL").select(
         F.lit("completeness").alias("category"),
         F.concat_ws(".", F.lit("columns"), "column_name", "measure").alias("metric"), "value")
-    rows = df.agg(F.count(F.lit(1)).cast("double").alias("value")).select(
-        F.lit("completeness").alias("category"), F.lit("total_rows").alias("metric"), "value")
-    keys = uniqueness(df).unpivot(
+    rows = wide.select(F.lit("completeness").alias("category"), F.lit("total_rows").alias("metric"), F.col("total_rows").cast("double").alias("value"))
+    keys = _uniqueness(keys_counted).unpivot(
         ["column_name"], [F.col("n_unique").cast("double").alias("n_unique"), "unique_rate", "duplicate_rate"],
         "measure", "value").select(
         F.lit("uniqueness").alias("category"), F.concat_ws(".", "column_name", "measure").alias("metric"), "value")
-    tops = top_values(df).select(
+    tops = _top_values(keys_counted).select(
         F.lit("uniqueness").alias("category"),
         F.concat_ws(".", "column_name", F.lit("top_duplicates"), "value").alias("metric"),
         F.col("rows").cast("double").alias("value"))
-    times = temporal(df).select(
+    times = _temporal(wide.select("date_min", "date_max"), months).select(
         (X.micros("date_min") / 1_000_000).alias("date_min"), (X.micros("date_max") / 1_000_000).alias("date_max"),
         "date_range_days", "unique_months", "month_gaps")
-    parts = [rows, per_column, keys, tops, C.as_metrics(consistency(df), "consistency"),
-             C.as_metrics(value_ranges(df), "value_ranges"), C.as_metrics(times, "temporal")]
+    parts = [rows, per_column, keys, tops, C.as_metrics(wide.select(names(at, at + len(rules))), "consistency"),
+             C.as_metrics(wide.select(names(at + len(rules), at + len(rules) + len(ranges))), "value_ranges"), C.as_metrics(times, "temporal")]
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
@@ -323,41 +363,30 @@ def parity(first: DataFrame, second: DataFrame, tolerance: float = REVENUE_TOLER
 
 
 def dimension_checks(lines: DataFrame, fact: DataFrame, customers: DataFrame, products: DataFrame,
-                     countries: DataFrame, dates: DataFrame) -> DataFrame:
-    """Per dimension: members, distinct source values, repeated and missing keys in the fact."""
-    parts = []
-    for name, dim, sk, source in (
-            ("dim_customer", customers.filter("customer_id <> ''"), "customer_sk",
-             lines.filter("customer_id <> ''").select("customer_id")),
-            ("dim_product", products, "product_sk", lines.select("stock_code")),
-            ("dim_country", countries, "country_sk", lines.select("country")),
-            ("dim_date", dates, "date_sk", lines.select("tx_date"))):
-        members = dim.groupBy(sk).agg(F.count(F.lit(1)).alias("n")).agg(
-            F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("members"), X.count_if(F.col("n") > 1).alias("repeated_keys"))
-        distinct = source.distinct().agg(F.count(F.lit(1)).alias("source_values"))
-        nulls = fact.agg(X.count_if(F.col(sk).isNull()).alias("fact_nulls"))
-        parts.append(members.crossJoin(F.broadcast(distinct)).crossJoin(F.broadcast(nulls)).select(
-            F.lit(name).alias("dimension"), "members", "source_values", "repeated_keys", "fact_nulls"))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
-
-
-def key_coverage(fact: DataFrame, **dimensions: tuple[DataFrame, str]) -> DataFrame:
-    """Per foreign key: orphan fact rows, and the share of dimension members the fact uses."""
-    out = None
-    for name, (dim, sk) in dimensions.items():
-        used = fact.groupBy(sk).agg(F.count(F.lit(1)).alias("rows"))
-        members = dim.select(sk, F.lit(1).alias("member"))
-        part = used.join(members, sk, "full_outer").agg(
-            F.coalesce(F.sum(F.when(F.col("member").isNull(), F.col("rows"))), F.lit(0)).cast("bigint").alias("orphans"),
-            X.count_if(F.col("member").isNotNull()).alias("members"),
-            X.count_if(F.col("rows").isNotNull()).alias("in_fact"),
-        ).select(F.lit(name).alias("dimension"), "orphans", "members", "in_fact",
-                 X.round_to(X.ratio(F.col("in_fact") * 100, "members"), 4).alias("coverage_pct"))
-        out = part if out is None else out.unionByName(part)
-    return out
+                     countries: DataFrame, dates: DataFrame, scratch: Scratch) -> DataFrame:
+    """Per dimension: members, distinct source values, repeated and missing keys in the fact. Every table is read once."""
+    known = F.col("customer_id") != ""
+    dims = {"dim_customer": (customers.filter(known), "customer_sk", fusion.Entry("customer_sk", known, value=F.col("customer_id"))),
+            "dim_product": (products, "product_sk", fusion.Entry("product_sk", value=F.col("stock_code"))),
+            "dim_country": (countries, "country_sk", fusion.Entry("country_sk", value=F.col("country"))),
+            "dim_date": (dates, "date_sk", fusion.Entry("date_sk", value=F.col("tx_date")))}
+    tally = fusion.Tally({
+        "lines": (lines, [source for *_, source in dims.values()]),
+        "fact": (fact, [fusion.Entry(sk, F.col(sk).isNull()) for _, sk, _ in dims.values()]),
+        **{name: (dim, [fusion.Entry("members", value=F.col(sk))]) for name, (dim, sk, _) in dims.items()}}, scratch)
+    rows = [(name, tally.rows(name, "members"), tally.distinct("lines", sk), tally.repeated(name, "members"), tally.rows("fact", sk))
+            for name, (_, sk, _) in dims.items()]
+    return lines.sparkSession.createDataFrame(rows, "dimension string, members bigint, source_values bigint, repeated_keys bigint, fact_nulls bigint")
+
+
+def key_coverage(fact: DataFrame, scratch: Scratch, **dimensions: tuple[DataFrame, str]) -> DataFrame:
+    """Per foreign key: orphan fact rows, and the share of dimension members the fact uses. The fact is read once."""
+    tally = fusion.Tally({"fact": (fact, [fusion.key(sk) for _, sk in dimensions.values()]),
+                          **{name: (dim, [fusion.key(sk)]) for name, (dim, sk) in dimensions.items()}}, scratch)
+    found = tally.against([(("fact", sk), (name, sk)) for name, (_, sk) in dimensions.items()])
+    rows = [(name, f["orphan_rows"], f["members"], f["used"]) for name, f in zip(dimensions, found, strict=True)]
+    out = fact.sparkSession.createDataFrame(rows, "dimension string, orphans bigint, members bigint, in_fact bigint")
+    return out.withColumn("coverage_pct", X.round_to(X.ratio(F.col("in_fact") * 100, "members"), 4))
 
 
 # ---- feature checks ----------------------------------------------------------------------------------------

@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from tallyline import schemas
 from tallyline.functions import exprs as X
 from tallyline.operators import checks as C
+from tallyline.operators import fusion
 from tallyline.plans import quality
+from tallyline.sources.lake import Scratch
 
 
 @dataclass(frozen=True)
@@ -284,66 +286,129 @@ COLUMN_CHECKS: list[tuple] = [
 ]
 
 
-def column_check_counts(t: Tables) -> DataFrame:
-    """(table_name, column_name, kind, violations) for every declared column check.
+def column_check_counts(t: Tables, scratch: Scratch) -> DataFrame:
+    """(table_name, column_name, kind, violations) for every declared column check: one pass over each table, one over the tally."""
+    entries: dict[str, dict[str, fusion.Entry]] = {}
 
-    NULL and value checks of one table share a single pass; unique and parent checks each need one grouping.
-    """
-    out = None
-    spark = t.fact.sparkSession
-
-    def add(frame: DataFrame) -> None:
-        nonlocal out
-        out = frame if out is None else out.unionByName(frame)
+    def ask(table: str, entry: fusion.Entry) -> None:
+        mine = entries.setdefault(table, {})
+        if entry.name not in mine or mine[entry.name].repeats:
+            mine[entry.name] = entry
 
-    simple: dict[str, list[tuple[str, str, Column]]] = {}
+    links = []
     for table, column, kind, *rest in COLUMN_CHECKS:
         if kind == "not_null":
-            simple.setdefault(table, []).append((column, kind, F.col(column).isNull()))
+            ask(table, fusion.Entry(f"{kind}|{column}", F.col(column).isNull()))
         elif kind == "accepted_values":
-            simple.setdefault(table, []).append((column, kind, ~F.col(column).isin(rest[0])))
-    for table, rules in simple.items():
-        wide = getattr(t, table).agg(*[X.count_if(bad).alias(f"c{i}") for i, (_, _, bad) in enumerate(rules)])
-        rows = [F.struct(F.lit(c).alias("column_name"), F.lit(k).alias("kind"), F.col(f"c{i}").alias("violations"))
-                for i, (c, k, _) in enumerate(rules)]
-        add(wide.select(F.lit(table).alias("table_name"), F.inline(F.array(*rows))))
-    for table, column, kind, *rest in COLUMN_CHECKS:
-        df = getattr(t, table)
+            ask(table, fusion.Entry(f"{kind}|{column}", ~F.col(column).isin(rest[0])))
+        elif kind == "unique":
+            ask(table, fusion.key(f"key|{column}", column, repeats=True))
+        else:
+            ask(table, fusion.key(f"key|{column}", column))
+            ask(rest[0], fusion.key(f"key|{rest[1]}", rest[1]))
+            links.append(((table, f"key|{column}"), (rest[0], f"key|{rest[1]}")))
+    tally = fusion.Tally({table: (getattr(t, table), list(asked.values())) for table, asked in entries.items()}, scratch)
+    orphans = dict(zip([child for child, _ in links], tally.against(links), strict=True))
+    rows = []
+    for table, column, kind, *_ in COLUMN_CHECKS:
         if kind == "unique":
-            bad = C.unique(df, column)
+            found = tally.repeated(table, f"key|{column}")
         elif kind == "relationships":
-            bad = C.relationships(df, column, getattr(t, rest[0]), rest[1])
+            found = orphans[table, f"key|{column}"]["orphan_values"]
         else:
-            continue
-        add(bad.agg(F.count(F.lit(1)).alias("violations")).select(
-            F.lit(table).alias("table_name"), F.lit(column).alias("column_name"), F.lit(kind).alias("kind"), "violations"))
-    return out if out is not None else spark.createDataFrame([], "table_name string")
+            found = tally.rows(table, f"{kind}|{column}")
+        rows.append((table, column, kind, int(found)))
+    return t.fact.sparkSession.createDataFrame(rows, "table_name string, column_name string, kind string, violations bigint")
 
 
-def validation_report(t: Tables, skip: tuple[str, ...] = ()) -> DataFrame:
+def _report_entries(t: Tables) -> dict[str, list[fusion.Entry]]:
+    """What the invariants count of each table. ``lines`` are the rows of silver, so silver stands for both."""
+    valid, known = X.is_valid_purchase(), F.col("customer_id") != ""
+    month = F.col("year_month")
+    rules: dict[str, list[fusion.Entry]] = {}
+    for name, invariant in INVARIANTS.items():
+        if isinstance(invariant.check, RowRule):
+            rules.setdefault(invariant.check.table, []).append(fusion.Entry(f"rule|{name}", F.coalesce(invariant.check.bad(), F.lit(False))))
+    own = {
+        "silver": [
+            fusion.Entry("rows", group=month), fusion.Entry("country", value=F.col("country")), fusion.Entry("stock_code", value=F.col("stock_code")),
+            fusion.Entry("customer_id", known, value=F.col("customer_id")), fusion.Entry("date", value=F.to_date("invoice_date")),
+            fusion.Entry("guests", F.col("customer_id") == ""), fusion.Entry("buyers", valid, value=F.col("customer_id")),
+            fusion.Entry("month_buyers", valid, group=month, value=F.col("customer_id")),
+            fusion.Entry("month_revenue", valid, group=month, units=X.units("line_amount")),
+            fusion.Entry("grain", value=F.md5(F.to_json(F.struct(*_GRAIN), {"ignoreNullFields": "false"}).cast("binary")), repeats=True)],
+        "fact": [fusion.Entry("guests", F.col("customer_sk") == 0), fusion.key("date_sk")],
+        "dim_customer": [fusion.Entry("members", known), fusion.key("customer_id")],
+        "dim_product": [fusion.Entry("members")], "dim_country": [fusion.Entry("members")],
+        "dim_date": [fusion.Entry("members"), fusion.Entry("months", group=X.year_month("date"), value=F.col("date_sk"))],
+        "rfm": [fusion.Entry("rows", units=X.units("monetary")), fusion.Entry("segments", group=F.col("segment")), fusion.key("customer_id")],
+        "kpi": [fusion.Entry("months", group=month, units=F.col("active_customers")), fusion.Entry("revenue", group=month, units=X.units("revenue"))],
+        "features": [fusion.Entry("rows"), fusion.key("customer_id")],
+    }
+    return {table: entries + rules.get(table, []) for table, entries in own.items()}
+
+
+def _bronze_entries() -> list[fusion.Entry]:
+    """Counted over groups of equal business records, so bronze is de-duplicated once."""
+    amount = F.col("quantity") * F.col("price")
+    buys = ~X.is_noise() & ~X.is_guest() & ~F.col("is_cancellation") & (amount > 0)
+    return [fusion.Entry("records", units=F.col("_rows")), fusion.Entry("noise", X.is_noise()),
+            fusion.Entry("expected", ~X.is_noise(), group=X.year_month("invoice_date")),
+            fusion.Entry("revenue", F.coalesce(buys, F.lit(False)), units=X.units(amount))]
+
+
+def validation_report(t: Tables, scratch: Scratch, skip: tuple[str, ...] = ()) -> DataFrame:
     """(rule, severity, violations) over all invariants. The layers pass when no error rule has violations.
 
-    All row rules of one table are counted in a single pass over it.
+    Violations are the rows the single checks return. Every table is read once; bronze is grouped once before.
     """
-    parts = []
-    per_table: dict[str, list[str]] = {}
-    for name, invariant in INVARIANTS.items():
-        if name in skip:
-            continue
-        if isinstance(invariant.check, RowRule):
-            per_table.setdefault(invariant.check.table, []).append(name)
-        else:
-            parts.append(invariant.check(t).agg(F.count(F.lit(1)).alias("violations")).select(
-                F.lit(name).alias("rule"), F.lit(invariant.severity).alias("severity"), "violations"))
-    for table, names in per_table.items():
-        one = getattr(t, table).agg(*[X.count_if(INVARIANTS[n].check.bad()).alias(n) for n in names])
-        rows = [F.struct(F.lit(n).alias("rule"), F.lit(INVARIANTS[n].severity).alias("severity"), F.col(n).alias("violations"))
-                for n in names]
-        parts.append(one.select(F.inline(F.array(*rows))))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    groups = t.bronze.groupBy(*schemas.BUSINESS_COLUMNS).agg(F.count(F.lit(1)).alias("_rows"))
+    tables = {name: (getattr(t, name), entries) for name, entries in _report_entries(t).items() if getattr(t, name) is not None}
+    tally = fusion.Tally({"bronze": (groups, _bronze_entries()), **tables}, scratch)
+    months = tally.by_group(("bronze", "expected"), ("silver", "rows"), ("silver", "month_buyers"), ("silver", "month_revenue"),
+                            ("kpi", "months"), ("kpi", "revenue"), ("rfm", "segments"))
+    features, rfm = tally.against([(("features", "customer_id"), ("dim_customer", "customer_id")), (("rfm", "customer_id"), ("dim_customer", "customer_id"))])
+
+    def differ(*counts: int) -> int:
+        return int(len(set(counts)) > 1)
+
+    def month_gap(left: dict, at: int, right: dict, to: int) -> int:
+        missing = (0, 0, 0)
+        return sum(left.get(m, missing)[at] != right.get(m, missing)[to] or m is None for m in {*left, *right})
+
+    def fact_months() -> dict:
+        days = tally.rows_.filter("table_name = 'fact' AND name = 'date_sk'").select("value", F.col("rows").alias("n"))
+        dates = tally.rows_.filter("table_name = 'dim_date' AND name = 'months'").select("value", "grp")
+        return {r["grp"]: (r["n"], 0, 0) for r in days.join(dates, "value").groupBy("grp").agg(F.sum("n").alias("n")).collect()}
+
+    def revenue_gap(source: int) -> int:
+        return int(source > 0 and abs(tally.units("rfm", "rows") - source) > source * quality.REVENUE_TOLERANCE)
+
+    expected = tally.rows("bronze", "records") - tally.rows("bronze", "noise")
+    bronze_rows, dedup = tally.units("bronze", "records"), tally.rows("bronze", "records")
+    segments = months["rfm", "segments"]
+    found = {
+        "bronze_stg_reconciliation": int(tally.rows("silver", "rows") != expected or expected > bronze_rows or dedup > bronze_rows),
+        "dim_country_matches_stg_distinct": differ(tally.distinct("silver", "country"), tally.rows("dim_country", "members")),
+        "dim_customer_matches_stg_distinct": differ(tally.distinct("silver", "customer_id"), tally.rows("dim_customer", "members")),
+        "dim_date_matches_stg_distinct_dates": differ(tally.distinct("silver", "date"), tally.rows("dim_date", "members")),
+        "dim_product_matches_stg_distinct": differ(tally.distinct("silver", "stock_code"), tally.rows("dim_product", "members")),
+        "fact_guest_customer_sk": differ(tally.rows("silver", "guests"), tally.rows("fact", "guests")),
+        "features_customer_reconcile": differ(tally.distinct("silver", "buyers"), tally.rows("features", "rows")),
+        "features_customers_in_dim": features["orphan_rows"], "mart_rfm_customers_in_dim": rfm["orphan_rows"],
+        "kpi_active_customers_reconcile": month_gap(months["silver", "month_buyers"], 1, months["kpi", "months"], 2),
+        "kpi_revenue_reconcile": month_gap(months["silver", "month_revenue"], 2, months["kpi", "revenue"], 2),
+        "partition_bronze_stg_reconcile": month_gap(months["bronze", "expected"], 0, months["silver", "rows"], 0),
+        "partition_fact_matches_stg": month_gap(months["silver", "rows"], 0, fact_months(), 0),
+        "rfm_monetary_reconcile": revenue_gap(sum(u for _, _, u in months["silver", "month_revenue"].values())),
+        "rfm_monetary_reconcile_bronze": revenue_gap(tally.units("bronze", "revenue")),
+        "rfm_segment_covers_customer_base": int(None in segments or differ(
+            tally.rows("rfm", "rows"), sum(n for n, _, _ in segments.values()), tally.distinct("silver", "buyers"))),
+        "stg_no_duplicate_grain": tally.repeated("silver", "grain"),
+    }
+    rows = [(name, invariant.severity, int(found[name] if name in found else tally.rows(invariant.check.table, f"rule|{name}")))
+            for name, invariant in INVARIANTS.items() if name not in skip]
+    return t.fact.sparkSession.createDataFrame(rows, "rule string, severity string, violations bigint")
 
 
 def passed(report: DataFrame) -> bool:

@@ -131,7 +131,7 @@ _SUMMARY = " UNION ALL ".join([
         CAST(epoch_us(date_max) AS DOUBLE) / CAST(1000000 AS DOUBLE) AS date_max, date_range_days, unique_months,
         month_gaps FROM ({_TEMPORAL}) t""", ["date_min", "date_max", "date_range_days", "unique_months", "month_gaps"]),
 ])
-query("q6_quality_summary", _SUMMARY)(lambda r: Q.quality_summary(r.lines.select(SILVER_COLUMNS)))
+query("q6_quality_summary", _SUMMARY)(lambda r: Q.quality_summary(r.lines.select(SILVER_COLUMNS), r.scratch))
 
 
 # ---- audit and monthly reports ------------------------------------------------------------------------------
@@ -275,7 +275,7 @@ def build_parity(r):
 
 query("q20_validation_report", " UNION ALL ".join(
     f"SELECT '{name}' AS rule, '{inv.severity}' AS severity, (SELECT {s_count()} FROM ({INVARIANT_SQL[name]}) x) AS violations"
-    for name, inv in R.INVARIANTS.items()))(lambda r: R.validation_report(Built(r)))
+    for name, inv in R.INVARIANTS.items()))(lambda r: R.validation_report(Built(r), r.scratch))
 query("q21_dimension_checks", " UNION ALL ".join(
     f"""SELECT '{d}' AS dimension, (SELECT {s_count()} FROM {d} WHERE {w}) AS members,
     (SELECT CAST(COUNT(DISTINCT {v}) AS BIGINT) FROM lines WHERE {lw}) AS source_values,
@@ -285,7 +285,7 @@ query("q21_dimension_checks", " UNION ALL ".join(
                            ("dim_product", "product_sk", "stock_code", "TRUE", "TRUE"),
                            ("dim_country", "country_sk", "country", "TRUE", "TRUE"),
                            ("dim_date", "date_sk", "tx_date", "TRUE", "TRUE"))))(
-    lambda r: Q.dimension_checks(r.lines, r.fact_transactions, r.dim_customer, r.dim_product, r.dim_country, r.dim_date))
+    lambda r: Q.dimension_checks(r.lines, r.fact_transactions, r.dim_customer, r.dim_product, r.dim_country, r.dim_date, r.scratch))
 
 
 def _dims(r):
@@ -298,7 +298,7 @@ _COVER = " UNION ALL ".join(
     (SELECT {s_count()} FROM dim_{d}) AS members, (SELECT CAST(COUNT(DISTINCT {d}_sk) AS BIGINT) FROM fact) AS in_fact,
     {s_round(s_ratio(f"(SELECT COUNT(DISTINCT {d}_sk) FROM fact) * 100", f"(SELECT COUNT(*) FROM dim_{d})"), 4)} AS coverage_pct"""
     for d in ("customer", "product", "country", "date"))
-query("q22_key_coverage", _COVER)(lambda r: Q.key_coverage(r.fact_transactions, **_dims(r)))
+query("q22_key_coverage", _COVER)(lambda r: Q.key_coverage(r.fact_transactions, r.scratch, **_dims(r)))
 query("j7_foreign_key_orphans", " UNION ALL ".join(
     f"SELECT '{d}_sk' AS foreign_key, CAST(COUNT(*) AS BIGINT) AS orphans FROM fact f WHERE f.{d}_sk NOT IN "
     f"(SELECT {d}_sk FROM dim_{d} WHERE {d}_sk > 3)" for d in ("customer", "product", "country", "date")))(
@@ -368,4 +368,4 @@ for _t, _c, _k, *_rest in R.COLUMN_CHECKS:
         _v = (f"(SELECT CAST(COUNT(DISTINCT {_c}) AS BIGINT) FROM {_src} c WHERE NOT EXISTS "
               f"(SELECT 1 FROM {_rest[0]} p WHERE p.{_rest[1]} = c.{_c}))")
     _COLUMN_SQL.append(f"SELECT '{_t}' AS table_name, '{_c}' AS column_name, '{_k}' AS kind, {_v} AS violations")
-query("declared_column_checks", " UNION ALL ".join(_COLUMN_SQL))(lambda r: R.column_check_counts(Built(r)))
+query("declared_column_checks", " UNION ALL ".join(_COLUMN_SQL))(lambda r: R.column_check_counts(Built(r), r.scratch))

@@ -99,11 +99,11 @@ def test_silver_and_star(seven, spark, scratch):
     assert fact.count() == 6 and fact.filter("customer_sk = 0").count() == 1
     assert sorted(r[0] for r in fact.select("transaction_sk").collect()) == [1, 2, 3, 4, 5, 6]
     tables = reconcile.Tables(bronze, clean, lines, fact, *dims, rfm=rfm, kpi=marts.kpi_monthly(rollup))
-    report = reconcile.validation_report(tables, skip=(
+    report = reconcile.validation_report(tables, scratch, skip=(
         "features_customer_reconcile", "features_customers_in_dim", "features_value_ranges"))
     assert reconcile.passed(report) and report.filter("violations > 0").count() == 0
     broken = reconcile.Tables(bronze, clean.filter("country <> 'France'"), lines, fact, *dims, rfm=rfm, kpi=tables.kpi)
-    assert not reconcile.passed(reconcile.validation_report(broken, skip=(
+    assert not reconcile.passed(reconcile.validation_report(broken, scratch, skip=(
         "features_customer_reconcile", "features_customers_in_dim", "features_value_ranges")))
 
 
