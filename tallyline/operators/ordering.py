@@ -12,9 +12,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyline.operators.skew import spread_join
+from tallyline.operators.skew import broadcast_if_small, spread_join
 from tallyline.sources.lake import Scratch
 
+PART_BYTES = 256 << 20     # of one range partition
+MAX_PARTS = 500_000        # 128 TB in partitions of that size
+UNKNOWN_BYTES = 1 << 57    # joins without statistics are estimated as products
 _INDEX_BITS = 33  # monotonically_increasing_id keeps the partition id above these bits
 
 
@@ -22,10 +25,21 @@ def _sort_columns(keys: Sequence[Column | str]) -> list[Column]:
     return [F.col(k) if isinstance(k, str) else k for k in keys]
 
 
+def range_parts(df: DataFrame) -> int:
+    """Range partitions for ``df``: its estimated bytes over ``PART_BYTES``, at least the session's shuffle partitions.
+
+    The estimate is the optimizer's, from file sizes. One that knows nothing (no statistics) leaves the session's number.
+    """
+    session = df.sparkSession
+    least = int(session.conf.get("spark.sql.shuffle.partitions"))
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(least, min(-(-size // PART_BYTES), MAX_PARTS)) if size < UNKNOWN_BYTES else least
+
+
 def ordered(df: DataFrame, keys: Sequence[Column | str], scratch: Scratch) -> DataFrame:
     """``df`` in global key order, with ``_pid`` (range partition) and ``_idx`` (0-based place inside it)."""
     columns = _sort_columns(keys)
-    place = (df.repartitionByRange(*columns).sortWithinPartitions(*columns)
+    place = (df.repartitionByRange(range_parts(df), *columns).sortWithinPartitions(*columns)
                .withColumn("_place", F.monotonically_increasing_id()))
     written = scratch.write(place)
     return (written.withColumn("_pid", F.shiftright("_place", _INDEX_BITS).cast("int"))
@@ -76,6 +90,43 @@ def global_ntile(df: DataFrame, keys: Sequence[Column | str], buckets: int, scra
     return numbered.withColumn(name, bucket_of(F.col("_rn"), n_rows, buckets)).drop("_rn")
 
 
+def ntiles_by_value(df: DataFrame, key: str, scores: dict[str, tuple[str, bool]], buckets: int, scratch: Scratch) -> DataFrame:
+    """NTILE columns of a written table: ``scores`` maps a name to (value column, descending), ties by ascending ``key``.
+
+    Values are counted and running counts taken over them, for all scores in one table. A value that lies inside one bucket
+    settles the rows that have it. Rows of the few values that straddle a cut, at most ``buckets - 1`` a score, are ranked by
+    key, spread over range partitions; the others are not moved but for the joins. ``key`` must be unique.
+    """
+    n_rows = df.count()
+    sign = {name: F.lit(-1.0 if down else 1.0) for name, (_, down) in scores.items()}
+    long = df.select(F.inline(F.array(*[F.struct(F.lit(s).alias("_score"), (F.col(c).cast("double") * sign[s]).alias("_v")) for s, (c, _) in scores.items()])))
+    counts = long.groupBy("_score", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    order = sorted(scores)  # every score has n_rows rows, so the running count starts anew after each
+    run = global_running_sum(counts, ["_score", "_v"], {"_upto": "_n"}, scratch)
+    upto = F.col("_upto") - F.lit(n_rows) * (F.array_position(F.array(*[F.lit(s) for s in order]), F.col("_score")) - 1)
+    run = run.withColumn("_upto", upto)
+    low, high = (bucket_of(c, n_rows, buckets) for c in (F.col("_upto") - F.col("_n") + 1, F.col("_upto")))
+    known = scratch.write(run.select("_score", "_v", (F.col("_upto") - F.col("_n")).alias("_first"), low.alias("_low"), high.alias("_high")))
+    out = df
+    for s, (c, _) in scores.items():
+        mine = known.filter(F.col("_score") == s).select("_v", F.col("_low").alias(s), F.when(F.col("_low") != F.col("_high"), F.col("_first")).alias(f"_cut_{s}"))
+        out = out.withColumn("_v", F.col(c).cast("double") * sign[s]).join(broadcast_if_small(mine), "_v", "left").drop("_v")
+    cuts = known.filter(F.col("_low") != F.col("_high")).select("_score", "_first").collect()  # buckets - 1 a score at most
+    straddled = sorted({r["_score"] for r in cuts})
+    if straddled:
+        out = scratch.write(out)
+        tied = out.select(key, F.inline(F.filter(F.array(*[F.struct(F.lit(s).alias("_score"), F.col(f"_cut_{s}").alias("_first")) for s in straddled]),
+                                                 lambda x: x["_first"].isNotNull())))
+        ranked = scratch.write(global_row_number(tied, ["_score", "_first", key], scratch, "_rn"))
+        starts = ranked.groupBy("_score", "_first").agg((F.min("_rn") - 1).alias("_start"))
+        ranks = ranked.join(F.broadcast(starts), ["_score", "_first"]).select(
+            "_score", F.col(key).alias("_key"), bucket_of(F.col("_first") + F.col("_rn") - F.col("_start"), n_rows, buckets).alias("_bucket"))
+        wide = ranks.groupBy("_key").agg(*[F.max(F.when(F.col("_score") == s, F.col("_bucket"))).alias(f"_bucket_{s}") for s in straddled])
+        out = out.join(wide, out[key] == wide["_key"], "left").withColumns(
+            {s: F.coalesce(f"_bucket_{s}", s) for s in straddled}).drop("_key", *[f"_bucket_{s}" for s in straddled])
+    return out.drop(*[f"_cut_{s}" for s in scores])
+
+
 def global_running_sum(df: DataFrame, keys: Sequence[Column | str], values: dict[str, str], scratch: Scratch,
                        row_number: str | None = None) -> DataFrame:
     """Running sums of whole-number columns in key order: ``values`` maps new column to summed column."""

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.functions import exprs as X
+from tallyline.operators.distinct import with_distinct_counts
 from tallyline.operators.ordering import global_running_sum
 from tallyline.operators.quantiles import exact_quantiles, long_values
 from tallyline.operators.skew import broadcast_if_small
@@ -297,10 +298,9 @@ def monthly_sales(lines: DataFrame) -> DataFrame:
     """Purchases per month; customers are counted once each."""
     per = lines.filter(~F.col("is_cancellation")).groupBy("year_month", "invoice", "customer_id").agg(
         _n().alias("rows"), F.sum(X.units("line_amount")).alias("amount"))
-    month = per.groupBy("year_month").agg(
-        X.from_units(F.sum("amount")).alias("revenue"), F.count_distinct("invoice").alias("n_transactions"),
-        F.count_distinct(F.when(F.col("customer_id") != "", F.col("customer_id"))).alias("n_customers"),
-        F.sum("rows").alias("n_rows"))
+    month = with_distinct_counts(
+        per, ["year_month"], [X.from_units(F.sum("amount")).alias("revenue"), F.sum("rows").alias("n_rows")],
+        {"n_transactions": ("invoice", None), "n_customers": ("customer_id", F.col("customer_id") != "")})
     return month.withColumn("aov", X.round_to(X.ratio("revenue", "n_transactions"), 4))
 
 
@@ -328,12 +328,11 @@ def business_measures(rollup: DataFrame, first: date | None = None, last: date |
     if last is not None:
         part = part.filter(F.to_date("invoice_date") <= F.lit(last))
     valid, cancelled = F.col("has_valid"), F.col("has_cancelled")
-    one = part.agg(
-        X.from_units(F.sum("valid_amount")).alias("revenue"), X.from_units(F.sum("cancelled_amount")).alias("cancellation_value"),
-        F.count_distinct(F.when(valid, F.col("invoice"))).alias("orders"),
-        F.count_distinct(F.when(valid, F.col("customer_id"))).alias("active_customers"),
-        X.from_units(F.sum("valid_quantity")).alias("units"),
-        F.count_distinct(F.when(cancelled, F.col("invoice"))).alias("cancelled_orders"))
+    one = with_distinct_counts(
+        part, [],
+        [X.from_units(F.sum("valid_amount")).alias("revenue"), X.from_units(F.sum("cancelled_amount")).alias("cancellation_value"),
+         X.from_units(F.sum("valid_quantity")).alias("units")],
+        {"orders": ("invoice", valid), "active_customers": ("customer_id", valid), "cancelled_orders": ("invoice", cancelled)})
     return one.select((F.col("revenue") + F.col("cancellation_value")).alias("net_revenue"), "orders", "active_customers",
                       X.round_to(X.ratio("revenue", "orders"), 4).alias("aov"), "units",
                       X.round_to(X.ratio("cancelled_orders", F.col("orders") + F.col("cancelled_orders")), 6).alias(

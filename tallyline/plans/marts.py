@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyline.functions import exprs as X
-from tallyline.operators.ordering import global_ntile
+from tallyline.operators.distinct import with_distinct_counts
+from tallyline.operators.ordering import ntiles_by_value
 from tallyline.sources.lake import Scratch
 
 
@@ -37,15 +38,11 @@ def invoice_rollup(lines: DataFrame) -> DataFrame:
 
 def kpi_monthly(rollup: DataFrame) -> DataFrame:
     valid, cancelled = F.col("has_valid"), F.col("has_cancelled")
-    month = rollup.groupBy("year_month").agg(
-        X.from_units(F.sum("valid_amount")).alias("revenue"),
-        X.from_units(F.sum("valid_quantity")).alias("units_sold"),
-        F.count_distinct(F.when(valid, F.col("invoice"))).alias("orders"),
-        F.count_distinct(F.when(valid, F.col("customer_id"))).alias("active_customers"),
-        F.count_distinct(F.when(cancelled, F.col("invoice"))).alias("cancelled_orders"),
-        X.from_units(F.sum("cancelled_amount")).alias("cancellation_value"),
-        F.sum("lines").alias("line_count"),
-    )
+    month = with_distinct_counts(
+        rollup, ["year_month"],
+        [X.from_units(F.sum("valid_amount")).alias("revenue"), X.from_units(F.sum("valid_quantity")).alias("units_sold"),
+         X.from_units(F.sum("cancelled_amount")).alias("cancellation_value"), F.sum("lines").alias("line_count")],
+        {"orders": ("invoice", valid), "active_customers": ("customer_id", valid), "cancelled_orders": ("invoice", cancelled)})
     return month.select(
         "year_month", "revenue", "units_sold", "orders", "active_customers",
         X.round_to(X.ratio("revenue", "orders"), 4).alias("aov"),
@@ -72,10 +69,13 @@ def rfm_base(rollup: DataFrame) -> DataFrame:
 
 
 def score_rfm(base: DataFrame, scratch: Scratch) -> DataFrame:
-    """Quintile scores 1..5 and the segment. Ties are broken by customer id, so the scores are repeatable."""
-    scored = global_ntile(base, [F.desc("recency_days"), F.asc("customer_id")], 5, scratch, "r_score")
-    scored = global_ntile(scored, ["frequency", "customer_id"], 5, scratch, "f_score")
-    scored = global_ntile(scored, ["monetary", "customer_id"], 5, scratch, "m_score")
+    """Quintile scores 1..5 and the segment. Ties are broken by customer id, so the scores are repeatable.
+
+    The base is written once. Each score is cut from the counts of its values: a customer's bucket follows from its value, and
+    only customers whose value straddles a cut are ordered by id.
+    """
+    scored = ntiles_by_value(scratch.write(base), "customer_id", {
+        "r_score": ("recency_days", True), "f_score": ("frequency", False), "m_score": ("monetary", False)}, 5, scratch)
     return scored.select("customer_id", "recency_days", "frequency", "monetary", "r_score", "f_score", "m_score",
                          X.segment_label("r_score", "f_score").alias("segment"))
 

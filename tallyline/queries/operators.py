@@ -12,6 +12,7 @@ from tallyline.functions import exprs as X
 from tallyline.operators import checks as C
 from tallyline.operators import ordering as O
 from tallyline.operators import quantiles as N
+from tallyline.operators.distinct import with_distinct_counts
 from tallyline.operators.gaps import event_gaps
 from tallyline.operators.skew import broadcast_if_small
 from tallyline.plans import analytics as A
@@ -183,7 +184,7 @@ query("a1_group_aggregates", f"""SELECT country, {s_count()} AS rows, {s_units("
                                              X.ratio(X.exact_sum("line_amount"), F.count(F.lit(1))).alias("mean")))
 query("a2_count_distinct", """SELECT country, CAST(COUNT(DISTINCT invoice) AS BIGINT) AS invoices, CAST(COUNT(DISTINCT stock_code) AS BIGINT) AS products
     FROM lines GROUP BY country""")(
-    lambda r: r.lines.groupBy("country").agg(F.count_distinct("invoice").alias("invoices"), F.count_distinct("stock_code").alias("products")))
+    lambda r: with_distinct_counts(r.lines, ["country"], [F.count(F.lit(1)).alias("_rows")], {"invoices": ("invoice", None), "products": ("stock_code", None)}).drop("_rows"))
 query("a3_conditional_aggregates", f"""SELECT customer_id, {s_units("line_amount", "is_valid_purchase")} AS bought,
     {s_units("line_amount", "is_cancellation")} AS cancelled, CAST(COUNT(DISTINCT CASE WHEN is_cancellation THEN invoice END) AS BIGINT) AS cancelled_invoices
     FROM lines WHERE customer_id <> '' GROUP BY customer_id""")(

@@ -184,3 +184,35 @@ def test_cluster_names_get_letters(spark):
 def test_safe_divide(spark):
     df = spark.createDataFrame([(1.0, 2.0), (1.0, 0.0), (None, 1.0), (float("nan"), 1.0)], "a double, b double")
     assert [r[0] for r in df.select(X.safe_divide("a", "b", -1.0)).collect()] == [0.5, -1.0, -1.0, -1.0]
+
+
+def test_ntiles_by_value_equal_window(spark, scratch):
+    rows = [(f"k{i:04}", (i * 7) % 5, float(i % 90), i // 100) for i in range(403)]
+    df = scratch.write(spark.createDataFrame(rows, "id string, few int, many double, blocks int"))
+    wanted = {"a": ("few", True), "b": ("many", False), "c": ("blocks", False)}
+    for buckets in (5, 7, 1, 1000):
+        got = {r["id"]: (r["a"], r["b"], r["c"]) for r in ordering.ntiles_by_value(df, "id", wanted, buckets, scratch).collect()}
+        tiles = [F.ntile(buckets).over(Window.orderBy(F.desc(c) if down else F.asc(c), "id")).alias(n) for n, (c, down) in wanted.items()]
+        assert got == {r["id"]: (r["a"], r["b"], r["c"]) for r in df.select("id", *tiles).collect()}
+
+
+def test_distinct_counts_without_expand(spark):
+    from tallyline.operators.distinct import with_distinct_counts
+    rows = [("g", 1, "x", True), ("g", 1, "y", False), ("g", 2, None, True), (None, 3, "x", None), (None, None, "x", True), ("h", None, None, None)]
+    df = spark.createDataFrame(rows, "k string, a int, b string, f boolean")
+    counts = {"n_a": ("a", None), "n_af": ("a", F.col("f")), "n_b": ("b", None), "n_bf": ("b", F.col("f"))}
+    out = with_distinct_counts(df, ["k"], [F.count(F.lit(1)).alias("n")], counts)
+    exact = df.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("a").alias("n_a"), F.count_distinct(F.when(F.col("f"), F.col("a"))).alias("n_af"),
+                                F.count_distinct("b").alias("n_b"), F.count_distinct(F.when(F.col("f"), F.col("b"))).alias("n_bf"))
+    key = lambda r: str(r["k"])
+    assert sorted(out.collect(), key=key) == sorted(exact.select(out.columns).collect(), key=key)
+    assert "Expand" not in out._jdf.queryExecution().executedPlan().toString()
+    none = with_distinct_counts(df.filter("a > 9"), [], [F.count(F.lit(1)).alias("n")], counts).first()
+    assert tuple(none) == (0, 0, 0, 0, 0)
+
+
+def test_range_parts_follow_bytes(spark, monkeypatch):
+    df = spark.range(1000)
+    assert ordering.range_parts(df) == 4
+    monkeypatch.setattr(ordering, "PART_BYTES", 500)
+    assert ordering.range_parts(df) == 16 and ordering.range_parts(df.crossJoin(df.crossJoin(df.crossJoin(df.crossJoin(df))))) in (4, ordering.MAX_PARTS)
