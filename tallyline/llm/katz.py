@@ -27,10 +27,8 @@ from tallyline.llm import blocks, graph
 from tallyline.sources.lake import Scratch
 
 DISCOUNTED = 5            # counts up to this are discounted
-LEAST = (1, 2)            # smallest count that a kept word, a kept pair has by default; a pair seen less is as unseen
-ALL = (1, 1)              # every word and pair seen in training is kept
 BASE = 0.1                # added to every count of the base score
-BLOCK_BYTES = 24 << 20    # text of a block
+BLOCK_BYTES = 16 << 20    # text of a block
 BUCKET_BYTES = 8 << 20    # text for each bucket
 END = np.uint64(0x0E4D0E4D0E4D0E4D)
 BEGIN = np.uint64(0x0B460B460B460B46)
@@ -45,8 +43,8 @@ class Stats(NamedTuple):
     pairs: tuple[float, ...]
 
 
-def discounts(times: dict[int, int], least: int, k: int = DISCOUNTED) -> tuple[float, ...]:
-    """Katz's discount d(r) for r = 0..k from counts of counts; 0 below ``least``.
+def discounts(times: dict[int, int], k: int = DISCOUNTED) -> tuple[float, ...]:
+    """Katz's discount d(r) for r = 0..k from counts of counts; d(0) is 0.
 
     Where Good-Turing gives no number in (0, 1], r loses Ney's constant n1 / (n1 + 2 n2), at most 0.9.
     """
@@ -56,7 +54,7 @@ def discounts(times: dict[int, int], least: int, k: int = DISCOUNTED) -> tuple[f
     out = [0.0]
     for r in range(1, k + 1):
         turing = ((r + 1) * n[r + 1] / n[r] / r - rest) / (1 - rest) if n[r] and rest < 1 else 0.0
-        out.append(0.0 if r < least else turing if 0 < turing <= 1 else (r - lost) / r)
+        out.append(turing if 0 < turing <= 1 else (r - lost) / r)
     return tuple(out)
 
 
@@ -169,7 +167,7 @@ def _merged(table: pa.Table, kind: type) -> tuple[np.ndarray, np.ndarray, list[s
     return distinct, place, [slice(b - len(k), b) for k, b in zip(keys, ends, strict=True)], numbers
 
 
-def _count(asked: DataFrame, least: tuple[int, int]) -> DataFrame:
+def _count(asked: DataFrame) -> DataFrame:
     """Sums each bucket: its answers to the blocks, its part of the table, and how often each count occurs.
 
     An answer is the training count of each key asked for, doubled, plus 1 for the one block that stands for a pair.
@@ -186,7 +184,7 @@ def _count(asked: DataFrame, least: tuple[int, int]) -> DataFrame:
         counted = total[(total > 0) & (distinct != BEGIN)]
         for r, n in zip(*np.unique(np.minimum(counted, DISCOUNTED + 2), return_counts=True), strict=True):
             out.append(("times", int(r), None, int(n), int(counted[counted >= r].sum()) if r == DISCOUNTED + 2 else int(r * n)))
-        kept = total >= least[kind - 1]
+        kept = total > 0
         lists = [None] * len(out) + [distinct[kept].view(np.int64)]
         out.append(("table", None, None, None, None))
         counts = [None] * (len(out) - 1) + [total[kept]]
@@ -232,9 +230,12 @@ def _meet(docs: DataFrame, answers: DataFrame, handle, schema: str) -> DataFrame
 
     def done(block: int, held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(held)
+        held.clear()  # texts and answers of a block are held once
         kinds = table.column("kind").to_numpy()
         got = {int(k): [x.as_buffer() for x in table.column("answer").filter(pa.array(kinds == k))] for k in np.unique(kinds) if k != 9}
-        yield from handle(int(block), table.filter(pa.array(kinds == 9)), got)
+        rows = table.select(["doc_id", "held_out", "text"]).filter(pa.array(kinds == 9))
+        del table, kinds
+        yield from handle(int(block), rows, got)
 
     rows = docs.mapInArrow(number, shape)
     asked = answers.select("block", "kind", F.col("bucket").alias("part"), F.lit(None).cast(kind).alias("doc_id"),
@@ -256,27 +257,27 @@ def ngrams(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(F.col("kind").alias("order"), "bucket", F.explode(F.arrays_zip("key", "count")).alias("e")).select("order", "bucket", "e.key", "e.count")
 
 
-def score(docs: DataFrame, scratch: Scratch, path: str | None = None, least: tuple[int, int] = LEAST) -> DataFrame:
+def score(docs: DataFrame, scratch: Scratch, path: str | None = None) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row of ``docs(doc_id, text, held_out)``.
 
     Rows that are not held out teach the model. ``docs`` must be a written table, read in the same order each time. A null or
     empty text is one end token. Repeated rows count and are scored each. ``score`` is the log10 probability of the whole
     text; if nothing teaches, every token is unknown and has probability 1. Null ``held_out`` counts as false; other columns
-    are ignored. Words and pairs seen less than ``least`` count as unseen; ``ALL`` keeps each with its discounted count.
+    are ignored. Every word and pair seen in training is kept with its discounted count.
     """
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text", F.coalesce("held_out", F.lit(False)).alias("held_out"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-size // BUCKET_BYTES))
     path = path or f"{scratch.root}/katz-{uuid.uuid4().hex}"
-    _count(_ask(docs, buckets), least).write.partitionBy("what").parquet(f"{path}/raw")
+    _count(_ask(docs, buckets)).write.partitionBy("what").parquet(f"{path}/raw")
     raw = spark.read.schema(f"{_COUNTED}, what string").parquet(f"{path}/raw")
     times: dict[int, dict[int, tuple[int, int]]] = {1: {}, 2: {}}
     for r in raw.filter("what = 'times'").groupBy("kind", "block").agg(F.sum("n").alias("n"), F.sum("total").alias("total")).collect():
         times[r["kind"]][r["block"]] = (r["n"], r["total"])
     graph.release(spark)
     stats = Stats(sum(t for _, t in times[1].values()), sum(n for n, _ in times[1].values()),
-                  *(discounts({r: n for r, (n, _) in times[k].items() if r <= DISCOUNTED + 1}, least[k - 1]) for k in (1, 2)))
+                  *(discounts({r: n for r, (n, _) in times[k].items() if r <= DISCOUNTED + 1}) for k in (1, 2)))
     kept = sum(n * r * stats.words[r] if r <= DISCOUNTED else t for r, (n, t) in times[1].items())
     unknown = (stats.tokens - kept) / stats.tokens if stats.tokens else 1.0
     unknown = unknown if unknown > 1e-12 else 0.0
@@ -285,7 +286,7 @@ def score(docs: DataFrame, scratch: Scratch, path: str | None = None, least: tup
     def sums(block: int, rows: pa.Table, got: dict[int, list]) -> Iterator[pa.RecordBatch]:
         own = Block.read(_flat(rows.column("text")))
         words, pairs = _numbers(got[1], len(own.words)) >> 1, _numbers(got[2], len(own.pairs))
-        mine = (pairs >> 1 >= least[1]) & (pairs & 1 == 1)
+        mine = (pairs >> 1 > 0) & (pairs & 1 == 1)
         context = own.pair_context[mine]
         mass = np.bincount(context, weights=_discounted(pairs[mine] >> 1, stats.pairs), minlength=len(own.words))
         lower = np.bincount(context, weights=unigram(words, stats, unknown)[own.pair_word[mine]], minlength=len(own.words))
@@ -319,6 +320,7 @@ def score(docs: DataFrame, scratch: Scratch, path: str | None = None, least: tup
         own = Block.read(_flat(rows.column("text")))
         words, pairs = _numbers(got[1], len(own.words)) >> 1, _numbers(got[2], len(own.pairs)) >> 1
         sums_of = np.concatenate([np.frombuffer(p, np.float64) for p in got[3]]).reshape(-1, 2)
+        rows = rows.drop_columns(["text"])
         lower = unigram(words, stats, unknown)
         seen = np.maximum(words, 1)
         left = 1 - sums_of[:, 0] / seen
@@ -327,7 +329,7 @@ def score(docs: DataFrame, scratch: Scratch, path: str | None = None, least: tup
         back = np.log10(left) - np.log10(np.where(sums_of[:, 0] > 0, 1 - sums_of[:, 1], 1.0))
         c = own.pair_context
         own_log = np.log10(np.maximum(_discounted(pairs, stats.pairs), 1e-300) / (seen + scarce)[c])
-        log = np.where(pairs >= least[1], own_log, back[c] + np.log10(lower)[own.pair_word])
+        log = np.where(pairs > 0, own_log, back[c] + np.log10(lower)[own.pair_word])
         base = np.log10((words + BASE) / (stats.tokens + BASE * (stats.types + 1)))
         begin = own.first[:-1]
         n = rows.num_rows

@@ -51,7 +51,7 @@ def test_op1_keeps_pairs_seen_once(spark, tmp_path):
 
 
 def test_katz_tables_hold_every_pair(spark, docs, texts, scratch, tmp_path):
-    katz.score(docs.withColumn("held_out", F.lit(False)), scratch, str(tmp_path), katz.ALL).count()
+    katz.score(docs.withColumn("held_out", F.lit(False)), scratch, str(tmp_path)).count()
     fold = str.maketrans({c: c + 32 for c in range(65, 91)})
     tokens = [[*WORD.findall((t or "").translate(fold)), None] for _, t in texts]
     want = [(1, len({w for x in tokens for w in x}) + 1, sum(map(len, tokens)) + len(tokens)),  # and the begin mark
