@@ -1,9 +1,9 @@
 """Mixing sources to target word budgets by counts of exact lengths, a bounded knapsack and seeded selection.
 
 Targets come from weights and are capped at a multiple of each source's size. A source's budget is whole repeats of the
-source and a rest. The rest is planned over the counts of documents by exact length: every length gives the same share first,
-then long lengths fill what is far from the budget, and a bounded-knapsack table over sums settles the remainder. Documents
-of a length are then taken in seeded order. Only counts meet in one task; documents are ranked in parts.
+source and a rest. The rest is planned over the counts of documents by exact length: every length gives the same share of all but
+the last ``TABLE_SUMS`` words, and a bounded-knapsack table over sums settles those. Documents of a length are then taken in
+seeded order. Only counts meet in one task; documents are ranked in parts.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from tallyline.sources.lake import Scratch
 WEIGHTS = (5, 2, 1)
 REPEATS = 3
 SEED = 17
-TABLE_SUMS = 1 << 16  # largest budget the knapsack table spans; larger rests are first brought below it
+TABLE_SUMS = 1 << 16  # words that the knapsack table spans
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -47,24 +47,24 @@ def targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int =
 
 
 def fit_budget(counts: dict[int, int], budget: int, table_sums: int = TABLE_SUMS) -> dict[int, int]:
-    """How many documents of each length to take, at most ``counts``, so that the words come as near to ``budget`` as found.
+    """How many documents of each length to take, at most ``counts``, so that the words come as near to ``budget`` as possible.
 
-    The sum never passes the budget. All of it is exact integer work on counts.
+    The sum never passes the budget. A knapsack table settles the last ``table_sums`` words over all documents not taken yet, so
+    a budget up to that is met by the best of all choices. Of a larger one an equal share of every length is taken before, which
+    leaves the same share of every length to choose from.
     """
     counts = {n: c for n, c in counts.items() if n > 0 and c > 0}
     total = sum(n * c for n, c in counts.items())
     if budget >= total:
         return counts
-    take = {n: c * budget // total for n, c in counts.items()}
+    take = {n: c * max(0, budget - table_sums) // total for n, c in counts.items()}
     rest = budget - sum(n * t for n, t in take.items())
-    for n in sorted(counts, reverse=True):
-        if rest <= table_sums:
-            break
-        more = min(counts[n] - take[n], rest // n)
+    for n in sorted(counts, reverse=True):  # what rounding down left beyond the table, long lengths first
+        more = min(counts[n] - take[n], max(0, -(-(rest - table_sums) // n)), rest // n)
         take[n] += more
         rest -= n * more
     # bounded knapsack: bit s of ``reach`` tells that sum s can be made; each length enters as 1, 2, 4.. documents at once
-    mask, reach, steps = (1 << (min(rest, table_sums) + 1)) - 1, 1, []
+    mask, reach, steps = (1 << (rest + 1)) - 1, 1, []
     for n in sorted(counts, reverse=True):
         left, bundle = min(counts[n] - take[n], rest // n), 1
         while left and not reach >> rest & 1:
@@ -84,7 +84,7 @@ def mix(docs: DataFrame, scratch: Scratch, weights: tuple[int, ...] = WEIGHTS, r
     """(doc_id, source, size, source_size, target, taken) for every row of ``docs(doc_id, text, source)``.
 
     ``size`` is the number of words, 0 for null or empty texts; ``taken`` is a multiple of it, at most ``repeats`` times. A
-    source's taken words do not pass its target and miss it by what no choice of lengths could fill. Null sources form one
+    source's taken words do not pass its target and come as near as ``fit_budget`` finds. Null sources form one
     source. Repeated rows are rows of their own; equal ones stand for each other. An empty table gives an empty result.
     """
     sized = scratch.write(docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")))
