@@ -53,9 +53,19 @@ def clusters(docs: DataFrame, scratch: Scratch, words: int = WORDS, percent: int
     Repeated rows each come back. ``component_id`` is the smallest non-null doc_id among all rows reachable by links, null if
     there is none. An empty table gives an empty result.
     """
-    docs = docs.select("doc_id", "text")
+    rows, labelled = _labelled(docs, scratch, words, percent)
+    linked = (rows.filter("n > 0").select("doc_id", "n", "d1", "d2").join(labelled, ["d1", "d2"])
+                  .select("doc_id", F.col("n").alias("n_shingles"), "component_id"))
+    empty = rows.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    return linked.unionByName(empty)
+
+
+def _labelled(docs: DataFrame, scratch: Scratch, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The rows with their sets' digests, and (d1, d2, component, component_id) of every set that is not empty."""
+    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     frequent = docs.sparkSession.sparkContext.broadcast(_frequent(docs, words))
     rows = scratch.write(_prefixes(docs, words, percent, frequent))
+    docs = docs.drop("text_hash")
     nodes = (rows.filter("n > 0").groupBy("d1", "d2")
                  .agg(F.min("row").alias("node"), F.min("doc_id").alias("least"), F.any_value("n").alias("n")))
     nodes = scratch.write(nodes)
@@ -73,24 +83,27 @@ def clusters(docs: DataFrame, scratch: Scratch, words: int = WORDS, percent: int
     found, _ = regions.connect([members], compare, may_link(percent), percent, scratch)
     known = nodes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     label = known.groupBy("component").agg(F.min("least").alias("component_id"))
-    labelled = known.join(label, "component").select("d1", "d2", "component_id")
-    linked = (rows.filter("n > 0").select("doc_id", "n", "d1", "d2").join(labelled, ["d1", "d2"])
-                  .select("doc_id", F.col("n").alias("n_shingles"), "component_id"))
-    empty = rows.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return linked.unionByName(empty)
+    return rows, known.join(label, "component").select("d1", "d2", "component", "component_id")
 
 
-def keep_one(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """Rows of ``docs`` without near copies: of each component the row with the smallest doc_id, all columns as they were.
+def keep_one(docs: DataFrame, scratch: Scratch, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """Rows of ``docs`` without near copies: one row of each component, all columns as they were.
 
-    Texts without words stay. Of rows that repeat a doc_id one is kept for each text; rows without doc_id stay only if their
-    component has no doc_id.
+    It is the row with the smallest doc_id (null last), then the smallest hash of its text; of rows that repeat both, one stays.
+    Texts without words are in no component and stay, repeated ones too.
     """
-    found = scratch.write(clusters(docs, scratch).filter("doc_id <=> component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_rows")))
-    same = lambda part: docs.alias("d").join(part.alias("f"), F.expr("d.doc_id <=> f.doc_id"), "left_semi")
-    once = same(found.filter("_rows = 1"))
-    repeated = same(found.filter("_rows > 1")).dropDuplicates(["doc_id", "text"])
-    return once.unionByName(repeated)
+    rows, labelled = _labelled(docs, scratch, words, percent)
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    first = (rows.filter("n > 0").select("doc_id", "text_hash", "d1", "d2").join(labelled, ["d1", "d2"])
+                 .groupBy("component").agg(F.min(place).alias("p")).select("p.doc_id", "p.text_hash"))
+    times = rows.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("_rows"), F.max("n").alias("_n"))
+    same_key = F.col("t.doc_id").eqNullSafe(F.col("f.doc_id")) & F.col("t.text_hash").eqNullSafe(F.col("f.text_hash"))
+    chosen = times.alias("t").join(first.withColumn("_chosen", F.lit(True)).alias("f"), same_key, "left").select("t.*", "f._chosen")
+    chosen = scratch.write(chosen.filter("_chosen OR _n = 0").select("doc_id", "text_hash", F.expr("_rows > 1 AND _n > 0").alias("_repeated")))
+    on = F.expr("d.doc_id <=> f.doc_id AND xxhash64(d.text) = f.text_hash")
+    stays = lambda part: docs.alias("d").join(part.alias("f"), on, "left_semi")
+    once, repeated = stays(chosen.filter("NOT _repeated")), chosen.filter("_repeated")
+    return once if repeated.isEmpty() else once.unionByName(stays(repeated).dropDuplicates(["doc_id", "text"]))
 
 
 def may_link(percent: int):
@@ -145,10 +158,10 @@ def _prefixes(docs: DataFrame, words: int, percent: int, frequent) -> DataFrame:
             ends = np.concatenate([[0], np.cumsum([len(h) for h in heads])]).astype(np.int32)
             flat = np.concatenate(heads) if heads else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()),
-                 pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["doc_id", "n", "d1", "d2", "prefix"])
+                [batch.column("doc_id"), batch.column("text_hash"), pa.array(n, pa.int64()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()),
+                 pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["doc_id", "text_hash", "n", "d1", "d2", "prefix"])
 
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n long, d1 long, d2 long, prefix array<long>"
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_hash long, n long, d1 long, d2 long, prefix array<long>"
     return docs.mapInArrow(run, schema).select(F.monotonically_increasing_id().alias("row"), "*")
 
 
