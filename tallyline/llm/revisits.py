@@ -58,37 +58,44 @@ def resolve(captures: DataFrame, scratch: Scratch, rows_per_part: int = ROWS) ->
     ``etag_differs`` or ``date_differs`` if a validator both sides have disagrees (the tag decides where both have one); or
     ``no_validator`` if they share none. ``response_id`` is the response found even where validators disagree, ``headers``
     are merged for resolved ones and null otherwise. A response counts as earlier if (captured, record_id) is smaller. Rows
-    without url or captured resolve to nothing and are no response. Null headers are empty; other columns are ignored.
+    without url or captured resolve to nothing and are no response. Null headers are empty; other columns are ignored. Rows that
+    repeat another one whole each come back. ``record_id`` names a capture: of responses that share one and yet differ, the
+    headers of one stand for all.
     """
     h = F.coalesce("headers", F.create_map().cast("map<string,string>"))
-    rows = captures.filter("status IN (200, 304)").select(
-        "record_id", canonical_url(F.col("url")).alias("url_key"), "captured", (F.col("status") == 200).alias("full"),
+    # rows are numbered so that headers come back to the very row; the numbered log is written, as numbers must not change
+    captures = scratch.write(captures.filter("status IN (200, 304)").select(
+        "record_id", "url", "captured", "status", h.alias("headers"), F.monotonically_increasing_id().alias("row")))
+    h = F.col("headers")
+    rows = captures.select(
+        "row", "record_id", canonical_url(F.col("url")).alias("url_key"), "captured", (F.col("status") == 200).alias("full"),
         _tag(h["etag"]).alias("etag"), h["last-modified"].alias("date"))
     whole = rows.filter("url_key IS NOT NULL AND captured IS NOT NULL")
     parts = max(1, -(-whole.count() // rows_per_part))
     order = ["captured", "record_id"]
     ranged = whole.repartitionByRange(parts, "url_key", *order) if parts > 1 else whole.coalesce(1)
     placed = scratch.write(ranged.withColumn("part", F.spark_partition_id()))
-    response = F.when(F.col("full"), F.struct("record_id", "etag", "date"))
+    response = F.when(F.col("full"), F.struct("record_id", "row", "etag", "date"))
     inside = Window.partitionBy("part", "url_key").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     own = placed.withColumn("_own", F.last(response, ignorenulls=True).over(inside)).filter("NOT full")
-    ends = placed.groupBy("url_key", "part").agg(F.max(F.when(F.col("full"), F.struct(*order, "etag", "date"))).alias("_last"))
+    ends = placed.groupBy("url_key", "part").agg(F.max(F.when(F.col("full"), F.struct(*order, "row", "etag", "date"))).alias("_last"))
     before = Window.partitionBy("url_key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     handed = (ends.withColumn("_before", F.last("_last", ignorenulls=True).over(before)).filter("_before IS NOT NULL")
-                  .select("url_key", "part", F.struct("_before.record_id", "_before.etag", "_before.date").alias("_before")))
+                  .select("url_key", "part", F.struct("_before.record_id", "_before.row", "_before.etag", "_before.date").alias("_before")))
     found = (own.join(handed, ["url_key", "part"], "left").withColumn("_r", F.coalesce("_own", "_before"))
-                .select("record_id", "url_key", "captured", "etag", "date", "_r"))
+                .select("row", "record_id", "url_key", "captured", "etag", "date", "_r"))
     found = found.unionByName(rows.filter("NOT full AND (url_key IS NULL OR captured IS NULL)")
-                                  .select("record_id", "url_key", "captured", "etag", "date", F.lit(None).cast(found.schema["_r"].dataType).alias("_r")))
+                                  .select("row", "record_id", "url_key", "captured", "etag", "date", F.lit(None).cast(found.schema["_r"].dataType).alias("_r")))
     tags, dates = F.col("etag").isNotNull() & F.col("_r.etag").isNotNull(), F.col("date").isNotNull() & F.col("_r.date").isNotNull()
     outcome = (F.when(F.col("_r").isNull(), "no_response")
                 .when(tags & (F.col("etag") != F.col("_r.etag")), "etag_differs")
                 .when(~tags & dates & (F.col("date") != F.col("_r.date")), "date_differs")
                 .when(tags | dates, "resolved").otherwise("no_validator"))
-    judged = found.select("record_id", "url_key", "captured", F.col("_r.record_id").alias("response_id"), outcome.alias("outcome"))
-    fresh = captures.filter("status = 304").select("record_id", h.alias("_fresh"))
-    stored = captures.filter("status = 200").select(F.col("record_id").alias("response_id"), h.alias("_stored"))
-    both = judged.join(fresh, "record_id", "left").join(stored, "response_id", "left")
+    judged = found.select("row", "record_id", "url_key", "captured", F.col("_r.record_id").alias("response_id"), F.col("_r.row").alias("_response_row"),
+                          outcome.alias("outcome"))
+    fresh = captures.filter("status = 304").select("row", h.alias("_fresh"))
+    stored = captures.filter("status = 200").select(F.col("row").alias("_response_row"), h.alias("_stored"))
+    both = judged.join(fresh, "row", "left").join(stored, "_response_row", "left")
     return both.select("record_id", "url_key", "captured", "response_id", "outcome",
                        F.when(F.col("outcome") == "resolved", merged_headers(F.col("_stored"), F.col("_fresh"))).alias("headers"))
 
