@@ -141,10 +141,15 @@ def duplicates(docs: DataFrame, scratch: Scratch, percent: int = PERCENT, chars:
     ``line`` counts from 0 at each ``\\n``; ``row`` is a hash of the text. Lines whose character-shingle sets have
     a Jaccard similarity of ``percent`` hundredths or more, directly or through others, form a component of ``n_copies`` lines. Of each
     the line with the smallest (doc_id, line, row) is kept, lines without doc_id last. Lines shorter than ``chars`` match equal ones only. Null
-    and empty texts have no lines. Rows that repeat doc_id and text count as one row: they share their keeper. Other columns are ignored.
+    and empty texts have no lines. Rows that repeat doc_id and text are one row and come back once. Other columns are ignored.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     docs = docs.select("doc_id", "text", F.xxhash64("text").alias("row"))
+    repeated = scratch.write(docs.groupBy("doc_id", "row").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"))
+    if not repeated.isEmpty():
+        again = F.col("d.doc_id").eqNullSafe(F.col("r.doc_id")) & F.col("d.row").eqNullSafe(F.col("r.row"))
+        apart = lambda how: docs.alias("d").join(repeated.alias("r"), again, how)
+        docs = scratch.write(apart("left_anti").unionByName(apart("left_semi").dropDuplicates(["doc_id", "row"])))
     lines = scratch.write(_read_lines(docs, kind, chars, bands, rows).select(F.monotonically_increasing_id().alias("id"), "*"))
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "line", "row")
     nodes = scratch.write(lines.groupBy("h1", "h2").agg(
@@ -258,7 +263,8 @@ def _distances(scratch: Scratch, docs: DataFrame, named: DataFrame, pairs: DataF
 def remove(docs: DataFrame, scratch: Scratch, **settings) -> DataFrame:
     """``docs`` without the lines that are not kept; a text that loses its last word with them goes, other texts stay.
 
-    Blank lines stay where they are, texts without words stay as they are, and ``n_chars`` is set anew where it exists.
+    Blank lines stay where they are, texts without words stay as they are, and ``n_chars`` is set anew where it exists. Rows that
+    repeat doc_id and text lose the same lines and stay as many as they are.
     """
     lost = (duplicates(docs, scratch, **settings).filter("NOT kept").groupBy("row", "doc_id")
             .agg(F.array_sort(F.collect_set("line")).alias("_lost")))

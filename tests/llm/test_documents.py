@@ -62,6 +62,16 @@ def test_clusters_equal_brute_force(docs, texts, none, scratch):
     assert ids.count(57) == 1 and not {31, 32, 33, 34, 35} & set(ids) and {5, 50, 51, 52, 55} <= set(ids)
 
 
+def test_keep_one_under_repeated_and_null_ids(spark, scratch):
+    a, b = prose(500, 80), prose(501, 80)
+    near = a + " more"
+    kept = lambda rows: sorted(jaccard_join.keep_one(spark.createDataFrame(rows, "doc_id long, text string, source string"), scratch).select(
+        "doc_id", "text").collect(), key=repr)
+    assert kept([(3, a, "x"), (7, b, "x"), (7, near, "x")]) == sorted([(3, a), (7, b)], key=repr)
+    assert len(kept([(None, a, "x"), (None, near, "y"), (None, b, "x")])) == 2
+    assert kept([(None, near, "x"), (9, a, "x"), (9, a, "y"), (4, "", "x"), (4, "", "y"), (5, None, "x")]) == sorted([(9, a), (4, ""), (4, ""), (5, None)], key=repr)
+
+
 def test_katz_equals_direct_recursion_and_sums_to_one(docs, texts, none, scratch, monkeypatch):
     monkeypatch.setattr(katz, "BLOCK_BYTES", 3000)
     monkeypatch.setattr(katz, "BUCKET_BYTES", 4000)
@@ -77,14 +87,14 @@ def test_katz_equals_direct_recursion_and_sums_to_one(docs, texts, none, scratch
                 two[before][w] += 1
                 before = w
     n, v = sum(one.values()), len(one)
-    d1 = katz.discounts(collections.Counter(one.values()), 1)
-    d2 = katz.discounts(collections.Counter(c for x in two.values() for c in x.values()), 2)
+    d1 = katz.discounts(collections.Counter(one.values()))
+    d2 = katz.discounts(collections.Counter(c for x in two.values() for c in x.values()))
     cut = lambda c, d: c * (d[c] if c < len(d) else 1)
     unknown = 1 - sum(cut(c, d1) for c in one.values()) / n
     p1 = lambda w: cut(one[w], d1) / n if one[w] else unknown
 
     def context(h):
-        kept = {w: c for w, c in two[h].items() if c >= 2}
+        kept = {w: c for w, c in two[h].items()}
         if not kept:
             return 1.0, {}, 1
         all_ = sum(two[h].values())
@@ -114,9 +124,9 @@ def test_katz_equals_direct_recursion_and_sums_to_one(docs, texts, none, scratch
 
 
 def test_discounts_fall_back_where_good_turing_fails():
-    assert katz.discounts({}, 1) == (0.0, 1.0, 1.0, 1.0, 1.0, 1.0)
-    assert katz.discounts({1: 10}, 2)[1] == 0.0
-    assert all(0 < d <= 1 for d in katz.discounts({1: 5, 2: 50, 4: 1}, 1)[1:])
+    assert katz.discounts({}) == (0.0, 1.0, 1.0, 1.0, 1.0, 1.0)
+    assert katz.discounts({1: 10})[0] == 0.0
+    assert all(0 < d <= 1 for d in katz.discounts({1: 5, 2: 50, 4: 1})[1:])
 
 
 def test_language_by_compression(spark, docs, none):
@@ -224,6 +234,11 @@ def test_budget_is_met_as_nearly_as_possible_from_below(counts, budget, span):
     got = sum(n * t for n, t in take.items())
     assert all(0 <= t <= counts[n] for n, t in take.items()) and got <= budget
     assert got >= min(budget, sum(n * c for n, c in counts.items())) - max(counts, default=0)
+    sums = {0}
+    for n, c in counts.items():
+        sums = {s + n * k for s in sums for k in range(c + 1)}
+    exact = mixing.fit_budget(counts, budget)
+    assert sum(n * t for n, t in exact.items()) == max(s for s in sums if s <= budget) and all(0 <= t <= counts[n] for n, t in exact.items())
 
 
 def test_mix_meets_targets(docs, texts, none, scratch):

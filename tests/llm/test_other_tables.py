@@ -25,7 +25,7 @@ def test_neighbours_reach_recall_and_exact_scores(spark, scratch):
         distance = np.sqrt(((points - points[q]) ** 2).sum(1))
         order = [i for i in np.lexsort((np.arange(900), distance)) if i != q][:10]
         own = got[got["query_id"] == q].sort_values("rank")
-        assert list(own["rank"]) == list(range(1, 11)) and np.allclose(own["score"], distance[own["vec_id"]], atol=0, rtol=1e-12)
+        assert list(own["rank"]) == list(range(1, 14)) and np.allclose(own["score"], distance[own["vec_id"]], atol=0, rtol=1e-12)
         assert sorted(zip(own["score"], own["vec_id"], strict=True)) == list(zip(own["score"], own["vec_id"], strict=True))
         hit += len(set(order) & set(own["vec_id"]))
     assert hit >= 0.9 * 90 and set(got["query_id"]) == set(range(0, 900, 100))
@@ -102,5 +102,23 @@ def test_pipeline_stages_take_effect(spark, docs, none, scratch):
 def test_entry_registers_each_operator():
     import __spark_entry__ as entry
     names = entry.queries()
-    assert {n.split("_")[0] for n in queries.queries()} == {f"op{i}" for i in range(1, 11)} and "pipeline" in names
+    assert {n.split("_")[0] for n in queries.queries()} == {f"op{i}" for i in range(1, 14)} and "pipeline" in names
     assert set(entry.oracle_sql()) <= set(names)
+
+
+def test_revisits_of_repeated_rows(spark, scratch):
+    pages = spark.createDataFrame([(1, "http://a.org/1", "one"), (2, "http://a.org/2", "two")], "page_id long, url string, html string")
+    single = sorted(revisits.resolve(revisits.captures_of_pages(pages), scratch).collect(), key=repr)
+    twice = sorted(revisits.resolve(revisits.captures_of_pages(pages.union(pages)), scratch).collect(), key=repr)
+    assert len(single) == 2 and twice == sorted(single * 2, key=repr)
+    bodies = pages.select((F.col("page_id") * 2).alias("record_id"), F.col("html").alias("body"))
+    found = revisits.with_bodies(revisits.resolve(revisits.captures_of_pages(pages), scratch), bodies)
+    assert {(r["record_id"], r["body"]) for r in found.collect()} == {(3, "one"), (5, "two")}
+
+
+def test_repeated_rows_keep_one_line(spark, scratch):
+    from tallyline.llm import line_dedup
+    docs = spark.createDataFrame([(1, "a long line of words here"), (1, "a long line of words here"), (None, "b line"), (None, "b line")], "doc_id long, text string")
+    rows = line_dedup.duplicates(docs, scratch).collect()
+    assert len(rows) == 2 and all(r["kept"] and r["n_copies"] == 1 for r in rows)
+    assert line_dedup.remove(docs, scratch).count() == 4
