@@ -28,7 +28,7 @@ from tallyline.sources.lake import Scratch
 
 DISCOUNTED = 5            # counts up to this are discounted
 BASE = 0.1                # added to every count of the base score
-BLOCK_BYTES = 16 << 20    # text of a block
+BLOCK_BYTES = 20 << 20    # text of a block
 BUCKET_BYTES = 8 << 20    # text for each bucket
 END = np.uint64(0x0E4D0E4D0E4D0E4D)
 BEGIN = np.uint64(0x0B460B460B460B46)
