@@ -13,6 +13,7 @@ from tallyline.sources import lake as L
 from tallyline.sources import raw_csv
 
 AUDIT_FOLDER = "_ingestion_log"
+LATE_FOLDER = "_late_rows"
 
 
 def ingestion_audit(bronze: DataFrame, source_file: str) -> DataFrame:
@@ -65,10 +66,27 @@ def ingest_typed(spark: SparkSession, typed: DataFrame, months: list[str], bronz
     """Write the rows of those of ``months`` that have no partition yet or are to be replaced."""
     replaced = set(months) if overwrite is True else set(overwrite or ())
     done = [m for m in L.list_months(spark, bronze_path) if m not in replaced]
+    report_late_rows(spark, typed, sorted(set(months) & set(done)), bronze_path, source_file)
     if set(months) - set(done):
         _write(spark, not_ingested(typed.filter("year_month IS NOT NULL"), done), bronze_path, source_file, replaced)
 
 
+def report_late_rows(spark: SparkSession, typed: DataFrame, kept: list[str], bronze_path: str, source_file: str) -> list[str]:
+    """Months that are kept as they are although the source has more rows for them now than bronze, with both counts, as a
+    warning and as rows of ``LATE_FOLDER``. ``overwrite`` takes such rows in."""
+    if not kept:
+        return []
+    source = typed.filter(F.col("year_month").isin(kept)).groupBy("year_month").agg(F.count(F.lit(1)).alias("source_rows"))
+    stored = spark.read.parquet(bronze_path).filter(F.col("year_month").isin(kept)).groupBy("year_month").agg(F.count(F.lit(1)).alias("stored_rows"))
+    late = source.join(F.broadcast(stored), "year_month").filter("source_rows > stored_rows").select(
+        "year_month", "source_rows", "stored_rows", F.lit(source_file).alias("source_file"), F.current_timestamp().alias("seen_at"))
+    rows = late.collect()  # one row a month
+    if rows:
+        spark.createDataFrame(rows, late.schema).coalesce(1).write.mode("append").parquet(f"{bronze_path}/{LATE_FOLDER}")
+        warnings.warn("late rows left out: " + ", ".join(f"{r['year_month']} has {r['source_rows']}, stored {r['stored_rows']}" for r in rows), stacklevel=3)
+    return [r["year_month"] for r in rows]
+
+
 def ingest(spark: SparkSession, raw_path: str, bronze_path: str, year_month: str,
            shift_days: int = raw_csv.SHIFT_DAYS) -> bool:
     """Ingest one month. False, and nothing written, if it exists already or the source has no such rows."""

@@ -79,11 +79,8 @@ def run(spark: SparkSession, raw_path: str, root: str, shift_days: int = raw_csv
     """
     with Scratch(spark) as scratch:
         typed = scratch.write(raw_csv.normalize(raw_csv.read_raw(spark, raw_path), shift_days))
-        unreadable = F.array_contains("reject_reason", "unreadable_date")
-        for reason in ("unreadable_quantity", "unreadable_price"):
-            unreadable = unreadable | F.array_contains("reject_reason", reason)
-        quality.quarantine(typed)[1].filter(unreadable).write.mode("overwrite").parquet(f"{root}/quarantine")
-        readable = typed.filter("invoice_date IS NOT NULL AND quantity IS NOT NULL AND price IS NOT NULL")
+        readable, unreadable = quality.split_unreadable(typed)
+        unreadable.write.mode("overwrite").parquet(f"{root}/quarantine")
         months = raw_csv.months_newest_first(readable.select("year_month").distinct())
         bronze.ingest_typed(spark, readable, months, f"{root}/bronze", raw_path.rsplit("/", 1)[-1], overwrite)
     silver.transform_all(spark, f"{root}/bronze", f"{root}/silver")

@@ -455,3 +455,9 @@ def quarantine(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Bronze rows that may go on, and rows held back with the reasons."""
     rules = {name: F.coalesce(rule(), F.lit(False)) for name, rule in QUARANTINE_RULES.items()}
     return C.split_valid_rejected(bronze, rules)
+
+
+def split_unreadable(typed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows with a date, a quantity and a price, and the others with all their reasons: what every form of loading keeps back."""
+    broken = F.col("invoice_date").isNull() | F.col("quantity").isNull() | F.col("price").isNull()
+    return typed.filter(~broken), quarantine(typed.filter(broken))[1]

@@ -173,7 +173,10 @@ def test_new_and_changed_months_reach_gold(spark, raw_file, tmp_path):
     build.run(spark, raw_file(SEVEN_LINES[:5], "first.csv"), root)
     more = build.run(spark, raw_file(SEVEN_LINES, "second.csv"), root)
     assert more["passed"] and more["lake"].table("fact_transactions").count() == 6
-    same = build.run(spark, raw_file([*SEVEN_LINES, late], "third.csv"), root)
+    with pytest.warns(UserWarning, match="2024-06 has 5, stored 4|2024-06 has"):
+        same = build.run(spark, raw_file([*SEVEN_LINES, late], "third.csv"), root)
+    reported = spark.read.parquet(f"{root}/bronze/_late_rows").collect()
+    assert [(r["year_month"], r["source_rows"] - r["stored_rows"], r["source_file"]) for r in reported] == [("2024-06", 1, "third.csv")]
     assert same["lake"].table("fact_transactions").count() == 6
     changed = build.run(spark, raw_file([*SEVEN_LINES, late], "third.csv"), root, overwrite=["2024-06"])
     assert changed["passed"] and changed["lake"].table("fact_transactions").count() == 7
@@ -192,3 +195,38 @@ def test_stream_reads_each_file_by_its_own_header(spark, raw_file, tmp_path):
     incremental.stream_ingest(spark, str(tmp_path / "in"), f"{out}/bronze", f"{out}/silver", f"{out}/checkpoint").awaitTermination()
     got = {r["invoice"] for r in silver.read_silver(spark, f"{out}/silver").collect()}
     assert got == {line.split(";")[0] for line in SEVEN_LINES}
+
+
+def test_stream_and_batch_keep_the_same_bronze(spark, raw_file, tmp_path):
+    """Month by month, in one folder, unreadable rows kept back; batches that are repeated change nothing."""
+    from tallyline.plans import build
+    from tallyline.streaming import incremental
+
+    bad = ["490000;1;Bad;x;03.12.2009 11:00;2,95;13085;France", "490001;1;Bad;1;no date;2,95;13085;France"]
+    build.run(spark, raw_file([*SEVEN_LINES, *bad], "all.csv"), str(tmp_path / "batch"))
+    (tmp_path / "in").mkdir()
+    root = str(tmp_path / "stream")
+    load = lambda check: incremental.stream_ingest(spark, str(tmp_path / "in"), f"{root}/bronze", f"{root}/silver", f"{root}/{check}",
+                                                   quarantine_path=f"{root}/quarantine").awaitTermination()
+    raw_file([*SEVEN_LINES[:3], bad[0]], "in/a.csv")
+    load("check")
+    raw_file([*SEVEN_LINES[3:], bad[1]], "in/b.csv")
+    load("check")
+    load("check")
+    columns = [*schemas.BUSINESS_COLUMNS, "year_month"]
+
+    def rows(path, names=columns):
+        return sorted(map(repr, spark.read.option("recursiveFileLookup", path.endswith("quarantine")).parquet(path).select(names).collect()))
+    for layer in ("bronze", "silver"):
+        names = columns if layer == "bronze" else schemas.SILVER.names
+        assert rows(f"{root}/{layer}", names) == rows(f"{tmp_path}/batch/{layer}", names)
+    held = lambda path: sorted((r["invoice"], r["reject_reason"]) for r in spark.read.option("recursiveFileLookup", True).parquet(path).collect())
+    assert held(f"{root}/quarantine") == held(f"{tmp_path}/batch/quarantine") and len(held(f"{root}/quarantine")) == 2
+    before = rows(f"{root}/bronze")
+    last = sorted((tmp_path / "stream" / "check" / "commits").glob("[0-9]*"))[-1]
+    last.unlink()  # the batch was done, its commit is lost: it runs again
+    (last.parent / f".{last.name}.crc").unlink(missing_ok=True)
+    load("check")
+    assert rows(f"{root}/bronze") == before
+    audit = {(r["source_file"], r["year_month"]): r["row_count"] for r in incremental.stream_audit(spark, f"{root}/bronze").collect()}
+    assert {f for f, _ in audit} == {"a.csv", "b.csv"} and max(n for (_, m), n in audit.items() if m == "2024-06") == spark.read.parquet(f"{root}/bronze").filter("year_month = '2024-06'").count()
