@@ -30,9 +30,9 @@ def test_op1_keeps_pairs_seen_once(spark, tmp_path):
                 one[w] += 1
                 two[before][w] += 1
     n = sum(one.values())
-    d1 = katz.discounts(collections.Counter(one.values()), 1)
+    d1 = katz.discounts(collections.Counter(one.values()))
     times = collections.Counter(c for x in two.values() for c in x.values())
-    d2 = katz.discounts(times, 1)
+    d2 = katz.discounts(times)
     assert 0 < d2[1] < 1 and times[1] > 100
     cut = lambda c, d: c * (d[c] if c < len(d) else 1)
     unknown = 1 - sum(cut(c, d1) for c in one.values()) / n
