@@ -2,29 +2,33 @@
 
 Lines are compared with A-Z as a-z and other white space as spaces. Equal lines are one node, found by 128 hash bits, so a
 line in every document costs no more than one. Distinct lines get a one-permutation MinHash signature of ``BANDS * ROWS``
-bins (an empty bin takes the next filled one), and each band of it is a region. ``regions`` joins those regions without
-listing their pairs, checks similarity on the whole shingle sets and gives components. At similarity 0.75 a pair meets in
-at least one band with probability 0.998.
+bins (an empty bin takes the next filled one), and each band of it is a region. Texts of the lines that share a region are
+compared inside a task on their whole shingle sets, and a distributed union-find over the links gives components. At
+similarity 0.75 a pair meets in at least one band with probability 0.998.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import ArrowUDFType
 
-from tallyline.llm import blocks, graph, jaccard_join, regions
+from tallyline.llm import blocks, graph, regions
+from tallyline.operators.skew import broadcast_if_small
 from tallyline.sources.lake import Scratch
 
 CHARS = 8           # characters of a shingle
 BANDS, ROWS = 16, 4
 PERCENT = 75
 TURNS = 4           # the bands are shuffled in so many turns, so that fewer of their rows are on disk at a time
-SLOTS = 1 << 19     # hash slots of lines whose texts are read again; their list goes to all tasks
+CELL = 512          # lines of a region that one task compares at a time
+FEW = 8             # cells up to this size are compared together, pair by pair, larger ones as a matrix
+LONG = 2000         # distinct shingles of a line, above which its text does not travel with its regions
 
 
 def _lines(data: np.ndarray, offsets: np.ndarray):
@@ -124,6 +128,8 @@ def _read_lines(docs: DataFrame, kind: str, chars: int, bands: int, rows: int) -
                 h1, h2 = _digests(value, start, end)
                 at = pa.array(text + first)
                 count = np.bincount(line, minlength=len(start)).astype(np.int64)
+                for k in np.flatnonzero(count > LONG // 2):  # exact where ``n`` may decide
+                    count[k] = len(np.unique(hashes[slice(*np.searchsorted(line, [k, k + 1]))]))
                 keys = _signatures(line, hashes, len(start), bands, rows)
                 ends = np.arange(0, keys.size + 1, bands, dtype=np.int32)
                 yield pa.RecordBatch.from_arrays(
@@ -135,13 +141,14 @@ def _read_lines(docs: DataFrame, kind: str, chars: int, bands: int, rows: int) -
 
 
 def duplicates(docs: DataFrame, scratch: Scratch, percent: int = PERCENT, chars: int = CHARS, bands: int = BANDS,
-               rows: int = ROWS) -> DataFrame:
+               rows: int = ROWS, cell: int = CELL) -> DataFrame:
     """Every line of ``docs(doc_id, text)`` that is not blank: (doc_id, row, line, n_copies, keeper_doc_id, keeper_line, kept).
 
     ``line`` counts from 0 at each ``\\n``; ``row`` is a hash of the text. Lines whose character-shingle sets have
     a Jaccard similarity of ``percent`` hundredths or more, directly or through others, form a component of ``n_copies`` lines. Of each
     the line with the smallest (doc_id, line, row) is kept, lines without doc_id last. Lines shorter than ``chars`` match equal ones only. Null
     and empty texts have no lines. Rows that repeat doc_id and text are one row and come back once. Other columns are ignored.
+    ``cell`` bounds the lines that a task compares at a time; it never changes the result.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     docs = docs.select("doc_id", "text", F.xxhash64("text").alias("row"))
@@ -150,27 +157,14 @@ def duplicates(docs: DataFrame, scratch: Scratch, percent: int = PERCENT, chars:
         again = F.col("d.doc_id").eqNullSafe(F.col("r.doc_id")) & F.col("d.row").eqNullSafe(F.col("r.row"))
         apart = lambda how: docs.alias("d").join(repeated.alias("r"), again, how)
         docs = scratch.write(apart("left_anti").unionByName(apart("left_semi").dropDuplicates(["doc_id", "row"])))
-    lines = scratch.write(_read_lines(docs, kind, chars, bands, rows).select(F.monotonically_increasing_id().alias("id"), "*"))
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "line", "row")
-    nodes = scratch.write(lines.groupBy("h1", "h2").agg(
-        F.min("id").alias("node"), F.min(place).alias("least"), F.count(F.lit(1)).alias("copies")))
-    reps = scratch.write(lines.join(nodes.select(F.col("node").alias("id")), "id", "left_semi"))
-    graph.release(docs.sparkSession)
-    turn = -(-bands // TURNS)
-    members = [reps.select(F.explode(F.slice("keys", at + 1, turn)).alias("region"), "id", "n", F.lit(0).alias("place"))
-               for at in range(0, bands, turn)]
-    named = reps.select(F.col("id").alias("node"), "doc_id", "row", "line")
-
-    def compare(pairs: DataFrame) -> DataFrame:
-        return _distances(scratch, docs, named, pairs, chars)
-
-    def may_link(n_a: Column, place_a: Column, n_b: Column, place_b: Column) -> Column:
-        return F.lit(True)
-
-    def finer(unfinished: DataFrame) -> tuple[DataFrame, DataFrame]:
-        return _finer(scratch, docs, named, unfinished, chars, percent, compare)
-
-    found, _ = regions.connect(members, compare, may_link, percent, scratch, finer)
+    with Scratch(docs.sparkSession) as wide:  # the keys of all lines, needed until regions are known
+        keyed = wide.write(_read_lines(docs, kind, chars, bands, rows).select(F.monotonically_increasing_id().alias("id"), "*"))
+        lines = scratch.write(keyed.drop("keys", "n"))
+        nodes = scratch.write(lines.groupBy("h1", "h2").agg(
+            F.min("id").alias("node"), F.min(place).alias("least"), F.count(F.lit(1)).alias("copies")))
+        members = _regions(keyed, nodes, bands, scratch)
+    found = scratch.write(_connect(docs, members, percent, chars, bands, cell, scratch))
     known = nodes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     keeper = known.groupBy("component").agg(F.min("least").alias("keeper"), F.sum("copies").alias("n_copies"))
     labelled = known.join(keeper, "component").select("h1", "h2", "keeper", "n_copies")
@@ -179,6 +173,190 @@ def duplicates(docs: DataFrame, scratch: Scratch, percent: int = PERCENT, chars:
         (place == F.col("keeper")).alias("kept"))
 
 
+def _regions(keyed: DataFrame, nodes: DataFrame, bands: int, scratch: Scratch) -> DataFrame:
+    """(node, doc_id, row, line, n, region, band, size): the regions that hold different lines, with these lines.
+
+    A region counts as such if its smallest and largest digest differ, which map-side combining settles for lines in many
+    documents; only the lines of such regions are told apart and looked up.
+    """
+    turn, parts = -(-bands // TURNS), []
+    for first in range(0, bands, turn):
+        dealt = keyed.select("h1", "h2", "n", F.posexplode(F.slice("keys", first + 1, turn)).alias("at", "region"))
+        live = scratch.write(dealt.groupBy("region").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi")).filter("lo <> hi").select("region"))
+        parts.append(scratch.write(
+            dealt.join(broadcast_if_small(live), "region", "left_semi").withColumn("band", (F.col("at") + first).cast("int"))
+                 .groupBy("region", "band", "h1", "h2").agg(F.min("n").alias("n"))))
+        graph.release(keyed.sparkSession)
+    met = reduce(DataFrame.unionByName, parts)
+    sizes = met.groupBy("region").agg(F.count(F.lit(1)).alias("size"))
+    named = nodes.select("h1", "h2", "node", "least.doc_id", "least.row", "least.line")
+    return scratch.write(met.join(sizes, "region").join(named, ["h1", "h2"]).drop("h1", "h2"))
+
+
+def _connect(docs: DataFrame, members: DataFrame, percent: int, chars: int, bands: int, cell: int, scratch: Scratch) -> DataFrame:
+    """(node, component) of the lines that share regions, by exact comparison inside each region and union-find over its links.
+
+    A task reads the texts of a region and links them by a forest, so no pair is written that does not link. A region
+    above ``cell`` lines is first cut into parts; then lines outside the region's largest component, which are few once near
+    copies are joined, meet all lines of the region in cells of bounded size. Lines of more than ``LONG`` shingles
+    go to ``regions.connect``, which moves places of lines instead of their texts.
+    """
+    short = members.filter(F.col("n") <= LONG)
+    own = F.collect_list(F.struct("band", "region", "size")).alias("all")
+    wanted = scratch.write(short.groupBy("node").agg(F.first(F.struct("doc_id", "row", "line")).alias("at"), own).select("node", "at.*", "all"))
+    texts = _texts(scratch, docs, wanted.drop("all"))
+    held = scratch.write(wanted.select("node", "all").join(texts, "node"))
+    dealt = held.select("node", "words", "all", F.explode("all").alias("m")).select("node", "words", "all", "m.*")
+    parts = F.ceil(F.col("size") / cell)
+    links = scratch.write(_linked(dealt.withColumn("cell", F.pmod(F.xxhash64("node"), parts)), percent, chars, bands, True))
+    graph.release(docs.sparkSession)
+    large = scratch.write(dealt.filter(F.col("size") > cell).select("node", "region", "band"))
+    if not large.isEmpty():
+        found = scratch.write(graph.components(links, scratch))
+        crossed = _crossed(large, found, cell).join(held, "node")
+        links = scratch.write(links.unionByName(_linked(crossed, percent, chars, bands, False)))
+    long = scratch.write(members.filter(F.col("n") > LONG * percent // 100))
+    if not long.filter(F.col("n") > LONG).isEmpty():
+        named = scratch.write(long.select("node", "doc_id", "row", "line").distinct())
+        found, _ = regions.connect(
+            [long.select("region", F.col("node").alias("id"), "n", F.lit(0).alias("place"))],
+            lambda pairs: _distances(scratch, docs, named, pairs, chars), lambda *_: F.lit(True), percent, scratch)
+        links = links.unionByName(found.select(F.col("node").alias("a"), F.col("component").alias("b")))
+    return graph.components(links, scratch)
+
+
+def _crossed(large: DataFrame, found: DataFrame, cell: int) -> DataFrame:
+    """(node, region, band, cell) of large regions with several components: each line outside the largest meets every line once."""
+    known = large.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    counts = known.groupBy("region", "component").agg(F.count(F.lit(1)).alias("n"))
+    main = counts.groupBy("region").agg(
+        F.max_by("component", F.struct("n", "component")).alias("main"), F.max("n").alias("top"), F.sum("n").alias("size")).filter("top < size")
+    half = max(1, cell // 2)
+    rows = (known.join(main, "region").withColumn("across", F.ceil((F.col("size") - F.col("top")) / half))
+                 .withColumn("along", F.ceil(F.col("size") / half)))
+    at = lambda seed, parts: F.pmod(F.xxhash64("node", F.lit(seed)), F.col(parts))
+    column = F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("across") - 1), lambda i: i * F.col("along") + at(1, "along"))
+    line = F.transform(F.sequence(F.lit(0).cast("bigint"), F.col("along") - 1), lambda j: at(2, "across") * F.col("along") + j)
+    cells = F.when(F.col("component") == F.col("main"), column).otherwise(F.array_union(column, line))
+    return rows.select("node", "region", "band", F.explode(cells).alias("cell"))
+
+
+def _linked(rows: DataFrame, percent: int, chars: int, bands: int, once: bool) -> DataFrame:
+    """(a, b) joining the lines of each (region, cell) into components; ``rows(node, words, all, region, band, cell)``.
+
+    With ``once`` a pair of small regions is left to the first region that both lines share.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _whole_cells(batches):
+            a, b = _forest(group, percent, chars, bands, once)
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    ordered = rows.select("region", "cell", "band", "node", "all", "words").repartition("region", "cell").sortWithinPartitions("region", "cell")
+    return ordered.mapInArrow(run, "a long, b long").distinct()
+
+
+def _whole_cells(batches: Iterator[pa.RecordBatch], rows: int = 2000) -> Iterator[pa.Table]:
+    """Tables of about ``rows`` rows that end where a cell ends."""
+    held: list[pa.RecordBatch] = []
+    for whole in batches:
+        for begin in range(0, whole.num_rows, rows):
+            held.append(whole.slice(begin, rows))
+            table = pa.Table.from_batches(held).combine_chunks()
+            region, cell = table.column("region").to_numpy(), table.column("cell").to_numpy()
+            ends = np.flatnonzero((region[1:] != region[:-1]) | (cell[1:] != cell[:-1])) + 1
+            if len(ends):
+                yield table.slice(0, ends[-1])
+                held = table.slice(ends[-1]).to_batches()
+            else:
+                held = table.to_batches()
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _forest(table: pa.Table, percent: int, chars: int, bands: int, once: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Links that join the lines of each cell of ``table`` into the components of their similarity graph."""
+    table = table.combine_chunks()
+    region, cell, band, node = (table.column(c).to_numpy() for c in ("region", "cell", "band", "node"))
+    if not len(node):
+        return node, node
+    sets = _sets(table.column("words").chunk(0), chars)
+    n = np.array([len(x) for x in sets])
+    _, codes = np.unique(np.concatenate(sets), return_inverse=True)
+    begin = np.concatenate([[0], np.cumsum(n)])
+    starts = np.concatenate([[0], np.flatnonzero((region[1:] != region[:-1]) | (cell[1:] != cell[:-1])) + 1])
+    sizes = np.diff(np.append(starts, len(node)))
+    left, right, out_a, out_b = [], [], [], []
+    for size in np.unique(sizes[(sizes > 1) & (sizes <= FEW)]):  # small cells of one size at a time
+        i, j = np.triu_indices(size, 1)
+        first = starts[sizes == size][:, None]
+        left.append((first + i).ravel())
+        right.append((first + j).ravel())
+    if left:
+        x, y = np.concatenate(left), np.concatenate(right)
+        near = 100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y])
+        x, y = x[near], y[near]
+        if once:
+            own = table.column("all").chunk(0)
+            at = np.repeat(np.arange(len(node)), np.diff(own.offsets.to_numpy()))
+            keys = np.zeros((len(node), bands), np.int64)
+            live = np.zeros((len(node), bands), bool)
+            flat = own.flatten()
+            keys[at, flat.field("band").to_numpy()] = flat.field("region").to_numpy()
+            live[at, flat.field("band").to_numpy()] = True
+            shared = (keys[x] == keys[y]) & live[x] & live[y]
+            mine = shared.argmax(axis=1) == band[x]
+            x, y = x[mine], y[mine]
+        for k in range(0, len(x), 20_000):
+            p, q = x[k:k + 20_000], y[k:k + 20_000]
+            both = _common(codes, begin, n, p, q)
+            linked = 100 * both >= percent * (n[p] + n[q] - both)
+            out_a.append(node[p[linked]])
+            out_b.append(node[q[linked]])
+    for first, size in zip(starts[sizes > FEW], sizes[sizes > FEW], strict=True):
+        label = _labels(codes[begin[first]:begin[first + size]], n[first:first + size], percent)
+        out_a.append(node[first:first + size])
+        out_b.append(node[first + label])
+    a, b = (np.concatenate([np.zeros(0, np.int64), *z]) for z in (out_a, out_b))
+    return a[a != b], b[a != b]
+
+
+def _common(codes: np.ndarray, begin: np.ndarray, n: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """The number of codes that sets p[k] and q[k] have in common, for each k."""
+    rows = np.concatenate([p, q])
+    count = n[rows]
+    at = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count) + np.repeat(begin[rows], count)
+    pair = np.repeat(np.tile(np.arange(len(p)), 2), count)
+    held = np.sort(pair * (int(codes.max()) + 1) + codes[at])
+    twice = held[1:][held[1:] == held[:-1]] // (int(codes.max()) + 1)
+    return np.bincount(twice, minlength=len(p))
+
+
+def _labels(codes: np.ndarray, n: np.ndarray, percent: int) -> np.ndarray:
+    """For each set of a cell the first one of its component; counts in common come from products of 0-1 matrices."""
+    values, dense, times = np.unique(codes, return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(n)), n)
+    frequent = times > 1  # a code of one set alone is in no intersection
+    number = np.cumsum(frequent) - 1
+    use = frequent[dense]
+    row, column = row[use], number[dense[use]]
+    both = np.zeros((len(n), len(n)), np.float32)
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    for low in range(0, int(frequent.sum()), 4096):
+        part = slice(*np.searchsorted(column, [low, low + 4096]))
+        ones = np.zeros((len(n), 4096), np.float32)
+        ones[row[part], column[part] - low] = 1
+        both += ones @ ones.T
+    linked = 100 * both >= percent * (n[:, None] + n[None, :] - both)
+    label = np.arange(len(n))
+    while True:
+        least = np.where(linked, label[None, :], len(n)).min(axis=1)
+        least = np.minimum(least, label)
+        if (least == label).all():
+            return label
+        label = least[least]
+
+
 def _sets(column: pa.Array, chars: int) -> list[np.ndarray]:
     """The shingle set of each line of a column."""
     raw = column.cast(pa.large_string())
@@ -192,52 +370,19 @@ def _sets(column: pa.Array, chars: int) -> list[np.ndarray]:
 def _texts(scratch: Scratch, docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(node, words): the lines ``wanted(node, doc_id, row, line)``, found by place.
 
-    The hash slots of the texts and lines wanted, ``SLOTS`` at most, go to all tasks, so only those lines and a few others are
-    shuffled.
+    Hash slots of the texts and lines wanted, eight for each, are sent to all tasks where they are few enough, so that only
+    those lines and a few others are shuffled; otherwise all lines are.
     """
-    slot = lambda *c: F.pmod(F.xxhash64(*c), F.lit(SLOTS)).alias("slot")
-    texts = docs.select("*", slot("row")).join(F.broadcast(wanted.select(slot("row")).distinct()), "slot", "left_semi")
+    slots = max(1 << 10, 8 * wanted.count())
+    slot = lambda *c: F.pmod(F.xxhash64(*c), F.lit(slots)).alias("slot")
+    held = lambda *c: scratch.write(wanted.select(slot(*c)).distinct())
+    texts = docs.select("*", slot("row")).join(broadcast_if_small(held("row")), "slot", "left_semi")
     lines = texts.select("doc_id", "row", F.posexplode(F.split("text", "\n")).alias("at", "words")).withColumn("line", F.col("at").cast("long"))
-    lines = lines.select("*", slot("row", "line")).join(F.broadcast(wanted.select(slot("row", "line")).distinct()), "slot", "left_semi")
+    lines = lines.select("*", slot("row", "line")).join(broadcast_if_small(held("row", "line")), "slot", "left_semi")
     same = "l.row = w.row AND l.line = w.line AND l.doc_id <=> w.doc_id"
     return scratch.write(lines.alias("l").join(wanted.alias("w"), F.expr(same)).select("w.node", "l.words"))
 
 
-def _finer(scratch: Scratch, docs: DataFrame, named: DataFrame, unfinished: DataFrame, chars: int, percent: int, compare):
-    """Connects the lines whose bands hold several components, exactly, by the first shingles of their sets.
-
-    Large groups of near copies meet in nearly all bands, so bands tell them apart no further; first shingles with their places
-    do, and the least altered line of a group becomes its pivot (see ``jaccard_join``).
-    """
-    held = _texts(scratch, docs, scratch.write(unfinished.select(F.col("id").alias("node")).join(named, "node")))
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = _sets(batch.column("words"), chars)
-            values, times = np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, np.uint64), np.zeros(0, int))
-            yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(times)], ["s", "c"])
-
-    first_part = jaccard_join.first_part  # tasks get the function, not its module
-    frequent = docs.sparkSession.sparkContext.broadcast(jaccard_join.most_frequent(held.mapInArrow(count, "s long, c long")))
-
-    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = _sets(batch.column("words"), chars)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), pa.array([len(x) for x in found], pa.int64()),
-                 pa.array([first_part(x, frequent.value, percent) for x in found], pa.list_(pa.int64()))], ["node", "n", "prefix"])
-
-    heads = scratch.write(held.mapInArrow(first, "node long, n long, prefix array<long>").dropDuplicates(["node"]))
-    members = heads.select(F.posexplode("prefix").alias("place", "region"), F.col("node").alias("id"), "n")
-
-    def possible(pairs: DataFrame) -> DataFrame:
-        judged = scratch.write(jaccard_join.possible_pairs(pairs, heads, percent))
-        measured = compare(judged.filter("possible").select("a", "b"))
-        return measured.unionByName(judged.filter("NOT possible").select("a", "b", F.lit(None).cast("double").alias("distance")))
-
-    return regions.connect([members], possible, jaccard_join.may_link(percent), percent, scratch)
-
-
 def _distances(scratch: Scratch, docs: DataFrame, named: DataFrame, pairs: DataFrame, chars: int) -> DataFrame:
     """``pairs(a, b)`` with the exact Jaccard distance of the two lines' shingle sets, read again from the texts.
 

@@ -303,3 +303,21 @@ def hash_of(spark, text, known={}):  # noqa: B006
     if text not in known:
         known[text] = spark.createDataFrame([(text,)], "t string").select(F.xxhash64("t")).first()[0]
     return known[text]
+
+
+@pytest.mark.parametrize("cell, long", [(512, 2000), (6, 2000), (512, 60)])
+def test_lines_of_large_regions_meet_whole(spark, scratch, monkeypatch, cell, long):
+    """Chains, stars and strangers that share regions: cut regions, matrix cells and long lines give brute force's components."""
+    monkeypatch.setattr(line_dedup, "LONG", long)
+    base = [prose(900 + i, 14) for i in range(5)]
+    texts = [altered(base[i % 5], i, 0.01 + 0.05 * (i % 4)) for i in range(90)] + [base[0] + " " + prose(i, 1) for i in range(20)] + ["ab" * 400, "ab" * 40, "ab" * 4]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["keeper_doc_id"] for r in line_dedup.duplicates(table, scratch, bands=40, rows=1, cell=cell).collect()}
+    grams = [{x[k:k + 8] for k in range(len(x) - 7)} for x in (t.translate(FOLD) for t in texts)]
+    links = [(a, b) for a in range(len(texts)) for b in range(a) if len(grams[a] & grams[b]) >= 0.75 * len(grams[a] | grams[b])]
+    root = roots(len(texts), links)
+    first = {}
+    for k, r in enumerate(root):
+        first.setdefault(r, k)
+    assert got == {k: first[r] for k, r in enumerate(root)}
+    assert 5 < len(first) < len(texts)
