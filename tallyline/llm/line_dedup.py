@@ -29,6 +29,8 @@ TURNS = 4           # the bands are shuffled in so many turns, so that fewer of
 CELL = 512          # lines of a region that one task compares at a time
 FEW = 8             # cells up to this size are compared together, pair by pair, larger ones as a matrix
 LONG = 2000         # distinct shingles of a line, above which its text does not travel with its regions
+CODE = 48           # bits of a shingle's hash that a comparison looks at, beside 16 for the line
+SLICE = 256 << 10   # bytes of text read at a time; the arrays of one slice stay in the caches of a core that shares its memory
 
 
 def _lines(data: np.ndarray, offsets: np.ndarray):
@@ -114,12 +116,12 @@ def _signatures(line: np.ndarray, hashes: np.ndarray, n: int, bands: int, rows:
     return keys.view(np.int64)
 
 
-def _read_lines(docs: DataFrame, kind: str, chars: int, bands: int, rows: int) -> DataFrame:
+def _read_lines(docs: DataFrame, kind: str, percent: int, chars: int, bands: int, rows: int) -> DataFrame:
     """(doc_id, row, line, h1, h2, n, keys) of every line that is not blank; ``keys`` are its regions."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, names = batch.column("doc_id"), batch.column("row")
-            for first, data, offsets in blocks.text_slices(batch.column("text")):
+            for first, data, offsets in blocks.text_slices(batch.column("text"), SLICE):
                 folded, start, end, text, number = _lines(data, offsets)
                 if not len(start):
                     continue
@@ -128,8 +130,9 @@ def _read_lines(docs: DataFrame, kind: str, chars: int, bands: int, rows: int) -
                 h1, h2 = _digests(value, start, end)
                 at = pa.array(text + first)
                 count = np.bincount(line, minlength=len(start)).astype(np.int64)
-                for k in np.flatnonzero(count > LONG // 2):  # exact where ``n`` may decide
-                    count[k] = len(np.unique(hashes[slice(*np.searchsorted(line, [k, k + 1]))]))
+                for k in np.flatnonzero(count > LONG * percent // 100):  # exact where ``n`` may decide
+                    own = np.sort(hashes[slice(*np.searchsorted(line, [k, k + 1]))])
+                    count[k] = 1 + np.count_nonzero(own[1:] != own[:-1])
                 keys = _signatures(line, hashes, len(start), bands, rows)
                 ends = np.arange(0, keys.size + 1, bands, dtype=np.int32)
                 yield pa.RecordBatch.from_arrays(
@@ -159,7 +162,7 @@ def duplicates(docs: DataFrame, scratch: Scratch, percent: int = PERCENT, chars:
         docs = scratch.write(apart("left_anti").unionByName(apart("left_semi").dropDuplicates(["doc_id", "row"])))
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "line", "row")
     with Scratch(docs.sparkSession) as wide:  # the keys of all lines, needed until regions are known
-        keyed = wide.write(_read_lines(docs, kind, chars, bands, rows).select(F.monotonically_increasing_id().alias("id"), "*"))
+        keyed = wide.write(_read_lines(docs, kind, percent, chars, bands, rows).select(F.monotonically_increasing_id().alias("id"), "*"))
         lines = scratch.write(keyed.drop("keys", "n"))
         nodes = scratch.write(lines.groupBy("h1", "h2").agg(
             F.min("id").alias("node"), F.min(place).alias("least"), F.count(F.lit(1)).alias("copies")))
@@ -255,7 +258,7 @@ def _linked(rows: DataFrame, percent: int, chars: int, bands: int, once: bool) -
     return ordered.mapInArrow(run, "a long, b long").distinct()
 
 
-def _whole_cells(batches: Iterator[pa.RecordBatch], rows: int = 2000) -> Iterator[pa.Table]:
+def _whole_cells(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.Table]:
     """Tables of about ``rows`` rows that end where a cell ends."""
     held: list[pa.RecordBatch] = []
     for whole in batches:
@@ -279,10 +282,8 @@ def _forest(table: pa.Table, percent: int, chars: int, bands: int, once: bool) -
     region, cell, band, node = (table.column(c).to_numpy() for c in ("region", "cell", "band", "node"))
     if not len(node):
         return node, node
-    sets = _sets(table.column("words").chunk(0), chars)
-    n = np.array([len(x) for x in sets])
-    _, codes = np.unique(np.concatenate(sets), return_inverse=True)
-    begin = np.concatenate([[0], np.cumsum(n)])
+    codes, begin = _coded(table.column("words").chunk(0), chars)
+    n = np.diff(begin)
     starts = np.concatenate([[0], np.flatnonzero((region[1:] != region[:-1]) | (cell[1:] != cell[:-1])) + 1])
     sizes = np.diff(np.append(starts, len(node)))
     left, right, out_a, out_b = [], [], [], []
@@ -321,14 +322,14 @@ def _forest(table: pa.Table, percent: int, chars: int, bands: int, once: bool) -
 
 
 def _common(codes: np.ndarray, begin: np.ndarray, n: np.ndarray, p: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """The number of codes that sets p[k] and q[k] have in common, for each k."""
+    """The number of codes that sets p[k] and q[k] have in common, for each k below 2**(64 - CODE)."""
     rows = np.concatenate([p, q])
     count = n[rows]
     at = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count) + np.repeat(begin[rows], count)
-    pair = np.repeat(np.tile(np.arange(len(p)), 2), count)
-    held = np.sort(pair * (int(codes.max()) + 1) + codes[at])
-    twice = held[1:][held[1:] == held[:-1]] // (int(codes.max()) + 1)
-    return np.bincount(twice, minlength=len(p))
+    pair = np.repeat(np.tile(np.arange(len(p), dtype=np.uint64), 2), count)
+    held = np.sort(pair << np.uint64(CODE) | codes[at])
+    twice = held[1:][held[1:] == held[:-1]] >> np.uint64(CODE)
+    return np.bincount(twice.astype(np.int64), minlength=len(p))
 
 
 def _labels(codes: np.ndarray, n: np.ndarray, percent: int) -> np.ndarray:
@@ -357,14 +358,36 @@ def _labels(codes: np.ndarray, n: np.ndarray, percent: int) -> np.ndarray:
         label = least[least]
 
 
-def _sets(column: pa.Array, chars: int) -> list[np.ndarray]:
-    """The shingle set of each line of a column."""
+def _column_shingles(column: pa.Array, chars: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, hash) of every shingle of a column of lines, rows in order."""
     raw = column.cast(pa.large_string())
     offsets = np.frombuffer(raw.buffers()[1], np.int64)[raw.offset:raw.offset + len(raw) + 1]
     folded, start, end, text, _ = _lines(np.frombuffer(raw.buffers()[2], np.uint8)[offsets[0]:offsets[-1]], offsets - offsets[0])
     line, hashes = _shingles(_values(folded), start, end, chars)
-    at = blocks.row_bounds(text[line], len(raw))
-    return [np.unique(hashes[at[i]:at[i + 1]]) for i in range(len(raw))]
+    return text[line], hashes
+
+
+def _coded(column: pa.Array, chars: int) -> tuple[np.ndarray, np.ndarray]:
+    """(codes, bounds): the shingle sets of a column's lines one after another, and where each begins.
+
+    A code is the upper ``CODE`` bits of a shingle's hash, so that one sort of (row, code) in 64 bits gives all sets.
+    """
+    row, hashes = _column_shingles(column, chars)
+    held, last = [], np.zeros(0, np.uint64)
+    for first in range(0, max(1, len(column)), 1 << 64 - CODE):
+        part = slice(*np.searchsorted(row, [first, first + (1 << 64 - CODE)]))
+        key = np.sort((row[part] - first).astype(np.uint64) << np.uint64(CODE) | hashes[part] >> np.uint64(64 - CODE))
+        key = key[np.concatenate([np.ones(min(1, len(key)), bool), key[1:] != key[:-1]])]
+        held.append(key & np.uint64((1 << CODE) - 1))
+        last = np.concatenate([last, (key >> np.uint64(CODE)) + np.uint64(first)])
+    return np.concatenate(held), blocks.row_bounds(last, len(column))
+
+
+def _sets(column: pa.Array, chars: int) -> list[np.ndarray]:
+    """The shingle set of each line of a column."""
+    row, hashes = _column_shingles(column, chars)
+    at = blocks.row_bounds(row, len(column))
+    return [np.unique(hashes[at[i]:at[i + 1]]) for i in range(len(column))]
 
 
 def _texts(scratch: Scratch, docs: DataFrame, wanted: DataFrame) -> DataFrame:
