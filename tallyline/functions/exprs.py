@@ -21,11 +21,10 @@ MISSING_TOKENS = [
     "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
 
-# Accepted spellings of the invoice time, day first.
-DATE_PATTERNS = [
-    "d.M.yyyy H:mm", "d.M.yyyy H:mm:ss", "d.M.yyyy", "d/M/yyyy H:mm", "d/M/yyyy H:mm:ss", "d/M/yyyy",
-    "d-M-yyyy H:mm", "d-M-yyyy", "yyyy-M-d H:mm:ss", "yyyy-M-d H:mm", "yyyy-M-d",
-]
+# Spellings of a day and of a time of day, tried in this order on texts whose separators ``parse_day_first`` has made alike.
+DAY_PATTERNS = ["d-M-yyyy", "yyyy-M-d", "d-M-yy", "M-d-yyyy", "M-d-yy", "d-MMM-yyyy", "d-MMMM-yyyy", "d-MMM-yy",
+                "MMM-d-yyyy", "MMMM-d-yyyy", "yyyy-MMM-d", "yyyyMMdd"]
+TIME_PATTERNS = ["[ H:mm[:ss[.SSSSSS]]]", " h:mm[:ss] a"]
 
 
 def missing_to_null(value: Column | str) -> Column:
@@ -47,9 +46,24 @@ def clean_text(value: Column | str) -> Column:
 
 
 def parse_day_first(value: Column | str) -> Column:
-    """Zone-less timestamp, or NULL when no accepted pattern fits."""
-    text = strip(value)
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(p)) for p in DATE_PATTERNS]).cast("timestamp_ntz")
+    """Zone-less timestamp of a text in any of the mixed forms, or NULL when none fits.
+
+    ``.``, ``/``, ``-`` and spaces part day, month and year; a ``T`` or spaces part day and time. A four-digit year may lead,
+    months may be English names, two-digit years lie in 2000 to 2099. Of two numbers the first is the day, unless only the
+    other order gives a date.
+    """
+    text = F.regexp_replace(strip(value), r"\s+", " ")
+    text = F.regexp_replace(text, r"(?i)(?<=\d)\s?(am|pm)$", " $1")
+    at = F.regexp_extract(text, r"^(.*?\d)(?:,? |T)(\d{1,2}:.*)$", 1)
+    time = F.regexp_extract(text, r"^(.*?\d)(?:,? |T)(\d{1,2}:.*)$", 2)
+    day = F.regexp_replace(F.when(at == "", text).otherwise(at), r"[ .,/-]+", "-")
+    whole = F.when(at == "", day).otherwise(F.concat(day, F.lit(" "), time))
+    tried = [F.try_to_timestamp(whole, F.lit(d + TIME_PATTERNS[0])) for d in DAY_PATTERNS]
+    half = [F.try_to_timestamp(whole, F.lit(d + TIME_PATTERNS[1])) for d in DAY_PATTERNS]
+    twelve = F.rlike(text, F.lit("(?i) [ap]m$"))
+    mixed = F.when(twelve, F.coalesce(*half)).otherwise(F.coalesce(*tried))
+    usual = F.try_to_timestamp(strip(value), F.lit("d.M.yyyy" + TIME_PATTERNS[0]))  # spares most rows the patterns below
+    return F.coalesce(usual, mixed).cast("timestamp_ntz")
 
 
 def parse_decimal_comma(value: Column | str) -> Column:

@@ -134,13 +134,13 @@ def segment_revenue_by_quarter(fact: DataFrame, customers: DataFrame, dates: Dat
 
 
 def largest_lines_with_dimensions(fact: DataFrame, customers: DataFrame, products: DataFrame, countries: DataFrame,
-                                  dates: DataFrame, n: int = 15) -> DataFrame:
-    """The n largest lines with everything known about them: the limit comes first, then the joins."""
-    top = F.broadcast(fact.orderBy(F.desc("line_amount"), "transaction_sk").limit(n))
+                                  dates: DataFrame, scratch: Scratch, n: int = 15) -> DataFrame:
+    """The n largest lines with everything known about them: the fact is read once for them, then they meet the dimensions."""
+    top = scratch.write(fact.orderBy(F.desc("line_amount"), "transaction_sk").limit(n))
     out = top
     for dim, key in ((customers.withColumnRenamed("segment", "customer_segment"), "customer_sk"), (products, "product_sk"),
                      (countries, "country_sk"), (dates.withColumnRenamed("date", "invoice_date"), "date_sk")):
-        wanted = dim.join(F.broadcast(out.select(key).distinct()), key, "left_semi")
+        wanted = dim.join(F.broadcast(top.select(key).distinct()), key, "left_semi")
         out = out.join(F.broadcast(wanted), key, "left")
     return out.select("transaction_sk", "customer_id", "customer_segment", "stock_code", "description", "country_name",
                       "invoice_date", "year", "quarter", "quantity", "price", "line_amount")

@@ -76,7 +76,8 @@ query("j13_largest_lines", """SELECT transaction_sk, customer_id, c.segment AS c
     FROM fact f LEFT JOIN dim_customer c ON f.customer_sk = c.customer_sk LEFT JOIN dim_product p ON f.product_sk = p.product_sk
     LEFT JOIN dim_country y ON f.country_sk = y.country_sk LEFT JOIN dim_date d ON f.date_sk = d.date_sk
     ORDER BY line_amount DESC, transaction_sk LIMIT 15""")(
-    lambda r: A.largest_lines_with_dimensions(r.fact_transactions, r.dim_customer, r.dim_product, r.dim_country, r.dim_date))
+    lambda r: A.largest_lines_with_dimensions(r.fact_transactions, r.dim_customer, r.dim_product, r.dim_country, r.dim_date,
+                                              r.scratch))
 
 # ---- cohorts -----------------------------------------------------------------------------------------------
 

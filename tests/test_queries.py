@@ -80,6 +80,11 @@ def test_no_wide_rows_through_one_task(spark, name):
     assert "ArrowEvalPython" not in plan and "BatchEvalPython" not in plan and "CartesianProduct" not in plan
 
 
+def test_largest_lines_do_not_read_the_fact_again(spark):
+    plan = entry.queries()["j13_largest_lines"](spark, SMALL_DATA)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Sort" not in plan and "Limit" not in plan  # the lines were found and staged before
+
+
 def test_month_filter_reaches_the_partitions(spark):
     plan = entry.queries()["s11_pruned_glob_scan"](spark, SMALL_DATA)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(year_month" in plan
