@@ -216,3 +216,13 @@ def test_range_parts_follow_bytes(spark, monkeypatch):
     assert ordering.range_parts(df) == 4
     monkeypatch.setattr(ordering, "PART_BYTES", 500)
     assert ordering.range_parts(df) == 16 and ordering.range_parts(df.crossJoin(df.crossJoin(df.crossJoin(df.crossJoin(df))))) in (4, ordering.MAX_PARTS)
+
+
+def test_range_parts_of_a_join_follow_the_tables_read(spark, scratch, monkeypatch):
+    left = scratch.write(spark.range(20_000).select("id", F.xxhash64("id").alias("a")).coalesce(1))
+    right = scratch.write(spark.range(20_000).select("id", F.xxhash64("id").alias("b")).coalesce(1))
+    monkeypatch.setattr(ordering, "PART_BYTES", 50_000)
+    joined = left.join(right, "id", "left")
+    assert max(ordering.range_parts(left), 4) <= ordering.range_parts(joined) <= 2 * max(ordering.range_parts(left), ordering.range_parts(right))
+    numbered = ordering.global_row_number(joined, [F.asc("a"), F.asc("id")], scratch, "rn")
+    assert [r[0] for r in numbered.orderBy("a", "id").select("rn").collect()] == list(range(1, 20_001))
