@@ -226,3 +226,23 @@ def test_range_parts_of_a_join_follow_the_tables_read(spark, scratch, monkeypatc
     assert max(ordering.range_parts(left), 4) <= ordering.range_parts(joined) <= 2 * max(ordering.range_parts(left), ordering.range_parts(right))
     numbered = ordering.global_row_number(joined, [F.asc("a"), F.asc("id")], scratch, "rn")
     assert [r[0] for r in numbered.orderBy("a", "id").select("rn").collect()] == list(range(1, 20_001))
+
+
+def test_kmeans_fits_each_run_once_on_rows_it_keeps_itself(spark, monkeypatch):
+    from pyspark.ml.linalg import Vectors
+    rng = random.Random(5)
+    rows = [(f"c{i}", Vectors.dense([10.0 * (i % 3) + rng.random(), 10.0 * (i % 3 == 1) + rng.random()])) for i in range(90)]
+    scaled = spark.createDataFrame(rows, ["customer_id", "scaled"]).repartition(3, "customer_id").persist()
+    fitted = []
+
+    def kmeans(k, seed, max_iter, made=clustering._kmeans):
+        estimator = made(k, seed, max_iter)
+        monkeypatch.setattr(estimator, "fit", lambda df, fit=estimator.fit: fitted.append((k, seed, df.storageLevel.useMemory)) or fit(df))
+        return estimator
+
+    expected = {k: min((clustering._kmeans(k, clustering.SEED + i, 20).fit(scaled).summary.trainingCost for i in range(2))) for k in (3, 4)}
+    monkeypatch.setattr(clustering, "_kmeans", kmeans)
+    results = clustering.search_k(scaled, range(3, 5), 2, 20)
+    assert sorted(fitted) == [(k, clustering.SEED + i, False) for k in (3, 4) for i in range(2)]
+    assert {k: cost for k, cost, _ in results} == pytest.approx(expected, rel=1e-9) and clustering.best_k(results) == 3
+    scaled.unpersist()
