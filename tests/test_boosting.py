@@ -141,3 +141,28 @@ def test_gate_holds_a_model_back(spark, labelled, scratch, tmp_path):
 def test_medians_fill_exactly(spark, scratch):
     df = spark.createDataFrame([(1, 1.0, None), (2, None, None), (3, 4.0, None), (4, 3.0, None), (5, 2.0, None)], "k int, a double, b double")
     assert sorted(tuple(r) for r in M.median_filled(df, ["a", "b"], scratch).collect()) == [(1, 1.0, 0.0), (2, 2.5, 0.0), (3, 4.0, 0.0), (4, 3.0, 0.0), (5, 2.0, 0.0)]
+
+
+def test_a_tree_holds_no_wide_table_of_whole_rows():
+    import tracemalloc
+    rng = np.random.default_rng(2)
+    codes = rng.integers(0, B.BINS, (20_000, 32)).astype(np.uint8)
+    g, h = rng.normal(size=20_000), np.full(20_000, 0.25)
+    tracemalloc.start()
+    nodes = B._tree(codes, g, h, PARAMS | {"row_share": 1.0}, rng)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 8 * codes.size and len(nodes) > 1
+    left = codes[:, nodes[0][0]] <= nodes[0][1]
+    assert nodes[nodes[0][2]][5] == pytest.approx(h[left].sum()) and nodes[nodes[0][3]][5] == pytest.approx(h[~left].sum())
+
+
+def test_explained_rows_of_one_file_are_spread(spark):
+    x, _, trees, *_ = small_model()
+    names = tuple(f"f{k}" for k in range(6))
+    model = B.BoostedModel(names, (0.0,) * 6, trees, {}, {})
+    df = spark.createDataFrame([(f"c{i}", *map(float, row)) for i, row in enumerate(x)], ["customer_id", *names]).coalesce(1)
+    found = model.contributions(df, "customer_id")
+    assert found.rdd.getNumPartitions() > 1
+    sums = found.groupBy("customer_id").agg(F.sum("contribution").alias("c"), F.first("expected_value").alias("e"), F.first("margin").alias("m")).collect()
+    assert len(sums) == len(x) and np.allclose([r["c"] + r["e"] for r in sums], [r["m"] for r in sums])
