@@ -230,3 +230,15 @@ def test_stream_and_batch_keep_the_same_bronze(spark, raw_file, tmp_path):
     assert rows(f"{root}/bronze") == before
     audit = {(r["source_file"], r["year_month"]): r["row_count"] for r in incremental.stream_audit(spark, f"{root}/bronze").collect()}
     assert {f for f, _ in audit} == {"a.csv", "b.csv"} and max(n for (_, m), n in audit.items() if m == "2024-06") == spark.read.parquet(f"{root}/bronze").filter("year_month = '2024-06'").count()
+
+
+def test_records_are_moved_before_they_are_compared(spark):
+    kinds = {f.name: f.dataType.simpleString() for f in schemas.BRONZE}
+    empty = [F.lit(None).cast(kinds[c]).alias(c) for c in schemas.BRONZE.names if c not in ("invoice", "quantity")]
+    base = spark.range(12).repartition(3).select(*empty, F.concat(F.lit("i"), (F.col("id") % 2).cast("string")).alias("invoice"),
+                                                 F.when(F.col("id") < 6, 0.0).otherwise(F.lit(-0.0)).alias("quantity"))
+    out = silver.drop_repeats(base)
+    assert sorted(r["invoice"] for r in out.collect()) == ["i0", "i1"]
+    steps = out._jdf.queryExecution().executedPlan().toString().splitlines()
+    moved = max(i for i, step in enumerate(steps) if "Exchange hashpartitioning" in step)
+    assert not any("Aggregate(" in step for step in steps[moved:])
