@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -19,42 +20,47 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import ArrowUDFType
 
 from tallyline.llm import blocks, graph, regions
-from tallyline.operators.skew import broadcast_if_small
 from tallyline.sources.lake import Scratch
 
 CHARS = 8           # characters of a shingle
 BANDS, ROWS = 16, 4
 PERCENT = 75
 TURNS = 4           # the bands are shuffled in so many turns, so that fewer of their rows are on disk at a time
+ENTRIES = 1 << 18   # keys of a band, about, that a task sorts at a time
+PACKED = 1 << 17    # lines whose keys are packed together before they are shuffled
+BITS = 8            # bits of the map of wanted lines for each of them
+MAP_BITS = 1 << 27  # bits of that map at most
 CELL = 512          # lines of a region that one task compares at a time
 FEW = 8             # cells up to this size are compared together, pair by pair, larger ones as a matrix
 LONG = 2000         # distinct shingles of a line, above which its text does not travel with its regions
 CODE = 48           # bits of a shingle's hash that a comparison looks at, beside 16 for the line
-SLICE = 256 << 10   # bytes of text read at a time; the arrays of one slice stay in the caches of a core that shares its memory
+SLICE = 128 << 10   # bytes of text read at a time; the arrays of one slice stay in the caches of a core that shares its memory
 
 
 def _lines(data: np.ndarray, offsets: np.ndarray):
     """(folded code points, start, end, text, number) of the lines of a slice that are not blank."""
     codes = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
-    heads = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
-    if heads[-1] != len(codes):  # not UTF-8: bytes stand for characters
-        codes, heads = data.astype(np.uint32), np.arange(len(data) + 1)
-    bounds = heads[offsets]
-    inside = codes != 10
-    begins = inside.copy()
-    begins[1:] &= ~inside[:-1]
-    first = bounds[:-1][bounds[:-1] < len(codes)]
-    begins[first] = inside[first]
-    start = np.flatnonzero(begins)
-    folded = codes + 32 * ((codes >= 65) & (codes <= 90)).astype(np.uint32)
-    folded[(codes == 9) | ((codes >= 11) & (codes <= 13))] = 32
-    if not len(start):
-        return folded, start, start, start, start
-    end = start + np.add.reduceat(inside, start, dtype=np.int64)
+    bounds = offsets
+    if len(data) and data.max() > 127:
+        some, heads = offsets[1:] > offsets[:-1], np.zeros(len(offsets), np.int64)
+        heads[1:][some] = np.add.reduceat((data & 0xC0) != 0x80, offsets[:-1][some], dtype=np.int64)
+        bounds = np.cumsum(heads)
+        if bounds[-1] != len(codes):  # not UTF-8: bytes stand for characters
+            codes, bounds = data.astype(np.uint32), offsets
+    folded = codes + ((codes - np.uint32(65)) < 26).astype(np.uint32) * np.uint32(32)
+    control = np.flatnonzero((codes - np.uint32(9)) < 5)
+    newline = codes[control] == 10
+    folded[control[~newline]] = 32
+    breaks = control[newline]
+    start = np.unique(np.concatenate([bounds[:-1], breaks + 1]))
+    start = start[start < len(codes)]
     text = np.searchsorted(bounds, start, "right") - 1
-    breaks = np.concatenate([[0], np.cumsum(~inside)])
-    number = breaks[start] - breaks[bounds[text]]
-    full = np.add.reduceat(inside & (folded != 32), start, dtype=np.int64) > 0
+    after = np.searchsorted(breaks, start)
+    end = np.minimum(np.append(breaks, len(codes))[after], bounds[text + 1])
+    number = after - np.searchsorted(breaks, bounds[text])
+    full = start < end
+    for k in np.flatnonzero(full & (folded[start] == 32)):
+        full[k] = (folded[start[k]:end[k]] != 32).any()
     return folded, start[full], end[full], text[full], number[full]
 
 
@@ -75,49 +81,67 @@ def _shingles(value: np.ndarray, start: np.ndarray, end: np.ndarray, chars: int)
     spans = end - start
     count = np.maximum(spans - chars + 1, 1)
     line = np.repeat(np.arange(len(start)), count)
-    at = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count) + start[line]
     rolled, done = value.copy(), 1
     while done < chars:
         step = min(done, chars - done)  # the last step may overlap, which is still a function of the window alone
-        rolled[:-step] = rolled[:-step] + rolled[step:] * blocks.powers(done + 1)[done] if step < len(rolled) else rolled[:-step]
+        if step < len(rolled):
+            rolled[:-step] += rolled[step:] * blocks.powers(done + 1)[done]
         done += step
-    hashes = rolled[at]
+    marks = np.zeros(len(value) + 1, np.int8)
+    marks[start] += 1
+    marks[start + count] -= 1
+    hashes = rolled[np.cumsum(marks[:-1], dtype=np.int8).view(bool)]
+    first = np.cumsum(count) - count
     for k in np.flatnonzero(spans < chars):
         own = value[start[k]:end[k]]
-        hashes[np.searchsorted(line, k)] = (own * blocks.powers(chars + 1)[1:len(own) + 1]).sum() + np.uint64(len(own))
+        hashes[first[k]] = (own * blocks.powers(chars + 1)[1:len(own) + 1]).sum() + np.uint64(len(own))
     return line, blocks.mix(hashes)
 
 
-def _digests(value: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _digests(folded: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """128 bits for each line, from its characters in order."""
-    spans = end - start
-    first = np.cumsum(spans) - spans
-    place = np.arange(int(spans.sum())) - np.repeat(first, spans)
-    own, power = value[place + np.repeat(start, spans)], blocks.powers(int(spans.max()) + 1)[place]
-    one = blocks.mix(np.add.reduceat(own * power, first) + spans.astype(np.uint64))
-    two = blocks.mix(np.add.reduceat((own ^ (own >> np.uint64(29))) * (power * power + np.uint64(2)), first))
-    return one.view(np.int64), two.view(np.int64)
+    raw, size = memoryview(folded).cast("B"), folded.itemsize
+    found = [blake2b(raw[a:b], digest_size=16).digest() for a, b in zip((start * size).tolist(), (end * size).tolist(), strict=True)]
+    both = np.frombuffer(b"".join(found), np.int64).reshape(-1, 2)
+    return both[:, 0].copy(), both[:, 1].copy()
 
 
 def _signatures(line: np.ndarray, hashes: np.ndarray, n: int, bands: int, rows: int) -> np.ndarray:
     """A region key for each line and band."""
     bins = bands * rows
     least = np.full(n * bins, np.uint64(2**64 - 1))
-    np.minimum.at(least, line * bins + ((hashes >> np.uint64(32)) * np.uint64(bins) >> np.uint64(32)).astype(np.int64), hashes)
+    np.minimum.at(least, line * bins + ((hashes >> np.uint64(32)) * np.uint64(bins) >> np.uint64(32)).view(np.int64), hashes)
+    filled = least < np.uint64(2**64 - 1)
+    empty, filled = np.flatnonzero(~filled), np.flatnonzero(filled)
+    row, place = empty // bins, np.searchsorted(filled, empty)
+    following = filled[np.minimum(place, len(filled) - 1)]  # an empty bin takes the next filled one, the last ones the first
+    around = (following < empty) | (following >= (row + 1) * bins)
+    following[around] = filled[np.searchsorted(filled, row[around] * bins)]
+    gap = (following - empty + bins * around).astype(np.uint64)
+    least[empty] = least[following] + gap * np.uint64(0x9E3779B97F4A7C15)
     least = least.reshape(n, bins)
-    place = np.where(least < np.uint64(2**64 - 1), np.arange(bins), 3 * bins)
-    twice = np.concatenate([place, place + bins], axis=1)
-    following = np.minimum.accumulate(twice[:, ::-1], axis=1)[:, ::-1][:, :bins]  # an empty bin takes the next filled one
-    gap = (following - np.arange(bins)).astype(np.uint64)
-    least = np.take_along_axis(least, following % bins, axis=1) + gap * np.uint64(0x9E3779B97F4A7C15)
     keys = np.repeat(np.arange(1, bands + 1, dtype=np.uint64)[None, :], n, axis=0)
     for r in range(rows):
         keys = blocks.mix(keys * np.uint64(31) + least[:, r::rows][:, :bands])
     return keys.view(np.int64)
 
 
+def _turns(bands: int) -> list[range]:
+    """The bands of each turn."""
+    turn = -(-bands // TURNS)
+    return [range(first, min(first + turn, bands)) for first in range(0, bands, turn)]
+
+
+def _binary(values: np.ndarray) -> pa.Array:
+    """One binary value for each row of a matrix."""
+    ends = np.arange(len(values) + 1, dtype=np.int32) * (values.shape[1] * values.itemsize)
+    return pa.Array.from_buffers(pa.binary(), len(values), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(values))])
+
+
 def _read_lines(docs: DataFrame, kind: str, percent: int, chars: int, bands: int, rows: int) -> DataFrame:
-    """(doc_id, row, line, h1, h2, n, keys) of every line that is not blank; ``keys`` are its regions."""
+    """(doc_id, row, line, h1, h2, n, keys_0, ...) of every line that is not blank; the keys are its regions, packed by turn."""
+    turns = _turns(bands)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, names = batch.column("doc_id"), batch.column("row")
@@ -127,20 +151,20 @@ def _read_lines(docs: DataFrame, kind: str, percent: int, chars: int, bands: int
                     continue
                 value = _values(folded)
                 line, hashes = _shingles(value, start, end, chars)
-                h1, h2 = _digests(value, start, end)
+                h1, h2 = _digests(folded, start, end)
                 at = pa.array(text + first)
                 count = np.bincount(line, minlength=len(start)).astype(np.int64)
                 for k in np.flatnonzero(count > LONG * percent // 100):  # exact where ``n`` may decide
                     own = np.sort(hashes[slice(*np.searchsorted(line, [k, k + 1]))])
                     count[k] = 1 + np.count_nonzero(own[1:] != own[:-1])
                 keys = _signatures(line, hashes, len(start), bands, rows)
-                ends = np.arange(0, keys.size + 1, bands, dtype=np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [ids.take(at), names.take(at), pa.array(number.astype(np.int64)), pa.array(h1), pa.array(h2), pa.array(count),
-                     pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.ravel()))],
-                    ["doc_id", "row", "line", "h1", "h2", "n", "keys"])
+                     *[_binary(keys[:, t.start:t.stop]) for t in turns]],
+                    ["doc_id", "row", "line", "h1", "h2", "n", *[f"keys_{i}" for i in range(len(turns))]])
 
-    return docs.mapInArrow(run, f"doc_id {kind}, row long, line long, h1 long, h2 long, n long, keys array<long>")
+    packed = "".join(f", keys_{i} binary" for i in range(len(turns)))
+    return docs.mapInArrow(run, f"doc_id {kind}, row long, line long, h1 long, h2 long, n long{packed}")
 
 
 def duplicates(docs: DataFrame, scratch: Scratch, percent: int = PERCENT, chars: int = CHARS, bands: int = BANDS,
@@ -163,14 +187,17 @@ def duplicates(docs: DataFrame, scratch: Scratch, percent: int = PERCENT, chars:
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "line", "row")
     with Scratch(docs.sparkSession) as wide:  # the keys of all lines, needed until regions are known
         keyed = wide.write(_read_lines(docs, kind, percent, chars, bands, rows).select(F.monotonically_increasing_id().alias("id"), "*"))
-        lines = scratch.write(keyed.drop("keys", "n"))
-        nodes = scratch.write(lines.groupBy("h1", "h2").agg(
-            F.min("id").alias("node"), F.min(place).alias("least"), F.count(F.lit(1)).alias("copies")))
-        members = _regions(keyed, nodes, bands, scratch)
+        lines = scratch.write(keyed.select("id", "doc_id", "row", "line", "h1", "h2"))
+        nodes = scratch.write(keyed.groupBy("h1", "h2").agg(
+            F.min("id").alias("node"), F.min("n").alias("n"), F.min(place).alias("least"), F.count(F.lit(1)).alias("copies")))
+        graph.release(docs.sparkSession)
+        members = scratch.write(_regions(keyed, nodes, bands, wide))
+    graph.release(docs.sparkSession)
     found = scratch.write(_connect(docs, members, percent, chars, bands, cell, scratch))
-    known = nodes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    known = nodes.join(found, "node")  # a line without links is its own component
     keeper = known.groupBy("component").agg(F.min("least").alias("keeper"), F.sum("copies").alias("n_copies"))
-    labelled = known.join(keeper, "component").select("h1", "h2", "keeper", "n_copies")
+    labelled = known.join(keeper, "component").select("h1", "h2", "keeper", "n_copies").unionByName(
+        nodes.join(found, "node", "left_anti").select("h1", "h2", F.col("least").alias("keeper"), F.col("copies").alias("n_copies")))
     return lines.join(labelled, ["h1", "h2"]).select(
         "doc_id", "row", "line", "n_copies", F.col("keeper.doc_id").alias("keeper_doc_id"), F.col("keeper.line").alias("keeper_line"),
         (place == F.col("keeper")).alias("kept"))
@@ -179,21 +206,93 @@ def duplicates(docs: DataFrame, scratch: Scratch, percent: int = PERCENT, chars:
 def _regions(keyed: DataFrame, nodes: DataFrame, bands: int, scratch: Scratch) -> DataFrame:
     """(node, doc_id, row, line, n, region, band, size): the regions that hold different lines, with these lines.
 
-    A region counts as such if its smallest and largest digest differ, which map-side combining settles for lines in many
-    documents; only the lines of such regions are told apart and looked up.
+    A region counts as such if its smallest and largest digest differ. Keys travel packed in buckets, with equal lines of a
+    pack joined beforehand, and a task sorts one bucket at a time. Of regions that hold the same lines one is enough.
     """
-    turn, parts = -(-bands // TURNS), []
-    for first in range(0, bands, turn):
-        dealt = keyed.select("h1", "h2", "n", F.posexplode(F.slice("keys", first + 1, turn)).alias("at", "region"))
-        live = scratch.write(dealt.groupBy("region").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi")).filter("lo <> hi").select("region"))
-        parts.append(scratch.write(
-            dealt.join(broadcast_if_small(live), "region", "left_semi").withColumn("band", (F.col("at") + first).cast("int"))
-                 .groupBy("region", "band", "h1", "h2").agg(F.min("n").alias("n"))))
+    total, parts = keyed.count(), []
+    for i, turn in enumerate(_turns(bands)):
+        buckets = max(64, -(-total // ENTRIES))
+        packed = keyed.select("h1", "h2", F.col(f"keys_{i}").alias("keys")).mapInArrow(_packer(buckets), "bucket long, entries binary")
+        ordered = packed.repartition("bucket").sortWithinPartitions("bucket")
+        parts.append(scratch.write(ordered.mapInArrow(_meet, "bucket long, region long, h1 long, h2 long").select(
+            (F.floor(F.col("bucket") / buckets) + turn.start).cast("int").alias("band"), "region", "h1", "h2")))
         graph.release(keyed.sparkSession)
     met = reduce(DataFrame.unionByName, parts)
-    sizes = met.groupBy("region").agg(F.count(F.lit(1)).alias("size"))
-    named = nodes.select("h1", "h2", "node", "least.doc_id", "least.row", "least.line")
-    return scratch.write(met.join(sizes, "region").join(named, ["h1", "h2"]).drop("h1", "h2"))
+    sizes = met.groupBy("region").agg(
+        F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("h1", "h2")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "h2", "h1")).alias("y"))
+    sizes = scratch.write(sizes.groupBy("size", "x", "y").agg(F.min("region").alias("region")).select("region", "size"))
+    named = nodes.select("h1", "h2", "node", "n", "least.doc_id", "least.row", "least.line")
+    return met.join(sizes, "region").join(named, ["h1", "h2"]).drop("h1", "h2")
+
+
+def _packer(buckets: int):
+    """Rows (h1, h2, keys) to (bucket, entries): the entries (key, h1, h2) of a bucket of keys of one band, band after band."""
+    def pack(h1: np.ndarray, h2: np.ndarray, keys: np.ndarray) -> pa.RecordBatch:
+        order = np.argsort(h1, kind="stable")
+        h1, h2 = h1[order], h2[order]
+        fresh = np.ones(len(h1), bool)
+        fresh[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
+        h1, h2, keys = h1[fresh], h2[fresh], keys[order[fresh]]
+        names, ends, entries = [], [np.zeros(1, np.int64)], []
+        for band in range(keys.shape[1]):
+            key = np.ascontiguousarray(keys[:, band])
+            bucket = ((key.view(np.uint64) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            entries.append(np.stack([key[order], h1[order], h2[order]], axis=1))
+            count = np.bincount(bucket, minlength=buckets)
+            held = np.flatnonzero(count)
+            names.append(held + band * buckets)
+            ends.append(ends[-1][-1] + np.cumsum(count[held]))
+        flat, ends = np.concatenate(entries), np.concatenate(ends)
+        blobs = pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer((ends * 24).astype(np.int32)), pa.py_buffer(flat)])
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(names)), blobs], ["bucket", "entries"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = batch.column("keys")
+            offsets = np.frombuffer(keys.buffers()[1], np.int32)[keys.offset:keys.offset + len(keys) + 1]
+            flat = np.frombuffer(keys.buffers()[2], np.uint8)[offsets[0]:offsets[-1]].view(np.int64).reshape(len(keys), -1)
+            held.append((batch.column("h1").to_numpy().copy(), batch.column("h2").to_numpy().copy(), flat.copy()))
+            rows += batch.num_rows
+            if rows >= PACKED:
+                yield pack(*map(np.concatenate, zip(*held, strict=True)))
+                held, rows = [], 0
+        if held:
+            yield pack(*map(np.concatenate, zip(*held, strict=True)))
+
+    return run
+
+
+def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (bucket, entries), ordered by bucket, to the (bucket, region, h1, h2) of regions with different lines."""
+    def settle(bucket: int, blobs: list[bytes]) -> pa.RecordBatch:
+        key, h1, h2 = np.frombuffer(b"".join(blobs), np.int64).reshape(-1, 3).T
+        order = np.argsort(key)
+        key, h1, h2 = key[order], h1[order], h2[order]
+        starts = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1])
+        live = np.repeat(np.minimum.reduceat(h1, starts) != np.maximum.reduceat(h1, starts), np.diff(np.append(starts, len(key))))
+        key, h1, h2 = key[live], h1[live], h2[live]
+        order = np.lexsort((h2, h1, key))
+        key, h1, h2 = key[order], h1[order], h2[order]
+        fresh = np.ones(len(key), bool)
+        fresh[1:] = (key[1:] != key[:-1]) | (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(int(fresh.sum()), bucket)), *[pa.array(x[fresh]) for x in (key, h1, h2)]], ["bucket", "region", "h1", "h2"])
+
+    last, held = None, []
+    for batch in batches:
+        names, blobs = batch.column("bucket").to_pylist(), batch.column("entries")
+        for i, name in enumerate(names):
+            if held and name != last:
+                yield settle(last, held)
+                held = []
+            last = name
+            held.append(blobs[i].as_py())
+    if held:
+        yield settle(last, held)
 
 
 def _connect(docs: DataFrame, members: DataFrame, percent: int, chars: int, bands: int, cell: int, scratch: Scratch) -> DataFrame:
@@ -206,9 +305,11 @@ def _connect(docs: DataFrame, members: DataFrame, percent: int, chars: int, band
     """
     short = members.filter(F.col("n") <= LONG)
     own = F.collect_list(F.struct("band", "region", "size")).alias("all")
-    wanted = scratch.write(short.groupBy("node").agg(F.first(F.struct("doc_id", "row", "line")).alias("at"), own).select("node", "at.*", "all"))
-    texts = _texts(scratch, docs, wanted.drop("all"))
-    held = scratch.write(wanted.select("node", "all").join(texts, "node"))
+    with Scratch(docs.sparkSession) as narrow:
+        wanted = narrow.write(short.groupBy("node").agg(F.first(F.struct("doc_id", "row", "line")).alias("at"), own).select("node", "at.*", "all"))
+        texts = _texts(narrow, docs, wanted.drop("all"))
+        held = scratch.write(wanted.select("node", "all").join(texts, "node"))
+    graph.release(docs.sparkSession)
     dealt = held.select("node", "words", "all", F.explode("all").alias("m")).select("node", "words", "all", "m.*")
     parts = F.ceil(F.col("size") / cell)
     links = scratch.write(_linked(dealt.withColumn("cell", F.pmod(F.xxhash64("node"), parts)), percent, chars, bands, True))
@@ -393,17 +494,23 @@ def _sets(column: pa.Array, chars: int) -> list[np.ndarray]:
 def _texts(scratch: Scratch, docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(node, words): the lines ``wanted(node, doc_id, row, line)``, found by place.
 
-    Hash slots of the texts and lines wanted, eight for each, are sent to all tasks where they are few enough, so that only
-    those lines and a few others are shuffled; otherwise all lines are.
+    A map with ``BITS`` bits for each text and line wanted, ``MAP_BITS`` at most, is sent to all tasks in rows of 4 KB, so that only
+    those lines and a few others are shuffled.
     """
-    slots = max(1 << 10, 8 * wanted.count())
-    slot = lambda *c: F.pmod(F.xxhash64(*c), F.lit(slots)).alias("slot")
-    held = lambda *c: scratch.write(wanted.select(slot(*c)).distinct())
-    texts = docs.select("*", slot("row")).join(broadcast_if_small(held("row")), "slot", "left_semi")
+    bits = min(MAP_BITS, max(1 << 10, BITS * wanted.count()))
+
+    def marked(df: DataFrame, *keys: str) -> DataFrame:
+        slot = F.pmod(F.xxhash64(*keys), F.lit(bits)) + 1
+        chunks = wanted.groupBy(F.bitmap_bucket_number(slot).alias("chunk")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("map"))
+        known = df.withColumns({"chunk": F.bitmap_bucket_number(slot), "bit": F.bitmap_bit_position(slot)}).join(
+            F.broadcast(scratch.write(chunks)), "chunk")
+        byte = F.conv(F.hex(F.expr("substring(map, CAST(bit DIV 8 AS INT) + 1, 1)")), 16, 10).cast("int")
+        return known.filter(byte.bitwiseAND(F.expr("shiftleft(1, CAST(bit % 8 AS INT))")) != 0).select(*df.columns)
+
+    texts = marked(docs.select("doc_id", "row", "text"), "row")
     lines = texts.select("doc_id", "row", F.posexplode(F.split("text", "\n")).alias("at", "words")).withColumn("line", F.col("at").cast("long"))
-    lines = lines.select("*", slot("row", "line")).join(broadcast_if_small(held("row", "line")), "slot", "left_semi")
     same = "l.row = w.row AND l.line = w.line AND l.doc_id <=> w.doc_id"
-    return scratch.write(lines.alias("l").join(wanted.alias("w"), F.expr(same)).select("w.node", "l.words"))
+    return scratch.write(marked(lines, "row", "line").alias("l").join(wanted.alias("w"), F.expr(same)).select("w.node", "l.words"))
 
 
 def _distances(scratch: Scratch, docs: DataFrame, named: DataFrame, pairs: DataFrame, chars: int) -> DataFrame:

@@ -321,3 +321,33 @@ def test_lines_of_large_regions_meet_whole(spark, scratch, monkeypatch, cell, lo
         first.setdefault(r, k)
     assert got == {k: first[r] for k, r in enumerate(root)}
     assert 5 < len(first) < len(texts)
+
+
+def test_regions_of_the_same_lines_are_compared_once(spark, scratch, monkeypatch):
+    """Near copies share many bands; their texts travel with one region for each different group of lines."""
+    rows = [(i, altered(prose(960 + i % 4, 40), i, 0.002 * (i // 4))) for i in range(8)] + [(8, prose(960, 40))]
+    groups, linked = [], line_dedup._linked
+
+    def seen(lines, *more):
+        held = lines.groupBy("region").agg(F.array_sort(F.collect_set("node")).alias("g")).collect()
+        groups.extend(tuple(r["g"]) for r in held)
+        return linked(lines, *more)
+
+    monkeypatch.setattr(line_dedup, "_linked", seen)
+    got = line_dedup.duplicates(spark.createDataFrame(rows, "doc_id long, text string"), scratch).collect()
+    assert sorted((r["doc_id"], r["keeper_doc_id"], r["n_copies"]) for r in got) == [(i, i % 4, 3 if i % 4 == 0 else 2) for i in range(9)]
+    assert len(groups) == len(set(groups)) > 0
+
+
+def test_lines_read_in_characters_and_bytes():
+    """Line places, also where a byte sequence is no UTF-8 but has as many characters as bytes."""
+    for texts in ([b"a\n\n \t\nB\x0bc", b"", b"\xc3\xa9\nx"], [b"ab", b"\xff\x9f\ny"]):
+        data = np.frombuffer(b"".join(texts), np.uint8)
+        ends = np.cumsum([0, *map(len, texts)])
+        folded, start, end, text, number = line_dedup._lines(data, ends)
+        got = [(int(t), int(k), "".join(map(chr, folded[a:b]))) for a, b, t, k in zip(start, end, text, number, strict=True)]
+        try:
+            plain = [x.decode() for x in texts]
+        except UnicodeDecodeError:
+            plain = [x.decode("latin-1") for x in texts]
+        assert got == [(i, k, x.lower().replace("\x0b", " ")) for i, t in enumerate(plain) for k, x in enumerate(t.split("\n")) if x.strip()]
