@@ -122,9 +122,9 @@ def row_bounds(rows: np.ndarray, n: int) -> np.ndarray:
     return np.searchsorted(rows, np.arange(n + 1))
 
 
-def shingle_sets(column: pa.Array, size: int = 5) -> Iterator[np.ndarray]:
+def shingle_sets(column: pa.Array, size: int = 5, limit: int = SLICE_BYTES) -> Iterator[np.ndarray]:
     """Sorted distinct hashes of each text's ``size``-word shingles; a text with fewer words is one shingle, without words none."""
-    for _, data, offsets in text_slices(column):
+    for _, data, offsets in text_slices(column, limit):
         n = len(offsets) - 1
         _, _, rows, hashes = words(data, offsets)
         at, found = windows(hashes, rows, size)

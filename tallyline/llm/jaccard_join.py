@@ -24,6 +24,8 @@ from tallyline.sources.lake import Scratch
 
 WORDS = 5
 PERCENT = 75
+SLICE = 512 << 10   # bytes of text read at a time; workers keep much of what a slice takes until the next stage
+ROWS = 1000         # texts whose sets are held at a time
 SAMPLE_OF = 16      # one document in so many is read for frequent shingles
 SLOTS = 1 << 19     # hash slots of doc_ids whose texts are read again; their list goes to all tasks
 FREQUENT = 200_000  # shingles at most in that list, which tasks receive; the order stays fixed whatever it holds
@@ -116,10 +118,17 @@ def may_link(percent: int):
     return rule
 
 
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of ``ROWS`` rows at most."""
+    for whole in batches:
+        for begin in range(0, whole.num_rows, ROWS):
+            yield whole.slice(begin, ROWS)
+
+
 def _frequent(docs: DataFrame, words: int) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = list(blocks.shingle_sets(batch.column("text"), words))
+        for batch in _pieces(batches):
+            sets = list(blocks.shingle_sets(batch.column("text"), words, SLICE))
             values, times = np.unique(np.concatenate(sets), return_counts=True) if sets else (np.zeros(0, np.uint64), np.zeros(0, int))
             yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(times)], ["s", "c"])
 
@@ -147,9 +156,9 @@ def most_frequent(counted: DataFrame) -> np.ndarray:
 def _prefixes(docs: DataFrame, words: int, percent: int, frequent) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = frequent.value
-        for batch in batches:
+        for batch in _pieces(batches):
             n, d1, d2, heads = [], [], [], []
-            for found in blocks.shingle_sets(batch.column("text"), words):
+            for found in blocks.shingle_sets(batch.column("text"), words, SLICE):
                 n.append(len(found))
                 a, b = blocks.digest(found)
                 d1.append(a)
@@ -184,8 +193,8 @@ def _distances(scratch: Scratch, docs: DataFrame, named: DataFrame, pairs: DataF
     that pass are dropped by doc_id and digest.
     """
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = list(blocks.shingle_sets(batch.column("text"), words))
+        for batch in _pieces(batches):
+            sets = list(blocks.shingle_sets(batch.column("text"), words, SLICE))
             keys = [blocks.digest(s) for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()),

@@ -351,3 +351,12 @@ def test_lines_read_in_characters_and_bytes():
         except UnicodeDecodeError:
             plain = [x.decode("latin-1") for x in texts]
         assert got == [(i, k, x.lower().replace("\x0b", " ")) for i, t in enumerate(plain) for k, x in enumerate(t.split("\n")) if x.strip()]
+
+
+def test_packs_of_shingle_sets_follow_rows(monkeypatch):
+    """Sets are the same in any slices, and no more than ``ROWS`` texts are held at a time."""
+    texts = pa.array([prose(i, 30 + i) for i in range(40)] + [None, "", "a b"])
+    want = [x.tolist() for x in blocks.shingle_sets(texts, 5)]
+    assert [x.tolist() for x in blocks.shingle_sets(texts, 5, 500)] == want
+    monkeypatch.setattr(jaccard_join, "ROWS", 10)
+    assert [b.num_rows for b in jaccard_join._pieces([pa.RecordBatch.from_arrays([texts], ["text"])])] == [10, 10, 10, 10, 3]
