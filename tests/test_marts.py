@@ -221,3 +221,27 @@ def test_runs_over_time_equal_single_runs(lines, spark, scratch):
         key = lambda r: (r["category"], r["metric_name"])
         assert sorted(runs.filter(F.col("run_date") == F.lit(day.date())).collect(), key=key) == sorted(expected.collect(), key=key)
     assert monitoring.run_dates(lines, 3, 10)[-1] == lines.agg(F.max("invoice_date")).first()[0]
+
+
+def test_features_at_several_dates_group_by_hashing(make_lines, scratch):
+    """Every date's table is the one made for it alone, and nothing is sorted to be grouped."""
+    lines = scratch.write(make_lines(
+        ("1", "P1", 10, 5.0, "C1", "United Kingdom", "2024-01-01 10:00:00"),
+        ("1", "P3", 1, 4.0, "C1", "Zealand", "2024-01-02 10:00:00"),
+        ("2", "P2", 2, 12.0, "C1", "United Kingdom", "2024-02-20 23:59:59"),
+        ("C3", "P1", -1, 5.0, "C1", "United Kingdom", "2024-03-01 00:00:00"),
+        ("4", "P1", 4, 2.5, "C2", "United Kingdom", "2024-01-06 09:00:00"),
+        ("5", "P1", 4, 2.5, "C2", "France", "2024-02-06 09:00:00"),
+        ("6", "P1", 4, 2.5, "C2", None, "2024-05-06 09:00:00"),
+        ("7", "P9", 3, 2.0, "C4", None, "2024-04-08 09:00:00"),
+        ("8", "P1", 7, 1.0, "", "France", "2024-04-30 09:00:00")))
+    dates = [datetime(2024, 1, 15), datetime(2024, 3, 15), datetime(2024, 6, 1)]
+    rollup = scratch.write(marts.invoice_rollup(lines))
+    got = features.features_at(lines, dates, rollup=rollup)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan
+    rows = {(r["as_of"], r["customer_id"]): r.asDict() for r in got.collect()}
+    want = {(d, r["customer_id"]): {"as_of": d, **r.asDict()} for d in dates for r in features.mart_features(lines, d).collect()}
+    assert rows == want and len(rows) == 7
+    assert [rows[d, "C2"]["is_uk"] for d in dates] == [1, 0, 0] and rows[dates[2], "C1"]["is_uk"] == 1 and rows[dates[2], "C4"]["is_uk"] == 0
+    assert [rows[d, "C1"]["unique_products"] for d in dates] == [2, 3, 3]
