@@ -38,11 +38,11 @@ def powers(n: int) -> np.ndarray:
 
 def mix(values: np.ndarray) -> np.ndarray:
     """A bijective 64-bit mixer (xor-shift and multiply)."""
-    v = values ^ (values >> np.uint64(33))
-    v *= np.uint64(0xFF51AFD7ED558CCD)
-    v ^= v >> np.uint64(33)
-    v *= np.uint64(0xC4CEB9FE1A85EC53)
-    v ^= v >> np.uint64(33)
+    shifted = values >> np.uint64(33)
+    v = values ^ shifted
+    for factor in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+        v *= np.uint64(factor)
+        v ^= np.right_shift(v, np.uint64(33), out=shifted)
     return v
 
 

@@ -10,12 +10,13 @@ similarity 0.75 a pair meets in at least one band with probability 0.998.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import ArrowUDFType
 
@@ -27,7 +28,9 @@ BANDS, ROWS = 16, 4
 PERCENT = 75
 TURNS = 4           # the bands are shuffled in so many turns, so that fewer of their rows are on disk at a time
 ENTRIES = 1 << 18   # keys of a band, about, that a task sorts at a time
-PACKED = 1 << 17    # lines whose keys are packed together before they are shuffled
+BUCKETS = 64        # buckets that the keys of a band are packed in; they are cut finer before the shuffle where ``ENTRIES`` asks for it
+PACKED = 1 << 16    # lines whose keys are packed together
+BATCH = 1000        # rows that Spark hands to Python at a time, so that texts of one batch are a few MB
 BITS = 8            # bits of the map of wanted lines for each of them
 MAP_BITS = 1 << 27  # bits of that map at most
 CELL = 512          # lines of a region that one task compares at a time
@@ -37,26 +40,26 @@ CODE = 48           # bits of a shingle's hash that a comparison looks at, besid
 SLICE = 128 << 10   # bytes of text read at a time; the arrays of one slice stay in the caches of a core that shares its memory
 
 
+_FOLD = bytes.maketrans(bytes([*range(65, 91), 9, 11, 12, 13]), bytes([*range(97, 123), 32, 32, 32, 32]))
+
+
 def _lines(data: np.ndarray, offsets: np.ndarray):
     """(folded code points, start, end, text, number) of the lines of a slice that are not blank."""
-    codes = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
+    raw = data.tobytes().translate(_FOLD)
+    folded = np.frombuffer(raw.decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
     bounds = offsets
     if len(data) and data.max() > 127:
         some, heads = offsets[1:] > offsets[:-1], np.zeros(len(offsets), np.int64)
         heads[1:][some] = np.add.reduceat((data & 0xC0) != 0x80, offsets[:-1][some], dtype=np.int64)
         bounds = np.cumsum(heads)
-        if bounds[-1] != len(codes):  # not UTF-8: bytes stand for characters
-            codes, bounds = data.astype(np.uint32), offsets
-    folded = codes + ((codes - np.uint32(65)) < 26).astype(np.uint32) * np.uint32(32)
-    control = np.flatnonzero((codes - np.uint32(9)) < 5)
-    newline = codes[control] == 10
-    folded[control[~newline]] = 32
-    breaks = control[newline]
+        if bounds[-1] != len(folded):  # not UTF-8: bytes stand for characters
+            folded, bounds = np.frombuffer(raw, np.uint8).astype(np.uint32), offsets
+    breaks = np.flatnonzero(folded == 10)
     start = np.unique(np.concatenate([bounds[:-1], breaks + 1]))
-    start = start[start < len(codes)]
+    start = start[start < len(folded)]
     text = np.searchsorted(bounds, start, "right") - 1
     after = np.searchsorted(breaks, start)
-    end = np.minimum(np.append(breaks, len(codes))[after], bounds[text + 1])
+    end = np.minimum(np.append(breaks, len(folded))[after], bounds[text + 1])
     number = after - np.searchsorted(breaks, bounds[text])
     full = start < end
     for k in np.flatnonzero(full & (folded[start] == 32)):
@@ -81,11 +84,12 @@ def _shingles(value: np.ndarray, start: np.ndarray, end: np.ndarray, chars: int)
     spans = end - start
     count = np.maximum(spans - chars + 1, 1)
     line = np.repeat(np.arange(len(start)), count)
-    rolled, done = value.copy(), 1
+    rolled, product, done = value.copy(), np.empty_like(value), 1
     while done < chars:
         step = min(done, chars - done)  # the last step may overlap, which is still a function of the window alone
         if step < len(rolled):
-            rolled[:-step] += rolled[step:] * blocks.powers(done + 1)[done]
+            np.multiply(rolled[step:], blocks.powers(done + 1)[done], out=product[step:])
+            rolled[:-step] += product[step:]
         done += step
     marks = np.zeros(len(value) + 1, np.int8)
     marks[start] += 1
@@ -110,7 +114,11 @@ def _signatures(line: np.ndarray, hashes: np.ndarray, n: int, bands: int, rows:
     """A region key for each line and band."""
     bins = bands * rows
     least = np.full(n * bins, np.uint64(2**64 - 1))
-    np.minimum.at(least, line * bins + ((hashes >> np.uint64(32)) * np.uint64(bins) >> np.uint64(32)).view(np.int64), hashes)
+    at = hashes >> np.uint64(32)
+    at *= np.uint64(bins)
+    at >>= np.uint64(32)
+    at += np.repeat(np.arange(n, dtype=np.uint64) * np.uint64(bins), np.bincount(line, minlength=n))
+    np.minimum.at(least, at.view(np.int64), hashes.view(np.uint64))  # types of arrays sent with a function are copies, which ufunc.at takes 20 times as long for
     filled = least < np.uint64(2**64 - 1)
     empty, filled = np.flatnonzero(~filled), np.flatnonzero(filled)
     row, place = empty // bins, np.searchsorted(filled, empty)
@@ -132,39 +140,73 @@ def _turns(bands: int) -> list[range]:
     return [range(first, min(first + turn, bands)) for first in range(0, bands, turn)]
 
 
-def _binary(values: np.ndarray) -> pa.Array:
-    """One binary value for each row of a matrix."""
-    ends = np.arange(len(values) + 1, dtype=np.int32) * (values.shape[1] * values.itemsize)
-    return pa.Array.from_buffers(pa.binary(), len(values), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(values))])
-
-
 def _read_lines(docs: DataFrame, kind: str, percent: int, chars: int, bands: int, rows: int) -> DataFrame:
-    """(doc_id, row, line, h1, h2, n, keys_0, ...) of every line that is not blank; the keys are its regions, packed by turn."""
+    """(doc_id, row, line, h1, h2, n, first, bucket, entries_0, ...) of every line that is not blank, ``first`` of its text or not.
+
+    Other rows have only ``bucket`` and, in the column of the band's turn, the packed keys that ``_packs`` gives.
+    """
     turns = _turns(bands)
+    names = ["doc_id", "row", "line", "h1", "h2", "n", "first", "bucket", *[f"entries_{i}" for i in range(len(turns))]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in batches:
-            ids, names = batch.column("doc_id"), batch.column("row")
+            ids, texts = batch.column("doc_id"), batch.column("row")
+            found = []
             for first, data, offsets in blocks.text_slices(batch.column("text"), SLICE):
                 folded, start, end, text, number = _lines(data, offsets)
                 if not len(start):
                     continue
-                value = _values(folded)
-                line, hashes = _shingles(value, start, end, chars)
+                line, hashes = _shingles(_values(folded), start, end, chars)
                 h1, h2 = _digests(folded, start, end)
-                at = pa.array(text + first)
-                count = np.bincount(line, minlength=len(start)).astype(np.int64)
+                count = np.maximum(end - start - chars + 1, 1)
                 for k in np.flatnonzero(count > LONG * percent // 100):  # exact where ``n`` may decide
                     own = np.sort(hashes[slice(*np.searchsorted(line, [k, k + 1]))])
                     count[k] = 1 + np.count_nonzero(own[1:] != own[:-1])
-                keys = _signatures(line, hashes, len(start), bands, rows)
+                found.append((text + first, number.astype(np.int64), h1, h2, count, np.append(True, text[1:] != text[:-1])))
+                held.append((h1, _signatures(line, hashes, len(start), bands, rows)))
+                size += len(start)
+                if size >= PACKED:
+                    yield from packs(held, ids.type)
+                    held, size = [], 0
+            if found:
+                at, *columns = (np.concatenate(x) for x in zip(*found, strict=True))
+                at = pa.array(at)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.take(at), names.take(at), pa.array(number.astype(np.int64)), pa.array(h1), pa.array(h2), pa.array(count),
-                     *[_binary(keys[:, t.start:t.stop]) for t in turns]],
-                    ["doc_id", "row", "line", "h1", "h2", "n", *[f"keys_{i}" for i in range(len(turns))]])
+                    [ids.take(at), texts.take(at), *map(pa.array, columns), pa.nulls(len(at), pa.int64()),
+                     *[pa.nulls(len(at), pa.binary())] * len(turns)], names)
+        if held:
+            yield from packs(held, ids.type)
 
-    packed = "".join(f", keys_{i} binary" for i in range(len(turns)))
-    return docs.mapInArrow(run, f"doc_id {kind}, row long, line long, h1 long, h2 long, n long{packed}")
+    def packs(held: list[tuple[np.ndarray, np.ndarray]], kind: pa.DataType) -> Iterator[pa.RecordBatch]:
+        for band, bucket, entries in _packs(*(np.concatenate(x) for x in zip(*held, strict=True))):
+            none = [pa.nulls(len(bucket), t) for t in (kind, *[pa.int64()] * 5, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(
+                [*none, bucket, *[entries if band in t else pa.nulls(len(bucket), pa.binary()) for t in turns]], names)
+
+    packed = "".join(f", entries_{i} binary" for i in range(len(turns)))
+    return docs.mapInArrow(run, f"doc_id {kind}, row long, line long, h1 long, h2 long, n long, first boolean, bucket long{packed}")
+
+
+def _blobs(entries: np.ndarray, count: np.ndarray) -> pa.Array:
+    """Rows of a matrix one after another as binary values of ``count`` rows each."""
+    ends = np.concatenate([[0], np.cumsum(count)]) * (entries.shape[1] * entries.itemsize)
+    return pa.Array.from_buffers(pa.binary(), len(count), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(entries))])
+
+
+def _packs(h1: np.ndarray, keys: np.ndarray) -> Iterator[tuple[int, pa.Array, pa.Array]]:
+    """(band, buckets, entries): for each band the (key, h1) of lines, equal lines once, by the first bits of the key."""
+    order = np.argsort(h1, kind="stable")
+    fresh = np.ones(len(h1), bool)
+    fresh[1:] = (h1[order[1:]] != h1[order[:-1]]) | (keys[order[1:], 0] != keys[order[:-1], 0])
+    use = order[fresh]
+    for band in range(keys.shape[1]):
+        key = keys[use, band]
+        bucket = (key.view(np.uint64) >> np.uint64(32)) * np.uint64(BUCKETS) >> np.uint64(32)
+        order = np.argsort(bucket.astype(np.uint16), kind="stable")
+        count = np.bincount(bucket.astype(np.int64), minlength=BUCKETS)
+        live = np.flatnonzero(count)
+        yield band, pa.array(live + band * BUCKETS), _blobs(np.stack([key[order], h1[use[order]]], axis=1), count[live])
 
 
 def duplicates(docs: DataFrame, scratch: Scratch, percent: int = PERCENT, chars: int = CHARS, bands: int = BANDS,
@@ -177,30 +219,57 @@ def duplicates(docs: DataFrame, scratch: Scratch, percent: int = PERCENT, chars:
     and empty texts have no lines. Rows that repeat doc_id and text are one row and come back once. Other columns are ignored.
     ``cell`` bounds the lines that a task compares at a time; it never changes the result.
     """
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    spark, kind = docs.sparkSession, docs.schema["doc_id"].dataType.simpleString()
     docs = docs.select("doc_id", "text", F.xxhash64("text").alias("row"))
-    repeated = scratch.write(docs.groupBy("doc_id", "row").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"))
-    if not repeated.isEmpty():
-        again = F.col("d.doc_id").eqNullSafe(F.col("r.doc_id")) & F.col("d.row").eqNullSafe(F.col("r.row"))
-        apart = lambda how: docs.alias("d").join(repeated.alias("r"), again, how)
-        docs = scratch.write(apart("left_anti").unionByName(apart("left_semi").dropDuplicates(["doc_id", "row"])))
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "line", "row")
-    with Scratch(docs.sparkSession) as wide:  # the keys of all lines, needed until regions are known
+    with Scratch(spark) as wide, _small_batches(spark):  # the keys of all lines, needed until regions are known
         keyed = wide.write(_read_lines(docs, kind, percent, chars, bands, rows).select(F.monotonically_increasing_id().alias("id"), "*"))
-        lines = scratch.write(keyed.select("id", "doc_id", "row", "line", "h1", "h2"))
-        nodes = scratch.write(keyed.groupBy("h1", "h2").agg(
-            F.min("id").alias("node"), F.min("n").alias("n"), F.min(place).alias("least"), F.count(F.lit(1)).alias("copies")))
-        graph.release(docs.sparkSession)
+        lines = keyed.filter("bucket IS NULL").select("id", "doc_id", "row", "line", "h1", "h2", "n", "first")
+        repeated = scratch.write(lines.filter("first").groupBy("doc_id", "row").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"))
+        if not repeated.isEmpty():
+            lines, docs = (scratch.write(_once(df, repeated, keys)) for df, keys in ((lines, ["doc_id", "row", "line"]), (docs, ["doc_id", "row"])))
+        nodes = scratch.write(lines.groupBy("h1", "h2").agg(
+            F.min("id").alias("node"), F.min("n").alias("n"), F.count(F.lit(1)).alias("copies"),
+            *[F.first(c).alias(c) for c in ("doc_id", "row", "line")]))  # the place of a line without copies, else any of its places
+        graph.release(spark)
+        shared = nodes.filter("copies > 1")
+        copies = scratch.write(_Marks(shared, ["h1"], scratch).of(lines.select("h1", "h2", "doc_id", "row", "line")))
         members = scratch.write(_regions(keyed, nodes, bands, wide))
-    graph.release(docs.sparkSession)
-    found = scratch.write(_connect(docs, members, percent, chars, bands, cell, scratch))
-    known = nodes.join(found, "node")  # a line without links is its own component
-    keeper = known.groupBy("component").agg(F.min("least").alias("keeper"), F.sum("copies").alias("n_copies"))
-    labelled = known.join(keeper, "component").select("h1", "h2", "keeper", "n_copies").unionByName(
-        nodes.join(found, "node", "left_anti").select("h1", "h2", F.col("least").alias("keeper"), F.col("copies").alias("n_copies")))
-    return lines.join(labelled, ["h1", "h2"]).select(
-        "doc_id", "row", "line", "n_copies", F.col("keeper.doc_id").alias("keeper_doc_id"), F.col("keeper.line").alias("keeper_line"),
-        (place == F.col("keeper")).alias("kept"))
+    graph.release(spark)
+    with _small_batches(spark):
+        found = scratch.write(_connect(docs, members, percent, chars, bands, cell, scratch))
+    alone = nodes.filter("copies = 1")
+    linked = _Marks(found, ["node"], scratch)
+    least = copies.groupBy("h1", "h2").agg(F.min(place).alias("least"))
+    held = linked.of(alone).select("h1", "h2", "node", "copies", place.alias("least")).unionByName(
+        shared.select("h1", "h2", "node", "copies").join(least, ["h1", "h2"]))  # lines that have copies or may have links
+    held = held.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    keeper = held.groupBy("component").agg(F.min("least").alias("keeper"), F.sum("copies").alias("n_copies"))
+    known = scratch.write(held.join(keeper, "component").select("h1", "h2", "copies", "least", "keeper", "n_copies"))
+    out = ["doc_id", "row", "line", "n_copies", F.col("keeper.doc_id").alias("keeper_doc_id"), F.col("keeper.line").alias("keeper_line"),
+           (place == F.col("keeper")).alias("kept")]
+    return (linked.of(alone, False).withColumns({"keeper": place, "n_copies": F.col("copies")}).select(*out)
+            .unionByName(known.filter("copies = 1").select("least.*", "keeper", "n_copies").select(*out))
+            .unionByName(copies.join(known.filter("copies > 1").select("h1", "h2", "keeper", "n_copies"), ["h1", "h2"]).select(*out)))
+
+
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """Tables written inside hand ``BATCH`` rows at a time to Python; the session's own setting comes back afterwards."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    own = spark.conf.get(name)
+    spark.conf.set(name, str(min(BATCH, int(own)) if int(own) > 0 else BATCH))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, own)
+
+
+def _once(df: DataFrame, repeated: DataFrame, keys: list[str]) -> DataFrame:
+    """``df`` with one row for each ``keys`` of the ``repeated(doc_id, row)``; its other rows stay."""
+    again = F.col("d.doc_id").eqNullSafe(F.col("r.doc_id")) & F.col("d.row").eqNullSafe(F.col("r.row"))
+    apart = lambda how: df.alias("d").join(repeated.alias("r"), again, how)
+    return apart("left_anti").unionByName(apart("left_semi").dropDuplicates(keys))
 
 
 def _regions(keyed: DataFrame, nodes: DataFrame, bands: int, scratch: Scratch) -> DataFrame:
@@ -209,78 +278,53 @@ def _regions(keyed: DataFrame, nodes: DataFrame, bands: int, scratch: Scratch) -
     A region counts as such if its smallest and largest digest differ. Keys travel packed in buckets, with equal lines of a
     pack joined beforehand, and a task sorts one bucket at a time. Of regions that hold the same lines one is enough.
     """
-    total, parts = keyed.count(), []
-    for i, turn in enumerate(_turns(bands)):
-        buckets = max(64, -(-total // ENTRIES))
-        packed = keyed.select("h1", "h2", F.col(f"keys_{i}").alias("keys")).mapInArrow(_packer(buckets), "bucket long, entries binary")
+    total, parts = nodes.agg(F.sum("copies")).first()[0] or 0, []
+    finer = max(1, -(-total // (ENTRIES * BUCKETS)))
+    for i, _ in enumerate(_turns(bands)):
+        packed = keyed.select("bucket", F.col(f"entries_{i}").alias("entries")).filter("entries IS NOT NULL")
+        if finer > 1:
+            packed = packed.mapInArrow(_cut(finer), "bucket long, entries binary")
         ordered = packed.repartition("bucket").sortWithinPartitions("bucket")
-        parts.append(scratch.write(ordered.mapInArrow(_meet, "bucket long, region long, h1 long, h2 long").select(
-            (F.floor(F.col("bucket") / buckets) + turn.start).cast("int").alias("band"), "region", "h1", "h2")))
+        parts.append(scratch.write(ordered.mapInArrow(_meet, "bucket long, region long, h1 long").select(
+            F.floor(F.col("bucket") / (BUCKETS * finer)).cast("int").alias("band"), "region", "h1")))
         graph.release(keyed.sparkSession)
     met = reduce(DataFrame.unionByName, parts)
     sizes = met.groupBy("region").agg(
-        F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("h1", "h2")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "h2", "h1")).alias("y"))
+        F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("h1")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "h1")).alias("y"))
     sizes = scratch.write(sizes.groupBy("size", "x", "y").agg(F.min("region").alias("region")).select("region", "size"))
-    named = nodes.select("h1", "h2", "node", "n", "least.doc_id", "least.row", "least.line")
-    return met.join(sizes, "region").join(named, ["h1", "h2"]).drop("h1", "h2")
-
-
-def _packer(buckets: int):
-    """Rows (h1, h2, keys) to (bucket, entries): the entries (key, h1, h2) of a bucket of keys of one band, band after band."""
-    def pack(h1: np.ndarray, h2: np.ndarray, keys: np.ndarray) -> pa.RecordBatch:
-        order = np.argsort(h1, kind="stable")
-        h1, h2 = h1[order], h2[order]
-        fresh = np.ones(len(h1), bool)
-        fresh[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
-        h1, h2, keys = h1[fresh], h2[fresh], keys[order[fresh]]
-        names, ends, entries = [], [np.zeros(1, np.int64)], []
-        for band in range(keys.shape[1]):
-            key = np.ascontiguousarray(keys[:, band])
-            bucket = ((key.view(np.uint64) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            entries.append(np.stack([key[order], h1[order], h2[order]], axis=1))
-            count = np.bincount(bucket, minlength=buckets)
-            held = np.flatnonzero(count)
-            names.append(held + band * buckets)
-            ends.append(ends[-1][-1] + np.cumsum(count[held]))
-        flat, ends = np.concatenate(entries), np.concatenate(ends)
-        blobs = pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer((ends * 24).astype(np.int32)), pa.py_buffer(flat)])
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(names)), blobs], ["bucket", "entries"])
+    return met.join(sizes, "region").join(nodes.select("h1", "node", "n", "doc_id", "row", "line"), "h1").drop("h1")
 
+
+def _cut(finer: int):
+    """Rows (bucket, entries) to ``finer`` buckets for each."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, rows = [], 0
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            keys = batch.column("keys")
-            offsets = np.frombuffer(keys.buffers()[1], np.int32)[keys.offset:keys.offset + len(keys) + 1]
-            flat = np.frombuffer(keys.buffers()[2], np.uint8)[offsets[0]:offsets[-1]].view(np.int64).reshape(len(keys), -1)
-            held.append((batch.column("h1").to_numpy().copy(), batch.column("h2").to_numpy().copy(), flat.copy()))
-            rows += batch.num_rows
-            if rows >= PACKED:
-                yield pack(*map(np.concatenate, zip(*held, strict=True)))
-                held, rows = [], 0
-        if held:
-            yield pack(*map(np.concatenate, zip(*held, strict=True)))
+            for name, blob in zip(batch.column("bucket").to_pylist(), batch.column("entries"), strict=True):
+                entries = np.frombuffer(blob.as_buffer(), np.int64).reshape(-1, 2)
+                high = (entries[:, 0].view(np.uint64) >> np.uint64(32)) * np.uint64(BUCKETS)  # the first bits are the bucket's own
+                part = ((high & np.uint64(2**32 - 1)) * np.uint64(finer) >> np.uint64(32)).astype(np.int64)
+                count = np.bincount(part, minlength=finer)
+                live = np.flatnonzero(count)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(live + name * finer), _blobs(entries[np.argsort(part, kind="stable")], count[live])], ["bucket", "entries"])
 
     return run
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (bucket, entries), ordered by bucket, to the (bucket, region, h1, h2) of regions with different lines."""
+    """Rows (bucket, entries), ordered by bucket, to the (bucket, region, h1) of regions with different lines."""
     def settle(bucket: int, blobs: list[bytes]) -> pa.RecordBatch:
-        key, h1, h2 = np.frombuffer(b"".join(blobs), np.int64).reshape(-1, 3).T
+        key, h1 = np.frombuffer(b"".join(blobs), np.int64).reshape(-1, 2).T
         order = np.argsort(key)
-        key, h1, h2 = key[order], h1[order], h2[order]
+        key, h1 = key[order], h1[order]
         starts = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1])
         live = np.repeat(np.minimum.reduceat(h1, starts) != np.maximum.reduceat(h1, starts), np.diff(np.append(starts, len(key))))
-        key, h1, h2 = key[live], h1[live], h2[live]
-        order = np.lexsort((h2, h1, key))
-        key, h1, h2 = key[order], h1[order], h2[order]
+        key, h1 = key[live], h1[live]
+        order = np.lexsort((h1, key))
+        key, h1 = key[order], h1[order]
         fresh = np.ones(len(key), bool)
-        fresh[1:] = (key[1:] != key[:-1]) | (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(int(fresh.sum()), bucket)), *[pa.array(x[fresh]) for x in (key, h1, h2)]], ["bucket", "region", "h1", "h2"])
+        fresh[1:] = (key[1:] != key[:-1]) | (h1[1:] != h1[:-1])
+        return pa.RecordBatch.from_arrays([pa.array(np.full(int(fresh.sum()), bucket)), pa.array(key[fresh]), pa.array(h1[fresh])], ["bucket", "region", "h1"])
 
     last, held = None, []
     for batch in batches:
@@ -303,28 +347,27 @@ def _connect(docs: DataFrame, members: DataFrame, percent: int, chars: int, band
     copies are joined, meet all lines of the region in cells of bounded size. Lines of more than ``LONG`` shingles
     go to ``regions.connect``, which moves places of lines instead of their texts.
     """
-    short = members.filter(F.col("n") <= LONG)
     own = F.collect_list(F.struct("band", "region", "size")).alias("all")
     with Scratch(docs.sparkSession) as narrow:
-        wanted = narrow.write(short.groupBy("node").agg(F.first(F.struct("doc_id", "row", "line")).alias("at"), own).select("node", "at.*", "all"))
-        texts = _texts(narrow, docs, wanted.drop("all"))
-        held = scratch.write(wanted.select("node", "all").join(texts, "node"))
+        wanted = narrow.write(members.groupBy("node").agg(F.first(F.struct("n", "doc_id", "row", "line")).alias("at"), own).select("node", "at.*", "all"))
+        held = scratch.write(_texts(narrow, docs, wanted))
     graph.release(docs.sparkSession)
-    dealt = held.select("node", "words", "all", F.explode("all").alias("m")).select("node", "words", "all", "m.*")
+    short = held.filter(F.col("n") <= LONG)
+    dealt = short.select("node", "words", "all", F.explode("all").alias("m")).select("node", "words", "all", "m.*")
     parts = F.ceil(F.col("size") / cell)
     links = scratch.write(_linked(dealt.withColumn("cell", F.pmod(F.xxhash64("node"), parts)), percent, chars, bands, True))
     graph.release(docs.sparkSession)
     large = scratch.write(dealt.filter(F.col("size") > cell).select("node", "region", "band"))
     if not large.isEmpty():
         found = scratch.write(graph.components(links, scratch))
-        crossed = _crossed(large, found, cell).join(held, "node")
+        crossed = _crossed(large, found, cell).join(short, "node")
         links = scratch.write(links.unionByName(_linked(crossed, percent, chars, bands, False)))
-    long = scratch.write(members.filter(F.col("n") > LONG * percent // 100))
+    long = members.filter(F.col("n") > LONG * percent // 100)
     if not long.filter(F.col("n") > LONG).isEmpty():
-        named = scratch.write(long.select("node", "doc_id", "row", "line").distinct())
+        texts = scratch.write(held.filter(F.col("n") > LONG * percent // 100).select("node", "words"))
         found, _ = regions.connect(
             [long.select("region", F.col("node").alias("id"), "n", F.lit(0).alias("place"))],
-            lambda pairs: _distances(scratch, docs, named, pairs, chars), lambda *_: F.lit(True), percent, scratch)
+            lambda pairs: _distances(texts, pairs, chars), lambda *_: F.lit(True), percent, scratch)
         links = links.unionByName(found.select(F.col("node").alias("a"), F.col("component").alias("b")))
     return graph.components(links, scratch)
 
@@ -383,8 +426,6 @@ def _forest(table: pa.Table, percent: int, chars: int, bands: int, once: bool) -
     region, cell, band, node = (table.column(c).to_numpy() for c in ("region", "cell", "band", "node"))
     if not len(node):
         return node, node
-    codes, begin = _coded(table.column("words").chunk(0), chars)
-    n = np.diff(begin)
     starts = np.concatenate([[0], np.flatnonzero((region[1:] != region[:-1]) | (cell[1:] != cell[:-1])) + 1])
     sizes = np.diff(np.append(starts, len(node)))
     left, right, out_a, out_b = [], [], [], []
@@ -393,21 +434,28 @@ def _forest(table: pa.Table, percent: int, chars: int, bands: int, once: bool) -
         first = starts[sizes == size][:, None]
         left.append((first + i).ravel())
         right.append((first + j).ravel())
-    if left:
-        x, y = np.concatenate(left), np.concatenate(right)
+    x, y = (np.concatenate([np.zeros(0, np.int64), *z]) for z in (left, right))
+    if once and len(x):
+        own = table.column("all").chunk(0)
+        at = np.repeat(np.arange(len(node)), np.diff(own.offsets.to_numpy()))
+        keys = np.zeros((len(node), bands), np.int64)
+        live = np.zeros((len(node), bands), bool)
+        flat = own.flatten()
+        keys[at, flat.field("band").to_numpy()] = flat.field("region").to_numpy()
+        live[at, flat.field("band").to_numpy()] = True
+        shared = (keys[x] == keys[y]) & live[x] & live[y]
+        mine = shared.argmax(axis=1) == band[x]
+        x, y = x[mine], y[mine]
+    use = np.repeat(sizes > FEW, sizes)  # lines that are compared here
+    use[x] = use[y] = True
+    if not use.any():
+        return node[:0], node[:0]
+    codes, begin = _coded(table.column("words").chunk(0).filter(pa.array(use)), chars)
+    begin = begin[np.concatenate([[0], np.cumsum(use)])]
+    n = np.diff(begin)
+    if len(x):
         near = 100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y])
         x, y = x[near], y[near]
-        if once:
-            own = table.column("all").chunk(0)
-            at = np.repeat(np.arange(len(node)), np.diff(own.offsets.to_numpy()))
-            keys = np.zeros((len(node), bands), np.int64)
-            live = np.zeros((len(node), bands), bool)
-            flat = own.flatten()
-            keys[at, flat.field("band").to_numpy()] = flat.field("region").to_numpy()
-            live[at, flat.field("band").to_numpy()] = True
-            shared = (keys[x] == keys[y]) & live[x] & live[y]
-            mine = shared.argmax(axis=1) == band[x]
-            x, y = x[mine], y[mine]
         for k in range(0, len(x), 20_000):
             p, q = x[k:k + 20_000], y[k:k + 20_000]
             both = _common(codes, begin, n, p, q)
@@ -492,31 +540,40 @@ def _sets(column: pa.Array, chars: int) -> list[np.ndarray]:
 
 
 def _texts(scratch: Scratch, docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, words): the lines ``wanted(node, doc_id, row, line)``, found by place.
+    """(node, n, all, words): the lines ``wanted(node, n, doc_id, row, line, all)`` with their texts, found by place."""
+    texts = _Marks(wanted, ["row"], scratch).of(docs.select("doc_id", "row", "text"))
+    lines = texts.select("doc_id", "row", F.posexplode(F.split("text", "\n")).alias("at", "words")).withColumn("line", F.col("at").cast("long"))
+    same = "l.row = w.row AND l.line = w.line AND l.doc_id <=> w.doc_id"
+    return _Marks(wanted, ["row", "line"], scratch).of(lines).alias("l").join(wanted.alias("w"), F.expr(same)).select(
+        "w.node", "w.n", "w.all", "l.words")
+
+
+class _Marks:
+    """A map with ``BITS`` bits for each row of a table, ``MAP_BITS`` at most, that is sent to all tasks in rows of 4 KB.
 
-    A map with ``BITS`` bits for each text and line wanted, ``MAP_BITS`` at most, is sent to all tasks in rows of 4 KB, so that only
-    those lines and a few others are shuffled.
+    ``of`` gives the rows of another table whose key has a bit: those with a key of the first table and a few others, so that only
+    these are shuffled; with ``inside`` False it gives the rest.
     """
-    bits = min(MAP_BITS, max(1 << 10, BITS * wanted.count()))
 
-    def marked(df: DataFrame, *keys: str) -> DataFrame:
-        slot = F.pmod(F.xxhash64(*keys), F.lit(bits)) + 1
-        chunks = wanted.groupBy(F.bitmap_bucket_number(slot).alias("chunk")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("map"))
-        known = df.withColumns({"chunk": F.bitmap_bucket_number(slot), "bit": F.bitmap_bit_position(slot)}).join(
-            F.broadcast(scratch.write(chunks)), "chunk")
-        byte = F.conv(F.hex(F.expr("substring(map, CAST(bit DIV 8 AS INT) + 1, 1)")), 16, 10).cast("int")
-        return known.filter(byte.bitwiseAND(F.expr("shiftleft(1, CAST(bit % 8 AS INT))")) != 0).select(*df.columns)
+    def __init__(self, wanted: DataFrame, keys: list[str], scratch: Scratch):
+        self.keys, self.bits = keys, min(MAP_BITS, max(1 << 10, BITS * wanted.count()))
+        bits = wanted.groupBy(F.bitmap_bucket_number(self._slot()).alias("chunk")).agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position(self._slot())).alias("map"))
+        words = "transform(sequence(0, octet_length(map) DIV 8 - 1), i -> CAST(conv(hex(substring(map, 8 * i + 1, 8)), 16, -10) AS bigint))"
+        self.map = scratch.write(bits.select(F.col("chunk").alias("_chunk"), F.expr(words).alias("_map")))
 
-    texts = marked(docs.select("doc_id", "row", "text"), "row")
-    lines = texts.select("doc_id", "row", F.posexplode(F.split("text", "\n")).alias("at", "words")).withColumn("line", F.col("at").cast("long"))
-    same = "l.row = w.row AND l.line = w.line AND l.doc_id <=> w.doc_id"
-    return scratch.write(marked(lines, "row", "line").alias("l").join(wanted.alias("w"), F.expr(same)).select("w.node", "l.words"))
+    def _slot(self) -> Column:
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self.bits)) + 1
 
+    def of(self, df: DataFrame, inside: bool = True) -> DataFrame:
+        known = df.withColumns({"_chunk": F.bitmap_bucket_number(self._slot()), "_bit": F.bitmap_bit_position(self._slot())}).join(
+            F.broadcast(self.map), "_chunk", "left")
+        bit = F.expr("shiftright(_map[CAST(_bit DIV 64 AS INT)], CAST((7 - _bit % 64 DIV 8) * 8 + _bit % 8 AS INT)) & 1")
+        return known.filter((F.coalesce(bit, F.lit(0)) == 1) == F.lit(inside)).select(*df.columns)
 
-def _distances(scratch: Scratch, docs: DataFrame, named: DataFrame, pairs: DataFrame, chars: int) -> DataFrame:
-    """``pairs(a, b)`` with the exact Jaccard distance of the two lines' shingle sets, read again from the texts.
 
-    """
+def _distances(texts: DataFrame, pairs: DataFrame, chars: int) -> DataFrame:
+    """``pairs(a, b)`` with the exact Jaccard distance of the two lines' shingle sets; ``texts(node, words)`` holds the lines."""
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for begin in range(0, whole.num_rows, 1000):
@@ -527,11 +584,8 @@ def _distances(scratch: Scratch, docs: DataFrame, named: DataFrame, pairs: DataF
                     out.append((len(both) - 2 * shared) / (len(both) - shared))
                 yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(out, pa.float64())], ["a", "b", "distance"])
 
-    pairs = scratch.write(pairs)
-    wanted = scratch.write(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(named, "node"))
-    held = _texts(scratch, docs, wanted)
-    both = (pairs.join(held.select(F.col("node").alias("a"), F.col("words").alias("x")), "a")
-                 .join(held.select(F.col("node").alias("b"), F.col("words").alias("y")), "b"))
+    both = (pairs.join(texts.select(F.col("node").alias("a"), F.col("words").alias("x")), "a")
+                 .join(texts.select(F.col("node").alias("b"), F.col("words").alias("y")), "b"))
     return both.select("a", "b", "x", "y").mapInArrow(measure, "a long, b long, distance double").distinct()
 
 
@@ -560,7 +614,7 @@ def remove(docs: DataFrame, scratch: Scratch, **settings) -> DataFrame:
 
     cut = F.arrow_udf(run, "text string, stays boolean", ArrowUDFType.SCALAR_ITER).asNondeterministic()
     joined = (docs.alias("d").join(lost.alias("l"), (F.xxhash64("d.text") == F.col("l.row")) & F.col("d.doc_id").eqNullSafe(F.col("l.doc_id")), "left")
-              .select(F.struct("d.*").alias("_row"), "l._lost").withColumn("_new", cut(F.col("_row.text"), F.col("_lost"))))
-    new = F.col("_new.text")
+              .select(F.struct("d.*").alias("_row"), "l._lost").withColumn("_new", cut(F.expr("IF(_lost IS NULL, NULL, _row.text)"), F.col("_lost"))))  # other texts need not travel
+    new = F.expr("IF(_lost IS NULL, _row.text, _new.text)")
     values = {"text": new, "n_chars": F.length(new).cast(docs.schema["n_chars"].dataType) if "n_chars" in docs.columns else None}
     return joined.filter("_new.stays").select(*[(values[c] if c in values else F.col(f"_row.`{c}`")).alias(c) for c in docs.columns])

@@ -339,6 +339,41 @@ def test_regions_of_the_same_lines_are_compared_once(spark, scratch, monkeypatch
     assert len(groups) == len(set(groups)) > 0
 
 
+def test_packed_keys_are_cut_finer(spark, scratch, monkeypatch):
+    """Keys packed while lines are read give the same regions in few buckets and in many; rows that repeat a text count once."""
+    rows = [(i, altered(prose(980 + i % 4, 40), i, 0.002 * (i // 4))) for i in range(12)] + [(20, prose(980, 40)), (20, prose(980, 40)), (None, prose(981, 40))]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted(map(repr, line_dedup.duplicates(table, scratch).collect()))
+    assert len(want) == 14 and sum("n_copies=4" in r for r in want) == 8
+    cut, used = line_dedup._cut, []
+    monkeypatch.setattr(line_dedup, "_cut", lambda finer: used.append(finer) or cut(finer))
+    monkeypatch.setattr(line_dedup, "ENTRIES", 1)
+    monkeypatch.setattr(line_dedup, "BUCKETS", 4)
+    assert sorted(map(repr, line_dedup.duplicates(table, scratch).collect())) == want
+    assert used == [4] * line_dedup.TURNS
+
+
+def test_lines_reach_python_in_small_batches(spark, scratch):
+    """Texts of no more than ``BATCH`` rows are in a worker at a time; the session keeps its own setting."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    own = spark.conf.get(name)
+    with line_dedup._small_batches(spark):
+        sizes = scratch.write(spark.range(0, 4000, 1, 1).mapInArrow(
+            lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.num_rows])], ["n"]) for b in batches), "n long"))
+    assert sorted(r["n"] for r in sizes.collect()) == [line_dedup.BATCH] * 4
+    assert spark.conf.get(name) == own
+
+
+def test_a_pair_is_read_in_one_region_only(monkeypatch):
+    """Of near lines that share several regions the texts are cut into shingles where the pair is compared, not in each region."""
+    words, coded, seen = [prose(990, 30), prose(990, 30) + " x"], line_dedup._coded, []
+    monkeypatch.setattr(line_dedup, "_coded", lambda column, chars: seen.append(len(column)) or coded(column, chars))
+    shared = [{"band": b, "region": 7 + b, "size": 2} for b in range(3)]
+    table = pa.table({"region": [7, 7, 8, 8, 9, 9], "cell": [0] * 6, "band": [0, 0, 1, 1, 2, 2], "node": [1, 2] * 3, "all": [shared] * 6, "words": words * 3})
+    a, b = line_dedup._forest(table, 75, 8, 16, True)
+    assert (a.tolist(), b.tolist(), seen) == ([1], [2], [2])
+
+
 def test_lines_read_in_characters_and_bytes():
     """Line places, also where a byte sequence is no UTF-8 but has as many characters as bytes."""
     for texts in ([b"a\n\n \t\nB\x0bc", b"", b"\xc3\xa9\nx"], [b"ab", b"\xff\x9f\ny"]):
