@@ -9,7 +9,9 @@ bits wide: the sum of random per-byte values times odd powers of its place in th
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +28,26 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 _powers = np.ones(1, np.uint64)
 
 
+def give_back() -> None:
+    """Returns freed memory to the system. Spark keeps workers for later tasks, and the allocators of a worker would keep the
+    memory of its largest step with it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
+def returning(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` over a task's batches; what it has freed goes back to the system when the task ends."""
+    @wraps(run)
+    def task(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+    return task
+
+
 def powers(n: int) -> np.ndarray:
     """The first ``n`` powers of a fixed odd number modulo 2**64."""
     global _powers

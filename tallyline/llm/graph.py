@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import gc
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -10,6 +12,7 @@ from pyspark.sql import functions as F
 from tallyline.sources.lake import Scratch
 
 MAX_ROUNDS = 60
+BATCH = 1000        # rows that Spark hands to Python at a time, so that texts of one batch are a few MB
 
 
 def release(spark: SparkSession) -> None:
@@ -18,6 +21,18 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Tables written inside hand ``BATCH`` rows at a time to Python; the session's own setting comes back afterwards."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    own = spark.conf.get(name)
+    spark.conf.set(name, str(min(BATCH, int(own)) if int(own) > 0 else BATCH))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, own)
+
+
 def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, component) for every node of ``links(a, b)``: the smallest node reachable, by alternating star contraction.
 

@@ -30,6 +30,8 @@ DISCOUNTED = 5            # counts up to this are discounted
 BASE = 0.1                # added to every count of the base score
 BLOCK_BYTES = 20 << 20    # text of a block
 BUCKET_BYTES = 8 << 20    # text for each bucket
+SLICE = 512 << 10         # bytes of text turned into words at a time
+STEP = 1 << 18            # tokens or pairs looked at together, where a step needs more arrays of them
 END = np.uint64(0x0E4D0E4D0E4D0E4D)
 BEGIN = np.uint64(0x0B460B460B460B46)
 
@@ -68,6 +70,33 @@ def unigram(counts: np.ndarray, stats: Stats, unknown_mass: float) -> np.ndarray
     return np.where(counts > 0, _discounted(counts, stats.words) / max(whole, 1), unknown_mass if unknown_mass > 0 else 1 / whole)
 
 
+def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct values, the place of each value in them, and where each distinct one comes first.
+
+    Ranges of hashes are sorted one by one, so what sorting needs besides these arrays stays a small part of them.
+    """
+    if not len(values):
+        return values, np.zeros(0, np.int32), np.zeros(0, np.int32)
+    least = values.min()
+    shift = np.uint64(max(0, int(values.max() - least).bit_length() - 6))
+    part = np.empty(len(values), np.uint8)
+    for a in range(0, len(values), STEP):
+        part[a:a + STEP] = (values[a:a + STEP] - least) >> shift
+    place = np.empty(len(values), np.int32)
+    keys, firsts, n = [], [], 0
+    for k in range(64):
+        at = np.flatnonzero(part == k).astype(np.int32)
+        if len(at):
+            found, inverse = np.unique(values[at], return_inverse=True)
+            first = np.empty(len(found), np.int32)
+            first[inverse[::-1]] = at[::-1]  # of equal values the last one written stays
+            place[at] = inverse + n
+            keys.append(found)
+            firsts.append(first)
+            n += len(found)
+    return np.concatenate(keys), place, np.concatenate(firsts)
+
+
 class Block(NamedTuple):
     """Tokens of consecutive texts: each text's words and one end."""
 
@@ -82,26 +111,28 @@ class Block(NamedTuple):
     @classmethod
     def read(cls, texts: pa.Array) -> Block:
         parts, counts = [], []
-        for _, data, offsets in blocks.text_slices(texts):
+        for _, data, offsets in blocks.text_slices(texts, SLICE):
             _, _, rows, hashes = blocks.words(data, offsets)
-            parts.append(hashes)
+            own = np.full(len(hashes) + len(offsets) - 1, END)
+            own[np.arange(len(hashes)) + rows] = hashes  # each text before has its end
+            parts.append(own)
             counts.append(np.bincount(rows, minlength=len(offsets) - 1))
         count = np.concatenate(counts) if counts else np.zeros(0, np.int64)
         first = np.concatenate([[0], np.cumsum(count + 1)])
-        token = np.full(first[-1], END)
-        inner = np.ones(first[-1], bool)
-        inner[first[1:] - 1] = False
-        token[inner] = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+        token = np.concatenate([*parts, [BEGIN]]).astype(np.uint64, copy=False)
         del parts
-        words, word = np.unique(np.concatenate([token, [BEGIN]]), return_inverse=True)
+        words, word, _ = _distinct(token)
         del token
-        begin, word = word[-1], word[:-1].astype(np.int32)
+        begin, word = word[-1], word[:-1]
         context = np.empty_like(word)
         context[1:] = word[:-1]
         context[first[:-1]] = begin
-        both = blocks.mix(blocks.mix(words + np.uint64(5))[context] * np.uint64(3) + words[word])
-        pairs, at, pair = np.unique(both, return_index=True, return_inverse=True)
-        return cls(words, word, pairs, pair.astype(np.int32), context[at], word[at], first)
+        after = blocks.mix(words + np.uint64(5)) * np.uint64(3)
+        both = np.empty(len(word), np.uint64)
+        for a in range(0, len(both), STEP):
+            both[a:a + STEP] = blocks.mix(after[context[a:a + STEP]] + words[word[a:a + STEP]])
+        pairs, pair, at = _distinct(both)
+        return cls(words, word, pairs, pair, context[at], word[at], first)
 
     def counts(self, held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Of words and pairs in texts that are not held out; the begin mark counts those texts."""
@@ -112,21 +143,29 @@ class Block(NamedTuple):
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table]]:
-    """(block, rows) of a task's rows in order, cut by text size; the same rows give the same blocks."""
+    """(block, rows) of a task's rows in order, cut by text size; the same rows give the same blocks, however batched."""
     task, number, held, size = TaskContext.get().partitionId(), 0, [], 0
+
+    def taken() -> pa.Table:
+        table = pa.Table.from_batches(held)
+        held.clear()  # the rows stay with the caller only
+        return table
+
     for batch in batches:
         at = 0
-        lengths = np.cumsum(pa.compute.fill_null(pa.compute.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False))
+        lengths = np.cumsum(pa.compute.fill_null(pa.compute.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
         while at < batch.num_rows:
-            stop = max(at + 1, int(np.searchsorted(lengths, (lengths[at - 1] if at else 0) + BLOCK_BYTES - size, "right")))
-            held.append(batch.slice(at, stop - at))
-            size += int(lengths[stop - 1] - (lengths[at - 1] if at else 0))
-            at = stop
-            if size >= BLOCK_BYTES or at < batch.num_rows:
-                yield task << 24 | number, pa.Table.from_batches(held)
-                number, held, size = number + 1, [], 0
+            before = int(lengths[at - 1]) if at else 0
+            stop = max(at if held else at + 1, int(np.searchsorted(lengths, before + BLOCK_BYTES - size, "right")))
+            if stop > at:
+                held.append(batch.slice(at, stop - at))
+                size += int(lengths[stop - 1]) - before
+                at = stop
+            if at < batch.num_rows:
+                yield task << 24 | number, taken()
+                number, size = number + 1, 0
     if held:
-        yield task << 24 | number, pa.Table.from_batches(held)
+        yield task << 24 | number, taken()
 
 
 def _flat(column: pa.ChunkedArray) -> pa.Array:
@@ -148,23 +187,24 @@ _ASKED = "kind int, bucket long, block long, keys binary, numbers binary"
 def _ask(docs: DataFrame, buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, rows in _blocks(batches):
-            own = Block.read(_flat(rows.column("text")))
             held = rows.column("held_out").to_numpy()
+            own = Block.read(_flat(rows.column("text")))
+            del rows
             for kind, keys, counts in zip((1, 2), (own.words, own.pairs), own.counts(held), strict=True):
                 for bucket, part in _ranges(keys, buckets):
                     yield pa.RecordBatch.from_pydict({
                         "kind": pa.array([kind], pa.int32()), "bucket": [bucket], "block": [block],
                         "keys": [keys[part].tobytes()], "numbers": [counts[part].tobytes()]})
 
-    return docs.mapInArrow(run, _ASKED)
+    return docs.mapInArrow(blocks.returning(run), _ASKED)
 
 
-def _merged(table: pa.Table, kind: type) -> tuple[np.ndarray, np.ndarray, list[slice], list[np.ndarray]]:
+def _merged(table: pa.Table, kind: type) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[slice], list[np.ndarray]]:
     keys = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("keys")]
     ends = np.cumsum([len(k) for k in keys])
-    distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
+    distinct, place, first = _distinct(np.concatenate(keys))
     numbers = [np.frombuffer(x.as_buffer(), kind) for x in table.column("numbers")]
-    return distinct, place, [slice(b - len(k), b) for k, b in zip(keys, ends, strict=True)], numbers
+    return distinct, place, first, [slice(b - len(k), b) for k, b in zip(keys, ends, strict=True)], numbers
 
 
 def _count(asked: DataFrame) -> DataFrame:
@@ -174,17 +214,18 @@ def _count(asked: DataFrame) -> DataFrame:
     """
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         kind, bucket = key[0].as_py(), key[1].as_py()
-        distinct, place, parts, numbers = _merged(table, np.uint32)
+        distinct, place, first, parts, numbers = _merged(table, np.uint32)
         total = np.bincount(place, weights=np.concatenate(numbers), minlength=len(distinct)).astype(np.int64)
-        first = np.zeros(len(place), np.int64)
-        first[np.unique(place, return_index=True)[1]] = 1
-        answer = total[place] * 2 + first
-        out = [("answer", b.as_py(), answer[p].astype(np.uint64 if answer.max() >> 32 else np.uint32).tobytes(), None, None)
-               for b, p in zip(table.column("block"), parts, strict=True)]
+        width = np.uint64 if int(total.max(initial=0)) * 2 + 1 >> 32 else np.uint32
+        answer = (total * 2).astype(width)[place]
+        answer[first] += 1
+        del place, first
+        out = [("answer", b.as_py(), answer[p].tobytes(), None, None) for b, p in zip(table.column("block"), parts, strict=True)]
         counted = total[(total > 0) & (distinct != BEGIN)]
         for r, n in zip(*np.unique(np.minimum(counted, DISCOUNTED + 2), return_counts=True), strict=True):
             out.append(("times", int(r), None, int(n), int(counted[counted >= r].sum()) if r == DISCOUNTED + 2 else int(r * n)))
         kept = total > 0
+        blocks.give_back()
         lists = [None] * len(out) + [distinct[kept].view(np.int64)]
         out.append(("table", None, None, None, None))
         counts = [None] * (len(out) - 1) + [total[kept]]
@@ -198,8 +239,8 @@ def _count(asked: DataFrame) -> DataFrame:
 
 
 def _meet(docs: DataFrame, answers: DataFrame, handle, schema: str) -> DataFrame:
-    """``handle(block, rows, answers by kind)`` for every block, where its texts and its answers meet; ``docs`` are read in
-    the same order as when the blocks asked."""
+    """``handle(number, block, rows, answers by kind)`` for every block, where its texts and its answers meet; the rows have
+    ``doc_id`` and ``held_out``. ``docs`` are read in the same order as when the blocks asked."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     shape = f"block long, kind int, part long, doc_id {kind}, held_out boolean, text string, answer binary"
 
@@ -235,12 +276,16 @@ def _meet(docs: DataFrame, answers: DataFrame, handle, schema: str) -> DataFrame
         got = {int(k): [x.as_buffer() for x in table.column("answer").filter(pa.array(kinds == k))] for k in np.unique(kinds) if k != 9}
         rows = table.select(["doc_id", "held_out", "text"]).filter(pa.array(kinds == 9))
         del table, kinds
-        yield from handle(int(block), rows, got)
+        texts, rows = _flat(rows.column("text")), rows.drop_columns(["text"])
+        own = Block.read(texts)
+        del texts
+        blocks.give_back()
+        yield from handle(int(block), own, rows, got)
 
-    rows = docs.mapInArrow(number, shape)
+    rows = docs.mapInArrow(blocks.returning(number), shape)
     asked = answers.select("block", "kind", F.col("bucket").alias("part"), F.lit(None).cast(kind).alias("doc_id"),
                            F.lit(None).cast("boolean").alias("held_out"), F.lit(None).cast("string").alias("text"), "answer")
-    return rows.unionByName(asked).repartition("block").sortWithinPartitions("block", "kind", "part").mapInArrow(run, schema)
+    return rows.unionByName(asked).repartition("block").sortWithinPartitions("block", "kind", "part").mapInArrow(blocks.returning(run), schema)
 
 
 def _numbers(parts: list, n: int) -> np.ndarray:
@@ -248,7 +293,18 @@ def _numbers(parts: list, n: int) -> np.ndarray:
     found = [np.frombuffer(p, np.uint32) for p in parts]
     if sum(len(x) for x in found) != n:
         raise RuntimeError("texts were not read in the same order again; write them to a table first")
-    return np.concatenate(found).astype(np.int64) if found else np.zeros(0, np.int64)
+    return np.concatenate(found) if found else np.zeros(0, np.uint32)
+
+
+def _of_texts(values: np.ndarray, place: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The sum of each text's values, which its tokens point to; some texts at a time."""
+    out = np.empty(len(first) - 1, values.dtype)
+    a = 0
+    while a < len(out):
+        b = max(a + 1, int(np.searchsorted(first, first[a] + STEP, "right")) - 1)
+        out[a:b] = np.add.reduceat(values[place[first[a]:first[b]]], first[a:b] - first[a])
+        a = b
+    return out
 
 
 def ngrams(spark: SparkSession, path: str) -> DataFrame:
@@ -270,7 +326,8 @@ def score(docs: DataFrame, scratch: Scratch, path: str | None = None) -> DataFra
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-size // BUCKET_BYTES))
     path = path or f"{scratch.root}/katz-{uuid.uuid4().hex}"
-    _count(_ask(docs, buckets)).write.partitionBy("what").parquet(f"{path}/raw")
+    with graph.small_batches(spark):
+        _count(_ask(docs, buckets)).write.partitionBy("what").parquet(f"{path}/raw")
     raw = spark.read.schema(f"{_COUNTED}, what string").parquet(f"{path}/raw")
     times: dict[int, dict[int, tuple[int, int]]] = {1: {}, 2: {}}
     for r in raw.filter("what = 'times'").groupBy("kind", "block").agg(F.sum("n").alias("n"), F.sum("total").alias("total")).collect():
@@ -283,10 +340,10 @@ def score(docs: DataFrame, scratch: Scratch, path: str | None = None) -> DataFra
     unknown = unknown if unknown > 1e-12 else 0.0
     counted = raw.filter("what = 'answer'").select("block", "kind", "bucket", "answer")
 
-    def sums(block: int, rows: pa.Table, got: dict[int, list]) -> Iterator[pa.RecordBatch]:
-        own = Block.read(_flat(rows.column("text")))
+    def sums(block: int, own: Block, rows: pa.Table, got: dict[int, list]) -> Iterator[pa.RecordBatch]:
         words, pairs = _numbers(got[1], len(own.words)) >> 1, _numbers(got[2], len(own.pairs))
-        mine = (pairs >> 1 > 0) & (pairs & 1 == 1)
+        got.clear()
+        mine = np.flatnonzero((pairs > 1) & (pairs & 1 == 1))
         context = own.pair_context[mine]
         mass = np.bincount(context, weights=_discounted(pairs[mine] >> 1, stats.pairs), minlength=len(own.words))
         lower = np.bincount(context, weights=unigram(words, stats, unknown)[own.pair_word[mine]], minlength=len(own.words))
@@ -296,11 +353,13 @@ def score(docs: DataFrame, scratch: Scratch, path: str | None = None) -> DataFra
                 "keys": [own.words[part].tobytes()], "numbers": [np.stack([mass[part], lower[part]], 1).tobytes()]})
 
     def total(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        distinct, place, parts, numbers = _merged(table, np.float64)
+        distinct, place, _, parts, numbers = _merged(table, np.float64)
         both = np.concatenate(numbers).reshape(-1, 2)
         mass, lower = (np.bincount(place, weights=both[:, k], minlength=len(distinct)) for k in (0, 1))
         answer = np.stack([mass[place], lower[place]], 1)
         some = mass > 0
+        del place
+        blocks.give_back()
         n = table.num_rows
         return pa.table({
             "what": ["answer"] * n + ["table"], "kind": pa.array([3] * (n + 1), pa.int32()), "bucket": pa.array([key[0].as_py()] * (n + 1), pa.int64()),
@@ -310,34 +369,37 @@ def score(docs: DataFrame, scratch: Scratch, path: str | None = None) -> DataFra
             "mass": pa.array([None] * n + [mass[some]], pa.list_(pa.float64())), "lower": pa.array([None] * n + [lower[some]], pa.list_(pa.float64()))})
 
     partial = _meet(docs, counted, sums, _ASKED).groupBy("bucket").applyInArrow(total, f"what string, {_SUMMED}")
-    partial.write.partitionBy("what").parquet(f"{path}/contexts")
+    with graph.small_batches(spark):
+        partial.write.partitionBy("what").parquet(f"{path}/contexts")
     del partial
     weights = spark.read.schema(f"{_SUMMED}, what string").parquet(f"{path}/contexts").filter("what = 'answer'").select("block", "kind", "bucket", "answer")
     weights.count()  # the write's plan is let go only by a later job
     graph.release(spark)
 
-    def evaluate(block: int, rows: pa.Table, got: dict[int, list]) -> Iterator[pa.RecordBatch]:
-        own = Block.read(_flat(rows.column("text")))
+    def evaluate(block: int, own: Block, rows: pa.Table, got: dict[int, list]) -> Iterator[pa.RecordBatch]:
         words, pairs = _numbers(got[1], len(own.words)) >> 1, _numbers(got[2], len(own.pairs)) >> 1
         sums_of = np.concatenate([np.frombuffer(p, np.float64) for p in got[3]]).reshape(-1, 2)
-        rows = rows.drop_columns(["text"])
+        got.clear()
         lower = unigram(words, stats, unknown)
         seen = np.maximum(words, 1)
         left = 1 - sums_of[:, 0] / seen
         scarce = (sums_of[:, 0] > 0) & (left < 1e-12)  # no discount in this context: one more event is reserved
-        left = np.where(scarce, 1 / (seen + 1), np.where(sums_of[:, 0] > 0, left, 1.0))
+        left = np.where(scarce, 1 / (seen + 1.0), np.where(sums_of[:, 0] > 0, left, 1.0))
         back = np.log10(left) - np.log10(np.where(sums_of[:, 0] > 0, 1 - sums_of[:, 1], 1.0))
-        c = own.pair_context
-        own_log = np.log10(np.maximum(_discounted(pairs, stats.pairs), 1e-300) / (seen + scarce)[c])
-        log = np.where(pairs > 0, own_log, back[c] + np.log10(lower)[own.pair_word])
+        whole, lower = seen + scarce.astype(np.int64), np.log10(lower)
+        log = np.empty(len(pairs))
+        for a in range(0, len(pairs), STEP):
+            c, w, n = own.pair_context[a:a + STEP], own.pair_word[a:a + STEP], pairs[a:a + STEP]
+            own_log = np.log10(np.maximum(_discounted(n, stats.pairs), 1e-300) / whole[c])
+            log[a:a + STEP] = np.where(n > 0, own_log, back[c] + lower[w])
         base = np.log10((words + BASE) / (stats.tokens + BASE * (stats.types + 1)))
-        begin = own.first[:-1]
-        n = rows.num_rows
         yield pa.RecordBatch.from_pydict({
             "doc_id": rows.column("doc_id").combine_chunks(), "held_out": rows.column("held_out").combine_chunks(), "n_tokens": np.diff(own.first),
-            "n_known": np.add.reduceat((words[own.word] > 0).astype(np.int64), begin), "train_tokens": np.full(n, stats.tokens, np.int64),
-            "base_score": np.add.reduceat(base[own.word], begin), "score": np.add.reduceat(log[own.pair], begin)})
+            "n_known": _of_texts((words > 0).astype(np.int64), own.word, own.first), "train_tokens": np.full(rows.num_rows, stats.tokens, np.int64),
+            "base_score": _of_texts(base, own.word, own.first), "score": _of_texts(log, own.pair, own.first)})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return _meet(docs, counted.unionByName(weights), evaluate,
-                 f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    scored = _meet(docs, counted.unionByName(weights), evaluate,
+                   f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    with graph.small_batches(spark):
+        return scratch.write(scored)

@@ -6,8 +6,12 @@ import collections
 import math
 import random
 import re
+import tracemalloc
 import zlib
+from types import SimpleNamespace
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from corpus_rows import prose
 from pyspark.sql import functions as F
@@ -69,3 +73,41 @@ def test_language_margin_holds_for_long_texts(spark):
     long = spark.createDataFrame([(say(lang, 400_000), lang) for lang in words], "text string, lang string")
     got = langid.classify(long, model).select("lang", "lang_pred", "accepted").collect()
     assert all(r["lang"] == r["lang_pred"] and r["accepted"] for r in got) and len(got) == 2
+
+
+def test_katz_blocks_do_not_depend_on_batches(monkeypatch):
+    """Texts are read again in batches of another size; blocks must hold the same rows then."""
+    monkeypatch.setattr(katz, "BLOCK_BYTES", 100)
+    monkeypatch.setattr(katz, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 3)))
+    texts = ["a" * n for n in (40, 60, 0, 30, 70, 1, 250, 5, 99, 2, 100, 100, 0)] + [None, "b"]
+    whole = pa.RecordBatch.from_pydict({"text": pa.array(texts, pa.string())})
+    cut = lambda size: [(k, t.column("text").to_pylist()) for k, t in katz._blocks(whole.slice(a, size) for a in range(0, len(texts), size))]
+    assert cut(1) == cut(2) == cut(5) == cut(len(texts))
+    assert [x for _, t in cut(4) for x in t] == texts and len({k for k, _ in cut(4)}) == len(cut(4))
+
+
+def test_katz_reads_a_block_in_little_more_than_its_arrays():
+    """Distinct words and pairs of a block are found without sorting arrays of all its tokens."""
+    rng = np.random.default_rng(3)
+    tokens = 1_500_000
+    names = np.array([f"w{i}" for i in range(50_000)])
+    texts = [" ".join(x) for x in names[np.minimum(rng.zipf(1.3, tokens), 50_000) - 1].reshape(-1, 300)] + [None, "", " ", "W0 w0"]
+    column = pa.array(texts, pa.large_string())
+    tracemalloc.start()
+    try:
+        own = katz.Block.read(column)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 46 * tokens, peak / tokens
+    assert len(own.first) == len(texts) + 1 and own.first[-1] == tokens + len(texts) + 2 and (np.diff(own.words.view(np.int64) ^ np.int64(-2**63)) > 0).all()
+    assert (own.pair_word[own.pair] == own.word).all() and (own.pair_context[own.pair][1:300] == own.word[:299]).all()
+
+
+def test_distinct_equals_unique():
+    rng = np.random.default_rng(4)
+    for values in (rng.integers(0, 2**64, 5000, np.uint64), rng.integers(0, 9, 700).astype(np.uint64), np.full(5, 2**64 - 1, np.uint64),
+                   np.array([0, 2**64 - 1, 0], np.uint64), np.zeros(0, np.uint64)):
+        want = np.unique(values, return_index=True, return_inverse=True)
+        found, place, first = katz._distinct(values)
+        assert (found == want[0]).all() and (first == want[1]).all() and (place == want[2]).all()
