@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.llm import blocks, regions
+from tallyline.llm import blocks, graph, regions
 from tallyline.sources.lake import Scratch
 
 WORDS = 5
@@ -55,7 +55,8 @@ def clusters(docs: DataFrame, scratch: Scratch, words: int = WORDS, percent: int
     Repeated rows each come back. ``component_id`` is the smallest non-null doc_id among all rows reachable by links, null if
     there is none. An empty table gives an empty result.
     """
-    rows, labelled = _labelled(docs, scratch, words, percent)
+    with graph.small_batches(docs.sparkSession):
+        rows, labelled = _labelled(docs, scratch, words, percent)
     linked = (rows.filter("n > 0").select("doc_id", "n", "d1", "d2").join(labelled, ["d1", "d2"])
                   .select("doc_id", F.col("n").alias("n_shingles"), "component_id"))
     empty = rows.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
@@ -94,7 +95,8 @@ def keep_one(docs: DataFrame, scratch: Scratch, words: int = WORDS, percent: int
     It is the row with the smallest doc_id (null last), then the smallest hash of its text; of rows that repeat both, one stays.
     Texts without words are in no component and stay, repeated ones too.
     """
-    rows, labelled = _labelled(docs, scratch, words, percent)
+    with graph.small_batches(docs.sparkSession):
+        rows, labelled = _labelled(docs, scratch, words, percent)
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
     first = (rows.filter("n > 0").select("doc_id", "text_hash", "d1", "d2").join(labelled, ["d1", "d2"])
                  .groupBy("component").agg(F.min(place).alias("p")).select("p.doc_id", "p.text_hash"))
@@ -133,7 +135,7 @@ def _frequent(docs: DataFrame, words: int) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(times)], ["s", "c"])
 
     part = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLE_OF)) == 0).select("text")
-    return most_frequent(part.mapInArrow(count, "s long, c long"))
+    return most_frequent(part.mapInArrow(blocks.returning(count), "s long, c long"))
 
 
 def first_part(found: np.ndarray, last: np.ndarray, percent: int) -> np.ndarray:
@@ -171,7 +173,7 @@ def _prefixes(docs: DataFrame, words: int, percent: int, frequent) -> DataFrame:
                  pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["doc_id", "text_hash", "n", "d1", "d2", "prefix"])
 
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_hash long, n long, d1 long, d2 long, prefix array<long>"
-    return docs.mapInArrow(run, schema).select(F.monotonically_increasing_id().alias("row"), "*")
+    return docs.mapInArrow(blocks.returning(run), schema).select(F.monotonically_increasing_id().alias("row"), "*")
 
 
 def possible_pairs(pairs: DataFrame, heads: DataFrame, percent: int) -> DataFrame:
@@ -215,9 +217,9 @@ def _distances(scratch: Scratch, docs: DataFrame, named: DataFrame, pairs: DataF
     slot = F.pmod(F.xxhash64("doc_id"), F.lit(SLOTS)).alias("slot")
     slots = F.broadcast(wanted.select(slot).distinct())
     texts = docs.select("*", slot).join(slots, "slot", "left_semi").select("doc_id", "text")
-    sets = texts.mapInArrow(read, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, d1 long, d2 long, shingles binary")
+    sets = texts.mapInArrow(blocks.returning(read), f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, d1 long, d2 long, shingles binary")
     sets = scratch.write(sets.alias("s").join(wanted.alias("w"), F.expr("s.d1 = w.d1 AND s.d2 = w.d2 AND s.doc_id <=> w.doc_id"))
                              .select("w.node", F.col("s.shingles").alias("s")))
     both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("s").alias("x")), "a")
                  .join(sets.select(F.col("node").alias("b"), F.col("s").alias("y")), "b"))
-    return both.select("a", "b", "x", "y").mapInArrow(measure, "a long, b long, distance double").distinct()
+    return both.select("a", "b", "x", "y").mapInArrow(blocks.returning(measure), "a long, b long, distance double").distinct()

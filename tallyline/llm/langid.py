@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import ArrowUDFType
 
+from tallyline.llm import blocks
+
 PASSAGES = 1000       # labelled texts per language in a dictionary, at most
 PASSAGE_CHARS = 400   # of each
 LANGUAGES = 400       # dictionaries, at most; labels beyond that raise an error
@@ -92,7 +94,7 @@ def classify(docs: DataFrame, dictionaries: dict[str, bytes], margin: float = MA
             yield pa.StructArray.from_arrays(
                 [pa.array(found, pa.string()), pa.array(odds, pa.float64()), pa.array(clear, pa.bool_())], ["lang_pred", "score", "accepted"])
 
-    once = F.arrow_udf(run, "lang_pred string, score double, accepted boolean", ArrowUDFType.SCALAR_ITER).asNondeterministic()
+    once = F.arrow_udf(blocks.returning(run), "lang_pred string, score double, accepted boolean", ArrowUDFType.SCALAR_ITER).asNondeterministic()
     rows = docs.drop("lang_pred", "score", "accepted")
     made = rows.select(F.struct("*").alias("_row"), once("text").alias("_found"))
     return made.select("_row.*", "_found.*")

@@ -10,7 +10,6 @@ similarity 0.75 a pair meets in at least one band with probability 0.998.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from contextlib import contextmanager
 from functools import reduce
 from hashlib import blake2b
 
@@ -30,7 +29,8 @@ TURNS = 4           # the bands are shuffled in so many turns, so that fewer of
 ENTRIES = 1 << 18   # keys of a band, about, that a task sorts at a time
 BUCKETS = 64        # buckets that the keys of a band are packed in; they are cut finer before the shuffle where ``ENTRIES`` asks for it
 PACKED = 1 << 16    # lines whose keys are packed together
-BATCH = 1000        # rows that Spark hands to Python at a time, so that texts of one batch are a few MB
+BATCH = graph.BATCH
+_small_batches = graph.small_batches
 BITS = 8            # bits of the map of wanted lines for each of them
 MAP_BITS = 1 << 27  # bits of that map at most
 CELL = 512          # lines of a region that one task compares at a time
@@ -185,7 +185,7 @@ def _read_lines(docs: DataFrame, kind: str, percent: int, chars: int, bands: int
                 [*none, bucket, *[entries if band in t else pa.nulls(len(bucket), pa.binary()) for t in turns]], names)
 
     packed = "".join(f", entries_{i} binary" for i in range(len(turns)))
-    return docs.mapInArrow(run, f"doc_id {kind}, row long, line long, h1 long, h2 long, n long, first boolean, bucket long{packed}")
+    return docs.mapInArrow(blocks.returning(run), f"doc_id {kind}, row long, line long, h1 long, h2 long, n long, first boolean, bucket long{packed}")
 
 
 def _blobs(entries: np.ndarray, count: np.ndarray) -> pa.Array:
@@ -253,18 +253,6 @@ def duplicates(docs: DataFrame, scratch: Scratch, percent: int = PERCENT, chars:
             .unionByName(copies.join(known.filter("copies > 1").select("h1", "h2", "keeper", "n_copies"), ["h1", "h2"]).select(*out)))
 
 
-@contextmanager
-def _small_batches(spark: SparkSession) -> Iterator[None]:
-    """Tables written inside hand ``BATCH`` rows at a time to Python; the session's own setting comes back afterwards."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    own = spark.conf.get(name)
-    spark.conf.set(name, str(min(BATCH, int(own)) if int(own) > 0 else BATCH))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, own)
-
-
 def _once(df: DataFrame, repeated: DataFrame, keys: list[str]) -> DataFrame:
     """``df`` with one row for each ``keys`` of the ``repeated(doc_id, row)``; its other rows stay."""
     again = F.col("d.doc_id").eqNullSafe(F.col("r.doc_id")) & F.col("d.row").eqNullSafe(F.col("r.row"))
@@ -283,9 +271,9 @@ def _regions(keyed: DataFrame, nodes: DataFrame, bands: int, scratch: Scratch) -
     for i, _ in enumerate(_turns(bands)):
         packed = keyed.select("bucket", F.col(f"entries_{i}").alias("entries")).filter("entries IS NOT NULL")
         if finer > 1:
-            packed = packed.mapInArrow(_cut(finer), "bucket long, entries binary")
+            packed = packed.mapInArrow(blocks.returning(_cut(finer)), "bucket long, entries binary")
         ordered = packed.repartition("bucket").sortWithinPartitions("bucket")
-        parts.append(scratch.write(ordered.mapInArrow(_meet, "bucket long, region long, h1 long").select(
+        parts.append(scratch.write(ordered.mapInArrow(blocks.returning(_meet), "bucket long, region long, h1 long").select(
             F.floor(F.col("bucket") / (BUCKETS * finer)).cast("int").alias("band"), "region", "h1")))
         graph.release(keyed.sparkSession)
     met = reduce(DataFrame.unionByName, parts)
@@ -399,7 +387,7 @@ def _linked(rows: DataFrame, percent: int, chars: int, bands: int, once: bool) -
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
     ordered = rows.select("region", "cell", "band", "node", "all", "words").repartition("region", "cell").sortWithinPartitions("region", "cell")
-    return ordered.mapInArrow(run, "a long, b long").distinct()
+    return ordered.mapInArrow(blocks.returning(run), "a long, b long").distinct()
 
 
 def _whole_cells(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.Table]:
@@ -586,7 +574,7 @@ def _distances(texts: DataFrame, pairs: DataFrame, chars: int) -> DataFrame:
 
     both = (pairs.join(texts.select(F.col("node").alias("a"), F.col("words").alias("x")), "a")
                  .join(texts.select(F.col("node").alias("b"), F.col("words").alias("y")), "b"))
-    return both.select("a", "b", "x", "y").mapInArrow(measure, "a long, b long, distance double").distinct()
+    return both.select("a", "b", "x", "y").mapInArrow(blocks.returning(measure), "a long, b long, distance double").distinct()
 
 
 def remove(docs: DataFrame, scratch: Scratch, **settings) -> DataFrame:
@@ -612,7 +600,7 @@ def remove(docs: DataFrame, scratch: Scratch, **settings) -> DataFrame:
                     out.append((text, True))
             yield pa.StructArray.from_arrays([pa.array([o[0] for o in out], pa.string()), pa.array([o[1] for o in out])], ["text", "stays"])
 
-    cut = F.arrow_udf(run, "text string, stays boolean", ArrowUDFType.SCALAR_ITER).asNondeterministic()
+    cut = F.arrow_udf(blocks.returning(run), "text string, stays boolean", ArrowUDFType.SCALAR_ITER).asNondeterministic()
     joined = (docs.alias("d").join(lost.alias("l"), (F.xxhash64("d.text") == F.col("l.row")) & F.col("d.doc_id").eqNullSafe(F.col("l.doc_id")), "left")
               .select(F.struct("d.*").alias("_row"), "l._lost").withColumn("_new", cut(F.expr("IF(_lost IS NULL, NULL, _row.text)"), F.col("_lost"))))  # other texts need not travel
     new = F.expr("IF(_lost IS NULL, _row.text, _new.text)")

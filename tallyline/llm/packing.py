@@ -14,6 +14,7 @@ import base64
 import re
 import zlib
 from collections.abc import Iterator
+from functools import cached_property
 from typing import NamedTuple
 
 import numpy as np
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm import graph
+from tallyline.llm import blocks, graph
 from tallyline.sources.lake import Scratch
 
 SIZE = 1024
@@ -52,13 +53,19 @@ class Encoder:
 
     def __init__(self, vocabulary: Vocabulary):
         import tiktoken
-        from tokenizers import Tokenizer
 
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, vocabulary.ranks.splitlines())}
         self.fast = tiktoken.Encoding("ranks", pat_str=vocabulary.pattern, mergeable_ranks=ranks, special_tokens={})
-        self.exact = Tokenizer.from_str(vocabulary.tokenizer)
+        self.vocabulary = vocabulary
         self.known: dict[str, bytes] = {}
 
+    @cached_property
+    def exact(self):
+        """The tokenizer itself, made for the first text that needs it."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_str(self.vocabulary.tokenizer)
+
     def _unit(self, unit: str) -> bytes:
         if len(self.known) >= CACHED_UNITS:
             self.known.clear()
@@ -111,7 +118,7 @@ def pieces(docs: DataFrame, vocabulary: Vocabulary, size: int = SIZE, end: int =
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, _at long" + ", ids array<int>" * with_ids
-    made = docs.select("doc_id", "text").mapInArrow(run, schema)
+    made = docs.select("doc_id", "text").mapInArrow(blocks.returning(run), schema)
     return made.select(F.monotonically_increasing_id().alias("row"), *[c for c in made.columns if c != "_at"])
 
 
@@ -207,4 +214,6 @@ def pack(parts: DataFrame, size: int = SIZE) -> DataFrame:
 def pack_documents(docs: DataFrame, vocabulary: Vocabulary, scratch: Scratch, size: int = SIZE, end: int = END,
                    with_ids: bool = False) -> DataFrame:
     """Tokenise, cut and place all rows of ``docs``; the pieces are written once, so ranks and rows cannot move apart."""
-    return pack(scratch.write(pieces(docs, vocabulary, size, end, with_ids)), size).drop("row")
+    with graph.small_batches(docs.sparkSession):
+        parts = scratch.write(pieces(docs, vocabulary, size, end, with_ids))
+    return pack(parts, size).drop("row")

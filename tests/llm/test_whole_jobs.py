@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import collections
 import math
+import pathlib
 import random
 import re
 import tracemalloc
@@ -16,8 +17,8 @@ import pytest
 from corpus_rows import prose
 from pyspark.sql import functions as F
 
-from tallyline.llm import katz, langid
-from tallyline.llm.queries import op1_katz_backoff
+from tallyline.llm import blocks, graph, katz, langid, packing
+from tallyline.llm.queries import op1_katz_backoff, public_vocabulary
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -111,3 +112,38 @@ def test_distinct_equals_unique():
         want = np.unique(values, return_index=True, return_inverse=True)
         found, place, first = katz._distinct(values)
         assert (found == want[0]).all() and (first == want[1]).all() and (place == want[2]).all()
+
+
+def test_packing_reads_few_texts_at_a_time(spark, scratch, monkeypatch):
+    """Tasks that tokenise hold ``graph.BATCH`` texts at a time."""
+    def sizes(docs, *settings):
+        return docs.mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"row": [b.num_rows]}) for b in batches), "row long")
+
+    monkeypatch.setattr(packing, "pieces", sizes)
+    monkeypatch.setattr(packing, "pack", lambda parts, size: parts.withColumn("n", F.col("row")))
+    docs = spark.range(4 * graph.BATCH, numPartitions=1).select(F.col("id").alias("doc_id"), F.lit("a b").alias("text"))
+    got = [r["n"] for r in packing.pack_documents(docs, None, scratch).collect()]
+    assert got == [graph.BATCH] * 4
+
+
+def test_encoder_makes_the_slow_tokenizer_only_where_needed():
+    encode = packing.Encoder(public_vocabulary())
+    plain = encode("plain words, it's  \n all")
+    assert "exact" not in vars(encode) and len(encode("plain words")) and "exact" in vars(encode)
+    assert plain == np.array(encode.exact.encode("plain words, it's  \n all", add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def test_tasks_return_freed_memory():
+    """What a task has freed goes back to the system, also below memory that is still held."""
+    held_now = lambda: int(re.search(r"RssAnon:\s+(\d+)", pathlib.Path("/proc/self/status").read_text())[1]) / 1024
+    kept = []
+
+    def run(batches):
+        for n in batches:
+            arrays = [np.ones(12_000) for _ in range(n)]
+            kept.append(np.ones(12_000))
+            yield len(arrays)
+
+    before = held_now()
+    assert list(blocks.returning(run)(iter([2000]))) == [2000]
+    assert held_now() - before < 60 and len(kept) == 1
