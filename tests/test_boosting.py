@@ -166,3 +166,29 @@ def test_explained_rows_of_one_file_are_spread(spark):
     assert found.rdd.getNumPartitions() > 1
     sums = found.groupBy("customer_id").agg(F.sum("contribution").alias("c"), F.first("expected_value").alias("e"), F.first("margin").alias("m")).collect()
     assert len(sums) == len(x) and np.allclose([r["c"] + r["e"] for r in sums], [r["m"] for r in sums])
+
+
+def test_models_are_trained_on_all_rows(spark):
+    n = 200_400
+    rows = spark.range(n).select(F.format_string("c%07d", "id").alias("customer_id"), F.when(F.col("id") % 11 != 0, (F.col("id") * 7919 % n).cast("double")).alias("a"),
+                                 (F.col("id") % 5).cast("double").alias("b"), (F.col("id") * 7919 % n >= n // 2).cast("double").alias("label"),
+                                 F.lit(1.0).alias("class_weight"), (F.col("id") % 2).cast("int").alias("fold"), (F.col("id") % 10 == 0).alias("hold_out"))
+    stump = PARAMS | {"n_trees": 1, "max_depth": 1, "row_share": 1.0}
+    model = B.search(rows, "customer_id", ["a", "b"], [stump], 2, 1)
+    assert model.figures["rows"] == n and model.trees.cover[0] == pytest.approx(0.25 * n * 0.9) and model.figures["hold_out_auc"] > 0.9
+
+
+def test_cuts_of_a_table_are_those_of_its_columns(spark, scratch):
+    rng = np.random.default_rng(3)
+    data = pd.DataFrame({"a": rng.normal(size=777), "b": rng.integers(0, 64, 777) * 1.0, "c": rng.integers(0, 70, 777) * 1.0,
+                         "d": np.where(rng.random(777) < 0.9, 0.0, rng.normal(size=777)), "e": 2.5})
+    for n in (777, 65, 2, 1):
+        got = B.table_cuts(scratch.write(spark.createDataFrame(data.head(n))), list(data.columns), scratch)
+        assert all(np.array_equal(x, B.quantile_cuts(data[c].head(n).to_numpy())) for c, x in zip(data.columns, got, strict=True))
+
+
+def test_rows_read_in_blocks_give_the_same_trees(monkeypatch):
+    whole = small_model()[2]
+    monkeypatch.setattr(B, "BLOCK", 64)
+    blocks = small_model()[2]
+    assert np.array_equal(whole.feature, blocks.feature) and np.allclose(whole.value, blocks.value)
