@@ -57,7 +57,7 @@ def stream_ingest(spark: SparkSession, raw_folder: str, bronze_path: str, silver
         if months:
             L.write_months(merged, bronze_path)
             bronze.ingestion_audit(merged, ", ".join(sorted(f.rsplit("/", 1)[-1] for f in files))).write.mode("overwrite").parquet(f"{own}/audit")
-            L.write_months(silver.to_silver(merged), silver_path)
+            L.write_months(silver.to_silver(merged), silver_path, laid_out=True)
 
     arrived = (spark.readStream.schema("line string").option("maxFilesPerTrigger", FILES_PER_BATCH).text(raw_folder)
                .select("_metadata.file_path"))
